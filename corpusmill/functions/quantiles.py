@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,83 +13,67 @@ ACCURACY = 10_000
 def exact_quantiles(df: DataFrame, columns, probs, narrow=()) -> DataFrame:
     """One row: for each column ``c`` an array ``c`` of quantiles and ``c__n`` non-nulls.
 
-    Columns in ``narrow`` have few distinct values (lengths, counts, rounded scores)
-    and go to Spark's exact ``percentile``, which keeps one counter per distinct value.
-    Any other column is bracketed: a sketch gives two values that enclose each
-    quantile, one aggregate counts what lies below, and only the rows inside the
-    bracket (about 4 in 10,000) are shuffled and ranked.
+    When all columns are in ``narrow`` (few distinct values: lengths, counts, rounded
+    scores) Spark's exact ``percentile`` does it, with one counter per distinct value.
+
+    Otherwise two passes: a sketch gives two values that enclose each quantile, then
+    one aggregate counts rows. Values between quantiles collapse into a few counters
+    before the shuffle; only values inside a bracket (about 4 in 10,000 rows) stay apart
+    and are ranked.
     """
     probs = [float(p) for p in probs]
-    wide = [c for c in columns if c not in narrow]
-    few = [c for c in columns if c in narrow]
-    parts = []
-    if few:
-        aggs = []
-        for c in few:
-            aggs.append(F.percentile(F.col(f"`{c}`"), F.array(*map(F.lit, probs))).alias(c))
-            aggs.append(F.count(F.col(f"`{c}`")).alias(f"{c}__n"))
-        parts.append(df.agg(*aggs))
-    if wide:
-        parts.append(_bracketed(df, wide, probs))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.crossJoin(F.broadcast(p))       # both sides are one aggregate row
-    return out
+    if all(c in narrow for c in columns):
+        return df.agg(*[a for c in columns for a in (
+            F.percentile(F.col(f"`{c}`"), F.array(*map(F.lit, probs))).alias(c),
+            F.count(F.col(f"`{c}`")).alias(f"{c}__n"))])
+    return _bracketed(df, columns, probs)
 
 
 def _bracketed(df: DataFrame, columns, probs) -> DataFrame:
-    names = {f"v{i}": c for i, c in enumerate(columns)}
-    values = df.select([F.col(f"`{c}`").cast("double").alias(v) for v, c in names.items()])
+    columns = list(columns)
+    values = df.select([F.col(f"`{c}`").cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
     lows = [max(0.0, p - 2 / ACCURACY) for p in probs]
     highs = [min(1.0, p + 2 / ACCURACY) for p in probs]
-    sketch = values.agg(
-        *[F.percentile_approx(v, lows + highs, ACCURACY).alias(f"{v}_s") for v in names])
-    framed = values.crossJoin(F.broadcast(sketch))            # sketch is one row
+    sketch = values.agg(*[F.percentile_approx(f"v{i}", lows + highs, ACCURACY).alias(f"s{i}")
+                          for i in range(len(columns))])
+
+    def cell(i: int) -> Column:
+        """Column number, slot between the edges, and the value itself inside a bracket."""
+        x, edge = F.col(f"v{i}"), lambda k: F.element_at(f"s{i}", k + 1)
+        inside = reduce(lambda a, b: a | b, [
+            x.between(edge(k), edge(len(probs) + k)) for k in range(len(probs))])
+        slot = sum((F.when(edge(k) < x, 1).otherwise(0) for k in range(2 * len(probs))), F.lit(0))
+        return F.when(x.isNotNull(), F.struct(
+            F.lit(i).alias("c"), slot.alias("slot"), F.when(inside, x).alias("at"), x.alias("x")))
 
-    def edge(v: str, i: int) -> Column:
-        return F.element_at(f"{v}_s", i + 1)
+    cells = (values.crossJoin(F.broadcast(sketch))            # sketch is one row
+                   .select(F.explode(F.array(*map(cell, range(len(columns))))).alias("s"))
+                   .where(F.col("s").isNotNull()))
+    groups = cells.groupBy("s.c", "s.slot", "s.at").agg(
+        F.count("*").alias("n"), F.min("s.x").alias("lo"), F.max("s.x").alias("hi"))
+    # Groups cover disjoint value ranges, so their largest values put them in order.
+    by_column = Window.partitionBy("c")
+    ranked = groups.select(
+        "c", "n", "lo", "hi", F.sum("n").over(by_column.orderBy("hi")).alias("upto"),
+        F.sum("n").over(by_column).alias("total"))
+    first, last = F.col("upto") - F.col("n"), F.col("upto") - 1
 
-    meta_aggs, inside = [], []
-    for ci, v in enumerate(names):
-        x = F.col(v)
-        meta_aggs.append(F.count(x).alias(f"{v}_n"))
-        for pi, _ in enumerate(probs):
-            lo, hi = edge(v, pi), edge(v, len(probs) + pi)
-            meta_aggs += [F.count_if(x < lo).alias(f"{v}_{pi}_below"),
-                          F.max(F.when(x < lo, x)).alias(f"{v}_{pi}_under"),
-                          F.min(F.when(x > hi, x)).alias(f"{v}_{pi}_over")]
-            inside.append(F.when(x.between(lo, hi), F.struct(
-                F.lit(ci).alias("c"), F.lit(pi).alias("p"), x.alias("v"))))
-    meta = framed.agg(*meta_aggs)
-    counts = (framed.select(F.explode(F.filter(F.array(*inside), lambda s: s.isNotNull())).alias("s"))
-                    .groupBy("s.c", "s.p", "s.v").count())
-    upto = counts.withColumn("cum", F.sum("count").over(
-        Window.partitionBy("c", "p").orderBy("v")))
+    def value_at(rank: Column) -> Column:
+        """The value of a 0-based rank; inside a collapsed group only its ends are known."""
+        known = (F.when((rank == first) | (F.col("lo") == F.col("hi")), F.col("lo"))
+                  .when(rank == last, F.col("hi"))
+                  .otherwise(F.raise_error(F.lit("quantile fell outside its bracket"))))
+        return F.max(F.when(rank.between(first, last), known))
 
-    flat = F.array(*[
-        F.struct(F.lit(ci).alias("c"), F.lit(pi).alias("p"),
-                 F.col(f"{v}_n").alias("n"), F.col(f"{v}_{pi}_below").alias("below"),
-                 F.col(f"{v}_{pi}_under").alias("under"), F.col(f"{v}_{pi}_over").alias("over"),
-                 (F.lit(probs[pi]) * (F.col(f"{v}_n") - 1)).alias("h"))
-        for ci, v in enumerate(names) for pi in range(len(probs))])
-    meta_rows = meta.select(F.inline(flat))                   # one row per (column, quantile)
-    joined = upto.join(F.broadcast(meta_rows), ["c", "p"])
-    lower, upper = F.floor("h"), F.ceil("h")
-    picked = joined.groupBy("c", "p").agg(
-        *[F.first(k).alias(k) for k in ("n", "below", "under", "over", "h")],
-        F.min(F.when(F.col("below") + F.col("cum") > lower, F.col("v"))).alias("at_lower"),
-        F.min(F.when(F.col("below") + F.col("cum") > upper, F.col("v"))).alias("at_upper"))
-    # A neighbour just outside the bracket serves ranks that fall one step off it.
-    a = F.when(lower < F.col("below"), F.col("under")).otherwise(
-        F.coalesce("at_lower", "over"))
-    b = F.when(upper < F.col("below"), F.col("under")).otherwise(
-        F.coalesce("at_upper", "over"))
-    q = picked.select("c", "p", (a + (b - a) * (F.col("h") - lower)).alias("q"))
-    cells = [F.max(F.when((F.col("c") == ci) & (F.col("p") == pi), F.col("q"))).alias(f"q{ci}_{pi}")
-             for ci in range(len(columns)) for pi in range(len(probs))]
-    wide = q.agg(*cells)
-    result = wide.crossJoin(F.broadcast(meta.select([f"{v}_n" for v in names])))
-    return result.select(*[
-        x for ci, (v, c) in enumerate(names.items())
-        for x in (F.array(*[F.col(f"q{ci}_{pi}") for pi in range(len(probs))]).alias(c),
-                  F.col(f"{v}_n").alias(f"{c}__n"))])
+    height = [F.lit(p) * (F.col("total") - 1) for p in probs]
+    picked = ranked.groupBy("c").agg(
+        F.max("total").alias("total"),
+        *[a for k, h in enumerate(height) for a in (
+            value_at(F.floor(h)).alias(f"a{k}"), value_at(F.ceil(h)).alias(f"b{k}"),
+            F.max(h - F.floor(h)).alias(f"t{k}"))])
+    q = F.array(*[F.col(f"a{k}") + (F.col(f"b{k}") - F.col(f"a{k}")) * F.col(f"t{k}")
+                  for k in range(len(probs))])
+    none = F.array(*[F.lit(None).cast("double")] * len(probs))
+    return picked.agg(*[a for i, c in enumerate(columns) for a in (
+        F.coalesce(F.max(F.when(F.col("c") == i, q)), none).alias(c),
+        F.coalesce(F.max(F.when(F.col("c") == i, F.col("total"))), F.lit(0)).alias(f"{c}__n"))])

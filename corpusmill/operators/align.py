@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
-from itertools import combinations
+from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +22,6 @@ MODALITY_FEATURES = {
                                                     "spectral_bandwidth", "rms_energy"],
 }
 SHARED = ("label", "source", "collected_at")
-PAIRS_PER_AGGREGATE = 60
 MIN_CORRELATED = 10
 
 
@@ -137,21 +136,23 @@ def label_correlations(df: DataFrame, label: str = "label", positive: str = "pos
 def correlation_matrix(df: DataFrame, columns=None, digits: int = 4) -> DataFrame:
     """``(f1, f2, r)`` for every pair of numeric features, pairwise complete.
 
-    Both orders and the diagonal are present. Pairs are split over several aggregates
-    to keep each one's generated code small.
+    Both orders and the diagonal are present. A row gives one cell per pair and cells
+    combine before the shuffle, so the plan has one aggregate however many pairs.
     """
     work = nan_to_null(df)
     cols = list(columns) if columns else feature_columns(work)
-    pairs = list(combinations(range(len(cols)), 2)) + [(i, i) for i in range(len(cols))]
-    parts = []
-    for at in range(0, len(pairs), PAIRS_PER_AGGREGATE):
-        some = pairs[at:at + PAIRS_PER_AGGREGATE]
-        row = work.agg(*[_pearson(F.col(f"`{cols[i]}`"), F.col(f"`{cols[j]}`")).alias(f"r{i}_{j}")
-                         for i, j in some])
-        parts.append(_stack(row, [
-            (F.lit(cols[a]), F.lit(cols[b]), F.round(f"r{i}_{j}", digits))
-            for i, j in some for a, b in sorted({(i, j), (j, i)})], ("f1", "f2", "r")))
-    return reduce(DataFrame.unionByName, parts)
+    narrow = work.select([F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    pairs = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"x{i}").alias("x"),
+                      F.col(f"x{j}").alias("y"))
+             for i, j in combinations_with_replacement(range(len(cols)), 2)]
+    cells = narrow.select(F.inline(F.array(*pairs)))
+    r = cells.groupBy("i", "j").agg(F.round(_pearson(F.col("x"), F.col("y")), digits).alias("r"))
+    names = F.array(*map(F.lit, cols))
+    name = lambda k: F.element_at(names, F.col(k) + 1)
+    both = F.array_distinct(F.array(
+        F.struct(name("i").alias("f1"), name("j").alias("f2"), "r"),
+        F.struct(name("j").alias("f1"), name("i").alias("f2"), "r")))
+    return r.select(F.inline(both))
 
 
 def describe_aligned(df: DataFrame) -> DataFrame:

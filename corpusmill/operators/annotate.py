@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions.keys import first_per_group, small_side
-from corpusmill.functions.text import shorten
+from corpusmill.functions.text import let, shorten
 from corpusmill.operators.quality import _stack, value_counts
 
 # Default Russian sentiment stems.
@@ -43,20 +43,22 @@ def _lowered(text: str) -> Column:
     return F.lower(F.coalesce(F.col(f"`{text}`"), F.lit("")))
 
 
-def _decide(df: DataFrame, text: str, labelled_at: str | None) -> DataFrame:
-    """Add label and confidence from hit counts ``_pos`` and ``_neg``."""
-    hits = F.col("_pos") + F.col("_neg")
-    best = F.greatest("_pos", "_neg")
-    long_text = F.length(_lowered(text)) > NO_SIGNAL_LENGTH
-    label = (F.when(hits == 0, F.when(long_text, "neg").otherwise("pos"))
-              .when(F.col("_pos") >= F.col("_neg"), "pos").otherwise("neg"))
-    share = F.coalesce(F.try_divide(best, hits), F.lit(0.0))
-    confidence = F.when(hits == 0, F.lit(NO_SIGNAL_CONFIDENCE)).otherwise(
-        F.round(CONFIDENCE_FLOOR + share * CONFIDENCE_SPAN, 4))
+def _with_decision(df: DataFrame, hits: Column, text: str, labelled_at: str | None) -> DataFrame:
+    """Add label and confidence from ``hits``, a struct of counts ``pos`` and ``neg``."""
+    def decide(h: Column) -> Column:
+        total, best = h["pos"] + h["neg"], F.greatest(h["pos"], h["neg"])
+        long_text = F.length(_lowered(text)) > NO_SIGNAL_LENGTH
+        label = (F.when(total == 0, F.when(long_text, "neg").otherwise("pos"))
+                  .when(h["pos"] >= h["neg"], "pos").otherwise("neg"))
+        confidence = F.when(total == 0, F.lit(NO_SIGNAL_CONFIDENCE)).otherwise(
+            F.round(CONFIDENCE_FLOOR + F.try_divide(best, total) * CONFIDENCE_SPAN, 4))
+        return F.struct(label.alias("label"), confidence.alias("confidence"))
+
     at = F.lit(labelled_at) if labelled_at else F.date_format(
         F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    return df.select("*", label.alias("auto_label"), confidence.alias("confidence"),
-                     at.alias("auto_label_at")).drop("_pos", "_neg")
+    return (df.select("*", let(hits, decide).alias("_decision"))
+              .select(*df.columns, F.col("_decision.label").alias("auto_label"),
+                      F.col("_decision.confidence").alias("confidence"), at.alias("auto_label_at")))
 
 
 def auto_label(df: DataFrame, lexicon: dict | None = None, text: str = "text",
@@ -69,15 +71,13 @@ def auto_label(df: DataFrame, lexicon: dict | None = None, text: str = "text",
     if modality != "text":
         raise NotImplementedError(f"modality {modality!r} is not supported; use 'text'")
     lexicon = lexicon or DEFAULT_LEXICON
-    body = F.col("_lower")
 
-    def hits(stems) -> Column:
+    def count(body: Column, stems) -> Column:
         return sum((F.when(body.contains(s), 1).otherwise(0) for s in dict.fromkeys(stems)), F.lit(0))
 
-    counted = (df.withColumn("_lower", _lowered(text))
-                 .select(*df.columns, hits(lexicon["pos"]).alias("_pos"),
-                         hits(lexicon["neg"]).alias("_neg")))
-    return _decide(counted, text, labelled_at)
+    hits = let(_lowered(text), lambda body: F.struct(
+        count(body, lexicon["pos"]).alias("pos"), count(body, lexicon["neg"]).alias("neg")))
+    return _with_decision(df, hits, text, labelled_at)
 
 
 def lexicon_matches(df: DataFrame, lexicon: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -107,8 +107,9 @@ def auto_label_from_table(df: DataFrame, lexicon: DataFrame, key: str, text: str
     hits = lexicon_matches(df, lexicon, key, text).groupBy(key).agg(
         F.count_if(F.col("polarity") == "pos").alias("_pos"),
         F.count_if(F.col("polarity") == "neg").alias("_neg"))
-    joined = df.join(hits, key, "left").fillna(0, ["_pos", "_neg"])
-    return _decide(joined.select(*df.columns, "_pos", "_neg"), text, labelled_at)
+    found = F.struct(*[F.coalesce(f"_{side}", F.lit(0)).alias(side) for side in ("pos", "neg")])
+    out = _with_decision(df.join(hits, key, "left"), found, text, labelled_at)
+    return out.select(*df.columns, "auto_label", "confidence", "auto_label_at")
 
 
 # -- splitting and metrics ---------------------------------------------------------

@@ -52,7 +52,7 @@ class OneClass(ValueError):
 
 
 def fit_classifier(train: DataFrame, label: str, c: float = 1.0, max_iter: int = 1000,
-                   features: str = "features") -> PipelineModel:
+                   tol: float = 1e-6, features: str = "features") -> PipelineModel:
     """L2 logistic regression with balanced class weights; ``prediction_label`` out.
 
     Spark averages the loss over rows, so the penalty is ``1 / (C * n)``.
@@ -70,7 +70,7 @@ def fit_classifier(train: DataFrame, label: str, c: float = 1.0, max_iter: int =
                             stringOrderType="alphabetAsc").fit(train)
     lr = LogisticRegression(featuresCol=features, labelCol="_y", weightCol="_weight",
                             regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False,
-                            maxIter=max_iter, tol=1e-8)
+                            maxIter=max_iter, tol=tol)
     data = indexed.transform(train.select(label, features)).join(F.broadcast(weights), label)
     model = lr.fit(data.select(features, "_y", "_weight"))
     names = IndexToString(inputCol="prediction", outputCol="prediction_label",

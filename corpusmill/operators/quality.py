@@ -223,43 +223,70 @@ def detect_issues(df: DataFrame, key: str | None = None, columns=None) -> DataFr
 
 
 def quality_stats(df: DataFrame, key: str | None = None, columns=None) -> DataFrame:
-    """One row: rows, missing cells, duplicates, length outliers and imbalance."""
-    work = df.select([F.col(f"`{c}`") for c in _content(df, columns, key)])
-    out = work.agg(F.count("*").alias("rows"))
-    text, label = text_role(work), label_role(work)
-    parts = [missing_cells(work).withColumnRenamed("missing_cells", "missing_count"),
-             duplicate_rows(work)]
+    """One row: rows, missing cells, duplicates, length outliers and imbalance.
+
+    One scan and one chain of aggregates: equal rows combine by fingerprint, distinct
+    rows combine to one per label and length, and the rest works on those.
+    """
+    cols = _content(df, columns, key)
+    text, label = text_role(df.select(cols)), label_role(df.select(cols))
+    rows = df.select(
+        fingerprint(df, cols).alias("fp"),
+        sum((is_missing(df, c).cast("long") for c in cols), F.lit(0).cast("long")).alias("missing"),
+        (F.length(F.col(f"`{text}`")) if text else F.lit(None).cast("int")).alias("len"),
+        (F.col(f"`{label}`").cast("string") if label else F.lit(None).cast("string")).alias("label"))
+    distinct = rows.groupBy("fp").agg(
+        F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("missing", "len", "label")])
+    cells = distinct.groupBy("label", "len").agg(
+        F.sum("n").alias("n"), F.sum(F.col("n") * F.col("missing")).alias("missing"),
+        F.sum(F.col("n") - 1).alias("repeats"))
+    sums = cells.groupingSets([["label"], ["len"]], "label", "len").agg(
+        F.sum("n").alias("n"), F.sum("missing").alias("missing"), F.sum("repeats").alias("repeats"),
+        F.grouping("len").alias("of_label"))
+    of_label = (F.col("of_label") == 1) & F.col("label").isNotNull()
+    of_length = (F.col("of_label") == 0) & F.col("len").isNotNull()
+    classes, zero = F.when(of_label, F.col("n")), F.lit(0).cast("long")
+    total = lambda c: F.coalesce(F.sum(F.when(F.col("of_label") == 1, F.col(c))), zero)
+    weight = F.when(of_length, F.col("n")).otherwise(0)
+    row = sums.agg(
+        total("n").alias("rows"), total("missing").alias("missing_count"),
+        total("repeats").alias("duplicates"),
+        F.round(F.max(classes) / F.min(classes), 3).alias("ratio"), F.count(classes).alias("k"),
+        F.percentile(F.when(of_length, F.col("len")), F.array(F.lit(.25), F.lit(.5), F.lit(.75)),
+                     weight).alias("q"),
+        F.try_divide(F.sum(F.when(of_length, F.col("len") * F.col("n"))),
+                     F.sum(F.when(of_length, F.col("n")))).alias("mean"),
+        F.collect_list(F.when(of_length, F.struct("len", "n"))).alias("lengths"))   # distinct lengths
+    spread = F.col("q")[2] - F.col("q")[0]
+    low, high = F.col("q")[0] - FENCE * spread, F.col("q")[2] + FENCE * spread
+    beyond = F.aggregate(
+        F.filter("lengths", lambda x: (x["len"] < low) | (x["len"] > high)), zero,
+        lambda s, x: s + x["n"])
+    out = ["rows", "missing_count", "duplicates"]
     if text:
-        lengths = work.select(F.length(F.col(f"`{text}`")).alias(TEXT_LEN))
-        counts = lengths.where(F.col(TEXT_LEN).isNotNull()).groupBy(TEXT_LEN).agg(
-            F.count("*").alias("_n"))                         # one row per distinct length
-        q = counts.agg(
-            F.percentile(TEXT_LEN, F.array(F.lit(.25), F.lit(.5), F.lit(.75)), F.col("_n")).alias("q"),
-            (F.sum(F.col(TEXT_LEN) * F.col("_n")) / F.sum("_n")).alias("mean"))
-        spread = F.col("q")[2] - F.col("q")[0]
-        beyond = ((F.col(TEXT_LEN) < F.col("q")[0] - FENCE * spread)
-                  | (F.col(TEXT_LEN) > F.col("q")[2] + FENCE * spread))
-        parts.append(counts.crossJoin(F.broadcast(q)).agg(
-            F.coalesce(F.sum(F.when((spread > 0) & beyond, F.col("_n")).otherwise(0)), F.lit(0))
-             .alias("outlier_rows"),
-            F.floor(F.first(F.col("q")[1])).cast("long").alias("median_text_len"),
-            F.round(F.first("mean"), 1).alias("mean_text_len")))
+        out += [F.when(spread > 0, beyond).otherwise(zero).alias("outlier_rows"),
+                F.floor(F.col("q")[1]).cast("long").alias("median_text_len"),
+                F.round("mean", 1).alias("mean_text_len")]
     if label:
-        found = imbalance(work, label)
-        parts.append(found.agg(F.max("ratio").alias("imbalance_ratio"),
-                               F.max("n_classes").alias("n_classes")))
-    for p in parts:
-        out = out.crossJoin(F.broadcast(p))                   # every part is one row
-    return out
+        several = F.col("k") >= 2
+        out += [F.when(several, F.col("ratio")).alias("imbalance_ratio"),
+                F.when(several, F.col("k")).alias("n_classes")]
+    return row.select(*out)
 
 
 METRICS = ("rows", "missing_count", "duplicates", "outlier_rows", "imbalance_ratio", "n_classes",
            "median_text_len", "mean_text_len")
 
 
-def _long(stats: DataFrame, name: str) -> DataFrame:
-    have = [m for m in METRICS if m in stats.columns]
-    return _stack(stats, [(F.lit(m), F.col(m).cast("double")) for m in have], ("metric", name))
+def _side_by_side(frames: dict, key, columns) -> tuple[DataFrame, list[str]]:
+    """One row with ``<name>:<metric>`` for every frame."""
+    rows = [quality_stats(df, key, columns).withColumn("_side", F.lit(name))
+            for name, df in frames.items()]
+    have = [m for m in METRICS if all(m in r.columns for r in rows)]
+    stacked = reduce(DataFrame.unionByName, [r.select("_side", *have) for r in rows])
+    return stacked.agg(*[
+        F.max(F.when(F.col("_side") == name, F.col(m))).cast("double").alias(f"{name}:{m}")
+        for name in frames for m in have]), have
 
 
 def verdict(before: Column, after: Column) -> Column:
@@ -269,28 +296,24 @@ def verdict(before: Column, after: Column) -> Column:
 
 def compare(before: DataFrame, after: DataFrame, key: str | None = None, columns=None) -> DataFrame:
     """``(metric, before, after, change)`` plus rows removed and their percentage."""
-    b, a = quality_stats(before, key, columns), quality_stats(after, key, columns)
-    both = (_long(b, "before").join(F.broadcast(_long(a, "after")), "metric", "left")
-            .withColumn("change", verdict(F.col("before"), F.col("after"))))
-    counts = b.select(F.col("rows").alias("b")).crossJoin(
-        F.broadcast(a.select(F.col("rows").alias("a"))))
-    gone = F.col("b") - F.col("a")
-    none = F.lit(None)
-    removed = _stack(counts, [
-        (F.lit("rows_removed"), none.cast("double"), gone.cast("double"), none.cast("string")),
-        (F.lit("rows_removed_pct"), none.cast("double"),
-         F.round(F.try_divide(100.0 * gone, F.col("b")), 1), none.cast("string"))],
+    row, have = _side_by_side({"before": before, "after": after}, key, columns)
+    b, a = (lambda m: F.col(f"`before:{m}`")), (lambda m: F.col(f"`after:{m}`"))
+    gone = b("rows") - a("rows")
+    none, blank = F.lit(None).cast("double"), F.lit(None).cast("string")
+    return _stack(row, [
+        *[(F.lit(m), b(m), a(m), verdict(b(m), a(m))) for m in have],
+        (F.lit("rows_removed"), none, gone, blank),
+        (F.lit("rows_removed_pct"), none, F.round(F.try_divide(100.0 * gone, b("rows")), 1), blank)],
         ("metric", "before", "after", "change"))
-    return both.unionByName(removed)
 
 
 def compare_strategies(before: DataFrame, cleaned: dict[str, DataFrame], key: str | None = None,
                        columns=None) -> DataFrame:
     """``(metric, before, <one column per strategy>)``."""
-    out = _long(quality_stats(before, key, columns), "before")
-    for name, df in cleaned.items():
-        out = out.join(F.broadcast(_long(quality_stats(df, key, columns), name)), "metric", "left")
-    return out
+    names = ["before", *cleaned]
+    row, have = _side_by_side({"before": before, **cleaned}, key, columns)
+    return _stack(row, [(F.lit(m), *[F.col(f"`{n}:{m}`") for n in names]) for m in have],
+                  ("metric", *names))
 
 
 def profile(df: DataFrame, key: str | None = None, columns=None) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.linalg import VectorUDT
@@ -69,6 +70,10 @@ class TfidfModel:
         rows = vocabulary(df, max_features, text, min_df).orderBy("idx").collect()   # bounded
         return TfidfModel(tuple(r.term for r in rows), tuple(r.idf for r in rows))
 
+    @cached_property
+    def _counter(self) -> CountVectorizerModel:
+        return CountVectorizerModel.from_vocabulary(list(self.terms), "_g", "_c")
+
     def _weights(self, df: DataFrame, text: str) -> DataFrame:
         """Add ``_w``: ``{indices, values}`` with unit norm. Row-local: no shuffle.
 
@@ -76,8 +81,7 @@ class TfidfModel:
         no SQL accessor; their JSON form is the built-in way in and out.
         """
         spark = df.sparkSession
-        counter = CountVectorizerModel.from_vocabulary(list(self.terms), "_g", "_c")
-        counted = counter.transform(df.withColumn("_g", _grams(text)))
+        counted = self._counter.transform(df.withColumn("_g", _grams(text)))
         # One broadcast row, at most max_features numbers.
         weights = spark.createDataFrame([(list(self.idf),)], "_idf array<double>")
         raw = F.from_json(F.to_json(F.struct(F.col("_c").alias("v"))), _COUNTS)["v"]

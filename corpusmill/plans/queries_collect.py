@@ -171,10 +171,10 @@ SELECT page_id, trim(replace(replace(replace(link, '&lt;', '<'), '&gt;', '>'), '
        'scrape:' || split_part(url, '/', 3) AS source
 FROM links WHERE trim(link) <> ''""")
 def scrape_nav_links(spark, sf):
-    found = html.scrape(table(spark, sf, "pages"), "nav a", COLLECTED_AT, keep_key=True)
+    found = html.scrape(landed.spread(table(spark, sf, "pages"), "page_id"), "nav a", COLLECTED_AT, keep_key=True)
     return found.select("page_id", "text", "source")
 
 
 @query("scrape_pages")
 def scrape_pages(spark, sf):
-    return html.scrape(table(spark, sf, "pages"), "article h1, article p, div.ad", COLLECTED_AT, keep_key=True)
+    return html.scrape(landed.spread(table(spark, sf, "pages"), "page_id"), "article h1, article p, div.ad", COLLECTED_AT, keep_key=True)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions.text import TOKEN
 from corpusmill.operators import annotate, learn, review
-from corpusmill.plans.registry import COLLECTED_AT, CORPUS, LABELLED, LEXICON, corpus, query, table
+from corpusmill.plans.registry import COLLECTED_AT, CORPUS, LABELLED, LEXICON, corpus, documents, query, table
 
 WITH = f"WITH {CORPUS}, {LABELLED}"
 PAIRS = f"""{WITH}, pairs AS (SELECT label AS ref, auto_label AS pred, count(*) AS n FROM labelled
@@ -53,7 +53,7 @@ def _table_lexicon(spark, sf):
 WITH {TABLE_LEXICON} SELECT d.doc_id, l.stem, l.polarity FROM documents d JOIN lexicon l
 ON contains(lower(d.text), l.stem)""")
 def lexicon_matches(spark, sf):
-    return annotate.lexicon_matches(table(spark, sf, "documents"), _table_lexicon(spark, sf), "doc_id")
+    return annotate.lexicon_matches(documents(spark, sf), _table_lexicon(spark, sf), "doc_id")
 
 
 @query("auto_label_table", f"""

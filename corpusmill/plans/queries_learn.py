@@ -8,7 +8,7 @@ from corpusmill.operators import annotate, learn, repair, review, tfidf
 from corpusmill.plans import curation
 from corpusmill.plans.queries_label import WITH as WITH_LABELLED
 from corpusmill.plans.queries_label import labelled
-from corpusmill.plans.registry import CORPUS, LEXICON, corpus, query, table
+from corpusmill.plans.registry import CORPUS, LEXICON, corpus, documents, query
 
 GRAMS = r"""tok AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}') AS t FROM documents),
 g AS (SELECT doc_id, unnest(list_concat(t, list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]))) AS term
@@ -22,14 +22,14 @@ vocab AS (SELECT term, CAST(sum(n) AS BIGINT) AS ctf, count(*) AS df,
 @query("tfidf_vocab", f"""WITH {GRAMS}
 SELECT term, row_number() OVER (ORDER BY term) - 1 AS idx, ctf, df, round(idf, 6) AS idf FROM vocab""")
 def tfidf_vocab(spark, sf):
-    return tfidf.vocabulary(table(spark, sf, "documents"), 5000).withColumn("idf", F.round("idf", 6))
+    return tfidf.vocabulary(documents(spark, sf), 5000).withColumn("idf", F.round("idf", 6))
 
 
 @query("tfidf", f"""WITH {GRAMS}, w AS (SELECT doc_id, term, (1.0 + ln(n)) * idf AS w FROM tf JOIN vocab USING (term)),
 norm AS (SELECT doc_id, sqrt(sum(w * w)) AS s FROM w GROUP BY doc_id)
 SELECT doc_id, term, round(w / s, 6) AS weight FROM w JOIN norm USING (doc_id)""")
 def tfidf_long(spark, sf):
-    out = tfidf.tfidf(table(spark, sf, "documents").select("doc_id", "text"), "doc_id", 5000)
+    out = tfidf.tfidf(documents(spark, sf).select("doc_id", "text"), "doc_id", 5000)
     return out.withColumn("weight", F.round("weight", 6))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import SPACE_CHARS
-from corpusmill.sources.landed import normalise
+from corpusmill.sources.landed import normalise, spread
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -30,10 +30,15 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents for work that reads every character of every text."""
+    return spread(table(spark, sf, "documents"), "doc_id")
+
+
 def corpus(spark: SparkSession, sf: str, extra=()) -> DataFrame:
     """Documents with their labels as unified records keyed by ``row_id``."""
     quality = F.col("quality")
-    raw = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left").select(
+    raw = documents(spark, sf).join(table(spark, sf, "labels"), "doc_id", "left").select(
         F.col("doc_id").alias("row_id"), "text", F.col("source").alias("_source"),
         F.when(quality == 1, "pos").when(quality == 0, "neg").alias("label"), *extra)
     return normalise(raw, "", COLLECTED_AT, keep=["row_id", "_source", *extra]).withColumn(

@@ -50,6 +50,17 @@ def read_csv_in_order(spark: SparkSession, paths, **options) -> DataFrame:
     return merge(parts, columns=None)
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """A scan with fewer partitions than cores, spread by key; any other as it is.
+
+    A few big unsplittable files would leave most cores idle in per-row text work. With
+    as many splits as cores or more, which is the normal case, no shuffle is added.
+    ``scan`` must be a plain read: asking it for its partitions then starts no job.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)
+
+
 def first_csv_below(spark: SparkSession, folder: str, max_rows: int, **options) -> DataFrame:
     """The CSV file with the smallest path anywhere under ``folder``, capped."""
     listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
