@@ -6,12 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The code points that count as whitespace when stripping and splitting.
-SPACE_CLASS = (r"\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-               r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
 SPACE_CHARS = "".join(map(chr, [
     *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680,
     *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
+# The same set as a negated class: the Unicode property is much faster than listed ranges.
+NOT_SPACE = r"(?U)[^\s\x1c\x1d\x1e\x1f]+"
 CYRILLIC_WORD = "[а-яё]{3,}"
 ANY_LETTER_WORD = r"\p{L}{3,}"
 TOKEN = r"[\p{L}\p{N}_]{2,}"
@@ -31,7 +31,7 @@ def text_length(c: Column) -> Column:
 
 
 def word_count(c: Column) -> Column:
-    return F.regexp_count(c, F.lit(f"[^{SPACE_CLASS}]+"))
+    return F.regexp_count(c, F.lit(NOT_SPACE))
 
 
 def average_word_length(c: Column) -> Column:
@@ -41,8 +41,7 @@ def average_word_length(c: Column) -> Column:
 
 def punctuation_ratio(c: Column) -> Column:
     """Share of characters that are an exclamation mark, question mark or ellipsis."""
-    marks = F.length(F.regexp_replace(c, "[^!?…]", ""))
-    return marks / F.greatest(F.length(c), F.lit(1))
+    return F.regexp_count(c, F.lit("[!?…]")) / F.greatest(F.length(c), F.lit(1))
 
 
 def letter_words(c: Column, pattern: str = CYRILLIC_WORD) -> Column:

@@ -8,7 +8,7 @@ from corpusmill.operators import align
 from corpusmill.operators.explore import histogram, text_features
 from corpusmill.operators.quality import rows_with_missing
 from corpusmill.plans.queries_quality import WORDS
-from corpusmill.plans.registry import COLLECTED_AT, query, table
+from corpusmill.plans.registry import COLLECTED_AT, documents, query, table
 
 TEXT_SQL = f"""t AS (SELECT doc_id AS id, source, '{COLLECTED_AT}' AS collected_at, length(text) AS text__text_len,
   {WORDS} AS text__word_count, round(length(text) / nullif(CAST({WORDS} AS DOUBLE), 0), 2) AS text__avg_word_len,
@@ -45,7 +45,7 @@ GROUPS = {p: [c for c in FEATURES if c.startswith(p)] for p in ("text", "judged"
 
 
 def _modalities(spark, sf):
-    docs = table(spark, sf, "documents").select(
+    docs = documents(spark, sf).select(
         F.col("doc_id").alias("id"), "text", "source", F.lit(COLLECTED_AT).alias("collected_at"))
     vectors = table(spark, sf, "embeddings")
     audio = vectors.select(F.col("vec_id").alias("id"), *[
