@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from corpusmill.functions.quantiles import values_at_ranks
 from corpusmill.schema import is_floating
 
 # Below this many rows Spark's own ordered limit (a heap per task) is the better plan.
@@ -70,26 +70,6 @@ def require_unique(df: DataFrame, key: str) -> None:
         raise ValueError(f"{key!r} must be unique and not null; offending value: {bad[0][0]!r}")
 
 
-def _kth_value(df: DataFrame, value: str, k: int, n: int):
-    """Exact k-th smallest (1-based) of ``n`` non-null integer values."""
-    accuracy = 10_000
-    lo_p, hi_p = max(0.0, (k / n) - 2 / accuracy), min(1.0, (k / n) + 2 / accuracy)
-    lo, hi = df.agg(F.percentile_approx(value, [lo_p, hi_p], accuracy)).head()[0]
-    v = F.col(value)
-    below, lowest, highest = df.agg(
-        F.count_if(v < lo), F.min(v), F.max(v)).head()
-    if lo_p == 0.0 or below >= k:
-        lo, below = lowest, 0
-    if hi_p == 1.0 or df.where(v <= hi).count() < k:
-        hi = highest
-    counts = df.where(v.between(lo, hi)).groupBy(value).count()
-    # The bracket holds about 4/accuracy of the rows; the sort spills if it must.
-    running = F.sum("count").over(
-        Window.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (counts.withColumn("_cum", running).where(F.col("_cum") >= k - below)
-                  .agg(F.min(value)).head()[0])
-
-
 def first_rows(df: DataFrame, n: int, order) -> DataFrame:
     """Exactly the first ``n`` rows by the columns in ``order``.
 
@@ -108,7 +88,7 @@ def first_rows(df: DataFrame, n: int, order) -> DataFrame:
         total = here.count()
         if total <= left:
             return df.where(keep | tied)
-        cut = _kth_value(here, name, left, total)
+        cut = values_at_ranks(here, {name: [left - 1]}, {name: total})[name][left - 1]
         keep = keep | (tied & (F.col(name) < cut))
         left -= here.where(F.col(name) < cut).count()
         tied = tied & (F.col(name) == cut)

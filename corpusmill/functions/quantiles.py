@@ -1,79 +1,168 @@
-"""Exact quantiles (linear interpolation) without sorting a table in one task."""
+"""Exact order statistics and quantiles, found with counting passes.
+
+No pass gathers a share of the table anywhere: sketches merge in many reducers, counts
+combine before the shuffle, and values are only ranked once few enough are left.
+"""
 
 from __future__ import annotations
 
-from functools import reduce
+import math
+from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ACCURACY = 10_000
+RANK_DIRECTLY = 5_000_000   # rows that may be ranked as they are (one spilling sort)
+ACCURACY = 10_000           # sketch error 1/ACCURACY
+GRID = 1_000                # quantiles read from each partial sketch
+SKETCHES = 256              # reducers, and partial sketches that reach the driver
+MARGIN = 3 / GRID           # more than grid step plus sketch error
+
+
+@dataclass
+class _Target:
+    """The value of 0-based ``rank`` among the ``n`` values of a column in an open range."""
+
+    column: str
+    rank: int
+    n: int
+    lo: object = None
+    hi: object = None
+    value: object = None
+    direct: bool = False        # rank as it is
+
+    @property
+    def range(self):
+        return self.column, self.lo, self.hi
+
+    def inside(self) -> Column:
+        x = F.col(self.column)
+        c = x.isNotNull()
+        if self.lo is not None:
+            c = c & (x > F.lit(self.lo))
+        if self.hi is not None:
+            c = c & (x < F.lit(self.hi))
+        return c
+
+
+def _brackets(df: DataFrame, targets: list[_Target]) -> list[tuple]:
+    """For each target two values that enclose its rank, from sketches of its range."""
+    ranges = list(dict.fromkeys(t.range for t in targets))
+    sample = {t.range: t for t in targets}
+    grid = F.expr("array(" + ", ".join(f"{k / GRID}D" for k in range(GRID + 1)) + ")")
+    aggs = []
+    for i, r in enumerate(ranges):
+        x = F.when(sample[r].inside(), F.col(r[0]))
+        aggs += [F.percentile_approx(x, grid, ACCURACY).alias(f"q{i}"), F.count(x).alias(f"n{i}")]
+    rows = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCHES)).alias("_part")).agg(*aggs).collect()
+    out, last = [], None
+    for t in targets:
+        if last and last.range == t.range and t.rank == last.rank + 1:
+            out.append(out[-1])                               # neighbours share a bracket
+            last = t
+            continue
+        last = t
+        i = ranges.index(t.range)
+        parts = [(r[f"q{i}"], r[f"n{i}"]) for r in rows if r[f"n{i}"]]
+        values = np.concatenate([np.asarray(q) for q, _ in parts])
+        weights = np.concatenate([np.full(len(q), n / len(q)) for q, n in parts])
+        order = np.argsort(values, kind="stable")
+        values, upto = values[order], np.cumsum(weights[order]) / sum(n for _, n in parts)
+        at = [min(np.searchsorted(upto, p), len(values) - 1)
+              for p in (t.rank / t.n - MARGIN, t.rank / t.n + MARGIN)]
+        out.append(tuple(values[k].item() for k in at))
+    return out
+
+
+def _narrow_down(df: DataFrame, targets: list[_Target]) -> None:
+    """One sketch pass and one counting pass: every target's range shrinks or ends."""
+    brackets = _brackets(df, targets)
+    aggs = []
+    for i, (t, (a, b)) in enumerate(zip(targets, brackets)):
+        x = F.when(t.inside(), F.col(t.column))
+        aggs += [F.count_if(c).alias(f"{k}{i}") for k, c in (
+            ("a", x < F.lit(a)), ("b", x <= F.lit(a)), ("c", x < F.lit(b)), ("d", x <= F.lit(b)))]
+    row = df.agg(*aggs).head()
+    for i, (t, (a, b)) in enumerate(zip(targets, brackets)):
+        below_a, upto_a, below_b, upto_b = (row[f"{k}{i}"] for k in "abcd")
+        before = t.n, t.lo, t.hi
+        if t.rank < below_a:
+            t.n, t.hi = below_a, a
+        elif t.rank < upto_a:
+            t.value = a
+        elif t.rank < below_b:
+            t.rank, t.n, t.lo, t.hi = t.rank - upto_a, below_b - upto_a, a, b
+        elif t.rank < upto_b:
+            t.value = b
+        else:
+            t.rank, t.n, t.lo = t.rank - upto_b, t.n - upto_b, b
+        # Sketches work on doubles: integers they can't tell apart are few distinct values.
+        t.direct = (t.n, t.lo, t.hi) == before
+
+
+def _rank(df: DataFrame, targets: list[_Target]) -> None:
+    """One pass: equal values combine, then running counts give every target's value."""
+    ranges = list(dict.fromkeys(t.range for t in targets))
+    sample = {t.range: t for t in targets}
+    cells = [F.when(sample[r].inside(), F.struct(F.lit(i).alias("k"), F.col(r[0]).alias("v")))
+             for i, r in enumerate(ranges)]
+    counts = (df.select(F.explode(F.array(*cells)).alias("s")).where(F.col("s").isNotNull())
+                .groupBy("s.k", "s.v").agg(F.count("*").alias("n")))
+    ranked = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("k").orderBy("v")))
+    row = ranked.agg(*[
+        F.min(F.when((F.col("k") == ranges.index(t.range)) & (F.col("upto") > t.rank), F.col("v"))).alias(f"t{i}")
+        for i, t in enumerate(targets)]).head()
+    for i, t in enumerate(targets):
+        t.value = row[f"t{i}"]
+
+
+def values_at_ranks(df: DataFrame, wanted: dict, counts: dict, narrow=()) -> dict:
+    """``{column: {0-based rank: value}}`` for ``wanted`` ``{column: ranks}``.
+
+    ``counts`` has the non-null rows per column. All columns and ranks share each pass.
+    Columns in ``narrow`` have few distinct values and are ranked directly.
+    """
+    targets = {(c, r): _Target(c, r, counts[c], direct=c in narrow) for c, ranks in wanted.items() for r in ranks}
+    while True:
+        large = [t for t in targets.values()
+                 if t.value is None and not t.direct and t.n > RANK_DIRECTLY]
+        if not large:
+            break
+        _narrow_down(df, large)
+    small = [t for t in targets.values() if t.value is None]
+    if small:
+        _rank(df, small)
+    out: dict = {c: {} for c in wanted}
+    for (c, r), t in targets.items():
+        out[c][r] = t.value
+    return out
+
 
+@dataclass(frozen=True)
+class Quantiles:
+    n: int
+    values: tuple
 
-def exact_quantiles(df: DataFrame, columns, probs, narrow=()) -> DataFrame:
-    """One row: for each column ``c`` an array ``c`` of quantiles and ``c__n`` non-nulls.
 
-    When all columns are in ``narrow`` (few distinct values: lengths, counts, rounded
-    scores) Spark's exact ``percentile`` does it, with one counter per distinct value.
+def exact_quantiles(df: DataFrame, columns, probs, narrow=()) -> dict[str, Quantiles]:
+    """Exact linearly interpolated quantiles per column; None for a column without values.
 
-    Otherwise two passes: a sketch gives two values that enclose each quantile, then
-    one aggregate counts rows. Values between quantiles collapse into a few counters
-    before the shuffle; only values inside a bracket (about 4 in 10,000 rows) stay apart
-    and are ranked.
+    An action, like ``approxQuantile``: a few numbers per column come back.
     """
-    probs = [float(p) for p in probs]
-    if all(c in narrow for c in columns):
-        return df.agg(*[a for c in columns for a in (
-            F.percentile(F.col(f"`{c}`"), F.array(*map(F.lit, probs))).alias(c),
-            F.count(F.col(f"`{c}`")).alias(f"{c}__n"))])
-    return _bracketed(df, columns, probs)
-
-
-def _bracketed(df: DataFrame, columns, probs) -> DataFrame:
-    columns = list(columns)
-    values = df.select([F.col(f"`{c}`").cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
-    lows = [max(0.0, p - 2 / ACCURACY) for p in probs]
-    highs = [min(1.0, p + 2 / ACCURACY) for p in probs]
-    sketch = values.agg(*[F.percentile_approx(f"v{i}", lows + highs, ACCURACY).alias(f"s{i}")
-                          for i in range(len(columns))])
-
-    def cell(i: int) -> Column:
-        """Column number, slot between the edges, and the value itself inside a bracket."""
-        x, edge = F.col(f"v{i}"), lambda k: F.element_at(f"s{i}", k + 1)
-        inside = reduce(lambda a, b: a | b, [
-            x.between(edge(k), edge(len(probs) + k)) for k in range(len(probs))])
-        slot = sum((F.when(edge(k) < x, 1).otherwise(0) for k in range(2 * len(probs))), F.lit(0))
-        return F.when(x.isNotNull(), F.struct(
-            F.lit(i).alias("c"), slot.alias("slot"), F.when(inside, x).alias("at"), x.alias("x")))
-
-    cells = (values.crossJoin(F.broadcast(sketch))            # sketch is one row
-                   .select(F.explode(F.array(*map(cell, range(len(columns))))).alias("s"))
-                   .where(F.col("s").isNotNull()))
-    groups = cells.groupBy("s.c", "s.slot", "s.at").agg(
-        F.count("*").alias("n"), F.min("s.x").alias("lo"), F.max("s.x").alias("hi"))
-    # Groups cover disjoint value ranges, so their largest values put them in order.
-    by_column = Window.partitionBy("c")
-    ranked = groups.select(
-        "c", "n", "lo", "hi", F.sum("n").over(by_column.orderBy("hi")).alias("upto"),
-        F.sum("n").over(by_column).alias("total"))
-    first, last = F.col("upto") - F.col("n"), F.col("upto") - 1
-
-    def value_at(rank: Column) -> Column:
-        """The value of a 0-based rank; inside a collapsed group only its ends are known."""
-        known = (F.when((rank == first) | (F.col("lo") == F.col("hi")), F.col("lo"))
-                  .when(rank == last, F.col("hi"))
-                  .otherwise(F.raise_error(F.lit("quantile fell outside its bracket"))))
-        return F.max(F.when(rank.between(first, last), known))
-
-    height = [F.lit(p) * (F.col("total") - 1) for p in probs]
-    picked = ranked.groupBy("c").agg(
-        F.max("total").alias("total"),
-        *[a for k, h in enumerate(height) for a in (
-            value_at(F.floor(h)).alias(f"a{k}"), value_at(F.ceil(h)).alias(f"b{k}"),
-            F.max(h - F.floor(h)).alias(f"t{k}"))])
-    q = F.array(*[F.col(f"a{k}") + (F.col(f"b{k}") - F.col(f"a{k}")) * F.col(f"t{k}")
-                  for k in range(len(probs))])
-    none = F.array(*[F.lit(None).cast("double")] * len(probs))
-    return picked.agg(*[a for i, c in enumerate(columns) for a in (
-        F.coalesce(F.max(F.when(F.col("c") == i, q)), none).alias(c),
-        F.coalesce(F.max(F.when(F.col("c") == i, F.col("total"))), F.lit(0)).alias(f"{c}__n"))])
+    names = {f"v{i}": c for i, c in enumerate(columns)}
+    work = df.select([F.col(f"`{c}`").cast("double").alias(v) for v, c in names.items()])
+    row = work.agg(*[F.count(v).alias(v) for v in names]).head()
+    counts = {v: row[v] for v in names}
+    height = {v: [p * (counts[v] - 1) for p in probs] for v in names if counts[v]}
+    wanted = {v: sorted({r for h in hs for r in (math.floor(h), math.ceil(h))}) for v, hs in height.items()}
+    found = values_at_ranks(work, wanted, counts, {v for v, c in names.items() if c in narrow})
+    out = {}
+    for v, c in names.items():
+        vals = [None] * len(probs)
+        if counts[v]:
+            at = found[v]
+            vals = [at[math.floor(h)] + (at[math.ceil(h)] - at[math.floor(h)]) * (h - math.floor(h))
+                    for h in height[v]]
+        out[c] = Quantiles(counts[v], tuple(vals))
+    return out

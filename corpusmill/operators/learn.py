@@ -197,9 +197,8 @@ def has_label(label: str):
 def low_confidence_pool(df: DataFrame, confidence: str = "confidence",
                         share: float = POOL_QUANTILE) -> DataFrame:
     """Rows with a confidence up to its ``share`` quantile."""
-    cut = exact_quantiles(nan_to_null(df.select(confidence)), [confidence], [share]).select(
-        F.element_at(confidence, 1).alias("_cut"))
-    return df.crossJoin(F.broadcast(cut)).where(F.col(confidence) <= F.col("_cut")).drop("_cut")
+    cut = exact_quantiles(nan_to_null(df.select(confidence)), [confidence], [share])[confidence]
+    return df.where(F.col(confidence) <= F.lit(cut.values[0]))
 
 
 def assign_roles(df: DataFrame, key: str, label: str, confidence: str | None, batch_size: int,
@@ -213,8 +212,8 @@ def assign_roles(df: DataFrame, key: str, label: str, confidence: str | None, ba
     if n_open:
         return df.withColumn("_role", F.when(has_label(label), "labeled").otherwise("pool"))
     if confidence and confidence in df.columns:
-        cut = exact_quantiles(df.select(F.col(confidence).cast("double").alias("_conf")), ["_conf"],
-                              [POOL_QUANTILE]).head()[0][0]
+        cut = exact_quantiles(nan_to_null(df.select(confidence)), [confidence],
+                              [POOL_QUANTILE])[confidence].values[0]
         c = F.col(confidence)
         return df.withColumn("_role", F.when(c <= F.lit(cut), "pool").when(c > F.lit(cut), "labeled"))
     size = min(n, max(batch_size * n_iterations, n // 4))

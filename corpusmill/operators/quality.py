@@ -97,24 +97,25 @@ def outlier_candidates(df: DataFrame, key: str | None = None) -> list[str]:
     return head + numeric_columns(df, exclude={key, TEXT_LEN})
 
 
-def fences(df: DataFrame, columns) -> DataFrame:
-    """One row with ``{c}__lower`` and ``{c}__upper``; both null where no bounds apply.
+def fences(df: DataFrame, columns) -> dict[str, tuple]:
+    """``{column: (lower, upper)}`` for columns that have bounds.
 
     No bounds: fewer than 4 values, or an interquartile range of 0.
     """
-    q = exact_quantiles(df, columns, (0.25, 0.75), narrow={TEXT_LEN})
-    out = []
-    for c in columns:
-        q1, q3 = F.element_at(f"`{c}`", 1), F.element_at(f"`{c}`", 2)
-        usable = (F.col(f"`{c}__n`") >= MIN_VALUES) & (q3 != q1)
-        out += [F.when(usable, q1 - FENCE * (q3 - q1)).alias(f"{c}__lower"),
-                F.when(usable, q3 + FENCE * (q3 - q1)).alias(f"{c}__upper")]
-    return q.select(out)
+    out = {}
+    for c, q in exact_quantiles(df, columns, (0.25, 0.75), narrow={TEXT_LEN}).items():
+        if q.n >= MIN_VALUES and q.values[0] != q.values[1]:
+            spread = q.values[1] - q.values[0]
+            out[c] = (q.values[0] - FENCE * spread, q.values[1] + FENCE * spread)
+    return out
 
 
-def outside(c: str) -> Column:
+def outside(c: str, bounds) -> Column:
     x = F.col(f"`{c}`")
-    return (x < F.col(f"`{c}__lower`")) | (x > F.col(f"`{c}__upper`"))
+    return (x < F.lit(bounds[0])) | (x > F.lit(bounds[1]))
+
+
+OUTLIER_SCHEMA = "column string, count long, lower double, upper double"
 
 
 def iqr_outliers(df: DataFrame, columns=None, key: str | None = None,
@@ -124,12 +125,11 @@ def iqr_outliers(df: DataFrame, columns=None, key: str | None = None,
     cols = list(columns) if columns else outlier_candidates(work, key)
     narrow = work.select([F.col(f"`{c}`") for c in cols])
     bounds = fences(narrow, cols)
-    row = narrow.crossJoin(F.broadcast(bounds)).agg(          # bounds is one row
-        *[F.count_if(outside(c)).alias(f"o{i}") for i, c in enumerate(cols)],
-        *[F.first(f"`{c}__{side}`").alias(f"{side}{i}")
-          for i, c in enumerate(cols) for side in ("lower", "upper")])
-    out = _stack(row, [(F.lit(c), F.col(f"o{i}"), F.round(f"lower{i}", 2), F.round(f"upper{i}", 2))
-                       for i, c in enumerate(cols)], ("column", "count", "lower", "upper"))
+    if not bounds:
+        return df.sparkSession.createDataFrame([], OUTLIER_SCHEMA)
+    row = narrow.agg(*[F.count_if(outside(c, b)).alias(f"o{i}") for i, (c, b) in enumerate(bounds.items())])
+    out = _stack(row, [(F.lit(c), F.col(f"o{i}"), F.round(F.lit(b[0]), 2), F.round(F.lit(b[1]), 2))
+                       for i, (c, b) in enumerate(bounds.items())], ("column", "count", "lower", "upper"))
     return out.where(F.col("count") > 0) if only_found else out
 
 
@@ -350,14 +350,13 @@ def describe(df: DataFrame, columns, digits: int = 1, narrow=()) -> DataFrame:
     """``(column, count, mean, std, min, q25, median, q75, max)`` with exact quartiles."""
     work = nan_to_null(df.select([F.col(f"`{c}`") for c in columns]))
     q = exact_quantiles(work, columns, (0.25, 0.5, 0.75), narrow=set(narrow))
-    q = q.select(*[F.col(f"`{c}`").alias(f"q{i}") for i, c in enumerate(columns)])
     row = work.agg(*[a for i, c in enumerate(columns) for a in (
         F.count(f"`{c}`").alias(f"n{i}"), F.avg(f"`{c}`").alias(f"mean{i}"),
         F.stddev_samp(f"`{c}`").alias(f"std{i}"), F.min(f"`{c}`").alias(f"min{i}"),
-        F.max(f"`{c}`").alias(f"max{i}"))]).crossJoin(F.broadcast(q))
+        F.max(f"`{c}`").alias(f"max{i}"))])
     r = lambda c: F.round(c.cast("double"), digits)
     return _stack(row, [
         (F.lit(c), F.col(f"n{i}"), r(F.col(f"mean{i}")), r(F.col(f"std{i}")), r(F.col(f"min{i}")),
-         r(F.col(f"q{i}")[0]), r(F.col(f"q{i}")[1]), r(F.col(f"q{i}")[2]), r(F.col(f"max{i}")))
+         *[r(F.lit(v)) for v in q[c].values], r(F.col(f"max{i}")))
         for i, c in enumerate(columns)],
         ("column", "count", "mean", "std", "min", "q25", "median", "q75", "max"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,13 +40,10 @@ def fill_missing(df: DataFrame, key: str) -> DataFrame:
     out = df.fillna({text: MISSING_TEXT}) if text else df
     if not numeric:
         return out
-    medians = exact_quantiles(df, numeric, (0.5,)).select(
-        *[F.element_at(f"`{c}`", 1).alias(f"_median{i}") for i, c in enumerate(numeric)])
-    filled = {c: F.coalesce(F.col(f"`{c}`").cast("double"), F.col(f"_median{i}"))
-              for i, c in enumerate(numeric)}
-    return (out.crossJoin(F.broadcast(medians))               # medians is one row
-               .select(*[filled[c].alias(c) if c in filled else F.col(f"`{c}`")
-                         for c in df.columns]))
+    medians = exact_quantiles(df, numeric, (0.5,))
+    return out.select(*[
+        F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(medians[c].values[0])).alias(c)
+        if c in numeric else F.col(f"`{c}`") for c in df.columns])
 
 
 def fix_missing(df: DataFrame, how: str, key: str) -> DataFrame:
@@ -75,28 +73,33 @@ def fix_outliers(df: DataFrame, how: str, key: str) -> DataFrame:
         cols = [c for c in cols if c != TEXT_LEN]
     if not cols:
         return df
-    narrow = work.select([F.col(f"`{c}`") for c in cols])
-    bounds = fences(narrow, cols)
-    if how == "zscore_drop":
-        stats = narrow.agg(*[a for i, c in enumerate(cols) for a in (
-            F.avg(f"`{c}`").alias(f"_mean{i}"), F.stddev_samp(f"`{c}`").alias(f"_std{i}"))])
-        bounds = bounds.crossJoin(F.broadcast(stats))         # both are one row
-    framed = work.crossJoin(F.broadcast(bounds))
+    # Several passes over a few numbers per row, after work that is worth doing once.
+    narrow = work.select([F.col(f"`{c}`") for c in cols]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        bounds = fences(narrow, cols)
+        if not bounds:
+            return df
+        stats = narrow.agg(*[a for i, c in enumerate(bounds) for a in (
+            F.avg(f"`{c}`").alias(f"mean{i}"), F.stddev_samp(f"`{c}`").alias(f"std{i}"))]).head() \
+            if how == "zscore_drop" else None
+    finally:
+        narrow.unpersist()
     if how == "clip_iqr":
         def clipped(c):
-            x, lo, up = F.col(f"`{c}`"), F.col(f"`{c}__lower`"), F.col(f"`{c}__upper`")
-            return F.when(x < lo, lo).when(x > up, up).otherwise(x.cast("double"))
-        return framed.select(*[clipped(c).alias(c) if c in cols else F.col(f"`{c}`")
-                               for c in df.columns])
+            x, (low, high) = F.col(f"`{c}`"), bounds[c]
+            return F.when(x < low, F.lit(low)).when(x > high, F.lit(high)).otherwise(x.cast("double"))
+        return df.select(*[clipped(c).alias(c) if c in bounds else
+                           F.col(f"`{c}`").cast("double").alias(c) if c in cols else F.col(f"`{c}`")
+                           for c in df.columns])
     keep = []
-    for i, c in enumerate(cols):
+    for i, (c, b) in enumerate(bounds.items()):
         if how == "drop":
-            out = outside(c)
+            out = outside(c, b)
         else:
-            z = (F.col(f"`{c}`") - F.col(f"_mean{i}")) / (F.col(f"_std{i}") + Z_EPSILON)
-            out = F.col(f"`{c}__lower`").isNotNull() & ~(F.abs(z) <= Z_LIMIT)
+            z = (F.col(f"`{c}`") - F.lit(stats[f"mean{i}"])) / F.lit(stats[f"std{i}"] + Z_EPSILON)
+            out = ~(F.abs(z) <= Z_LIMIT)
         keep.append(~F.coalesce(out, F.lit(False)))
-    return framed.where(reduce(lambda a, b: a & b, keep)).select(*df.columns)
+    return work.where(reduce(lambda a, b: a & b, keep)).select(*df.columns)
 
 
 def fix(df: DataFrame, strategy="balanced", key: str = "row_id") -> DataFrame:

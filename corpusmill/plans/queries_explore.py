@@ -61,9 +61,8 @@ SELECT w.part, b.bin, round(lo + b.bin * step, 4) AS lower, round(lo + (b.bin +
 FROM w CROSS JOIN (SELECT unnest(range(60)) AS bin) b LEFT JOIN c ON c.part = w.part AND c.bin = b.bin""")
 def hist_len_split(spark, sf):
     rows = quality.with_text_length(corpus(spark, sf)).select(quality.TEXT_LEN)
-    bounds = quality.fences(rows, [quality.TEXT_LEN])
-    framed = rows.crossJoin(F.broadcast(bounds))
-    return explore.split_histograms(framed, quality.TEXT_LEN, 60, quality.outside(quality.TEXT_LEN))
+    bounds = quality.fences(rows, [quality.TEXT_LEN])[quality.TEXT_LEN]
+    return explore.split_histograms(rows, quality.TEXT_LEN, 60, quality.outside(quality.TEXT_LEN, bounds))
 
 
 @query("box_by_label", f"""WITH {CORPUS}, x AS (SELECT label, length(text) AS v FROM corpus WHERE label IS NOT NULL),
