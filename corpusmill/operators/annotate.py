@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions.keys import first_per_group, small_side
+from corpusmill.functions.quantiles import exact_quantiles
 from corpusmill.functions.text import let, shorten
 from corpusmill.operators.quality import _stack, value_counts
+from corpusmill.schema import nan_to_null
 
 # Default Russian sentiment stems.
 POSITIVE_STEMS = (
@@ -128,14 +130,12 @@ def label_column(df: DataFrame, label: str = "label") -> str:
 
 def confidence_stats(df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row: mean, median and number below the threshold."""
-    per_value = df.where(F.col("confidence").isNotNull()).groupBy("confidence").agg(
-        F.count("*").alias("n"))                              # rounded, so few values
-    n = F.sum("n")
-    return per_value.agg(
-        F.round(F.try_divide(F.sum(F.col("confidence") * F.col("n")), n), 4).alias("confidence_mean"),
-        F.round(F.percentile("confidence", F.lit(0.5), F.col("n")), 4).alias("confidence_median"),
-        F.coalesce(F.sum(F.when(F.col("confidence") < threshold, F.col("n"))), F.lit(0))
-         .alias("low_confidence_n"))
+    c = F.col("confidence")
+    median = exact_quantiles(nan_to_null(df.select("confidence")), ["confidence"], [0.5])["confidence"]
+    return df.agg(
+        F.round(F.avg(c), 4).alias("confidence_mean"),
+        F.round(F.lit(median.values[0]).cast("double"), 4).alias("confidence_median"),
+        F.count_if(c < threshold).alias("low_confidence_n"))
 
 
 def contingency(df: DataFrame, reference: str, predicted: str) -> DataFrame:
