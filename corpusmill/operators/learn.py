@@ -26,6 +26,7 @@ AL_HOLDOUT, TRAIN_HOLDOUT = 0.25, 0.2
 POOL_QUANTILE = 0.3
 MIN_FOR_HOLDOUT = 40
 MAX_CLASSES = 1_000
+ROWS_PER_FIT_TASK = 5_000
 
 
 # -- splitting ---------------------------------------------------------------------
@@ -72,7 +73,8 @@ def fit_classifier(train: DataFrame, label: str, c: float = 1.0, max_iter: int =
                             regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False,
                             maxIter=max_iter, tol=tol)
     data = indexed.transform(train.select(label, features)).join(F.broadcast(weights), label)
-    model = lr.fit(data.select(features, "_y", "_weight"))
+    # Every solver step is a job: few rows in many partitions would be all scheduling.
+    model = lr.fit(data.select(features, "_y", "_weight").coalesce(n // ROWS_PER_FIT_TASK + 1))
     names = IndexToString(inputCol="prediction", outputCol="prediction_label",
                           labels=indexed.labels)
     return PipelineModel(stages=[model, names])
