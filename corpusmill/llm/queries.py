@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from corpusmill.llm import near_dedup
+from pyspark.sql import functions as F
+
+from corpusmill.llm import near_dedup, quality_filter, secrets, substring_dedup
 from corpusmill.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -32,3 +34,45 @@ LEFT JOIN (SELECT a AS doc_id, min(b) AS component FROM reach GROUP BY 1) c USIN
 @query("op1_near_dedup", SQL_NEAR)
 def op1(spark, sf):
     return near_dedup.near_duplicates(table(spark, sf, "documents"), shingle=2, percent=80)
+
+
+@query("op2_secret_scan")
+def op2(spark, sf):
+    spans = F.col("secrets")
+    base = F.filter(spans, lambda s: s["kind"] < 3)
+    counts = [_count(spans, kind).alias(f"n_{name}") for kind, name in enumerate(secrets.KINDS)]
+    return secrets.find_secrets(table(spark, sf, "documents").select("doc_id", "text")).select(
+        "doc_id", *counts, F.sha2(secrets.named_spans(base), 256).alias("base_sha256"),
+        secrets.named_spans(spans).alias("spans"))
+
+
+def _count(spans, kind):
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
+@query("op4_quality_filter")
+def op4(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return quality_filter.resample(docs, table(spark, sf, "labels")).select("doc_id", "log_weight", "score", "kept")
+
+
+SQL_SUBSTRING = rf"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM w),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM w WHERE len(w) > 12)),
+earliest AS (SELECT g, min(doc_id) AS first_doc FROM windows GROUP BY 1),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM windows JOIN earliest USING (g) WHERE first_doc < doc_id),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept, count(*) AS n
+  FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)"""
+
+
+@query("op9_substring_dedup", SQL_SUBSTRING)
+def op9(spark, sf):
+    return substring_dedup.removed_passages(table(spark, sf, "documents")).select(
+        F.col("key").alias("doc_id"), "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))

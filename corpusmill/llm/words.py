@@ -66,9 +66,13 @@ class Words:
     ends: np.ndarray
     digests: np.ndarray
     first: np.ndarray
+    row_ends: np.ndarray          # in bytes
 
-    def ngrams(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Digests of all runs of ``n`` words within a row, their start words, rows' bounds."""
+    def ngrams(self, n: int, step: np.uint64 = _STEP) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Digests of all runs of ``n`` words within a row, their start words, rows' bounds.
+
+        Another odd ``step`` gives digests that are independent of the first ones.
+        """
         counts = np.maximum(np.diff(self.first) - (n - 1), 0)
         bounds = np.concatenate([[0], np.cumsum(counts)])
         at = np.arange(bounds[-1]) + np.repeat(self.first[:-1] - bounds[:-1], counts)
@@ -76,7 +80,7 @@ class Words:
         with np.errstate(over="ignore"):
             rolled = np.zeros(whole, np.uint64)
             for j in range(n):
-                rolled *= _STEP
+                rolled *= step
                 rolled += self.digests[j:j + whole]
         return mix(rolled[at] + np.uint64(n)), at, bounds
 
@@ -129,4 +133,4 @@ def _words(rows: slice, data: np.ndarray, bounds: np.ndarray) -> Words:
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=prefix[1:])
         digests = mix((prefix[ends] - prefix[starts]) * down[starts]
                       + (ends - starts).astype(np.uint64) * _STEP)
-    return Words(rows, data, starts, ends, digests, np.searchsorted(starts, bounds))
+    return Words(rows, data, starts, ends, digests, np.searchsorted(starts, bounds), bounds[1:])
