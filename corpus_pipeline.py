@@ -2,11 +2,62 @@
 
 from __future__ import annotations
 
-STAGES = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from corpusmill.llm import near_dedup, packing, quality_filter, secrets, substring_dedup
+
+
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_filter.resample(docs, labels).where("kept").select(*[f"`{c}`" for c in docs.columns])
+
+
+def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one with the smallest id."""
+    groups = near_dedup.near_duplicates(docs)
+    return docs.join(groups.where("not kept").select("doc_id"), "doc_id", "left_anti").select(
+        *[f"`{c}`" for c in docs.columns])
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without passages that an earlier document has; ``n_chars`` follows the text."""
+    return _measured(substring_dedup.without_passages(docs))
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with their secrets masked."""
+    found = secrets.find_secrets(docs)
+    return _measured(found.withColumn("text", secrets.masked(F.col("text"), F.col("secrets"))).select(
+        *[f"`{c}`" for c in docs.columns]))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences, with their ids."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+def _measured(docs: DataFrame) -> DataFrame:
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+STAGES = [
+    ("quality classifier", good_documents),
+    ("near-duplicate removal", distinct_documents),
+    ("substring dedup", without_repeats),
+    ("secret scan", without_secrets),
+    ("packing", packed),
+]
+
+# Tokens, likelihoods and random draws are beyond SQL; tests/llm checks every stage by brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from corpusmill.llm import near_dedup, quality_filter, secrets, substring_dedup
+from corpusmill.llm import bpe, near_dedup, packing, quality_filter, secrets, substring_dedup
 from corpusmill.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -56,6 +57,19 @@ def op4(spark, sf):
     return quality_filter.resample(docs, table(spark, sf, "labels")).select("doc_id", "log_weight", "score", "kept")
 
 
+@query("op5_bpe_round_trip")
+def op5(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return bpe.encoded(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN,
+                       keep_ids=False).drop("text")
+
+
+@query("op8_packing")
+def op8(spark, sf):
+    return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                        public_tokenizers.PATTERN, ids=False)
+
+
 SQL_SUBSTRING = rf"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
 words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM w),

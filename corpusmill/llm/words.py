@@ -114,6 +114,15 @@ def word_slices(column: pa.Array, lower: bool = False) -> Iterator[Words]:
         row = end
 
 
+def digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A digest of each of the runs ``data[starts:ends]`` of bytes."""
+    up, down = _Powers.get(len(data) + 1)
+    with np.errstate(over="ignore"):
+        prefix = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=prefix[1:])
+        return mix((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _STEP)
+
+
 def _words(rows: slice, data: np.ndarray, bounds: np.ndarray) -> Words:
     n = len(data)
     solid = ~SPACE[data]
@@ -127,10 +136,4 @@ def _words(rows: slice, data: np.ndarray, bounds: np.ndarray) -> Words:
         finishes[edge] |= solid[edge]
     starts = np.flatnonzero(begins)
     ends = np.flatnonzero(finishes) + 1
-    up, down = _Powers.get(n + 1)
-    with np.errstate(over="ignore"):
-        prefix = np.zeros(n + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=prefix[1:])
-        digests = mix((prefix[ends] - prefix[starts]) * down[starts]
-                      + (ends - starts).astype(np.uint64) * _STEP)
-    return Words(rows, data, starts, ends, digests, np.searchsorted(starts, bounds), bounds[1:])
+    return Words(rows, data, starts, ends, digests(data, starts, ends), np.searchsorted(starts, bounds), bounds[1:])
