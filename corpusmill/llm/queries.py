@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, near_dedup, packing, quality_filter, secrets, substring_dedup
+from corpusmill.llm import bpe, html_text, metric_search, near_dedup, packing, quality_filter, secrets, substring_dedup
 from corpusmill.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -90,3 +90,27 @@ FROM w LEFT JOIN kept USING (doc_id)"""
 def op9(spark, sf):
     return substring_dedup.removed_passages(table(spark, sf, "documents")).select(
         F.col("key").alias("doc_id"), "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+SQL_TOP_K = """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum([q.v[i] * c.v[i] FOR i IN range(1, len(q.v) + 1)]) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scores)
+WHERE rank <= 20"""
+
+
+@query("op3_top_k", SQL_TOP_K)
+def op3(spark, sf):
+    return metric_search.top_k(table(spark, sf, "embeddings"), lambda id: id % 20 == 0)
+
+
+@query("op7_html_text")
+def op7(spark, sf):
+    return html_text.extracted(table(spark, sf, "pages")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
