@@ -5,8 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, html_text, metric_search, near_dedup, packing, quality_filter, secrets, substring_dedup
+from corpusmill.llm import (
+    bpe, edit_fingerprint, html_text, metric_search, near_dedup, packing, quality_filter, secrets, substring_dedup,
+    token_rollup)
 from corpusmill.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
+from corpusmill.llm.tables import Scratch
+from corpusmill.llm.tokens import ranks_of
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -114,3 +118,32 @@ def op3(spark, sf):
 def op7(spark, sf):
     return html_text.extracted(table(spark, sf, "pages")).select(
         "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op6_edit_fingerprint")
+def op6(spark, sf):
+    return edit_fingerprint.compared_to_next(table(spark, sf, "documents"))
+
+
+@query("op10_token_rollup")
+def op10(spark, sf):
+    """Totals after four commits: all documents; toxic ones out; trimmed texts recounted; the second again."""
+    encoders = {name: (ranks_of(public_tokenizers.path(f"{name}.tiktoken")), {}, public_tokenizers.PATTERN)
+                for name in ("byte_bpe_50k", "byte_bpe_multi_50k")}
+    scratch = Scratch(spark, "rollup")
+    trimmed, changed = F.trim("text"), F.trim("text") != F.col("text")
+    docs = table(spark, sf, "documents").select(
+        "doc_id", "source", "lang", changed.alias("changed"), token_rollup.counted(F.col("text"), encoders).alias("counts"),
+        token_rollup.counted(F.when(changed, trimmed), encoders).alias("recounts"))
+    counts = scratch.write(
+        docs.select("doc_id", "source", "lang", "changed", "recounts", F.explode("counts").alias("version", "tokens")).select(
+            "doc_id", "source", "lang", "version", "tokens",
+            F.when(F.col("changed"), F.element_at("recounts", F.col("version"))).alias("after")), "counts")
+    toxic = table(spark, sf, "labels").where("toxic = 1").select("doc_id").distinct()
+    gone, stay = (counts.join(toxic, "doc_id", how) for how in ("left_semi", "left_anti"))
+    rollup = token_rollup.Rollup(spark, f"{scratch.folder}/totals")
+    rollup.commit("1-load", token_rollup.inserts(counts))
+    rollup.commit("2-toxic", token_rollup.deletes(gone))
+    rollup.commit("3-trimmed", token_rollup.revisions(stay.where("after is not null"), "tokens", "after"))
+    rollup.commit("2-toxic", token_rollup.deletes(gone))
+    return rollup.totals()
