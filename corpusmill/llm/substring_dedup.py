@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusmill.llm.words import Words, word_slices
 
@@ -34,14 +35,20 @@ _HITS = "page long, kind int, a binary, b binary, c binary, d binary"
 
 
 def _gaps(at: np.ndarray) -> bytes:
-    """Ascending positions as differences of two bytes, or of four where needed."""
+    """Ascending positions as differences of two bytes, or of four where needed.
+
+    All low bytes come first: the high ones, nearly all zero, then compress to nothing.
+    """
     gaps = np.diff(at, prepend=0)
     width = np.uint16 if not len(gaps) or gaps.max() < 1 << 16 else np.uint32
-    return bytes([width().itemsize]) + gaps.astype(width).tobytes()
+    planes = gaps.astype(width).view(np.uint8).reshape(-1, width().itemsize)
+    return bytes([width().itemsize]) + np.ascontiguousarray(planes.T).tobytes()
 
 
 def _positions(packed: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(packed, f"u{packed[0]}", offset=1), dtype=np.int64)
+    width = packed[0]
+    planes = np.frombuffer(packed, np.uint8, offset=1).reshape(width, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(f"u{width}")[:, 0], dtype=np.int64)
 
 
 def _batches(rows: Iterator[list[pa.RecordBatch]]) -> Iterator[pa.RecordBatch]:
@@ -282,11 +289,10 @@ def _kept(window: int):
                 texts = pa.LargeStringArray.from_buffers(
                     rows, pa.py_buffer(lengths.tobytes()), pa.py_buffer(data[inside].tobytes())).cast(pa.string())
                 runs = _runs(gone, words)
-                part = batch.slice(words.rows.start, rows)
+                part = batch.slice(words.rows.start, rows).drop_columns(["marks"])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("key"), part.column("fp"), pa.array(total.astype(np.int64)),
-                     pa.array(removed.astype(np.int64)), texts, runs],
-                    ["key", "fp", "n_words", "n_removed", "kept_text", "removed"])
+                    [*part.columns, pa.array(total.astype(np.int64)), pa.array(removed.astype(np.int64)), texts, runs],
+                    [*part.schema.names, "n_words", "n_removed", "kept_text", "removed"])
     return run
 
 
@@ -306,22 +312,26 @@ def _runs(gone: np.ndarray, words: Words) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat.reshape(-1).astype(np.int64)))
 
 
-def _source(docs: DataFrame, key: str, text: str) -> DataFrame:
+def _source(docs: DataFrame, key: str, text: str, carry: list[str]) -> DataFrame:
     text = F.col(f"`{text}`").cast("string")
-    return docs.select(F.col(f"`{key}`").cast("long").alias("key"), F.xxhash64(text).alias("fp"), text.alias("text"))
+    carried = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carried")] if carry else []
+    return docs.select(F.col(f"`{key}`").cast("long").alias("key"), F.xxhash64(text).alias("fp"), text.alias("text"),
+                       *carried)
 
 
-def removed_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 13) -> DataFrame:
-    """(key, fp, n_words, n_removed, kept_text, removed) for every distinct row of (key, text).
+def removed_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 13,
+                     carry: list[str] | None = None) -> DataFrame:
+    """(key, fp, text, [carried,] n_words, n_removed, kept_text, removed) for every row.
 
     A word goes if a run of ``window`` words that covers it also starts in a document with a
     smaller key. Windows are judged on the input. ``kept_text`` has the words that stay, joined by
-    one space; ``removed`` the maximal removed runs as word positions. ``fp`` is a digest of the
-    text: rows that repeat a key are texts of one document, and rows that repeat both come out once.
+    one space; ``removed`` the maximal removed runs as word positions. ``carried`` has the columns
+    named in ``carry``. ``fp`` is a digest of the text: rows that repeat a key are texts of one
+    document, and rows that repeat both have equal results.
 
     Null texts have no words. Rows with a null key keep every word and are no earlier document.
     """
-    source = _source(docs, key, text)
+    source = _source(docs, key, text, carry or [])
     keyed = source.where("key is not null")
     block = (window + 1) // 2
     size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`").cast("string")))).first()[0] or 0
@@ -335,7 +345,15 @@ def removed_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", w
     anchors = exchanged(keyed.mapInArrow(_anchors(block, buckets), _PACKED), _met)
     anchored = keyed.join(anchors, ["key", "fp"])
     covered = exchanged(anchored.mapInArrow(_windows(window, block, buckets), _PACKED), _earlier)
-    out = "key long, fp long, n_words long, n_removed long, kept_text string, removed array<long>"
+    more = T.StructType.fromDDL("n_words long, n_removed long, kept_text string, removed array<long>")
+    out = T.StructType(source.schema.fields + more.fields)
     done = keyed.join(covered, ["key", "fp"], "left").mapInArrow(_kept(window), out)
     rest = source.where("key is null").withColumn("marks", F.lit(None).cast("binary")).mapInArrow(_kept(window), out)
     return done.unionByName(rest)
+
+
+def without_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 13) -> DataFrame:
+    """``docs`` with repeated passages cut out of ``text``; texts without one stay as they are."""
+    done = removed_passages(docs, key, text, window, docs.columns)
+    cut = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
+    return done.select(*[cut.alias(c) if c == text else F.col(f"carried.`{c}`").alias(c) for c in docs.columns])
