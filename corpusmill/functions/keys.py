@@ -9,11 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.functions.quantiles import values_at_ranks
 from corpusmill.schema import is_floating
 
-# Below this many rows Spark's own ordered limit (a heap per task) is the better plan.
-ORDERED_LIMIT_MAX = 100_000
+SORTED_KEYS = 20_000        # keys, without their rows, that one task sorts at the end of a search
+PIVOTS = 64                 # keys that a counting pass compares with
+_DIGEST, _HASH = "_row_digest", "_row_hash"
 HASH_DIGITS = 15            # hexadecimal digits of the md5 that make the 60-bit key
 BUCKET_DIGITS = 3           # leading digits that name the bucket: 4096 buckets
 
@@ -70,29 +70,73 @@ def require_unique(df: DataFrame, key: str) -> None:
         raise ValueError(f"{key!r} must be unique and not null; offending value: {bad[0][0]!r}")
 
 
-def first_rows(df: DataFrame, n: int, order) -> DataFrame:
-    """Exactly the first ``n`` rows by the columns in ``order``.
+def _literal(row, schema) -> Column:
+    return F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in schema.fields])
 
-    Small ``n``: an ordered limit. Large ``n``: find the n-th key, one column at a
-    time, and filter; ``order`` must then be integers and identify rows.
+
+def _cut(keys: DataFrame, n: int):
+    """The ``n``-th smallest row of ``keys`` and how many rows are smaller; None beyond the end.
+
+    Every pass counts the rows up to some sampled keys and goes on between two of them, until few
+    enough keys are left to be sorted. Samples only steer the passes; the result is exact.
     """
-    order = [order] if isinstance(order, str) else list(order)
+    key, schema = F.struct(*keys.columns), keys.schema
+    here, left, total = keys, n, keys.count()
+    if total < n:
+        return None
+    while total > SORTED_KEYS:
+        sample = here.sample(min(1.0, 4 * PIVOTS / total)).distinct().limit(16 * PIVOTS)
+        found = sample.orderBy(*keys.columns).collect()
+        found = found[::max(1, len(found) // PIVOTS)]
+        if not found:
+            continue
+        upto = here.agg(*[F.count_if(key <= _literal(r, schema)).alias(f"n{i}") for i, r in enumerate(found)],
+                        F.countDistinct(key).alias("kinds") if len(found) == 1 else F.lit(2).alias("kinds")).head()
+        if upto["kinds"] == 1:
+            return found[0], n - left
+        low = max((i for i in range(len(found)) if upto[f"n{i}"] < left), default=None)
+        high = min((i for i in range(len(found)) if upto[f"n{i}"] >= left), default=None)
+        before = upto[f"n{low}"] if low is not None else 0
+        size = (upto[f"n{high}"] if high is not None else total) - before
+        if high is not None and size == total and here.where(key < _literal(found[high], schema)).isEmpty():
+            return found[high], n - left                      # one key fills the range
+        if low is not None:
+            here = here.where(key > _literal(found[low], schema))
+        if high is not None:
+            here = here.where(key <= _literal(found[high], schema))
+        left, total = left - before, size
+    nearest = here.orderBy(*keys.columns).limit(left).collect()
+    return nearest[-1], n - left + nearest.index(nearest[-1])
+
+
+def first_rows(df: DataFrame, n: int | None, order) -> DataFrame:
+    """Exactly the first ``n`` rows by the columns in ``order``; all rows if ``n`` is None.
+
+    Any sortable columns; null comes first. Rows with equal keys are taken by a digest of the whole
+    row. Only keys are looked at to find the last row taken; then rows are filtered where they are.
+    """
+    if n is None:
+        return df
     if n <= 0:
         return df.limit(0)
-    if n <= ORDERED_LIMIT_MAX:
-        return df.orderBy(*order).limit(n)
-    keep, tied, left = F.lit(False), F.lit(True), n
-    narrow = df.select(*order)
-    for i, name in enumerate(order):
-        here = narrow.where(tied)
-        total = here.count()
-        if total <= left:
-            return df.where(keep | tied)
-        cut = values_at_ranks(here, {name: [left - 1]}, {name: total})[name][left - 1]
-        keep = keep | (tied & (F.col(name) < cut))
-        left -= here.where(F.col(name) < cut).count()
-        tied = tied & (F.col(name) == cut)
-    return df.where(keep | tied)
+    order = [order] if isinstance(order, str) else list(order)
+    found = _cut(df.select(*[F.col(f"`{c}`") for c in order]), n)
+    if found is None:
+        return df
+    key = F.struct(*[F.col(f"`{c}`") for c in order])
+    last = _literal(found[0], df.select(*[F.col(f"`{c}`") for c in order]).schema)
+    before, ties = df.where(key < last), df.where(key == last)
+    wanted, there = n - found[1], ties.count()
+    if there <= wanted:
+        return df.where(key <= last)
+    if order == [_DIGEST]:
+        return before.unionByName(ties.limit(wanted))          # equal rows: any of them
+    some = first_rows(ties.withColumn(_DIGEST, fingerprint_of_row(ties)), wanted, _DIGEST).drop(_DIGEST)
+    return before.unionByName(some)
+
+
+def fingerprint_of_row(df: DataFrame) -> Column:
+    return F.sha2(F.to_json(F.struct("*")), 256) if df.columns else F.lit("")
 
 
 def hash_cut(df: DataFrame, size: DataFrame, key: str, seed, by=()) -> DataFrame:
@@ -130,12 +174,8 @@ def before_cut(seed, key: str) -> Column:
 
 def seeded_sample(df: DataFrame, n: int, key: str, seed=42) -> DataFrame:
     """``n`` rows without replacement, the same ones on every run; all rows if fewer."""
-    if n <= ORDERED_LIMIT_MAX:
-        return df.orderBy(hash_key(seed, F.col(key)), key).limit(n)
-    size = df.agg(F.least(F.count("*"), F.lit(n)).cast("long").alias("_k"))
-    cut = hash_cut(df, size, key, seed)
-    return (df.crossJoin(F.broadcast(cut)).where(before_cut(seed, key))
-              .drop("_k", "_cut_hash", "_cut_key"))
+    hashed = df.withColumn(_HASH, hash_key(seed, F.col(f"`{key}`")))
+    return first_rows(hashed, n, [_HASH, key]).drop(_HASH)
 
 
 def first_per_group(df: DataFrame, n: int, by: str, order) -> DataFrame:

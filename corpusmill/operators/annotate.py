@@ -120,6 +120,11 @@ def flagged(df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return df.where(F.col("confidence") < threshold)
 
 
+def unflagged(df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """All other rows: confident ones, and those whose confidence is null or NaN."""
+    return df.where(~F.coalesce(F.col("confidence") < threshold, F.lit(False)))
+
+
 def confident(df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return df.where(F.col("confidence") >= threshold)
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.durable import written
 from corpusmill.functions.keys import (
-    ORDERED_LIMIT_MAX, before_cut, hash_cut, seeded_sample, small_side)
+    before_cut, hash_cut, seeded_sample, small_side)
 from corpusmill.functions.quantiles import exact_quantiles
 from corpusmill.operators.annotate import contingency, per_label
 from corpusmill.operators.tfidf import TfidfModel
@@ -233,8 +233,6 @@ def run_cycle(df: DataFrame, key: str, label: str = "label", text: str = "text",
     one on a hold-out split) and moves ``batch_size`` rows, known by key, from the pool
     to the labelled side.
     """
-    if batch_size > ORDERED_LIMIT_MAX:
-        raise ValueError(f"batch_size may be at most {ORDERED_LIMIT_MAX}")
     spark = df.sparkSession
     roles = assign_roles(df, key, label, confidence, batch_size, n_iterations, seed)
     vectoriser = TfidfModel.fit(roles.where(F.col("_role").isNotNull()), max_features, text)

@@ -13,7 +13,6 @@ from corpusmill.plans.registry import COLLECTED_AT, CORPUS, UNIFIED, corpus, que
 from corpusmill.sources import collect, html, landed, sinks
 
 RECORD = T.StructType([T.StructField("text", T.StringType()), T.StructField("label", T.StringType())])
-ALL = 2 ** 31 - 1
 
 
 @query("unified_view", f"WITH {CORPUS} SELECT {UNIFIED} FROM corpus")
@@ -96,7 +95,7 @@ def paged_json(spark, sf):
     item = F.struct("text", F.col("lang").alias("label"))
     pages = _bodies(docs, F.expr("doc_id div 64 + 1").alias("page"), F.col("doc_id"), item)
     pages = pages.select("page", F.to_json(F.struct(F.struct("items").alias("data"))).alias("payload"))
-    return landed.paged_records(pages, RECORD, ALL, page_size=64, path="data.items")
+    return landed.paged_records(pages, RECORD, page_size=64, path="data.items")
 
 
 @query("paged_json_stop", """
@@ -109,7 +108,7 @@ def paged_json_stop(spark, sf):
     turns = table(spark, sf, "conversations")
     item = F.struct("text", F.col("role").alias("label"))
     pages = _bodies(turns, (F.col("conv_id") + 1).alias("page"), F.col("turn"), item)
-    return landed.paged_records(pages.select("page", F.to_json("items").alias("payload")), RECORD, ALL,
+    return landed.paged_records(pages.select("page", F.to_json("items").alias("payload")), RECORD,
                                 page_size=3)
 
 
@@ -133,7 +132,7 @@ def envelope_rows(spark, sf):
     batches = _bodies(table(spark, sf, "documents"), F.expr("doc_id div 100 * 100").alias("offset"),
                       F.col("doc_id"), item)
     batches = batches.select("offset", F.to_json(F.struct(F.col("items").alias("rows"))).alias("payload"))
-    return landed.envelope_rows(batches, RECORD, ALL)
+    return landed.envelope_rows(batches, RECORD)
 
 
 @query("landed_csv", f"WITH {CORPUS} SELECT row_id, text, label, source FROM corpus")

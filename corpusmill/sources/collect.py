@@ -44,12 +44,13 @@ def load(spark: SparkSession, spec: dict, collected_at: str) -> DataFrame:
     """One landed source as unified records.
 
     ``path``/``paths`` name landed CSV files, a table of JSON bodies (``page`` or
-    ``offset``, and ``payload``) or a table of pages (``page_id, url, html``).
+    ``offset``, and ``payload``) or a table of pages (``page_id, url, html``). ``max_rows`` caps
+    the rows of the source; without it all rows are read.
     """
     kind = kind_of(spec)
     if kind == "scrape":
         return scrape(spark.read.parquet(spec["path"]), spec.get("selector", "body"), collected_at)
-    cap = int(spec.get("max_rows", 1000))
+    cap = int(spec["max_rows"]) if spec.get("max_rows") is not None else None
     text = spec.get("text_column" if kind == "hub_csv" else "text_field", "text")
     label = spec.get("label_column" if kind == "hub_csv" else "label_field", "label")
     name = spec.get("name", spec.get("path"))
@@ -66,7 +67,7 @@ def load(spark: SparkSession, spec: dict, collected_at: str) -> DataFrame:
     else:
         bodies, order = spark.read.parquet(spec["path"]), ["offset", "pos"]
         allowed = spec.get("label_allow")
-        reach = landed.ALLOW_LOOKAHEAD * cap if allowed else cap
+        reach = landed.ALLOW_LOOKAHEAD * cap if allowed and cap is not None else cap
         rows = landed.envelope_rows(bodies, _record(text, label), reach)
         if allowed:
             rows = landed.allow_listed(rows, label, allowed, cap, order)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusmill.functions.keys import first_rows, seeded_sample
+from corpusmill.functions.keys import first_rows
 from corpusmill.functions.text import blank_to_null
 from corpusmill.schema import UNIFIED_COLUMNS, UNIFIED_SCHEMA
 
@@ -25,6 +25,7 @@ CSV_MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-n
 SPLIT_NAMES = ("train", "test", "validation", "unsupervised")
 
 ENVELOPE_BATCH = 100
+STRICT = {"mode": "FAILFAST"}
 ALLOW_LOOKAHEAD = 8
 
 
@@ -61,7 +62,7 @@ def spread(scan: DataFrame, key: str) -> DataFrame:
     return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)
 
 
-def first_csv_below(spark: SparkSession, folder: str, max_rows: int, **options) -> DataFrame:
+def first_csv_below(spark: SparkSession, folder: str, max_rows: int | None = None, **options) -> DataFrame:
     """The CSV file with the smallest path anywhere under ``folder``, capped."""
     listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
                    .option("pathGlobFilter", "*.csv").load(folder).select("path"))
@@ -72,14 +73,14 @@ def first_csv_below(spark: SparkSession, folder: str, max_rows: int, **options)
         "file_no", "row_no")
 
 
-def capped_concat(df: DataFrame, max_rows: int, file_no="file_no", row_no="row_no") -> DataFrame:
+def capped_concat(df: DataFrame, max_rows: int | None, file_no="file_no", row_no="row_no") -> DataFrame:
     """One cap over many files taken in order: later files fill what earlier ones leave."""
     return first_rows(df, max_rows, [file_no, row_no])
 
 
-def allow_listed(df: DataFrame, label: str, allowed, max_rows: int, order) -> DataFrame:
-    """First ``max_rows`` rows with an allowed label among the first 8 * ``max_rows``."""
-    seen = first_rows(df, ALLOW_LOOKAHEAD * max_rows, order)
+def allow_listed(df: DataFrame, label: str, allowed, max_rows: int | None, order) -> DataFrame:
+    """First ``max_rows`` rows with an allowed label among the first 8 * ``max_rows``, if given."""
+    seen = df if max_rows is None else first_rows(df, ALLOW_LOOKAHEAD * max_rows, order)
     kept = seen.where(F.col(label).cast("string").isin([str(a) for a in allowed]))
     return first_rows(kept, max_rows, order)
 
@@ -101,20 +102,20 @@ def take_split(df: DataFrame, spec: str, order, split: str = "split") -> DataFra
 def json_records(payload: Column, record: T.StructType, path: str | None = None) -> Column:
     """Array of records in a JSON body: a list as it is, one object as a list of one.
 
-    ``path`` is dotted. Any other root is an error.
+    ``path`` is dotted. Any other root, a missing body and malformed JSON are errors.
     """
     body = F.get_json_object(payload, "$." + path) if path else F.ltrim(payload)
-    return (F.when(body.startswith("["), F.from_json(body, T.ArrayType(record)))
-             .when(body.startswith("{"), F.array(F.from_json(body, record)))
+    return (F.when(body.startswith("["), F.from_json(body, T.ArrayType(record), STRICT))
+             .when(body.startswith("{"), F.array(F.from_json(body, record, STRICT)))
              .otherwise(F.raise_error(F.lit("JSON root must be a list or an object"))))
 
 
-def paged_records(pages: DataFrame, record: T.StructType, max_rows: int,
+def paged_records(pages: DataFrame, record: T.StructType, max_rows: int | None = None,
                   page_size: int | None = None, path: str | None = None) -> DataFrame:
     """Records of landed ``(page, payload)`` rows, as a pager would have read them.
 
     Reading stops at an empty page, after a page shorter than ``page_size``, or at the
-    cap. Returns ``page``, ``pos`` and the record fields.
+    cap, if there is one. Returns ``page``, ``pos`` and the record fields.
     """
     parsed = pages.select("page", json_records(F.col("payload"), record, path).alias("records"))
     short = F.size("records") < (page_size or 1)
@@ -125,16 +126,19 @@ def paged_records(pages: DataFrame, record: T.StructType, max_rows: int,
     return first_rows(rows.select("page", "pos", "record.*"), max_rows, ["page", "pos"])
 
 
-def envelope_rows(batches: DataFrame, record: T.StructType, max_rows: int) -> DataFrame:
+def envelope_rows(batches: DataFrame, record: T.StructType, max_rows: int | None = None) -> DataFrame:
     """Rows of landed ``(offset, payload)`` batches ``{"rows": [{"row": {...}}]}``.
 
     The ``row`` key is unwrapped where present. A batch that is empty or shorter than
-    asked for ends the scan. Returns ``offset``, ``pos`` and the record fields.
+    asked for ends the scan; a malformed or missing body is an error. Returns ``offset``, ``pos`` and the record fields.
     """
     item = T.StructType([T.StructField("row", record), *record.fields])
     body = T.StructType([T.StructField("rows", T.ArrayType(item))])
-    parsed = batches.select("offset", F.from_json("payload", body)["rows"].alias("rows"))
-    asked = F.least(F.lit(ENVELOPE_BATCH), F.lit(max_rows) - F.col("offset"))
+    payload = F.coalesce("payload", F.raise_error(F.lit("a batch has no body")).cast("string"))
+    parsed = batches.select("offset", F.from_json(payload, body, STRICT)["rows"].alias("rows"))
+    asked = F.lit(ENVELOPE_BATCH)
+    if max_rows is not None:
+        asked = F.least(asked, F.lit(max_rows) - F.col("offset"))
     n = F.coalesce(F.size("rows"), F.lit(0))
     stop = parsed.agg(F.min(F.when(n < asked, F.col("offset"))).alias("_stop"))
     read = parsed.crossJoin(F.broadcast(stop)).where(
@@ -181,11 +185,6 @@ def merge(frames, columns=UNIFIED_COLUMNS, spark: SparkSession | None = None) ->
         F.col(c) if c in out.columns else F.lit(None).cast("string").alias(c) for c in columns])
 
 
-def sampled(df: DataFrame, max_rows: int | None, key: str, seed: int = 42) -> DataFrame:
-    """All rows, or a seeded sample of ``max_rows`` when there are more."""
-    return df if not max_rows else seeded_sample(df, max_rows, key, seed)
-
-
 def sequential_id(df: DataFrame, key: str, name: str = "id") -> DataFrame:
     """``item_0000``, ``item_0001``, ... in key order.
 

@@ -71,17 +71,33 @@ def test_first_rows_by_threshold_equals_limit(spark, monkeypatch, n):
     rnd = random.Random(n)
     rows = [(rnd.randint(0, 3), i) for i in range(500)]
     df = spark.createDataFrame(rows, "f int, r int").repartition(5)
-    monkeypatch.setattr(keys, "ORDERED_LIMIT_MAX", 0)
+    monkeypatch.setattr(keys, "SORTED_KEYS", 20)
+    monkeypatch.setattr(keys, "PIVOTS", 4)
     got = sorted(map(tuple, keys.first_rows(df, n, ["f", "r"]).collect()))
     assert got == sorted(rows)[:n]
 
 
+@pytest.mark.parametrize("sorted_keys", [1, 1000])
+def test_first_rows_with_repeated_null_and_string_keys(spark, monkeypatch, sorted_keys):
+    monkeypatch.setattr(keys, "SORTED_KEYS", sorted_keys)
+    numbers = spark.createDataFrame([(k, t) for k in (1, 1, 1, 2, None) for t in ("x",)], "k int, t string")
+    assert sorted((r.k or 0 for r in keys.first_rows(numbers, 2, "k").collect())) == [0, 1]
+    assert keys.first_rows(numbers, 4, "k").count() == 4 and keys.first_rows(numbers, 9, "k").count() == 5
+    assert keys.first_rows(numbers, 0, "k").count() == 0 and keys.first_rows(numbers, None, "k").count() == 5
+    words = spark.createDataFrame([(w, i) for i in range(40) for w in (None, "b", "a", "é", "z")], "w string, i int")
+    got = keys.first_rows(words.repartition(7), 53, ["w", "i"]).collect()
+    assert sorted((r.w or "", r.i) for r in got) == sorted([("", i) for i in range(40)] + [("a", i) for i in range(13)])
+    tied = [(r.w, r.i) for r in keys.first_rows(words, 53, "w").collect()]
+    assert len(tied) == 53 and sum(w is None for w, _ in tied) == 40
+    assert sorted(tied, key=str) == sorted(((r.w, r.i) for r in keys.first_rows(words.repartition(3), 53, "w").collect()), key=str)
+
+
 @pytest.mark.parametrize("n", [1, 37, 400, 1000])
 def test_seeded_sample_paths_agree(spark, monkeypatch, n):
     df = spark.range(400).repartition(6)
     want = sorted(range(400), key=lambda i: (hashlib.md5(f"42:{i}".encode()).hexdigest()[:15], i))[:n]
     assert sorted(r.id for r in keys.seeded_sample(df, n, "id").collect()) == sorted(want)
-    monkeypatch.setattr(keys, "ORDERED_LIMIT_MAX", 0)
+    monkeypatch.setattr(keys, "SORTED_KEYS", 20)
     assert sorted(r.id for r in keys.seeded_sample(df, n, "id").collect()) == sorted(want)
 
 

@@ -134,3 +134,13 @@ def test_class_report_zero_division(spark):
            for r in learn.class_report(df, "label", "auto_label").collect()}
     assert got == {"a": (1.0, 0.5, 0.6667, 2), "b": (0.0, 0.0, 0.0, 0)}
     assert learn.scores(df, "label", "auto_label") == {"accuracy": 0.5, "f1_macro": 0.3333}
+
+
+def test_review_keeps_rows_without_confidence_and_one_row_per_key(spark):
+    rows = [(1, "a", "pos", "neg", 0.1), (2, "b", "pos", "pos", None), (3, "c", "neg", "neg", float("nan")), (4, "d", "neg", "pos", 0.9)]
+    df = spark.createDataFrame(rows, "row_id int, text string, label string, auto_label string, confidence double")
+    twice = spark.createDataFrame([(1, "pos"), (1, "neutral")], "row_id int, auto_label string")
+    out = {r.row_id: (r.auto_label, r.human_reviewed) for r in review.merge_review(df, twice, "row_id", promote=False).collect()}
+    assert out == {1: ("pos", True), 2: ("pos", None), 3: ("neg", None), 4: ("pos", None)}
+    with pytest.raises(ValueError, match="unique"):
+        review.merge_review(df, twice, "row_id", check=True)

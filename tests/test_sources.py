@@ -100,6 +100,22 @@ def test_envelopes(spark):
     assert landed.envelope_rows(df, RECORD, 105).count() == 105
 
 
+def test_malformed_bodies_are_errors(spark):
+    good = json.dumps([{"text": "a", "label": "l"}] * 3)
+    cut = spark.createDataFrame([(1, good), (2, good[:-9]), (3, good)], "page int, payload string")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        landed.paged_records(cut, RECORD, None, 3).collect()
+    body = json.dumps({"rows": [{"row": {"text": "a", "label": "l"}}] * 100})
+    for bad in (body[:-20], None):
+        batches = spark.createDataFrame([(0, body), (100, bad), (200, body)], "offset int, payload string")
+        with pytest.raises(Exception, match="(?i)malformed|no body"):
+            landed.envelope_rows(batches, RECORD).collect()
+
+
+def test_no_cap(spark):
+    assert landed.paged_records(pages(spark, [3, 3, 3]), RECORD, page_size=3, path="d.r").count() == 9
+
+
 def test_sequential_ids(spark):
     df = spark.createDataFrame([(i * 7, f"v{i}") for i in range(500)], "k long, v string").repartition(5)
     got = landed.sequential_id(df, "k").orderBy("k").collect()
