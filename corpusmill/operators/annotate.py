@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.functions.keys import first_per_group, small_side
+from corpusmill.functions.keys import first_per_group
 from corpusmill.functions.quantiles import exact_quantiles
 from corpusmill.functions.text import let, shorten
 from corpusmill.operators.quality import _stack, value_counts
@@ -36,8 +37,10 @@ NO_SIGNAL_CONFIDENCE = 0.51
 NO_SIGNAL_LENGTH = 300
 THRESHOLD = 0.55
 
+BROADCAST_STEMS, BROADCAST_CHARS = 20_000, 1_000_000       # of a lexicon that every task gets
+
+MODEL_VERSION = "lexicon-v1"
 # Fixed values of the labelling-task format.
-MODEL_VERSION = "AnnotationAgent-v1"
 FROM_NAME, TO_NAME, RESULT_TYPE = "sentiment", "text", "choices"
 
 
@@ -56,8 +59,7 @@ def _with_decision(df: DataFrame, hits: Column, text: str, labelled_at: str | No
             F.round(CONFIDENCE_FLOOR + F.try_divide(best, total) * CONFIDENCE_SPAN, 4))
         return F.struct(label.alias("label"), confidence.alias("confidence"))
 
-    at = F.lit(labelled_at) if labelled_at else F.date_format(
-        F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    at = F.lit(labelled_at or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f"))
     return (df.select("*", let(hits, decide).alias("_decision"))
               .select(*df.columns, F.col("_decision.label").alias("auto_label"),
                       F.col("_decision.confidence").alias("confidence"), at.alias("auto_label_at")))
@@ -85,22 +87,26 @@ def auto_label(df: DataFrame, lexicon: dict | None = None, text: str = "text",
 def lexicon_matches(df: DataFrame, lexicon: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``(key, stem, polarity)`` for every table stem contained in a row's text.
 
-    An equi-join instead of texts times stems: stems are indexed by their first
-    characters (as many as the shortest stem has) and every position of a text looks
-    up its own, then the rest of the stem is compared.
+    A lexicon of up to ``BROADCAST_STEMS`` stems and ``BROADCAST_CHARS`` characters is sent to every
+    task as one array and looked up where the text is. A larger one is joined on the whole
+    stem: a text offers its runs of each length that a stem has, so no key is shared by
+    different stems.
     """
     stems = (lexicon.select(F.lower("stem").alias("stem"), "polarity")
                     .where(F.length("stem") > 0).distinct())
-    lead, longest = stems.agg(F.min(F.length("stem")), F.max(F.length("stem"))).head()
-    if lead is None:
-        return df.select(F.col(key)).limit(0).crossJoin(stems.limit(0))
-    stems = small_side(stems.withColumn("_lead", F.left("stem", F.lit(lead))))
-    windows = F.regexp_extract_all(
-        _lowered(text), F.lit(f"(?s)(?=(.{{{lead},{longest}}}))"), F.lit(1))
-    spots = df.select(key, F.explode_outer(F.array_distinct(windows)).alias("_at"))
-    return (spots.withColumn("_lead", F.left("_at", F.lit(lead)))
-                 .join(stems, "_lead").where(F.startswith("_at", "stem"))
-                 .select(key, "stem", "polarity").distinct())
+    size = stems.agg(F.count("*").alias("n"), F.sum(F.length("stem")).alias("chars"),
+                     F.sort_array(F.collect_set(F.length("stem"))).alias("lengths")).head()
+    body = _lowered(text)
+    if size["n"] <= BROADCAST_STEMS and (size["chars"] or 0) <= BROADCAST_CHARS:
+        every = stems.agg(F.collect_list(F.struct("stem", "polarity")).alias("_stems"))
+        inside = F.filter("_stems", lambda s: F.contains(F.col("_body"), s["stem"]))
+        found = df.select(key, body.alias("_body")).crossJoin(F.broadcast(every)).select(
+            key, F.explode(inside).alias("_s"))
+        return found.select(key, "_s.stem", "_s.polarity").distinct()
+    runs = F.array_distinct(F.flatten(F.array(*[
+        F.regexp_extract_all(body, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in size["lengths"]])))
+    return (df.select(key, F.explode(runs).alias("stem")).join(stems, "stem")
+              .select(key, "stem", "polarity").distinct())
 
 
 def auto_label_from_table(df: DataFrame, lexicon: DataFrame, key: str, text: str = "text",
@@ -287,7 +293,7 @@ def _uuid_of(salt: str, key: str) -> Column:
 
 
 def tasks(df: DataFrame, key: str, text: str = "text", threshold: float = THRESHOLD,
-          flagged_only: bool = False) -> DataFrame:
+          flagged_only: bool = False, model_version: str = MODEL_VERSION) -> DataFrame:
     """One labelling task per row: ``id``, ``data``, ``meta``, ``predictions``.
 
     Absent source, confidence or label simply leave their fields null, which JSON
@@ -308,7 +314,7 @@ def tasks(df: DataFrame, key: str, text: str = "text", threshold: float = THRESH
             _uuid_of("result", key).alias("id"), F.lit(RESULT_TYPE).alias("type"),
             F.struct(F.array(F.col("auto_label").cast("string")).alias("choices")).alias("value"),
             F.lit(FROM_NAME).alias("from_name"), F.lit(TO_NAME).alias("to_name"))
-        prediction = F.struct(F.lit(MODEL_VERSION).alias("model_version"), score.alias("score"),
+        prediction = F.struct(F.lit(model_version).alias("model_version"), score.alias("score"),
                               F.array(result).alias("result"))
         cols.append(F.when(F.col("auto_label").isNotNull(), F.array(prediction)).alias("predictions"))
     return rows.select(cols)

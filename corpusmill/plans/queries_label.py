@@ -38,15 +38,14 @@ def auto_label_default(spark, sf):
 
 
 TABLE_LEXICON = r"""lexicon AS (SELECT DISTINCT stem, CASE WHEN length(stem) % 2 = 0 THEN 'pos' ELSE 'neg' END AS polarity
-  FROM (SELECT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')) AS stem FROM benchmark)
-  WHERE length(stem) >= 9)"""
+  FROM (SELECT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')) AS stem FROM benchmark))"""
 
 
 def _table_lexicon(spark, sf):
     words = table(spark, sf, "benchmark").select(
         F.explode(F.regexp_extract_all(F.lower("text"), F.lit(TOKEN), F.lit(0))).alias("stem"))
     polarity = F.when(F.length("stem") % 2 == 0, "pos").otherwise("neg")
-    return words.where(F.length("stem") >= 9).select("stem", polarity.alias("polarity")).distinct()
+    return words.select("stem", polarity.alias("polarity")).distinct()
 
 
 @query("lexicon_matches", f"""
@@ -183,7 +182,7 @@ def _uuid_sql(salt):
 def _task_sql(where=""):
     return f"""{WITH}
 SELECT {_uuid_sql('task')} AS id, coalesce(text, '') AS text, source, collected_at, confidence,
-  confidence < 0.55 AS flagged, 'AnnotationAgent-v1' AS model_version, confidence AS score,
+  confidence < 0.55 AS flagged, 'lexicon-v1' AS model_version, confidence AS score,
   {_uuid_sql('result')} AS result_id, 'choices' AS type, auto_label AS choice, 'sentiment' AS from_name, 'text' AS to_name
 FROM labelled {where}"""
 

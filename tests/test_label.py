@@ -1,6 +1,7 @@
 """Lexicon labels, agreement, examples, tasks and review."""
 
 import json
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -128,6 +129,28 @@ def test_partial_and_unknown_corrections(spark):
         review.merge_review(df, some.withColumn("row_id", F.lit(77)), "row_id", check=True)
 
 
+@pytest.mark.parametrize("bound", [0, 20_000])
+def test_lexicon_table_of_any_size(spark, monkeypatch, bound):
+    monkeypatch.setattr(annotate, "BROADCAST_STEMS", bound)
+    texts = ["", None, "abc", "Abcabc é\nabcdefghijklmnopqrst uvw", "x" * 40, "caféx a"]
+    stems = ["a", "b", "ab", "abc", "cab", "é", "fé", "c\na", "abcdefghijklmnopqrst", "zz", "xxx", "x" * 20, "é\nab", ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "row_id int, text string")
+    lex = spark.createDataFrame([(s, "pos" if len(s) % 2 else "neg") for s in stems], "stem string, polarity string")
+    got = sorted((r.row_id, r.stem) for r in annotate.lexicon_matches(df, lex, "row_id").collect())
+    assert got == sorted((i, s) for i, t in enumerate(texts) for s in stems if s and s in (t or "").lower())
+
+
+def test_labelling_time_is_utc_whatever_the_session(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        at = annotate.auto_label(spark.createDataFrame([("t",)], "text string")).head().auto_label_at
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    now = datetime.now(timezone.utc)
+    assert abs((now - datetime.strptime(at, "%Y-%m-%dT%H:%M:%S.%f").replace(tzinfo=timezone.utc)).total_seconds()) < 600
+
+
 def test_class_report_zero_division(spark):
     df = frame(spark, [("a", "b", .9), ("a", "a", .9)])
     got = {r.label: (r.precision, r.recall, round(r.f1, 4), r.support)
