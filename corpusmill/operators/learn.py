@@ -230,7 +230,7 @@ def run_cycle(df: DataFrame, key: str, label: str = "label", text: str = "text",
     """Uncertainty sampling: fit, pick the least certain pool rows, add them, repeat.
 
     Features are computed once and written; a round reads them, fits one model (and
-    one on a hold-out split) and moves ``batch_size`` rows, known by key, from the pool
+    one on a hold-out split) if the labelled rows have grown, and moves ``batch_size`` rows, known by key, from the pool
     to the labelled side.
     """
     spark = df.sparkSession
@@ -257,13 +257,15 @@ def run_cycle(df: DataFrame, key: str, label: str = "label", text: str = "text",
         if n_labelled < min_labeled or n_pool == 0:
             reason = "too few labelled rows" if n_pool else "the pool is empty"
             break
-        try:
-            model = fit_classifier(labelled, "_label")
-        except OneClass as exc:
-            reason = str(exc)
-            break
-        held = {"accuracy": None, "f1_macro": None}
-        if n_labelled >= MIN_FOR_HOLDOUT:
+        grown = not rounds or n_labelled > rounds[-1][1]      # picks without a label add nothing to fit
+        if grown:
+            try:
+                model = fit_classifier(labelled, "_label")
+            except OneClass as exc:
+                reason = str(exc)
+                break
+            held = {"accuracy": None, "f1_macro": None}
+        if grown and n_labelled >= MIN_FOR_HOLDOUT:
             split = stratified_split(labelled, "_label", key, AL_HOLDOUT, seed)
             try:
                 judge = fit_classifier(split.where(~F.col("is_test")), "_label")

@@ -174,6 +174,18 @@ def scrape_nav_links(spark, sf):
     return found.select("page_id", "text", "source")
 
 
-@query("scrape_pages")
+@query("scrape_pages", r"""
+WITH a AS (
+  SELECT page_id, url, regexp_extract(html, '<article>(.*?)</article>', 1, 's') AS article,
+         regexp_extract(html, '<div class="ad">(.*?)</div>', 1, 's') AS ad FROM pages),
+parts AS (
+  SELECT page_id, url, unnest(list_append(string_split_regex(article, '</?(?:h1|p)>'), ad)) AS part FROM a),
+plain AS (
+  SELECT page_id, url, replace(replace(replace(regexp_replace(regexp_replace(
+           replace(part, '<br>', ' '), '</?b>', '', 'g'), '&amp;?', '&', 'g'),
+           '&lt;', '<'), '&gt;', '>'), '&quot;', '"') AS t FROM parts)
+SELECT page_id, trim(regexp_replace(t, '\s+', ' ', 'g')) AS text, 'scrape:' || split_part(url, '/', 3) AS source
+FROM plain WHERE trim(regexp_replace(t, '\s+', ' ', 'g')) <> ''""")
 def scrape_pages(spark, sf):
-    return html.scrape(landed.spread(table(spark, sf, "pages"), "page_id"), "article h1, article p, div.ad", COLLECTED_AT, keep_key=True)
+    found = html.scrape(landed.spread(table(spark, sf, "pages"), "page_id"), "article h1, article p, div.ad", COLLECTED_AT, keep_key=True)
+    return found.select("page_id", "text", "source")

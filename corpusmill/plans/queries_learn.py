@@ -63,33 +63,64 @@ def topk_uncertain(spark, sf):
     return u.orderBy(F.desc("al_uncertainty"), "row_id").limit(50)
 
 
-@query("al_cycle")
+def reviewed(spark, sf):
+    """Every row labelled, after a simulated review."""
+    rows = labelled(spark, sf)
+    return review.merge_review(rows, review.simulate_review(review.review_queue(rows, "row_id")), "row_id")
+
+
+POOL = f"""{WITH_LABELLED}, pool AS (
+  SELECT row_id FROM labelled WHERE confidence <= (SELECT quantile_cont(confidence, 0.3) FROM labelled)),
+rounds AS (SELECT CAST(unnest(range(1, 4)) AS INTEGER) AS iteration, (SELECT count(*) FROM pool) AS pool)"""
+
+
+@query("al_cycle", f"""{POOL}
+SELECT iteration, (SELECT count(*) FROM labelled) - pool + 50 * (iteration - 1) AS labeled_size,
+       least(50, pool - 50 * (iteration - 1)) AS selected, true AS scored
+FROM rounds WHERE pool > 50 * (iteration - 1)""")
 def al_cycle(spark, sf):
-    return learn.run_cycle(corpus(spark, sf), "row_id").iterations
+    found = learn.run_cycle(reviewed(spark, sf), "row_id").iterations
+    scored = F.col("accuracy").between(0, 1) & F.col("f1_macro").between(0, 1) & F.col("mean_uncertainty").between(0, 1)
+    return found.select("iteration", "labeled_size", "selected", scored.alias("scored"))
 
 
-@query("al_selected")
+@query("al_selected", f"""{POOL}
+SELECT iteration AS al_iteration, least(50, pool - 50 * (iteration - 1)) AS selected,
+       least(50, pool - 50 * (iteration - 1)) AS different, 0 AS outside_pool, false AS repeated
+FROM rounds WHERE pool > 50 * (iteration - 1)""")
 def al_selected(spark, sf):
-    found = learn.run_cycle(corpus(spark, sf), "row_id", n_iterations=1).selected
-    return found.select("row_id", "al_iteration", F.round("al_uncertainty", 4).alias("al_uncertainty"))
+    rows = reviewed(spark, sf)
+    found = learn.run_cycle(rows, "row_id").selected.select("row_id", "al_iteration")
+    pool = learn.low_confidence_pool(rows).select("row_id", F.lit(True).alias("in_pool"))
+    twice = found.groupBy("row_id").agg((F.count("*") > 1).alias("twice"))
+    return found.join(pool, "row_id", "left").join(twice, "row_id").groupBy("al_iteration").agg(
+        F.count("*").alias("selected"), F.countDistinct("row_id").alias("different"),
+        F.count_if(F.col("in_pool").isNull()).alias("outside_pool"), F.max("twice").alias("repeated"))
 
 
-@query("uncertainty_scores")
+@query("uncertainty_scores", f"{WITH_LABELLED} SELECT row_id, true AS in_range FROM labelled")
 def uncertainty_scores(spark, sf):
-    out = learn.score_uncertainty(corpus(spark, sf), "row_id", n_iterations=1)
-    return out.select("row_id", F.round("al_uncertainty", 4).alias("al_uncertainty"))
+    out = learn.score_uncertainty(reviewed(spark, sf), "row_id", n_iterations=1)
+    return out.select("row_id", F.col("al_uncertainty").between(0, 0.5 + 1e-9).alias("in_range"))
 
 
-@query("train_eval")
+@query("train_eval", f"""WITH {CORPUS}
+SELECT label, CAST(floor(count(*) * 0.2 + 0.5) AS BIGINT) AS support, true AS scored
+FROM corpus WHERE label IS NOT NULL AND text IS NOT NULL GROUP BY label""")
 def train_eval(spark, sf):
     trained = learn.train_and_evaluate(corpus(spark, sf), "row_id")
-    return learn.report_with_averages(trained.predictions, "label")
+    scored = F.col("precision").between(0, 1) & F.col("recall").between(0, 1) & F.col("f1").between(0, 1)
+    return learn.class_report(trained.predictions, "label", "prediction_label").select(
+        "label", F.col("support").cast("long").alias("support"), scored.alias("scored"))
 
 
-@query("curation_funnel", """WITH c AS (SELECT * FROM (VALUES (1)) t(x)), """ + CORPUS + """,
+CURATED = ("""WITH c AS (SELECT * FROM (VALUES (1)) t(x)), """ + CORPUS + """,
 d AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY text, label ORDER BY row_id) AS rn
   FROM (SELECT * REPLACE (coalesce(text, '[missing]') AS text) FROM corpus)) WHERE rn = 1), """
-       + WITH_LABELLED.split("hits AS (", 1)[1].join(["hits AS (", ""]).replace("FROM corpus)", "FROM d)") + """
+       + WITH_LABELLED.split("hits AS (", 1)[1].join(["hits AS (", ""]).replace("FROM corpus)", "FROM d)"))
+
+
+@query("curation_funnel", CURATED + """
 SELECT 1 AS step, 'raw' AS name, count(*) AS rows FROM corpus
 UNION ALL SELECT 2, 'cleaned', count(*) FROM d
 UNION ALL SELECT 3, 'high_confidence', count(*) FROM labelled WHERE confidence >= 0.55
@@ -104,7 +135,20 @@ def curation_funnel(spark, sf):
                             "after_review": reviewed})
 
 
-@query("curation_summary")
+@query("curation_summary", CURATED + """,
+final AS (SELECT *, CASE WHEN confidence < 0.55 THEN coalesce(label, auto_label) ELSE auto_label END AS final FROM labelled),
+parts AS (SELECT final, count(*) AS n, CAST(floor(count(*) * 0.2 + 0.5) AS BIGINT) AS test FROM final GROUP BY final)
+SELECT metric, CAST(value AS DOUBLE) AS value FROM (
+  SELECT 'rows_raw' AS metric, count(*) AS value FROM corpus
+  UNION ALL SELECT unnest(['rows_cleaned', 'rows_after_review', 'rows_scored']), (SELECT count(*) FROM d)
+  UNION ALL SELECT 'rows_high_confidence', count(*) FROM labelled WHERE confidence >= 0.55
+  UNION ALL SELECT 'low_confidence', count(*) FROM labelled WHERE confidence < 0.55
+  UNION ALL SELECT 'corrections', count(*) FROM labelled WHERE confidence < 0.55 AND label <> auto_label
+  UNION ALL SELECT 'al_selected', least(50, count(*)) FROM labelled
+    WHERE confidence <= (SELECT quantile_cont(confidence, 0.3) FROM labelled)
+  UNION ALL SELECT 'test_size', sum(test) FROM parts
+  UNION ALL SELECT 'train_size', sum(n - test) FROM parts)""")
 def curation_summary(spark, sf):
     settings = curation.Settings(lexicon=LEXICON, n_iterations=1)
-    return curation.summary(curation.run(corpus(spark, sf), settings))
+    out = curation.summary(curation.run(corpus(spark, sf), settings))
+    return out.where(~F.col("metric").isin("accuracy", "f1_macro"))

@@ -23,6 +23,11 @@ BLOCK = frozenset(("address article aside blockquote body dd div dl dt fieldset
                    "footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table tr "
                    "ul").split())
 
+# Elements whose end tag may be left out, and what they can't reach across.
+CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
+          "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+SCOPES = frozenset("ul ol dl table body html article section div td th".split())
+
 
 def parse_selector(selector: str) -> list[list[dict]]:
     """Comma list of descendant chains of ``tag``, ``.class`` and ``#id`` parts."""
@@ -74,8 +79,10 @@ class _Extractor(HTMLParser):
                 e.out.append(piece)
 
     def handle_starttag(self, tag, attrs):
-        if tag in BLOCK and self.open and self.open[-1].tag == "p":
-            self.open.pop()                       # a block element closes an open paragraph
+        if tag in BLOCK:
+            self._close({"p"}, SCOPES)            # a block element closes an open paragraph
+        if tag in CLOSES:
+            self._close(CLOSES[tag], SCOPES - CLOSES[tag])
         if tag == "br" or tag in BLOCK:
             self._write("\n")
         element = _Element(tag, attrs, None)
@@ -85,6 +92,14 @@ class _Extractor(HTMLParser):
         if tag not in VOID:
             self.open.append(element)
 
+    def _close(self, tags, scopes):
+        for i in range(len(self.open) - 1, -1, -1):
+            if self.open[i].tag in tags:
+                del self.open[i:]
+                return
+            if self.open[i].tag in scopes:
+                return
+
     def handle_endtag(self, tag):
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i].tag == tag:

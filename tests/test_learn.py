@@ -121,6 +121,17 @@ def test_cycle_invariants(spark):
         np.mean([r.al_uncertainty for r in first]), abs=1e-4)
 
 
+def test_cycle_grows_over_labelled_rows(spark):
+    df = toy(spark)                                           # all labelled: the pool is the unsure part
+    pool = learn.low_confidence_pool(df).count()
+    out = learn.run_cycle(df, "row_id", n_iterations=3, batch_size=7)
+    rounds = out.iterations.orderBy("iteration").collect()
+    assert [(r.labeled_size, r.selected) for r in rounds] == [(120 - pool + 7 * i, 7) for i in range(3)]
+    picks = [r.row_id for r in out.selected.collect()]
+    unsure = {r.row_id for r in learn.low_confidence_pool(df).collect()}
+    assert len(set(picks)) == len(picks) == 21 and set(picks) <= unsure
+
+
 def test_cycle_without_enough_labels(spark):
     df = toy(spark).withColumn("label", F.when(F.col("row_id") < 5, F.col("label")))
     out = learn.run_cycle(df, "row_id", batch_size=9)

@@ -190,3 +190,10 @@ def test_export(spark, tmp_path):
     assert row.v == "[1.0,2.0]"
     with pytest.raises(ValueError):
         sinks.export(df, str(tmp_path / "x"), "xml")
+
+
+def test_left_out_end_tags():
+    page = "<ul><li>a<li>b<ul><li>c</ul><li>d</ul><table><tr><td>1<td>2<tr><td><p>3</table><p><b>x<p>y"
+    assert html.select_text(page, html.parse_selector("li")) == ["a", "b\nc", "c", "d"]
+    assert html.select_text(page, html.parse_selector("td")) == ["1", "2", "3"]
+    assert html.select_text(page, html.parse_selector("p")) == ["3", "x", "y"]
