@@ -30,8 +30,8 @@ from corpusmill.llm.words import mix, seeded, word_slices
 
 BRANCH = 2                   # functions that a node picks
 START_DEPTH = 3              # levels before nodes are looked at first
-MORE_DEPTH = 2               # levels between later looks
-MAX_DEPTH = 7
+MORE_DEPTH = 4               # levels to the second look
+MAX_DEPTH = START_DEPTH + MORE_DEPTH
 SMALL_NODE = 32              # members up to which a node is compared exhaustively
 FUNCTIONS = 128              # minwise functions to pick from
 SKETCH_BITS = 64
@@ -140,8 +140,8 @@ def _grow(levels: int, roots: np.ndarray | None = None):
             width = nodes.shape[1]
             flat = pa.array(np.ascontiguousarray(nodes).reshape(-1).view(np.int64))
             arrays = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * width), flat)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("sketch"), arrays],
-                                             ["id", "sketch", "nodes"])
+            about = ["id", "sketch", "n_shingles", "class"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in about), arrays], [*about, "nodes"])
     return run
 
 
@@ -181,36 +181,34 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
 
     similarity = percent / 100
     roots = seeded(77, trees_for(similarity, recall))
-    schema = "id long, sketch long, nodes array<long>"
-    entries = (vertices.select("id", "sketch", "minima").mapInArrow(_grow(START_DEPTH, roots), schema)
-               .select("id", "sketch", F.explode("nodes").alias("node")))
-    found, tested, sets = None, None, None
-    for look, depth in enumerate(range(START_DEPTH, MAX_DEPTH + 1, MORE_DEPTH)):
-        nodes = _crowded(entries, found, scratch, f"nodes{look}")
-        for part in ("stars", "small"):
-            if look and part == "stars":
-                continue
-            if part == "small" and not look:
-                nodes = _mixed(nodes, found, scratch, f"mixed{look}")
-            pairs = _stars(nodes)
-            if part == "small":
-                pairs = pairs.unionByName(_exhaustive(nodes))
-            pairs = pairs.distinct()
-            if tested is not None:
-                pairs = pairs.join(tested, ["a", "b"], "left_anti")
-            pairs = scratch.write(_alike(pairs, vertices, similarity), f"pairs{look}{part}")
-            sets = _with_sets(pairs, sets, source, vertices, shingle, scratch, f"sets{look}{part}")
-            links = _confirmed(pairs, sets, percent)
-            tested = pairs if tested is None else tested.unionByName(pairs)
-            if found is not None:
-                links = _contracted(links, found).unionByName(found.select(F.col("id").alias("a"), F.col("component").alias("b")))
-            found = components(links, scratch, f"links{look}{part}")
-        large = nodes.where(F.col("members") > SMALL_NODE)
-        if depth + MORE_DEPTH > MAX_DEPTH or large.isEmpty():
-            break
-        large = _mixed(large.select("node", "id", "sketch", "members", "low_id", "pivots"), found, scratch, f"large{look}")
-        entries = (large.select("id", "node", "sketch").join(vertices.select("id", "minima"), "id")
-                   .mapInArrow(_grow(MORE_DEPTH), schema).select("id", "sketch", F.explode("nodes").alias("node")))
+    about = ["id", "sketch", "n_shingles", "class"]
+    schema = "id long, sketch long, n_shingles long, class long, nodes array<long>"
+    entries = (vertices.withColumn("class", F.col("id")).select(*about, "minima")
+               .mapInArrow(_grow(START_DEPTH, roots), schema)
+               .select(*about, F.explode("nodes").alias("node")))
+
+    nodes = _crowded(entries, scratch, "nodes")
+    stars = scratch.write(_stars(nodes, vertices, similarity), "stars")
+    near = scratch.write(_exhaustive(nodes, similarity).join(stars, ["a", "b"], "left_anti"), "near")
+    sets = scratch.write(_sets_of(source, _ends(stars.union(near)).hint("merge"), shingle), "sets")
+    links = _confirmed(stars, sets, percent).union(_one_key(filled, classes))
+    found = components(links, scratch, "star-links")
+    near = near.join(_apart(near, found), ["a", "b"], "left_semi")
+    found = components(_grown(_confirmed(near, sets, percent), found), scratch, "near-links")
+    tested = stars.union(near)
+    large = scratch.write(_mixed(nodes.where(F.col("members") > SMALL_NODE), found), "large")
+    if not large.isEmpty():
+        # Dealt out by document: the members of a large node don't grow their branches in one task.
+        entries = scratch.write(
+            large.select(*about, "node").join(vertices.select("id", "minima"), "id").repartition(F.col("id"), F.col("node"))
+                 .mapInArrow(_grow(MORE_DEPTH), schema).select(*about, F.explode("nodes").alias("node")), "entries")
+        nodes = _crowded(entries, scratch, "more-nodes")
+        pairs = _stars(nodes, vertices, similarity).union(_exhaustive(nodes, similarity)).distinct()
+        pairs = scratch.write(_apart(pairs.join(stars.union(near), ["a", "b"], "left_anti"), found), "pairs")
+        new = scratch.write(_ends(pairs).join(sets.select("id"), "id", "left_anti"), "new")
+        if not new.isEmpty():
+            sets = sets.union(scratch.write(_sets_of(source, new, shingle), "more-sets"))
+        found = components(_grown(_confirmed(pairs, sets, percent), found), scratch, "more-links")
 
     named = vertices.select("low", "high", "id").join(found, "id", "left").select(
         "low", "high", F.coalesce("component", "id").alias("component"))
@@ -222,68 +220,86 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
                       F.col("key").eqNullSafe(component).alias("kept"))
 
 
-def _crowded(entries: DataFrame, found: DataFrame | None, scratch: Scratch, name: str) -> DataFrame:
-    """Entries of nodes with two members or more, with the node's size and pivots."""
-    pivots = [F.min(F.col("id").bitwiseXOR(F.lit(c).cast("long"))).bitwiseXOR(F.lit(c).cast("long")) for c in ORDERS]
-    stats = entries.groupBy("node").agg(
-        F.count("*").alias("members"), F.min("id").alias("low_id"), F.array_distinct(F.array(*pivots)).alias("pivots"))
-    nodes = entries.join(stats.where("members > 1 and size(pivots) > 1"), "node")
-    if found is not None:
-        return _mixed(nodes, found, scratch, name)
-    return scratch.write(nodes, name)
+def _one_key(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between the sets of rows that repeat a key."""
+    owned = rows.join(classes, ["low", "high"]).select("key", "id").where("key is not null")
+    repeated = owned.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("c")).where("a <> c")
+    return owned.join(repeated, "key").select("a", F.col("id").alias("b")).where("a <> b")
 
 
-def _mixed(nodes: DataFrame, found: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """Entries of nodes that hold several classes, with each member's class."""
-    named = nodes.drop("class").join(found.withColumnRenamed("component", "class"), "id", "left").withColumn(
-        "class", F.coalesce("class", "id"))
-    several = named.groupBy("node").agg(F.min("class").alias("c0"), F.max("class").alias("c1")).where("c0 <> c1")
-    return scratch.write(named.join(several.select("node"), "node", "left_semi"), name)
+def _crowded(entries: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """Entries of nodes that hold several classes, with the node's number of members.
 
+    A document's class is what was known when its branch was grown; classes only merge since.
+    """
+    stats = entries.groupBy("node").agg(F.count("*").alias("members"), F.min("class").alias("c0"), F.max("class").alias("c1"))
+    return scratch.write(entries.join(stats.where("c0 <> c1").select("node", "members"), "node"), name)
 
-def _ordered(a, b) -> list:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+def _classed(df: DataFrame, found: DataFrame, id: str, name: str) -> DataFrame:
+    named = df.join(found.select(F.col("id").alias(id), F.col("component").alias("_class")), id, "left")
+    return named.withColumn(name, F.coalesce("_class", id)).drop("_class")
 
 
-def _stars(nodes: DataFrame) -> DataFrame:
-    return nodes.select("id", F.explode("pivots").alias("pivot")).where("id <> pivot").select(*_ordered("id", "pivot"))
+def _mixed(nodes: DataFrame, found: DataFrame) -> DataFrame:
+    """Entries of nodes that hold several of the classes found so far, with those classes."""
+    named = _classed(nodes.drop("class"), found, "id", "class")
+    several = named.groupBy("node").agg(F.min("class").alias("c0"), F.max("class").alias("c1")).where("c0 <> c1")
+    return named.join(several.select("node"), "node", "left_semi")
 
 
-def _exhaustive(nodes: DataFrame) -> DataFrame:
-    """Pairs of different classes within the small nodes."""
-    small = nodes.where(F.col("members") <= SMALL_NODE)
-    left = small.select("node", F.col("id").alias("a"), F.col("class").alias("ca"), F.col("sketch").alias("sa"))
-    right = small.select("node", F.col("id").alias("b"), F.col("class").alias("cb"), F.col("sketch").alias("sb"))
-    apart = F.bit_count(F.col("sa").bitwiseXOR(F.col("sb")))
-    return left.join(right, "node").where("a < b and ca <> cb").where(apart <= SKETCH_BITS // 2).select("a", "b")
+def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs of different classes."""
+    return _classed(_classed(pairs, found, "a", "ca"), found, "b", "cb").where("ca <> cb").select("a", "b")
 
 
-def _alike(pairs: DataFrame, vertices: DataFrame, similarity: float) -> DataFrame:
-    """Pairs whose sizes and sketches allow a link.
+def _may_link(similarity: float, a: str, b: str):
+    """Whether the sizes and sketches of two sets allow a link.
 
     Bits of linked sets differ with probability (1 - J) / 2 at most; seven standard deviations
     above that keeps all but about one link in 10^11.
     """
     p = (1 - similarity) / 2
     most = p * SKETCH_BITS + 7 * math.sqrt(p * (1 - p) * SKETCH_BITS)
-    for side in ("a", "b"):
-        pairs = pairs.join(vertices.select(F.col("id").alias(side), F.col("sketch").alias(f"s{side}"),
-                                           F.col("n_shingles").alias(f"n{side}")), side)
-    return pairs.where(
-        (F.bit_count(F.col("sa").bitwiseXOR(F.col("sb"))) <= F.lit(most))
-        & (F.least("na", "nb") >= F.greatest("na", "nb") * (similarity - 1e-9))).select("a", "b").distinct()
-
-
-def _with_sets(pairs, sets, source, vertices, shingle, scratch, name) -> DataFrame:
-    """The full sets of all ids in ``pairs``: those known, and those of ids that are new."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    if sets is not None:
-        ids = scratch.write(ids.join(sets.select("id"), "id", "left_anti"), f"{name}-ids")
-        if ids.isEmpty():
-            return sets
+    na, nb = f"{a}.n_shingles", f"{b}.n_shingles"
+    return ((F.bit_count(F.col(f"{a}.sketch").bitwiseXOR(F.col(f"{b}.sketch"))) <= F.lit(most))
+            & (F.least(na, nb) >= F.greatest(na, nb) * (similarity - 1e-9)))
+
+
+def _pairs(a: str, b: str) -> list:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def _stars(nodes: DataFrame, vertices: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of every member with the pivots of its node, as far as sketches allow a link."""
+    def extreme(c):
+        return F.min(F.col("id").bitwiseXOR(F.lit(c).cast("long"))).bitwiseXOR(F.lit(c).cast("long"))
+    pivots = nodes.groupBy("node").agg(F.array_distinct(F.array(*map(extreme, ORDERS))).alias("p"))
+    pivots = pivots.select("node", F.explode("p").alias("id")).join(
+        vertices.select("id", "sketch", "n_shingles"), "id").alias("p")
+    n = nodes.alias("n")
+    joined = n.join(pivots, (F.col("n.node") == F.col("p.node")) & (F.col("n.id") != F.col("p.id"))
+                    & _may_link(similarity, "n", "p"))
+    return joined.select(*_pairs("n.id", "p.id")).distinct()
+
+
+def _exhaustive(nodes: DataFrame, similarity: float) -> DataFrame:
+    """All pairs within the small nodes that sketches allow."""
+    small = nodes.where(F.col("members") <= SMALL_NODE)
+    x, y = small.alias("x"), small.alias("y")
+    joined = x.join(y, (F.col("x.node") == F.col("y.node")) & (F.col("x.id") < F.col("y.id"))
+                    & _may_link(similarity, "x", "y"))
+    return joined.select(*_pairs("x.id", "y.id")).distinct()
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+
+
+def _sets_of(source: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
+    """The full sets of the documents in ``ids``."""
     texts = source.select(F.col("key").alias("id"), "text").join(ids, "id", "left_semi")
-    new = scratch.write(texts.mapInArrow(_sets(shingle), "id long, tokens array<long>"), name)
-    return new if sets is None else sets.unionByName(new)
+    return texts.mapInArrow(_sets(shingle), "id long, tokens array<long>")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -294,8 +310,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(shared * 100 >= (F.size("ta") + F.size("tb") - shared) * percent).select("a", "b")
 
 
-def _contracted(links: DataFrame, found: DataFrame) -> DataFrame:
-    """Links between classes that are known so far."""
-    for side in ("a", "b"):
-        links = links.join(found.select(F.col("id").alias(side), F.col("component").alias(f"c{side}")), side, "left")
-    return links.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+def _grown(links: DataFrame, found: DataFrame) -> DataFrame:
+    """New links between the classes found so far, together with what made the classes."""
+    named = _classed(_classed(links, found, "a", "ca"), found, "b", "cb")
+    return named.select(F.col("ca").alias("a"), F.col("cb").alias("b")).union(found.select("id", "component"))
