@@ -65,68 +65,83 @@ def found(text: Column, pattern: str, kind: int, group: int = 0, least: int = 0)
     return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(_SPAN))
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _upper_tail(z: Column) -> Column:
     """1 - Phi(z), by the classical rational approximation (error below 1e-7 of the body)."""
-    a = F.abs(z)
-    t = 1 / (1 + 0.2316419 * a)
-    poly = t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429))))
-    tail = F.exp(-a * a / 2) * 0.3989422804014327 * poly
-    return F.when(z >= 0, tail).otherwise(1 - tail)
+    def tail(z, a, t):
+        poly = t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429))))
+        above = F.exp(-a * a / 2) * 0.3989422804014327 * poly
+        return _let(above, lambda x: F.when(z >= 0, x).otherwise(1 - x))
+    return _let(z, lambda z: _let(F.abs(z), lambda a: _let(1 / (1 + 0.2316419 * a), lambda t: tail(z, a, t))))
 
 
 def randomness(token: Column) -> Column:
     """p-value of the battery for a run of token characters; small means not random."""
-    body = F.regexp_replace(token, "=+$", "")
-    alphabet = F.lit(ENCODINGS[-1][1])
-    for pattern, letters in reversed(ENCODINGS[:-1]):
-        alphabet = F.when(body.rlike(pattern), F.lit(letters)).otherwise(alphabet)
-    return _battery(F.struct(body.alias("body"), alphabet.alias("alphabet")))
+    def inferred(body):
+        alphabet = F.lit(ENCODINGS[-1][1])
+        for pattern, letters in reversed(ENCODINGS[:-1]):
+            alphabet = F.when(body.rlike(pattern), F.lit(letters)).otherwise(alphabet)
+        return _let(alphabet, lambda a: _battery(body, a))
+    return _let(F.regexp_replace(token, "=+$", ""), inferred)
 
 
-def _let(value: Column, use) -> Column:
-    """``use(value)`` with ``value`` computed once."""
-    return F.element_at(F.transform(F.array(value), use), 1)
+def _battery(body: Column, alphabet: Column) -> Column:
+    """Every value that is used more than once is bound, so that the expression stays small."""
+    places = F.filter(F.transform(F.filter(F.split(body, ""), lambda c: c != ""),
+                                  lambda c: (F.instr(alphabet, c) - 1).cast("double")), lambda x: x >= 0)
+    size = F.length(alphabet).cast("double")
+    return _let(F.struct(places.alias("at"), size.alias("size")), lambda s: _let(_uniformity(s["at"], s["size"]), lambda u: _let(
+        _runs(s["at"], s["size"]), lambda r: _let(_serial(s["at"], s["size"]), lambda c: _fisher(u, r, c)))))
+
+
+def _uniformity(at: Column, size: Column) -> Column:
+    """Chi-squared over four or eight equal parts of the alphabet (Wilson-Hilferty)."""
+    def squares(n, parts):
+        def add(total, j):
+            count = F.size(F.filter(at, lambda x: F.floor(x * parts / size) == j)).cast("double")
+            return total + F.pow(count - n / parts, F.lit(2.0))
+        return F.aggregate(F.sequence(F.lit(0), parts - 1), F.lit(0.0), add) * parts / n
 
+    def z(n, parts):
+        spread = F.lit(2.0) / (9 * (parts - 1))
+        return (F.pow(squares(n, parts) / (parts - 1), F.lit(1 / 3)) - (1 - spread)) / F.sqrt(spread)
+    return _let(F.size(at).cast("double"), lambda n: _let(
+        F.when(n < 40, 4).otherwise(8), lambda parts: _upper_tail(z(n, parts))))
 
-def _battery(run: Column) -> Column:
-    def tests(s):
-        size = F.length(s["alphabet"]).cast("double")
-        places = F.transform(F.filter(F.split(s["body"], ""), lambda c: c != ""), lambda c: (F.instr(s["alphabet"], c) - 1).cast("double"))
-        return _let(F.struct(size.alias("size"), F.filter(places, lambda x: x >= 0).alias("at")), combine)
-
-    def combine(s):
-        size, at = s["size"], s["at"]
-        n = F.size(at).cast("double")
-
-        def in_part(parts, j):
-            return lambda x: F.floor(x * parts / size) == j
-
-        # uniformity over four or eight equal parts of the alphabet
-        def chi(parts):
-            square = F.lit(0.0)
-            for j in range(parts):
-                count = F.size(F.filter(at, in_part(parts, j))).cast("double")
-                square = square + (count - n / parts) * (count - n / parts) * parts / n
-            df = parts - 1
-            z = (F.pow(square / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / (2 / (9 * df)) ** 0.5
-            return _upper_tail(z)
-        uniform = F.when(n < 40, chi(4)).otherwise(chi(8))
-        following = F.slice(at, F.lit(2), F.greatest(F.size(at) - 1, F.lit(0)))
-        leading = F.slice(at, F.lit(1), F.greatest(F.size(at) - 1, F.lit(0)))
-        pairs = F.arrays_zip(leading.alias("x"), following.alias("y"))
-        # runs above and below the middle
-        high = F.size(F.filter(at, lambda x: x >= size / 2)).cast("double")
-        turns = F.size(F.filter(pairs, lambda p: (p["x"] >= size / 2) != (p["y"] >= size / 2))).cast("double")
-        mean = 1 + 2 * high * (n - high) / n
+
+def _neighbours(at: Column) -> Column:
+    return F.filter(F.transform(at, lambda x, i: F.struct(x.alias("x"), F.get(at, i + 1).alias("y"))), lambda p: p["y"].isNotNull())
+
+
+def _two_sided(z: Column) -> Column:
+    return F.least(F.lit(1.0), 2 * _upper_tail(F.abs(z)))
+
+
+def _runs(at: Column, size: Column) -> Column:
+    """Runs above and below the middle of the alphabet."""
+    n = F.size(at).cast("double")
+    high = F.size(F.filter(at, lambda x: x >= size / 2)).cast("double")
+    turns = F.size(F.filter(_neighbours(at), lambda p: (p["x"] >= size / 2) != (p["y"] >= size / 2)))
+
+    def p(mean):
         spread = (mean - 1) * (mean - 2) / (n - 1)
-        runs = F.when(spread > 0, F.least(F.lit(1.0), 2 * _upper_tail(F.abs(turns + 1 - mean) / F.sqrt(spread)))).otherwise(F.lit(0.0))
-        # lag-one serial correlation against the uniform mean and variance
-        middle, variance = (size - 1) / 2, (size * size - 1) / 12
-        products = F.aggregate(pairs, F.lit(0.0), lambda a, p: a + (p["x"] - middle) * (p["y"] - middle))
-        serial = F.least(F.lit(1.0), 2 * _upper_tail(F.abs(products) / (variance * F.sqrt(n - 1))))
-        logs = sum((F.log(F.greatest(p, F.lit(1e-30))) for p in (uniform, runs, serial)), F.lit(0.0))
-        return F.exp(logs) * (1 - logs + logs * logs / 2)
-    return _let(run, tests)
+        return _let(spread, lambda v: F.when(v > 0, _two_sided((turns + 1 - mean) / F.sqrt(v))).otherwise(F.lit(0.0)))
+    return _let(high, lambda h: _let(1 + 2 * h * (n - h) / n, p))
+
+
+def _serial(at: Column, size: Column) -> Column:
+    """Lag-one serial correlation against the mean and variance of a uniform choice."""
+    products = F.aggregate(_neighbours(at), F.lit(0.0), lambda a, p: a + (p["x"] - (size - 1) / 2) * (p["y"] - (size - 1) / 2))
+    return _two_sided(products / ((size * size - 1) / 12 * F.sqrt(F.size(at) - 1)))
+
+
+def _fisher(*p: Column) -> Column:
+    logs = sum((F.log(F.greatest(x, F.lit(1e-30))) for x in p), F.lit(0.0))
+    return _let(logs, lambda x: F.exp(x) * (1 - x + x * x / 2))
 
 
 def _length_class(token: Column) -> Column:
