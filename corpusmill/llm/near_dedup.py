@@ -11,6 +11,8 @@ Small nodes are compared exhaustively. In a node beyond ``SMALL_NODE`` every mem
 with four members (the extremes of four orders of the ids), linked members are contracted to one
 class, and only nodes that still hold several classes grow further. A group of thousands of
 near copies thereby costs a few comparisons a member, and all pairs of it are never formed.
+Where a node is still large and holds several classes when the tree ends, all pairs of different
+classes are compared, in tiles of about ``TILE`` by ``TILE`` members.
 Every link is confirmed on the full sets; copies with equal sets are one vertex from the start.
 """
 
@@ -33,6 +35,7 @@ START_DEPTH = 3              # levels before nodes are looked at first
 MORE_DEPTH = 4               # levels to the second look
 MAX_DEPTH = START_DEPTH + MORE_DEPTH
 SMALL_NODE = 32              # members up to which a node is compared exhaustively
+TILE = 512                   # members, about, of a side of a tile
 FUNCTIONS = 128              # minwise functions to pick from
 SKETCH_BITS = 64
 ORDERS = (0, -1, 0x5555555555555555, 0x3333333333333333)     # of ids, by exclusive or
@@ -209,6 +212,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
         if not new.isEmpty():
             sets = sets.union(scratch.write(_sets_of(source, new, shingle), "more-sets"))
         found = components(_grown(_confirmed(pairs, sets, percent), found), scratch, "more-links")
+        tested = tested.union(pairs)
+        last = scratch.write(_mixed(nodes.where(F.col("members") > SMALL_NODE), found), "last")
+        if not last.isEmpty():
+            pairs = scratch.write(_tiled(last, similarity).join(tested, ["a", "b"], "left_anti"), "tile-pairs")
+            new = scratch.write(_ends(pairs).join(sets.select("id"), "id", "left_anti"), "tile-new")
+            if not new.isEmpty():
+                sets = sets.union(scratch.write(_sets_of(source, new, shingle), "tile-sets"))
+            found = components(_grown(_confirmed(pairs, sets, percent), found), scratch, "tile-links")
 
     named = vertices.select("low", "high", "id").join(found, "id", "left").select(
         "low", "high", F.coalesce("component", "id").alias("component"))
@@ -292,6 +303,35 @@ def _exhaustive(nodes: DataFrame, similarity: float) -> DataFrame:
     return joined.select(*_pairs("x.id", "y.id")).distinct()
 
 
+def _tiled(nodes: DataFrame, similarity: float) -> DataFrame:
+    """All pairs of different classes within nodes of any size that sketches allow.
+
+    Members are dealt by digest to buckets of about ``TILE``, and two buckets of a node meet in a tile.
+    A class beyond ``TILE`` members has buckets of its own, which don't meet each other.
+    """
+    counts = nodes.groupBy("node", "class").agg(F.count("*").alias("n"))
+    own = F.col("n") > TILE
+    owners = counts.groupBy("node", own.alias("big"), F.when(own, F.col("class")).otherwise(F.lit(0)).alias("owner")).agg(
+        F.ceil(F.sum("n") / TILE).cast("int").alias("buckets"))
+    others = owners.select("node", F.explode(F.transform(F.sequence(F.lit(0), F.col("buckets") - 1), lambda k: F.struct(
+        "big", "owner", k.alias("k")))).alias("other"))
+    about = ["node", "id", "class", "sketch", "n_shingles"]
+    sized = nodes.join(counts.withColumnRenamed("n", "size"), ["node", "class"]).select(
+        *about, (F.col("size") > TILE).alias("big"),
+        F.when(F.col("size") > TILE, F.col("class")).otherwise(F.lit(0)).alias("owner"))
+    mine = sized.join(owners, ["node", "big", "owner"]).select(*about, F.struct(
+        "big", "owner", F.pmod(F.xxhash64("node", "id"), F.col("buckets")).cast("int").alias("k")).alias("mine"))
+    met = mine.join(others, "node").where(
+        "not (mine.big and other.big and mine.owner = other.owner)")
+    x = met.where("mine <= other").withColumnsRenamed({"mine": "low", "other": "high"}).alias("x")
+    y = met.where("other <= mine").withColumnsRenamed({"other": "low", "mine": "high"}).alias("y")
+    joined = x.join(y, (F.col("x.node") == F.col("y.node")) & (F.col("x.low") == F.col("y.low"))
+                    & (F.col("x.high") == F.col("y.high")) & (F.col("x.class") != F.col("y.class"))
+                    & ((F.col("x.low") < F.col("x.high")) | (F.col("x.id") < F.col("y.id")))
+                    & _may_link(similarity, "x", "y"))
+    return joined.select(*_pairs("x.id", "y.id")).distinct()
+
+
 def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
 

@@ -80,6 +80,23 @@ def test_large_group_beyond_a_small_node(spark, docs):
     assert got(near_dedup.near_duplicates(docs(rows), shingle=2)) == expected(rows, 2, 80)
 
 
+def test_links_inside_a_large_node_at_the_last_look(spark, docs, monkeypatch):
+    """A family that is alike below the threshold stays in one node; its links are far from all pivots."""
+    for name, value in (("START_DEPTH", 0), ("MORE_DEPTH", 0), ("TILE", 16)):
+        monkeypatch.setattr(near_dedup, name, value, raising=False)
+    rng = random.Random(6)
+    form = [f"form{i}" for i in range(60)]
+    rows = []
+    for k in range(90):
+        own = [f"own{k}-{i}" for i in range(20)]
+        rows += [(2 * k + i, " ".join(form + own[:20 - 2 * i])) for i in range(2)]
+    rows += [(1000 + k, " ".join(f"t{i}" for i in range(80 - k % 3))) for k in range(40)]
+    rng.shuffle(rows)
+    want = expected(rows, 2, 80)
+    assert len(set(want.values())) == 91
+    assert got(near_dedup.near_duplicates(docs(rows), shingle=2)) == want
+
+
 def test_nulls_blanks_and_repeats(spark, docs):
     rows = [(1, None), (2, ""), (3, " \n "), (4, "one"), (5, "ONE"), (None, "one"), (None, "alone here"), (7, "a b c"),
             (7, "a b c"), (8, "é É"), (9, "x " * 30000)]
