@@ -6,7 +6,8 @@ digest is a sum over the pages, so it combines before the shuffle and a host wit
 all pages is no hot spot. The class of the page's own root, large and frequent, is the
 template: elements that stand once on (nearly) every page, nested by their paths. What varies
 between two of its elements is a slot. The article is the template element that holds the slot
-with most text; text that is constant throughout a host is part of the template, not of a slot.
+with most text. Text is constant if it is in the root's class, or in another large and frequent
+class and below an element of it; text that most pages share in a slot is in no such class.
 
 Menus, adverts, notices, comments and the like vary as well, so elements that say what they are
 (by tag, role, class or id) are never part of the article.
@@ -29,6 +30,7 @@ from corpusmill.functions.keys import small_side
 
 SUPPORT = 0.8                  # share of a host's pages that have a template token
 LEAST_PAGES = 5                # of a host, for a template
+LEAST_CLASS = 3                # tokens of a class that isn't the root's
 DEPTH = 24                     # elements of a path that count
 MOST_HOSTS = 20_000            # templates that are broadcast; more are joined
 
@@ -197,10 +199,12 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, paths, texts): template elements with the text below them, and constant texts' digests.
+    """(host, paths, texts): template elements with the text below them, and texts of template classes.
 
-    ``paths`` has elements that stand once on every page of the class of the root; ``texts`` are
-    the runs of text of ``SUPPORT`` of the host's pages. Both are bounded by what a page holds.
+    ``paths`` has elements that stand at most once on a page, and on ``SUPPORT`` of the host's pages;
+    ``texts`` are runs of text whose class (equal occurrence vectors) has such an element and is the
+    root's, or has ``LEAST_CLASS`` tokens. Texts come with the elements of their class, one of
+    which they must be below. Both are bounded by what a page holds.
     """
     tokens = pages.mapInArrow(_tokens, "host string, path string, text long, n long, chars long, page long")
     vector = F.sum(F.xxhash64("page", "n").bitwiseAND(F.lit((1 << 40) - 1)))
@@ -212,9 +216,19 @@ def templates(pages: DataFrame) -> DataFrame:
         F.col("pages") >= F.col("total") * SUPPORT)
     once = (F.col("n") == F.col("pages")) & F.col("path").isNotNull()
     item = F.struct(F.col("path"), F.col("chars"), F.col("pages"), F.col("vector"))
-    return frequent.groupBy("host").agg(
+    classes = frequent.groupBy("host", "vector").agg(
+        F.max("pages").alias("pages"), F.max("total").alias("total"),
+        F.count(F.when(once | F.col("path").isNull(), 1)).alias("tokens"),
         F.array_sort(F.collect_list(F.when(once, item))).alias("paths"),
         F.array_sort(F.collect_list(F.when(F.col("path").isNull(), F.col("text")))).alias("texts"))
+    elements = F.transform("paths", lambda p: p["path"])
+    root = F.exists(elements, lambda p: (F.size(F.split(p, "/")) == 2) & (F.col("pages") == F.col("total")))
+    template = root | (F.size("paths") > 0) & (F.col("tokens") >= LEAST_CLASS)
+    below = F.transform("texts", lambda t: F.struct(t.alias("text"), elements.alias("below")))
+    named = classes.select("host", F.col("paths").alias("_paths"), F.when(template, below).alias("_texts"))
+    return named.groupBy("host").agg(
+        F.array_sort(F.flatten(F.collect_list("_paths"))).alias("paths"),
+        F.array_sort(F.flatten(F.collect_list("_texts"))).alias("texts"))
 
 
 def _below(path: str, root: str) -> bool:
@@ -260,8 +274,8 @@ def article(source: str | None, paths: list | None = None, texts: list | None =
         root = _root(_text_below(blocks))
     chosen = [b for b in blocks if _below(b.path, root)] if root else blocks
     if texts:
-        constant = set(texts)
-        slots = [b for b in chosen if _digest(b.text) not in constant]
+        constant = {t["text"]: t["below"] for t in texts}
+        slots = [b for b in chosen if not any(_below(b.path, p) for p in constant.get(_digest(b.text), ()))]
         if 2 * sum(len(b.text) for b in slots) > sum(len(b.text) for b in chosen):
             chosen = slots
     return "\n".join(b.text for b in chosen)

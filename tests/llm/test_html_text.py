@@ -46,6 +46,14 @@ def test_constant_text_is_template_but_copies_are_not(spark):
     assert texts(spark, copies) == ["The same story\non every page"] * 6
 
 
+def test_passage_that_most_pages_share_stays(spark):
+    shared = "<p>A passage that most pages of this host share.</p>"
+    rows = [(i, "https://c.example/p", f"<body><article><p>Share this story</p><p>Story {i} is told here at length, and then it goes on and on.</p>"
+             f"{shared if i else ''}</article></body>") for i in range(10)]
+    story = [f"Story {i} is told here at length, and then it goes on and on." for i in range(10)]
+    assert texts(spark, rows) == [story[0]] + [f"{x}\nA passage that most pages of this host share." for x in story[1:]]
+
+
 def test_odd_pages(spark):
     rows = [(1, None, None), (2, "", ""), (3, "not a url", "plain text &lt;only"), (4, "http://x/", "<p>" + "word " * 60000),
             (5, "http://x/", "<p>unclosed <i>tags <div>and < signs</p"), (6, None, "<script>x</script>"), (7, "http://x/", "<" * 500),
