@@ -10,7 +10,9 @@ with most text. Text is constant if it is in the root's class, or in another lar
 class and below an element of it; text that most pages share in a slot is in no such class.
 
 Menus, adverts, notices, comments and the like vary as well, so elements that say what they are
-(by tag, role, class or id) are never part of the article.
+by tag or role are never part of the article. Words of a class or id say so as well, but not on
+an article or main element, on what holds one, or, where they would leave next to nothing of a host's text, on
+elements that hold most of it: a wrapper named ``has-sidebar`` is no sidebar.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ from corpusmill.functions.keys import small_side
 SUPPORT = 0.8                  # share of a host's pages that have a template token
 LEAST_PAGES = 5                # of a host, for a template
 LEAST_CLASS = 3                # tokens of a class that isn't the root's
+LEAST_LEFT = 0.1               # of the text, for words of classes and ids to hold on all elements
 DEPTH = 24                     # elements of a path that count
 MOST_HOSTS = 20_000            # templates that are broadcast; more are joined
 
@@ -65,6 +68,7 @@ class _Open:
     tag: str
     path: str
     outside: bool
+    labelled: tuple = ()
 
 
 @dataclass(slots=True)
@@ -75,24 +79,27 @@ class Block:
     text: str
     linked: int
     outside: bool
+    labelled: tuple = ()         # paths of elements around it whose class or id has a word of LABELS
 
 
 @dataclass
 class Page:
     paths: Counter = field(default_factory=Counter)
+    holders: set = field(default_factory=set)      # paths of elements that hold an article or main element
     blocks: list = field(default_factory=list)
 
 
-def _element(tag: str, attributes: str) -> tuple[str, bool]:
-    """The element's name in paths, and whether it says that it isn't part of an article."""
+def _element(tag: str, attributes: str) -> tuple[str, bool, bool]:
+    """The element's name in paths, and whether it says that it isn't part of an article: at all, and by words."""
     found = {m[1].lower(): next((x for x in m.groups()[1:] if x is not None), "")
              for m in _ATTRIBUTE.finditer(attributes)} if attributes.strip() else {}
     words = [w for name in ("class", "id") for w in re.split(r"[^a-z]+", found.get(name, "").lower()) if w]
     name = tag + ("." + ".".join(words) if words else "")
     outside = (tag in OUTSIDE or "hidden" in found or found.get("aria-hidden") == "true"
-               or found.get("role", "").lower() in ROLES or not LABELS.isdisjoint(words)
+               or found.get("role", "").lower() in ROLES
                or "display:none" in found.get("style", "").replace(" ", "").lower())
-    return name, outside and tag not in ("html", "body")
+    by_words = not LABELS.isdisjoint(words) and tag not in ("html", "body", "article", "main")
+    return name, outside and tag not in ("html", "body"), by_words
 
 
 def parsed(source: str) -> Page:
@@ -106,7 +113,7 @@ def parsed(source: str) -> Page:
             text = _SPACE.sub(" ", "".join(held)).strip()
             held.clear()
             if text:
-                page.blocks.append(Block(stack[-1].path, text, min(linked, len(text)), stack[-1].outside))
+                page.blocks.append(Block(stack[-1].path, text, min(linked, len(text)), stack[-1].outside, stack[-1].labelled))
         linked = 0
 
     def close(tags, scope=()):
@@ -151,15 +158,21 @@ def parsed(source: str) -> Page:
                 close(CLOSES[tag], SCOPES - CLOSES[tag])
         if tag in VOID or match[3].endswith("/") and tag not in BLOCK:
             continue
-        name, outside = _element(tag, match[3])
+        name, outside, by_words = _element(tag, match[3])
         above = stack[-1]
         path = above.path
         if tag in BLOCK and path.count("/") < DEPTH:
             path = f"{path}/{name}"
             page.paths[path] += 1
-        elif outside and not above.outside:
-            flush()
-        stack.append(_Open(tag, path, above.outside or outside))
+            if tag in ("article", "main") and not above.outside and not outside:
+                page.holders.update(e.path for e in stack)
+        else:
+            outside = outside or by_words
+            by_words = False
+            if outside and not above.outside:
+                flush()
+        labelled = above.labelled + (path,) if by_words else above.labelled
+        stack.append(_Open(tag, path, above.outside or outside, labelled))
         links += tag == "a"
     flush()
     return page
@@ -169,15 +182,33 @@ def _digest(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
 
 
+def _labelled_out(page: Page, least_left: float = LEAST_LEFT, share: float | None = None) -> list[Block]:
+    """Blocks that may be part of an article, as far as words of classes and ids tell.
+
+    ``share`` is the share of the host's text that the words leave, if known; else the page's counts.
+    """
+    blocks = [b for b in page.blocks if not b.outside]
+    chosen = [b for b in blocks if not b.labelled]
+    size = sum(len(b.text) - b.linked for b in blocks)
+    left = sum(len(b.text) - b.linked for b in chosen) / size if size else 1.0
+    if (left if share is None else share) >= least_left:
+        return chosen
+    held: Counter = Counter()
+    for b in blocks:
+        for path in set(b.labelled):
+            held[path] += len(b.text) - b.linked
+    spared = {p for p in held if p in page.holders or 2 * held[p] > size}
+    return [b for b in blocks if spared.issuperset(b.labelled)]
+
+
 def _text_below(blocks: list[Block]) -> dict[str, int]:
     """For every element the length of the text in it, without links."""
     whole: Counter = Counter()
     for b in blocks:
-        if not b.outside:
-            path = b.path
-            while path:
-                whole[path] += len(b.text) - b.linked
-                path = path.rpartition("/")[0]
+        path = b.path
+        while path:
+            whole[path] += len(b.text) - b.linked
+            path = path.rpartition("/")[0]
     return whole
 
 
@@ -187,15 +218,17 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for host, html, number in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "page"))):
             page = parsed(html)
-            chars = _text_below(page.blocks)
+            inside = [b for b in page.blocks if not b.outside]
+            chars = _text_below([b for b in inside if not b.labelled])
+            held = _text_below(inside)
             for path, n in page.paths.items():
-                rows.append((host, path, 0, n, chars.get(path, 0), number))
+                rows.append((host, path, 0, n, chars.get(path, 0), held.get(path, 0), number))
             for digest in {_digest(b.text) for b in page.blocks if not b.outside}:
-                rows.append((host, None, digest, 1, 0, number))
-        columns = list(zip(*rows)) or [()] * 6
+                rows.append((host, None, digest, 1, 0, 0, number))
+        columns = list(zip(*rows)) or [()] * 7
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()))],
-            ["host", "path", "text", "n", "chars", "page"])
+            [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), *[pa.int64()] * 5))],
+            ["host", "path", "text", "n", "chars", "held", "page"])
 
 
 def templates(pages: DataFrame) -> DataFrame:
@@ -206,16 +239,16 @@ def templates(pages: DataFrame) -> DataFrame:
     root's, or has ``LEAST_CLASS`` tokens. Texts come with the elements of their class, one of
     which they must be below. Both are bounded by what a page holds.
     """
-    tokens = pages.mapInArrow(_tokens, "host string, path string, text long, n long, chars long, page long")
+    tokens = pages.mapInArrow(_tokens, "host string, path string, text long, n long, chars long, held long, page long")
     vector = F.sum(F.xxhash64("page", "n").bitwiseAND(F.lit((1 << 40) - 1)))
     stats = tokens.groupBy("host", "path", "text").agg(
-        F.count("*").alias("pages"), F.sum("n").alias("n"), F.sum("chars").alias("chars"), vector.alias("vector"))
+        F.count("*").alias("pages"), F.sum("n").alias("n"), F.sum("chars").alias("chars"), F.sum("held").alias("held"), vector.alias("vector"))
     total = F.max(F.when(F.size(F.split("path", "/")) == 2, F.col("pages")))
     sizes = stats.where("path is not null").groupBy("host").agg(total.alias("total"))
     frequent = stats.where("pages > 1").join(sizes.where(F.col("total") >= LEAST_PAGES), "host").where(
         F.col("pages") >= F.col("total") * SUPPORT)
     once = (F.col("n") == F.col("pages")) & F.col("path").isNotNull()
-    item = F.struct(F.col("path"), F.col("chars"), F.col("pages"), F.col("vector"))
+    item = F.struct(F.col("path"), F.col("chars"), F.col("held"), F.col("pages"), F.col("vector"))
     classes = frequent.groupBy("host", "vector").agg(
         F.max("pages").alias("pages"), F.max("total").alias("total"),
         F.count(F.when(once | F.col("path").isNull(), 1)).alias("tokens"),
@@ -266,10 +299,12 @@ def article(source: str | None, paths: list | None = None, texts: list | None =
     if not source:
         return ""
     page = parsed(source)
-    blocks = [b for b in page.blocks if not b.outside]
+    whole = max(paths or [], key=lambda p: p["held"], default=None)
+    share = whole["chars"] / whole["held"] if whole and whole["held"] else None
+    blocks = _labelled_out(page, share=share)
     if not blocks:
         return ""
-    root = _root({p["path"]: p["chars"] for p in paths}) if paths else None
+    root = _root({p["path"]: p["chars" if share is None or share >= LEAST_LEFT else "held"] for p in paths}) if paths else None
     if root is None or not any(_below(b.path, root) for b in blocks):
         root = _root(_text_below(blocks))
     chosen = [b for b in blocks if _below(b.path, root)] if root else blocks

@@ -54,6 +54,20 @@ def test_passage_that_most_pages_share_stays(spark):
     assert texts(spark, rows) == [story[0]] + [f"{x}\nA passage that most pages of this host share." for x in story[1:]]
 
 
+@pytest.mark.parametrize("wrap", [
+    '<div class="content has-sidebar">{}</div>', '<article class="post comments-open">{}</article>',
+    '<main id="main-no-sidebar">{}</main>', '<div class="menu-open"><article>{}</article></div>',
+    '<div class="menu-open"><div class="content">{}</div></div>'])
+@pytest.mark.parametrize("n", [1, 8])
+def test_label_words_on_what_holds_the_article(spark, wrap, n):
+    rows = [(i, "http://t.example/x", PAGE.format(i, wrap.format(
+        f"<p>Text number {i} goes on for a while, as texts do, and it is much longer than the comments, adverts and notices "
+        f"that stand around it on the page, with {i * 7} more words.</p><div class='share'>Share {i}</div>"))) for i in range(n)]
+    assert texts(spark, rows) == [
+        f"Text number {i} goes on for a while, as texts do, and it is much longer than the comments, adverts and notices "
+        f"that stand around it on the page, with {i * 7} more words." for i in range(n)]
+
+
 def test_odd_pages(spark):
     rows = [(1, None, None), (2, "", ""), (3, "not a url", "plain text &lt;only"), (4, "http://x/", "<p>" + "word " * 60000),
             (5, "http://x/", "<p>unclosed <i>tags <div>and < signs</p"), (6, None, "<script>x</script>"), (7, "http://x/", "<" * 500),
