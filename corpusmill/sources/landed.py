@@ -9,11 +9,12 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.functions.keys import first_rows
+from corpusmill.functions.ranks import RANGE_ROWS, ranked
 from corpusmill.functions.text import blank_to_null
 from corpusmill.schema import UNIFIED_COLUMNS, UNIFIED_SCHEMA
 
@@ -185,22 +186,10 @@ def merge(frames, columns=UNIFIED_COLUMNS, spark: SparkSession | None = None) ->
         F.col(c) if c in out.columns else F.lit(None).cast("string").alias(c) for c in columns])
 
 
-def sequential_id(df: DataFrame, key: str, name: str = "id") -> DataFrame:
-    """``item_0000``, ``item_0001``, ... in key order.
+def sequential_id(df: DataFrame, key: str, name: str = "id", size: int = RANGE_ROWS) -> DataFrame:
+    """``item_0000``, ``item_0001``, ... in the order of any sortable key, nulls first.
 
-    Ranks are a range-partitioned sort: rank inside the key range plus the number of
-    rows in the ranges before it. Ranges are cut at fixed key values, so the result
-    does not depend on how Spark partitions.
+    Rows that repeat a key follow a digest of the row. No task sorts more than ``size`` rows.
     """
-    cuts = df.agg(F.percentile_approx(key, [i / 256 for i in range(1, 256)], 2560)).head()[0] or []
-    cuts = sorted(set(cuts))
-    part = F.size(F.filter(F.lit(cuts), lambda c: c < F.col(key))) if cuts else F.lit(0)
-    cut = df.withColumn("_range", part)
-    counts = cut.groupBy("_range").agg(F.count("*").alias("_n"))      # at most 256 rows
-    before = counts.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n"))
-                           .alias("_before"))
-    ranked = cut.withColumn("_rank", F.row_number().over(
-        Window.partitionBy("_range").orderBy(key)))
-    number = F.col("_before") + F.col("_rank") - 1
-    return (ranked.join(F.broadcast(before), "_range")
-                  .select(F.format_string("item_%04d", number).alias(name), *df.columns))
+    out = ranked(df, key, "_rank", size)
+    return out.select(F.format_string("item_%04d", "_rank").alias(name), *[f"`{c}`" for c in df.columns])
