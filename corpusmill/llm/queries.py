@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from corpusmill.llm import (
-    bpe, edit_fingerprint, html_text, metric_search, near_dedup, packing, quality_filter, secrets, substring_dedup,
-    token_rollup)
+    bpe, edit_fingerprint, html_text, metric_search, near_dedup, packing, prefix_trie, quality_filter, secrets, simhash,
+    spelling, substring_dedup, token_rollup)
 from corpusmill.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from corpusmill.llm.tables import Scratch
 from corpusmill.llm.tokens import ranks_of
@@ -147,3 +147,90 @@ def op10(spark, sf):
     rollup.commit("3-trimmed", token_rollup.revisions(stay.where("after is not null"), "tokens", "after"))
     rollup.commit("2-toxic", token_rollup.deletes(gone))
     return rollup.totals()
+
+
+# crc32 in SQL: the 256 entries of its table by eight steps each, then one step per byte.
+CRC_TABLE = """crc_table AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS crc
+  FROM (SELECT unnest(range(256)) AS i))"""
+
+
+def _crc32(of: str) -> str:
+    return (f"xor(list_reduce(list_prepend(4294967295, {of}), lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), "
+            f"4294967295)")
+
+
+def _bytes(text: str) -> str:
+    """UTF-8 of a string of code points below 256, as numbers."""
+    return (f"flatten([CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] "
+            f"ELSE [CAST(192 + (unicode(c) >> 6) AS BIGINT), CAST(128 + (unicode(c) & 63) AS BIGINT)] END "
+            f"FOR c IN regexp_extract_all({text}, '(?s).')])")
+
+
+SQL_SPELLING = rf"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS (
+  SELECT doc_id, run, count(*) AS k FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY ALL),
+hashed AS (SELECT run, k, {_crc32(_bytes("doc_id || ':' || run"))} AS h FROM runs, crc_table),
+changed AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2)
+              ELSE run END AS word, k FROM hashed),
+words AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM changed GROUP BY 1 HAVING sum(k) >= 5 AND length(word) >= 6),
+gaps AS (SELECT word, n, length(word) AS len, i, substr(word, 1, i - 1) AS l, substr(word, i + 1) AS r
+  FROM (SELECT *, unnest(range(1, CAST(length(word) AS INTEGER) + 1)) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM gaps a JOIN gaps b USING (len, i, l, r) WHERE a.word <> b.word
+  UNION SELECT g.word, w.word, w.n FROM gaps g JOIN words w ON w.word = g.l || g.r
+  UNION SELECT w.word, g.word, g.n FROM gaps g JOIN words w ON w.word = g.l || g.r),
+best AS (SELECT word, count(*) AS n_near, arg_min(near, (-near_n, near)) AS near FROM near GROUP BY 1),
+forms AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, f.word AS form, f.n AS form_n
+  FROM words w LEFT JOIN best b ON b.word = w.word LEFT JOIN words f ON f.word = b.near AND f.n >= 5 * w.n),
+up AS (
+  SELECT word, word AS root, 0 AS steps FROM forms
+  UNION ALL SELECT up.word, forms.form, steps + 1 FROM up JOIN forms ON forms.word = up.root WHERE forms.form IS NOT NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN (SELECT word, arg_max(root, steps) AS root FROM up GROUP BY 1) USING (word)"""
+
+
+@query("op11_spelling_groups", SQL_SPELLING)
+def op11(spark, sf):
+    return spelling.spelling_groups(table(spark, sf, "documents"), drop_every=199)
+
+
+@query("op12_simhash_dedup")
+def op12(spark, sf):
+    return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
+SQL_TRIE = rf"""
+WITH {CRC_TABLE},
+own AS (
+  SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST,
+    sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS t
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY 1),
+hashed AS (
+  SELECT conv_id, t, CAST({_crc32(_bytes("CAST(conv_id AS VARCHAR)"))} % 4 AS INTEGER) AS h FROM own, crc_table),
+rebuilt AS (
+  SELECT a.conv_id, list_concat(coalesce(b.t, [])[1:h], a.t[h + 1:]) AS t
+  FROM hashed a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 20),
+prefixes AS (SELECT conv_id, d, t[1:d] AS p, len(t) = d AS whole FROM (SELECT *, unnest(range(0, len(t) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (whole), '')) AS ends_sha256,
+         CASE WHEN d > 0 THEN len(regexp_extract_all(p[d].text, '{WORD}')) ELSE 0 END AS words
+  FROM prefixes GROUP BY p, d),
+kids AS (SELECT p[1:d - 1] AS p, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+full_nodes AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN kids ON kids.p = n.p),
+sums AS (
+  SELECT p[1:e] AS p, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum((n_convs - 1) * words) AS BIGINT) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM full_nodes) GROUP BY 1)
+SELECT n.conv_id, n.d AS depth, u.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves, saved_tokens, n.ends_sha256
+FROM full_nodes n JOIN sums ON sums.p = n.p LEFT JOIN nodes u ON n.d > 0 AND u.p = n.p[1:n.d - 1]"""
+
+
+@query("op13_conversation_trie", SQL_TRIE)
+def op13(spark, sf):
+    return prefix_trie.conversation_trie(table(spark, sf, "conversations"), shared=(20, 4))
