@@ -143,8 +143,9 @@ def hash_cut(df: DataFrame, size: DataFrame, key: str, seed, by=()) -> DataFrame
     """For each group the largest hash key (and row key) among its ``_k`` smallest.
 
     ``size`` has the group columns and ``_k``. Hash keys are uniform, so counting per
-    4096 leading values finds the deciding bucket, and only that 1/4096 of the rows is
-    ranked. Returns the group columns, ``_k``, ``_cut_hash`` and ``_cut_key``.
+    4096 leading values finds the deciding bucket, and only that 1/4096 of the keys is
+    ranked, each with its number of rows. Returns the group columns, ``_k``, ``_cut_hash``, ``_cut_key``,
+    the rows ``_cut_n`` that have this key and how many of them, ``_cut_take``, are among the smallest.
     """
     by = list(by)
     h = df.select(*by, F.col(key).alias("_id"), hash_key(seed, F.col(key)).alias("_h"))
@@ -157,11 +158,12 @@ def hash_cut(df: DataFrame, size: DataFrame, key: str, seed, by=()) -> DataFrame
                 .where((F.col("_upto") >= F.col("_k")) & (F.col("_upto") - F.col("_n") < F.col("_k")))
                 .select(*by, "_b", "_k", (F.col("_k") - F.col("_upto") + F.col("_n")).alias("_rank")))
     deciding = small_side(deciding)
-    ranked = (h.join(deciding, [*by, "_b"])
-               .withColumn("_rn", F.row_number().over(
-                   Window.partitionBy(*by, "_b").orderBy("_h", "_id"))))
-    return (ranked.where(F.col("_rn") == F.col("_rank"))
-                  .select(*by, "_k", F.col("_h").alias("_cut_hash"), F.col("_id").alias("_cut_key")))
+    keys = h.join(deciding, [*by, "_b"]).groupBy(*by, "_b", "_k", "_rank", "_h", "_id").agg(F.count("*").alias("_n"))
+    here = F.sum("_n").over(Window.partitionBy(*by, "_b").orderBy("_h", "_id"))
+    take = F.col("_rank") - F.col("_here") + F.col("_n")
+    return (keys.withColumn("_here", here).where(take.between(1, F.col("_n")))
+                .select(*by, "_k", F.col("_h").alias("_cut_hash"), F.col("_id").alias("_cut_key"),
+                        F.col("_n").alias("_cut_n"), take.alias("_cut_take")))
 
 
 def before_cut(seed, key: str) -> Column:

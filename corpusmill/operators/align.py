@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
-from itertools import combinations_with_replacement
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.functions.keys import first_per_group
+from corpusmill.functions.keys import first_per_group, require_unique
 from corpusmill.operators.quality import _stack, value_counts
 from corpusmill.schema import is_missing, nan_to_null, numeric_columns
 
@@ -23,6 +26,7 @@ MODALITY_FEATURES = {
 }
 SHARED = ("label", "source", "collected_at")
 MIN_CORRELATED = 10
+ROUNDING = 1e-13             # share of the squares below which a spread is no spread
 
 
 @dataclass(frozen=True)
@@ -53,14 +57,21 @@ def prefixed(df: DataFrame, name: str, key: str = "id") -> DataFrame:
 
 
 def align(modalities: dict, key: str = "id", how: str = "inner",
-          coalesce_shared: bool = False) -> DataFrame:
+          coalesce_shared: bool = False, repeated_keys: str = "error") -> DataFrame:
     """Join modalities on ``key`` in the given order (inner, outer, left or right).
 
     A shared column already on the left is dropped from the right, so rows that only
-    the right has get null there unless ``coalesce_shared``.
+    the right has get null there unless ``coalesce_shared``. A key that is null or repeats within
+    a modality is an error, found by counting keys first; with ``repeated_keys="multiply"`` nothing is
+    checked, and rows of equal keys meet in all combinations.
     """
-    frames = [prefixed(m.df if isinstance(m, Modality) else m, n, key)
-              for n, m in modalities.items()]
+    if repeated_keys not in ("error", "multiply"):
+        raise ValueError("repeated_keys is 'error' or 'multiply'")
+    tables = {n: m.df if isinstance(m, Modality) else m for n, m in modalities.items()}
+    if repeated_keys == "error":
+        for df in tables.values():
+            require_unique(df.select(F.col(f"`{key}`")), key)
+    frames = [prefixed(df, n, key) for n, df in tables.items()]
     out = frames[0]
     for right in frames[1:]:
         both = [c for c in SHARED if c in right.columns and c in out.columns]
@@ -133,26 +144,52 @@ def label_correlations(df: DataFrame, label: str = "label", positive: str = "pos
                .orderBy(F.desc(F.abs("r")), "feature").limit(top))
 
 
+_MOMENTS = ("n", "x", "y", "xx", "yy", "xy")                   # of pairs where both are present
+
+
+def _co_moments(width: int, shift: list[float]):
+    """One row per task: for every pair of columns the sums of ``_MOMENTS`` over its rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(_MOMENTS), width, width))
+        for batch in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns], axis=1) - shift
+            there = ~np.isnan(x)
+            x, there = np.where(there, x, 0.0), there.astype(float)
+            total += np.stack([there.T @ there, x.T @ there, there.T @ x, (x * x).T @ there, there.T @ (x * x), x.T @ x])
+        cells = total.reshape(len(_MOMENTS), width * width)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(width * width), pa.int32()), *[pa.array(c) for c in cells]], ["cell", *_MOMENTS])
+    return run
+
+
 def correlation_matrix(df: DataFrame, columns=None, digits: int = 4) -> DataFrame:
     """``(f1, f2, r)`` for every pair of numeric features, pairwise complete.
 
-    Both orders and the diagonal are present. A row gives one cell per pair and cells
-    combine before the shuffle, so the plan has one aggregate however many pairs.
+    Both orders and the diagonal are present; r is null where a side is constant. Every task adds its rows
+    up to one table of co-moments by matrix products, so a row of the input never becomes one row per
+    pair. Values are taken relative to their column's mean, so sums of squares lose no digits.
     """
     work = nan_to_null(df)
     cols = list(columns) if columns else feature_columns(work)
+    if not cols:
+        return df.sparkSession.createDataFrame([], "f1 string, f2 string, r double")
     narrow = work.select([F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
-    pairs = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"x{i}").alias("x"),
-                      F.col(f"x{j}").alias("y"))
-             for i, j in combinations_with_replacement(range(len(cols)), 2)]
-    cells = narrow.select(F.inline(F.array(*pairs)))
-    r = cells.groupBy("i", "j").agg(F.round(_pearson(F.col("x"), F.col("y")), digits).alias("r"))
+    means = narrow.agg(*[F.avg(c).alias(c) for c in narrow.columns]).head()
+    shift = [m if m is not None and math.isfinite(m) else 0.0 for m in means]
+    parts = narrow.mapInArrow(_co_moments(len(cols), shift), "cell int, " + ", ".join(f"{m} double" for m in _MOMENTS))
+    sums = parts.groupBy("cell").agg(*[F.sum(m).alias(m) for m in _MOMENTS])
+
+    def spread(squares: str, side: str) -> Column:
+        """Squares around the mean; null if they are nothing but rounding."""
+        around = F.col(squares) - F.try_divide(F.col(side) * F.col(side), F.col("n"))
+        return F.when(around > F.col(squares) * ROUNDING, around)
+    product = F.col("xy") - F.try_divide(F.col("x") * F.col("y"), F.col("n"))
+    r = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.try_divide(product, F.sqrt(spread("xx", "x") * spread("yy", "y")))))
     names = F.array(*map(F.lit, cols))
-    name = lambda k: F.element_at(names, F.col(k) + 1)
-    both = F.array_distinct(F.array(
-        F.struct(name("i").alias("f1"), name("j").alias("f2"), "r"),
-        F.struct(name("j").alias("f1"), name("i").alias("f2"), "r")))
-    return r.select(F.inline(both))
+    name = lambda k: F.get(names, F.floor(k).cast("int"))
+    spreads = spread("xx", "x").isNotNull() & spread("yy", "y").isNotNull()
+    return sums.select(name(F.col("cell") / len(cols)).alias("f1"), name(F.col("cell") % len(cols)).alias("f2"),
+                       F.when(spreads, F.round(r, digits)).alias("r"))
 
 
 def describe_aligned(df: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions.keys import first_per_group
 from corpusmill.functions.quantiles import exact_quantiles
+from corpusmill.functions.stems import count_stems, stems_in
 from corpusmill.functions.text import let, shorten
 from corpusmill.operators.quality import _stack, value_counts
 from corpusmill.schema import nan_to_null
@@ -61,7 +62,7 @@ def _with_decision(df: DataFrame, hits: Column, text: str, labelled_at: str | No
 
     at = F.lit(labelled_at or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f"))
     return (df.select("*", let(hits, decide).alias("_decision"))
-              .select(*df.columns, F.col("_decision.label").alias("auto_label"),
+              .select(*[f"`{c}`" for c in df.columns], F.col("_decision.label").alias("auto_label"),
                       F.col("_decision.confidence").alias("confidence"), at.alias("auto_label_at")))
 
 
@@ -84,40 +85,67 @@ def auto_label(df: DataFrame, lexicon: dict | None = None, text: str = "text",
     return _with_decision(df, hits, text, labelled_at)
 
 
+def _small_lexicon(lexicon: DataFrame) -> dict[str, set] | None:
+    """{stem: polarities} of a lexicon within the broadcast bounds; None for a larger one."""
+    size = lexicon.agg(F.count("*").alias("n"), F.sum(F.length("stem")).alias("chars")).head()
+    if size["n"] > BROADCAST_STEMS or (size["chars"] or 0) > BROADCAST_CHARS:
+        return None
+    found: dict[str, set] = {}
+    for stem, polarity in lexicon.collect():
+        found.setdefault(stem, set()).add(polarity)
+    return dict(sorted(found.items()))
+
+
+def _stems(lexicon: DataFrame) -> DataFrame:
+    return lexicon.select(F.lower("stem").alias("stem"), "polarity").where(F.length("stem") > 0).distinct()
+
+
 def lexicon_matches(df: DataFrame, lexicon: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``(key, stem, polarity)`` for every table stem contained in a row's text.
 
-    A lexicon of up to ``BROADCAST_STEMS`` stems and ``BROADCAST_CHARS`` characters is sent to every
-    task as one array and looked up where the text is. A larger one is joined on the whole
-    stem: a text offers its runs of each length that a stem has, so no key is shared by
-    different stems.
+    All stems of a lexicon of up to ``BROADCAST_STEMS`` stems and ``BROADCAST_CHARS`` characters are looked for in
+    one pass over each text, where the text is. A larger lexicon is joined on the whole stem: a text
+    offers its runs of each length that a stem has, so no key is shared by different stems.
     """
-    stems = (lexicon.select(F.lower("stem").alias("stem"), "polarity")
-                    .where(F.length("stem") > 0).distinct())
-    size = stems.agg(F.count("*").alias("n"), F.sum(F.length("stem")).alias("chars"),
-                     F.sort_array(F.collect_set(F.length("stem"))).alias("lengths")).head()
-    body = _lowered(text)
-    if size["n"] <= BROADCAST_STEMS and (size["chars"] or 0) <= BROADCAST_CHARS:
-        every = stems.agg(F.collect_list(F.struct("stem", "polarity")).alias("_stems"))
-        inside = F.filter("_stems", lambda s: F.contains(F.col("_body"), s["stem"]))
-        found = df.select(key, body.alias("_body")).crossJoin(F.broadcast(every)).select(
-            key, F.explode(inside).alias("_s"))
-        return found.select(key, "_s.stem", "_s.polarity").distinct()
+    stems = _stems(lexicon)
+    small = _small_lexicon(stems)
+    if small is None:
+        return _joined_matches(df, stems, key, text)
+    names = df.sparkSession.createDataFrame(                  # at most BROADCAST_STEMS
+        [(i, s, p) for i, (s, ps) in enumerate(small.items()) for p in sorted(ps, key=str)], "_i int, stem string, polarity string")
+    if not small:
+        return df.select(key).join(names, F.lit(False)).select(key, "stem", "polarity")
+    hits = df.select(key, F.explode(stems_in(_lowered(text), list(small))).alias("_i"))
+    return hits.join(F.broadcast(names), "_i").select(key, "stem", "polarity").distinct()
+
+
+def _joined_matches(df: DataFrame, stems: DataFrame, key: str, text: str) -> DataFrame:
+    lengths = [r[0] for r in stems.select(F.length("stem")).distinct().collect()]       # a few
     runs = F.array_distinct(F.flatten(F.array(*[
-        F.regexp_extract_all(body, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in size["lengths"]])))
+        F.regexp_extract_all(_lowered(text), F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in sorted(lengths)])))
     return (df.select(key, F.explode(runs).alias("stem")).join(stems, "stem")
               .select(key, "stem", "polarity").distinct())
 
 
 def auto_label_from_table(df: DataFrame, lexicon: DataFrame, key: str, text: str = "text",
                           labelled_at: str | None = None) -> DataFrame:
-    """``auto_label`` with a lexicon held in a table ``(stem, polarity)`` of any size."""
-    hits = lexicon_matches(df, lexicon, key, text).groupBy(key).agg(
-        F.count_if(F.col("polarity") == "pos").alias("_pos"),
-        F.count_if(F.col("polarity") == "neg").alias("_neg"))
-    found = F.struct(*[F.coalesce(f"_{side}", F.lit(0)).alias(side) for side in ("pos", "neg")])
-    out = _with_decision(df.join(hits, key, "left"), found, text, labelled_at)
-    return out.select(*df.columns, "auto_label", "confidence", "auto_label_at")
+    """``auto_label`` with a lexicon held in a table ``(stem, polarity)`` of any size.
+
+    Within the broadcast bounds rows are labelled where they are; ``key`` is needed beyond them only.
+    """
+    stems = _stems(lexicon)
+    small = _small_lexicon(stems)
+    if small is not None:
+        none = F.struct(F.lit(0).alias("pos"), F.lit(0).alias("neg"))
+        found = count_stems(_lowered(text), small, ("pos", "neg")) if small else none
+        out = _with_decision(df.select("*", found.alias("_hits")), F.col("_hits"), text, labelled_at)
+    else:
+        hits = _joined_matches(df, stems, key, text).groupBy(key).agg(
+            F.count_if(F.col("polarity") == "pos").alias("_pos"),
+            F.count_if(F.col("polarity") == "neg").alias("_neg"))
+        found = F.struct(*[F.coalesce(f"_{side}", F.lit(0)).alias(side) for side in ("pos", "neg")])
+        out = _with_decision(df.join(hits, key, "left"), found, text, labelled_at)
+    return out.select(*[f"`{c}`" for c in df.columns], "auto_label", "confidence", "auto_label_at")
 
 
 # -- splitting and metrics ---------------------------------------------------------

@@ -7,7 +7,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusmill.durable import written
 from corpusmill.functions.keys import first_per_group, seeded_sample, small_side
+from corpusmill.functions.quantiles import group_quantiles
 from corpusmill.functions.text import (
     CYRILLIC_WORD, average_word_length, letter_words, punctuation_ratio, word_count)
 from corpusmill.operators.quality import FENCE, _stack, missing_matrix
@@ -64,12 +66,10 @@ def box_stats(df: DataFrame, value: str, by: str) -> DataFrame:
     ``value`` is a length or a count: rows first combine to one per group and value,
     and everything after works on those.
     """
-    cells = (df.where(F.col(value).isNotNull() & F.col(by).isNotNull())
-               .groupBy(F.col(by).cast("string").alias("grp"), F.col(value).alias("v"))
-               .agg(F.count("*").alias("n")))
-    q = cells.groupBy("grp").agg(
-        F.percentile("v", F.array(F.lit(.25), F.lit(.5), F.lit(.75)), F.col("n")).alias("q"),
-        F.sum("n").alias("n_rows"))
+    cells = written(df.where(F.col(value).isNotNull() & F.col(by).isNotNull())
+                      .groupBy(F.col(by).cast("string").alias("grp"), F.col(value).alias("v"))
+                      .agg(F.count("*").alias("n")), "box-cells")
+    q = small_side(group_quantiles(cells, ["grp"], "v", (0.25, 0.5, 0.75), weight="n").withColumnRenamed("n", "n_rows"))
     spread = F.col("q")[2] - F.col("q")[0]
     low, high = F.col("q")[0] - FENCE * spread, F.col("q")[2] + FENCE * spread
     inside = F.col("v").between(low, high)
@@ -109,10 +109,11 @@ def eda_summary(df: DataFrame, text: str = "text", label: str = "label",
     n = F.length(F.coalesce(F.col(text), F.lit("")))
     none = F.lit(None).cast("string")
     names = ("metric", "name", "value")
+    middle = group_quantiles(df.select(n.alias("n")), [], "n", [0.5]).agg(
+        F.round(F.max(F.col("q")[0]), 1).alias("text_len_median"))
     row = df.agg(F.count("*").alias("total_rows"), F.round(F.avg(n), 1).alias("text_len_mean"),
-                 F.round(F.median(n), 1).alias("text_len_median"),
                  F.count_if(F.col(text).isNull()).alias("missing_text"),
-                 F.count_if(F.col(label).isNull()).alias("missing_label"))
+                 F.count_if(F.col(label).isNull()).alias("missing_label")).crossJoin(F.broadcast(middle))
     parts = [_stack(row, [(F.lit(m), none, F.col(m).cast("double")) for m in row.columns], names)]
     counts = df.groupingSets([[label], [source]], label, source).agg(
         F.count("*").alias("n"), F.grouping(label).alias("_g"))

@@ -5,17 +5,15 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IndexToString, StringIndexer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.durable import written
 from corpusmill.functions.keys import (
     before_cut, hash_cut, seeded_sample, small_side)
+from corpusmill.functions.logistic import Classifier
 from corpusmill.functions.quantiles import exact_quantiles
+from corpusmill.functions.ranks import ranked
 from corpusmill.operators.annotate import contingency, per_label
 from corpusmill.operators.tfidf import TfidfModel
 from corpusmill.schema import nan_to_null
@@ -26,24 +24,35 @@ AL_HOLDOUT, TRAIN_HOLDOUT = 0.25, 0.2
 POOL_QUANTILE = 0.3
 MIN_FOR_HOLDOUT = 40
 MAX_CLASSES = 1_000
-ROWS_PER_FIT_TASK = 5_000
+MAX_FIT_ROWS = 20_000        # labelled rows that a model is fitted on
 
 
 # -- splitting ---------------------------------------------------------------------
 
-def stratified_split(df: DataFrame, label: str, key: str, test_share: float, seed=42) -> DataFrame:
-    """Add ``is_test``: exactly ``round(share * n)`` rows of every label, reproducibly.
+def stratified_split(df: DataFrame, label: str, key: str, test_share: float, seed=42, least: int = 0) -> DataFrame:
+    """Add ``is_test``: exactly ``round(share * n)`` (or ``least``) rows of every label, reproducibly.
 
     The cut is one hash value per label, found from counts; rows are then compared with
-    it where they are. No label's rows are ever sorted together.
+    it where they are. No label's rows are ever sorted together. Rows that repeat a key
+    go to one side, except where the cut falls into them: there a digest of the row decides.
     """
     counts = df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("_l")).agg(
-        F.floor(F.count("*") * F.lit(test_share) + 0.5).alias("_k"))
+        F.greatest(F.floor(F.count("*") * F.lit(test_share) + 0.5), F.least(F.lit(least), F.count("*"))).alias("_k"))
     size = small_side(counts)
     rows = df.select(F.col(label).alias("_l"), F.col(key))
     cut = small_side(hash_cut(rows, size, key, seed, by=["_l"]))
-    return (df.join(cut.withColumnRenamed("_l", label).drop("_k"), label, "left")
-              .select(*df.columns, before_cut(seed, key).alias("is_test")))
+    columns = [f"`{c}`" for c in df.columns]
+    marked = df.join(cut.withColumnRenamed("_l", label).drop("_k"), label, "left")
+    split = cut.where("_cut_take < _cut_n")
+    if split.isEmpty():
+        return marked.select(*columns, before_cut(seed, key).alias("is_test"))
+    tied = F.coalesce((F.col("_cut_take") < F.col("_cut_n")) & (F.col(key) == F.col("_cut_key")), F.lit(False))
+    whole = marked.where(~tied).select(*columns, before_cut(seed, key).alias("is_test"))
+    placed = ranked(marked.where(tied), label, "_place")
+    first = placed.groupBy(label).agg(F.min("_place").alias("_first"))
+    some = placed.join(small_side(first), label).select(
+        *columns, (F.col("_place") - F.col("_first") < F.col("_cut_take")).alias("is_test"))
+    return whole.unionByName(some)
 
 
 # -- fitting -----------------------------------------------------------------------
@@ -52,11 +61,10 @@ class OneClass(ValueError):
     """Training needs at least two classes."""
 
 
-def fit_classifier(train: DataFrame, label: str, c: float = 1.0, max_iter: int = 1000,
-                   tol: float = 1e-6, features: str = "features") -> PipelineModel:
-    """L2 logistic regression with balanced class weights; ``prediction_label`` out.
+def fit_sample(train: DataFrame, label: str, key: str, max_rows: int, seed=42) -> tuple[DataFrame, list]:
+    """Rows to fit on and their labels in order: all rows, or the same share of every class in hash order.
 
-    Spark averages the loss over rows, so the penalty is ``1 / (C * n)``.
+    A class keeps one row at least, and shares are rounded: at most ``max_rows`` rows and one per class.
     """
     counts = train.groupBy(label).agg(F.count("*").alias("n")).limit(MAX_CLASSES + 1).collect()
     if len(counts) < 2:
@@ -64,26 +72,27 @@ def fit_classifier(train: DataFrame, label: str, c: float = 1.0, max_iter: int =
     if len(counts) > MAX_CLASSES:
         raise ValueError(f"more than {MAX_CLASSES} classes in {label!r}")
     n = sum(r.n for r in counts)
-    spark = train.sparkSession
-    weights = spark.createDataFrame(
-        [(r[0], n / (len(counts) * r.n)) for r in counts], f"`{label}` string, _weight double")
-    indexed = StringIndexer(inputCol=label, outputCol="_y",
-                            stringOrderType="alphabetAsc").fit(train)
-    lr = LogisticRegression(featuresCol=features, labelCol="_y", weightCol="_weight",
-                            regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False,
-                            maxIter=max_iter, tol=tol)
-    data = indexed.transform(train.select(label, features)).join(F.broadcast(weights), label)
-    # Every solver step is a job: few rows in many partitions would be all scheduling.
-    model = lr.fit(data.select(features, "_y", "_weight").coalesce(n // ROWS_PER_FIT_TASK + 1))
-    names = IndexToString(inputCol="prediction", outputCol="prediction_label",
-                          labels=indexed.labels)
-    return PipelineModel(stages=[model, names])
+    if n > max_rows:
+        train = stratified_split(train, label, key, max_rows / n, seed, least=1).where("is_test").drop("is_test")
+    return train, sorted(r[0] for r in counts)
+
+
+def fit_classifier(train: DataFrame, label: str, key: str, width: int, c: float = 1.0, max_iter: int = 1000,
+                   tol: float = 1e-6, features: str = "features", max_fit_rows: int = MAX_FIT_ROWS, seed=42,
+                   start: Classifier | None = None) -> Classifier:
+    """L2 logistic regression with balanced class weights over sparse ``features`` of ``width`` columns.
+
+    At most ``max_fit_rows`` rows (and one per class) are used, the same share of each class in hash order of the
+    key. ``start`` is an earlier model whose coefficients the solver begins with.
+    """
+    rows, labels = fit_sample(train.select(key, label, features), label, key, max_fit_rows, seed)
+    return Classifier.fit(rows.select(F.col(label).alias("label"), F.col(features).alias("features")), labels, width, c,
+                          max_iter, tol, start)
 
 
 def uncertainty(scored: DataFrame) -> DataFrame:
     """Add ``al_uncertainty``: one minus the largest class probability."""
-    return scored.withColumn(
-        "al_uncertainty", 1.0 - F.array_max(vector_to_array("probability")))
+    return scored.withColumn("al_uncertainty", 1.0 - F.array_max("probability"))
 
 
 # -- metrics -----------------------------------------------------------------------
@@ -137,14 +146,14 @@ def scores(predictions: DataFrame, label: str, predicted: str = "prediction_labe
 
 @dataclass
 class Trained:
-    model: PipelineModel
+    model: Classifier
     vectoriser: TfidfModel
     predictions: DataFrame
     metrics: dict
     card: DataFrame = field(repr=False)
 
     def save(self, spark, path: str) -> None:
-        self.model.write().overwrite().save(f"{path}/model")
+        self.model.save(spark, f"{path}/model")
         self.vectoriser.save(spark, f"{path}/vocabulary")
 
 
@@ -154,7 +163,7 @@ def trainable(df: DataFrame, text: str = "text", label: str = "label") -> DataFr
 
 def train_and_evaluate(df: DataFrame, key: str, text: str = "text", label: str = "label",
                        max_features: int = TRAIN_FEATURES, test_share: float = TRAIN_HOLDOUT,
-                       seed=42) -> Trained:
+                       seed=42, max_fit_rows: int = MAX_FIT_ROWS) -> Trained:
     """80/20 stratified split, vectoriser and model fitted on the training part only."""
     rows = trainable(df, text, label).select(key, text, F.col(label).cast("string").alias(label))
     split = stratified_split(rows, label, key, test_share, seed)
@@ -162,7 +171,7 @@ def train_and_evaluate(df: DataFrame, key: str, text: str = "text", label: str =
     data = written(vectoriser.transform(split, text).select(key, label, "is_test", "features"),
                    "train-features")
     train, test = data.where(~F.col("is_test")), data.where(F.col("is_test"))
-    model = fit_classifier(train, label)
+    model = fit_classifier(train, label, key, len(vectoriser.terms), max_fit_rows=max_fit_rows, seed=seed)
     predictions = model.transform(test).select(key, label, "prediction_label", "probability")
     sizes = data.agg(F.count_if(~F.col("is_test")).alias("train_size"),
                      F.count_if("is_test").alias("test_size")).head()
@@ -189,7 +198,7 @@ class ActiveLearningResult:
 
 
 ROUND_SCHEMA = ("iteration int, labeled_size long, selected long, mean_uncertainty double, "
-                "accuracy double, f1_macro double")
+                "accuracy double, f1_macro double, fit_rows long, fit_steps int")
 
 
 def has_label(label: str):
@@ -226,12 +235,14 @@ def assign_roles(df: DataFrame, key: str, label: str, confidence: str | None, ba
 
 def run_cycle(df: DataFrame, key: str, label: str = "label", text: str = "text",
               confidence: str | None = "confidence", n_iterations: int = 3, batch_size: int = 50,
-              min_labeled: int = 20, seed=42, max_features: int = AL_FEATURES) -> ActiveLearningResult:
+              min_labeled: int = 20, seed=42, max_features: int = AL_FEATURES,
+              max_fit_rows: int = MAX_FIT_ROWS) -> ActiveLearningResult:
     """Uncertainty sampling: fit, pick the least certain pool rows, add them, repeat.
 
-    Features are computed once and written; a round reads them, fits one model (and
-    one on a hold-out split) if the labelled rows have grown, and moves ``batch_size`` rows, known by key, from the pool
-    to the labelled side.
+    Features are computed once and written; a round reads them, fits one model (and one on a hold-out
+    split) if the labelled rows have grown, and moves ``batch_size`` rows, known by key, from the pool
+    to the labelled side. A fit starts from the coefficients of the round before and uses at most
+    ``max_fit_rows`` labelled rows.
     """
     spark = df.sparkSession
     roles = assign_roles(df, key, label, confidence, batch_size, n_iterations, seed)
@@ -242,7 +253,8 @@ def run_cycle(df: DataFrame, key: str, label: str = "label", text: str = "text",
             "features"), "al-features")
     key_type = table.schema[key].dataType.simpleString()
     picks_schema = f"`{key}` {key_type}, al_uncertainty double, al_iteration int"
-    picked, rounds, model, reason = [], [], None, None
+    picked, rounds, model, judge, reason = [], [], None, None, None
+    options = {"width": len(vectoriser.terms), "max_fit_rows": max_fit_rows, "seed": seed}
     for it in range(1, n_iterations + 1):
         chosen = F.broadcast(spark.createDataFrame(picked, picks_schema).select(
             key, F.lit(True).alias("_picked")))               # at most rounds * batch rows
@@ -260,7 +272,7 @@ def run_cycle(df: DataFrame, key: str, label: str = "label", text: str = "text",
         grown = not rounds or n_labelled > rounds[-1][1]      # picks without a label add nothing to fit
         if grown:
             try:
-                model = fit_classifier(labelled, "_label")
+                model = fit_classifier(labelled, "_label", key, start=model, **options)
             except OneClass as exc:
                 reason = str(exc)
                 break
@@ -268,7 +280,7 @@ def run_cycle(df: DataFrame, key: str, label: str = "label", text: str = "text",
         if grown and n_labelled >= MIN_FOR_HOLDOUT:
             split = stratified_split(labelled, "_label", key, AL_HOLDOUT, seed)
             try:
-                judge = fit_classifier(split.where(~F.col("is_test")), "_label")
+                judge = fit_classifier(split.where(~F.col("is_test")), "_label", key, start=judge, **options)
                 held = scores(judge.transform(split.where("is_test")), "_label")
             except OneClass:
                 pass                                          # a one-row class fell to one side
@@ -276,7 +288,7 @@ def run_cycle(df: DataFrame, key: str, label: str = "label", text: str = "text",
                 .orderBy(F.desc("al_uncertainty"), key).limit(batch_size).collect())
         picked += [(r[0], r[1], it) for r in best]
         mean = round(sum(r[1] for r in best) / len(best), 4)
-        rounds.append((it, n_labelled, len(best), mean, held["accuracy"], held["f1_macro"]))
+        rounds.append((it, n_labelled, len(best), mean, held["accuracy"], held["f1_macro"], model.rows, model.iterations))
     if model is None:
         selected = df.orderBy(key).limit(batch_size).withColumns({
             "al_uncertainty": F.lit(0.0), "al_iteration": F.lit(0)})

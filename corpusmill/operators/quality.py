@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+from decimal import Decimal, localcontext
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.functions.keys import fingerprint
-from corpusmill.functions.quantiles import exact_quantiles
+from corpusmill.durable import written
+from corpusmill.functions.keys import fingerprint, require_unique, small_side
+from corpusmill.functions.quantiles import exact_quantiles, group_quantiles
 from corpusmill.schema import is_missing, label_role, nan_to_null, numeric_columns, text_role
 
 TEXT_LEN = "_text_len"
 MIN_VALUES = 4              # fewer values than this give no outlier bounds
 FENCE = 1.5
+HOT_MEMBERS = 1_000_000     # rows of a group of duplicates that one task may get
 
 
 def _content(df: DataFrame, columns, key) -> list[str]:
@@ -74,14 +77,24 @@ def duplicate_rows(df: DataFrame, on=None, key: str | None = None) -> DataFrame:
 def duplicated_members(df: DataFrame, on, key: str) -> DataFrame:
     """Every row of every group with more than one member, with the group size.
 
-    Rows are joined to the repeated fingerprints. A group of a third of the table
-    is one row on the right side; Spark's adaptive skew handling splits the left.
+    Members are found by key and fingerprint alone; rows then meet their group's size by the unique key. Groups
+    beyond ``HOT_MEMBERS`` rows are few and are looked up where the keys are, all others meet their
+    keys in a shuffle, so no task gets more than one smaller group. A key that is null or repeats is an error.
     """
     on = [on] if isinstance(on, str) else list(on)
-    tagged = df.withColumn("_fp", fingerprint(df, on))
-    repeated = (tagged.groupBy("_fp").agg(F.count("*").alias("group_size"))
-                      .where(F.col("group_size") > 1))
-    return tagged.join(repeated, "_fp").drop("_fp")
+    keys = written(df.select(F.col(f"`{key}`").alias("_key"), fingerprint(df, on).alias("_fp")), "fingerprints")
+    require_unique(keys, "_key")
+    groups = keys.groupBy("_fp").agg(F.count("*").alias("group_size")).where("group_size > 1")
+    groups = written(groups, "groups")
+    hot = F.col("group_size") > HOT_MEMBERS
+    large, some, members = groups.where(hot), keys, None
+    if not large.isEmpty():
+        large = small_side(large)
+        some = keys.join(large, "_fp", "left_anti")
+        members = keys.join(large, "_fp").select("_key", "group_size")
+    met = some.join(groups.where(~hot), "_fp").select("_key", "group_size")
+    members = met.union(members) if members is not None else met
+    return df.join(members.withColumnRenamed("_key", key), key).select(*[f"`{c}`" for c in df.columns], "group_size")
 
 
 # -- outliers --------------------------------------------------------------------
@@ -97,16 +110,19 @@ def outlier_candidates(df: DataFrame, key: str | None = None) -> list[str]:
     return head + numeric_columns(df, exclude={key, TEXT_LEN})
 
 
-def fences(df: DataFrame, columns) -> dict[str, tuple]:
+def fences(df: DataFrame, columns, exact: bool = False) -> dict[str, tuple]:
     """``{column: (lower, upper)}`` for columns that have bounds.
 
-    No bounds: fewer than 4 values, or an interquartile range of 0.
+    No bounds: fewer than 4 values, or an interquartile range of 0. With ``exact`` the bounds of
+    integer and decimal columns are decimals without rounding.
     """
     out = {}
-    for c, q in exact_quantiles(df, columns, (0.25, 0.75), narrow={TEXT_LEN}).items():
+    for c, q in exact_quantiles(df, columns, (0.25, 0.75), narrow={TEXT_LEN}, exact=exact).items():
         if q.n >= MIN_VALUES and q.values[0] != q.values[1]:
-            spread = q.values[1] - q.values[0]
-            out[c] = (q.values[0] - FENCE * spread, q.values[1] + FENCE * spread)
+            with localcontext(prec=80):
+                spread = q.values[1] - q.values[0]
+                reach = Decimal(FENCE) * spread if isinstance(spread, Decimal) else FENCE * spread
+                out[c] = (q.values[0] - reach, q.values[1] + reach)
     return out
 
 
@@ -225,11 +241,11 @@ def detect_issues(df: DataFrame, key: str | None = None, columns=None) -> DataFr
 def quality_stats(df: DataFrame, key: str | None = None, columns=None) -> DataFrame:
     """One row: rows, missing cells, duplicates, length outliers and imbalance.
 
-    One scan and one chain of aggregates: equal rows combine by fingerprint, distinct
-    rows combine to one per label and length, and the rest works on those.
+    One scan: equal rows combine by fingerprint, distinct rows combine to one per label and
+    length. Those are written; quartiles and sums read them.
     """
     cols = _content(df, columns, key)
-    text, label = text_role(df.select(cols)), label_role(df.select(cols))
+    text, label = text_role(df.select([f"`{c}`" for c in cols])), label_role(df.select([f"`{c}`" for c in cols]))
     rows = df.select(
         fingerprint(df, cols).alias("fp"),
         sum((is_missing(df, c).cast("long") for c in cols), F.lit(0).cast("long")).alias("missing"),
@@ -237,40 +253,29 @@ def quality_stats(df: DataFrame, key: str | None = None, columns=None) -> DataFr
         (F.col(f"`{label}`").cast("string") if label else F.lit(None).cast("string")).alias("label"))
     distinct = rows.groupBy("fp").agg(
         F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("missing", "len", "label")])
-    cells = distinct.groupBy("label", "len").agg(
+    cells = written(distinct.groupBy("label", "len").agg(
         F.sum("n").alias("n"), F.sum(F.col("n") * F.col("missing")).alias("missing"),
-        F.sum(F.col("n") - 1).alias("repeats"))
-    sums = cells.groupingSets([["label"], ["len"]], "label", "len").agg(
-        F.sum("n").alias("n"), F.sum("missing").alias("missing"), F.sum("repeats").alias("repeats"),
-        F.grouping("len").alias("of_label"))
-    of_label = (F.col("of_label") == 1) & F.col("label").isNotNull()
-    of_length = (F.col("of_label") == 0) & F.col("len").isNotNull()
-    classes, zero = F.when(of_label, F.col("n")), F.lit(0).cast("long")
-    total = lambda c: F.coalesce(F.sum(F.when(F.col("of_label") == 1, F.col(c))), zero)
-    weight = F.when(of_length, F.col("n")).otherwise(0)
-    row = sums.agg(
-        total("n").alias("rows"), total("missing").alias("missing_count"),
-        total("repeats").alias("duplicates"),
-        F.round(F.max(classes) / F.min(classes), 3).alias("ratio"), F.count(classes).alias("k"),
-        F.percentile(F.when(of_length, F.col("len")), F.array(F.lit(.25), F.lit(.5), F.lit(.75)),
-                     weight).alias("q"),
-        F.try_divide(F.sum(F.when(of_length, F.col("len") * F.col("n"))),
-                     F.sum(F.when(of_length, F.col("n")))).alias("mean"),
-        F.collect_list(F.when(of_length, F.struct("len", "n"))).alias("lengths"))   # distinct lengths
-    spread = F.col("q")[2] - F.col("q")[0]
-    low, high = F.col("q")[0] - FENCE * spread, F.col("q")[2] + FENCE * spread
-    beyond = F.aggregate(
-        F.filter("lengths", lambda x: (x["len"] < low) | (x["len"] > high)), zero,
-        lambda s, x: s + x["n"])
+        F.sum(F.col("n") - 1).alias("repeats")), "quality-cells")
+    zero = F.lit(0).cast("long")
+    total = lambda c: F.coalesce(F.sum(c), zero)
+    row = cells.agg(total("n").alias("rows"), total("missing").alias("missing_count"), total("repeats").alias("duplicates"))
     out = ["rows", "missing_count", "duplicates"]
     if text:
-        out += [F.when(spread > 0, beyond).otherwise(zero).alias("outlier_rows"),
-                F.floor(F.col("q")[1]).cast("long").alias("median_text_len"),
-                F.round("mean", 1).alias("mean_text_len")]
+        q = group_quantiles(cells, [], "len", (0.25, 0.5, 0.75), weight="n").select("q")          # one row, or none
+        spread = F.col("q")[2] - F.col("q")[0]
+        beyond = (F.col("len") < F.col("q")[0] - FENCE * spread) | (F.col("len") > F.col("q")[2] + FENCE * spread)
+        found = cells.where("len IS NOT NULL").crossJoin(F.broadcast(q)).agg(
+            total(F.when(beyond & (spread > 0), F.col("n"))).alias("outlier_rows"),
+            F.floor(F.max(F.col("q")[1])).cast("long").alias("median_text_len"),
+            F.round(F.try_divide(F.sum(F.col("len") * F.col("n")), F.sum("n")), 1).alias("mean_text_len"))
+        row = row.crossJoin(F.broadcast(found))
+        out += ["outlier_rows", "median_text_len", "mean_text_len"]
     if label:
+        classes = cells.where("label IS NOT NULL").groupBy("label").agg(F.sum("n").alias("n")).agg(
+            F.round(F.max("n") / F.min("n"), 3).alias("ratio"), F.count("*").alias("k"))
+        row = row.crossJoin(F.broadcast(classes))
         several = F.col("k") >= 2
-        out += [F.when(several, F.col("ratio")).alias("imbalance_ratio"),
-                F.when(several, F.col("k")).alias("n_classes")]
+        out += [F.when(several, F.col("ratio")).alias("imbalance_ratio"), F.when(several, F.col("k")).alias("n_classes")]
     return row.select(*out)
 
 
@@ -333,8 +338,8 @@ def profile(df: DataFrame, key: str | None = None, columns=None) -> DataFrame:
     text, label = text_role(work), label_role(work)
     if text:
         n = F.length(F.col(f"`{text}`"))
-        row = work.agg(F.min(n).alias("min"), F.avg(n).alias("mean"), F.max(n).alias("max"),
-                       F.percentile(n, F.lit(0.95)).alias("p95"))
+        p95 = group_quantiles(work.select(n.alias("n")), [], "n", [0.95]).agg(F.max(F.col("q")[0]).alias("p95"))
+        row = work.agg(F.min(n).alias("min"), F.avg(n).alias("mean"), F.max(n).alias("max")).crossJoin(F.broadcast(p95))
         parts.append(_stack(row, [
             (F.lit("text_len"), F.lit(m),
              (F.round(m, 0) if m in ("mean", "p95") else F.col(m)).cast("double"))

@@ -9,11 +9,11 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.functions.keys import keep_first
+from corpusmill.functions.keys import keep_first, require_unique
 from corpusmill.functions.quantiles import exact_quantiles
 from corpusmill.operators.quality import (
     TEXT_LEN, fences, outlier_candidates, outside, with_text_length)
-from corpusmill.schema import nan_to_null, numeric_columns, role_columns, text_role
+from corpusmill.schema import nan_to_null, numeric_columns, role_columns, text_role, with_fraction
 
 # Named strategies and the text that stands for a missing text.
 PRESETS = {
@@ -35,15 +35,21 @@ def strategy_of(strategy) -> dict:
 
 
 def fill_missing(df: DataFrame, key: str) -> DataFrame:
-    """Missing text becomes ``[missing]``, missing numbers their column's median."""
+    """Missing text becomes ``[missing]``, missing numbers their column's median.
+
+    A median may lie between two values: integer and decimal columns get one decimal place more, exactly,
+    and floating columns are double, whether anything is missing or not.
+    """
     text, numeric = text_role(df), numeric_columns(df, exclude={key})
     out = df.fillna({text: MISSING_TEXT}) if text else df
     if not numeric:
         return out
-    medians = exact_quantiles(df, numeric, (0.5,))
-    return out.select(*[
-        F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(medians[c].values[0])).alias(c)
-        if c in numeric else F.col(f"`{c}`") for c in df.columns])
+    medians = exact_quantiles(df, numeric, (0.5,), exact=True)
+
+    def filled(c):
+        kind = with_fraction(df.schema[c].dataType, 1)
+        return F.coalesce(F.col(f"`{c}`").cast(kind), F.lit(medians[c].values[0]).cast(kind)).alias(c)
+    return out.select(*[filled(c) if c in numeric else F.col(f"`{c}`") for c in df.columns])
 
 
 def fix_missing(df: DataFrame, how: str, key: str) -> DataFrame:
@@ -54,8 +60,10 @@ def fix_missing(df: DataFrame, how: str, key: str) -> DataFrame:
 
 
 def fix_duplicates(df: DataFrame, how: str, key: str) -> DataFrame:
+    """One row of each group, the one with the smallest key; a key that is null or repeats is an error."""
     if how not in ("drop", "keep_first"):
         return df
+    require_unique(df.select(F.col(f"`{key}`")), key)
     return keep_first(df, role_columns(df) or [c for c in df.columns if c != key], key)
 
 
@@ -63,7 +71,9 @@ def fix_outliers(df: DataFrame, how: str, key: str) -> DataFrame:
     """Clip numbers to the fences, or drop rows outside fences or far by z-score.
 
     Text length is only ever a reason to drop a row: clipping does not cut text.
-    Every column's bounds come from the same, unfiltered table; null is kept.
+    Every column's bounds come from the same, unfiltered table; null is kept. A fence may be a fraction:
+    clipped integer and decimal columns get three decimal places more, exactly, and floating ones are
+    double, whether anything is clipped or not.
     """
     if how not in ("clip_iqr", "drop", "zscore_drop"):
         return df
@@ -76,8 +86,8 @@ def fix_outliers(df: DataFrame, how: str, key: str) -> DataFrame:
     # Several passes over a few numbers per row, after work that is worth doing once.
     narrow = work.select([F.col(f"`{c}`") for c in cols]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        bounds = fences(narrow, cols)
-        if not bounds:
+        bounds = fences(narrow, cols, exact=how == "clip_iqr")
+        if not bounds and how != "clip_iqr":
             return df
         stats = narrow.agg(*[a for i, c in enumerate(bounds) for a in (
             F.avg(f"`{c}`").alias(f"mean{i}"), F.stddev_samp(f"`{c}`").alias(f"std{i}"))]).head() \
@@ -86,11 +96,13 @@ def fix_outliers(df: DataFrame, how: str, key: str) -> DataFrame:
         narrow.unpersist()
     if how == "clip_iqr":
         def clipped(c):
-            x, (low, high) = F.col(f"`{c}`"), bounds[c]
-            return F.when(x < low, F.lit(low)).when(x > high, F.lit(high)).otherwise(x.cast("double"))
-        return df.select(*[clipped(c).alias(c) if c in bounds else
-                           F.col(f"`{c}`").cast("double").alias(c) if c in cols else F.col(f"`{c}`")
-                           for c in df.columns])
+            kind = with_fraction(df.schema[c].dataType, 3)
+            x = F.col(f"`{c}`").cast(kind)
+            if c in bounds:
+                low, high = (F.lit(v).cast(kind) for v in bounds[c])
+                x = F.when(x < low, low).when(x > high, high).otherwise(x)
+            return x.alias(c)
+        return df.select(*[clipped(c) if c in cols else F.col(f"`{c}`") for c in df.columns])
     keep = []
     for i, (c, b) in enumerate(bounds.items()):
         if how == "drop":

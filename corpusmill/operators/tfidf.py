@@ -6,19 +6,12 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corpusmill.functions.text import let, one_and_two_grams
 
 MIN_DF = 2
-_COUNTS = T.StructType([T.StructField("v", T.StructType([
-    T.StructField("type", T.ByteType()), T.StructField("size", T.IntegerType()),
-    T.StructField("indices", T.ArrayType(T.IntegerType())),
-    T.StructField("values", T.ArrayType(T.DoubleType()))]))])
-_VECTOR = T.StructType([T.StructField("v", VectorUDT())])
 
 
 def _grams(text: str) -> Column:
@@ -77,34 +70,28 @@ class TfidfModel:
     def _weights(self, df: DataFrame, text: str) -> DataFrame:
         """Add ``_w``: ``{indices, values}`` with unit norm. Row-local: no shuffle.
 
-        Spark ML counts terms against the vocabulary with a hash map per row. Vectors have
-        no SQL accessor; their JSON form is the built-in way in and out.
+        Spark ML counts terms against the vocabulary with a hash map per row.
         """
-        spark = df.sparkSession
         counted = self._counter.transform(df.withColumn("_g", _grams(text)))
         # One broadcast row, at most max_features numbers.
-        weights = spark.createDataFrame([(list(self.idf),)], "_idf array<double>")
-        raw = F.from_json(F.to_json(F.struct(F.col("_c").alias("v"))), _COUNTS)["v"]
+        weights = df.sparkSession.createDataFrame([(list(self.idf),)], "_idf array<double>")
 
         def scaled(c: Column) -> Column:
-            tf_idf = F.zip_with(c["indices"], c["values"], lambda i, v: (
-                (1.0 + F.log(v)) * F.element_at("_idf", i + 1)))
+            tf_idf = F.zip_with(c["indices"], c["values"], lambda i, v: (1.0 + F.log(v)) * F.get("_idf", i))
             return F.struct(c["indices"].alias("indices"), let(tf_idf, unit).alias("values"))
 
         def unit(w: Column) -> Column:
             norm = F.sqrt(F.aggregate(w, F.lit(0.0), lambda s, x: s + x * x))
             return let(norm, lambda n: F.transform(w, lambda x: x / n))
 
-        return counted.crossJoin(F.broadcast(weights)).select(*df.columns, let(raw, scaled).alias("_w"))
+        return counted.crossJoin(F.broadcast(weights)).select(
+            *[f"`{c}`" for c in df.columns], let(F.unwrap_udt("_c"), scaled).alias("_w"))
 
     def transform(self, df: DataFrame, text: str = "text", into: str = "features") -> DataFrame:
-        """Add sparse vectors; a row without any vocabulary term gets the zero vector."""
+        """Add sparse rows ``{indices, values}``; a row without any vocabulary term has none."""
         if not self.terms:
             raise ValueError("the vocabulary is empty: no term occurs in enough rows")
-        parts = F.struct(F.lit(0).alias("type"), F.lit(len(self.terms)).alias("size"),
-                         F.col("_w.indices").alias("indices"), F.col("_w.values").alias("values"))
-        vector = F.from_json(F.to_json(F.struct(parts.alias("v"))), _VECTOR)["v"]
-        return self._weights(df, text).select(*df.columns, vector.alias(into))
+        return self._weights(df, text).withColumnRenamed("_w", into)
 
     def long_form(self, df: DataFrame, key: str, text: str = "text") -> DataFrame:
         """``(key, term, weight)``; rows without a term do not appear."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpusmill.durable import written
 from corpusmill.operators import annotate, learn, repair, review, tfidf
 from corpusmill.plans import curation
 from corpusmill.plans.queries_label import WITH as WITH_LABELLED
@@ -64,9 +65,9 @@ def topk_uncertain(spark, sf):
 
 
 def reviewed(spark, sf):
-    """Every row labelled, after a simulated review."""
+    """Every row labelled, after a simulated review; written, as learning reads it many times."""
     rows = labelled(spark, sf)
-    return review.merge_review(rows, review.simulate_review(review.review_queue(rows, "row_id")), "row_id")
+    return written(review.merge_review(rows, review.simulate_review(review.review_queue(rows, "row_id")), "row_id"), "reviewed")
 
 
 POOL = f"""{WITH_LABELLED}, pool AS (
@@ -152,3 +153,37 @@ def curation_summary(spark, sf):
     settings = curation.Settings(lexicon=LEXICON, n_iterations=1)
     out = curation.summary(curation.run(corpus(spark, sf), settings))
     return out.where(~F.col("metric").isin("accuracy", "f1_macro"))
+
+
+# What a fit yields has no SQL form: tests/test_learn.py fits the same rows by brute force.
+
+@query("train_report")
+def train_report(spark, sf):
+    """Precision, recall, F1 and support of every class, with accuracy and averages."""
+    trained = learn.train_and_evaluate(corpus(spark, sf), "row_id")
+    return learn.report_with_averages(trained.predictions, "label")
+
+
+@query("al_rounds")
+def al_rounds(spark, sf):
+    """Sizes, mean uncertainty, hold-out metrics and solver steps of every round."""
+    return learn.run_cycle(reviewed(spark, sf), "row_id").iterations
+
+
+@query("al_picks")
+def al_picks(spark, sf):
+    """The rows that every round selects, with their uncertainty."""
+    found = learn.run_cycle(reviewed(spark, sf), "row_id").selected
+    return found.select("row_id", "label", "al_iteration", F.round("al_uncertainty", 4).alias("al_uncertainty"))
+
+
+@query("uncertainty_values")
+def uncertainty_values(spark, sf):
+    out = learn.score_uncertainty(reviewed(spark, sf), "row_id", n_iterations=1)
+    return out.select("row_id", F.round("al_uncertainty", 4).alias("al_uncertainty"))
+
+
+@query("curation_report")
+def curation_report(spark, sf):
+    """All final numbers of a run, accuracy and F1 included."""
+    return curation.summary(curation.run(corpus(spark, sf), curation.Settings(lexicon=LEXICON, n_iterations=1)))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusmill.operators import quality, repair
 from corpusmill.plans.registry import CORPUS, UNIFIED, corpus, query, table
@@ -204,8 +205,14 @@ def _repair_sql(missing, outliers, name="fixed"):
     return f"{m}, {d}, {b}, {name} AS (SELECT {cols} FROM d, b {where})"
 
 
+def _plain(df):
+    """Exact decimals as doubles, which is what the SQL twins return."""
+    return df.select([F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
+                      for f in df.schema.fields])
+
+
 def _fix(strategy):
-    return lambda spark, sf: repair.fix(_wide(spark, sf), strategy, "row_id")
+    return lambda spark, sf: _plain(repair.fix(_wide(spark, sf), strategy, "row_id"))
 
 
 def _wide(spark, sf):
@@ -242,6 +249,48 @@ def fix_events_clip(spark, sf):
     return out.withColumn("value", F.round("value", 4))
 
 
+BIG = 9007199254740993                     # the first integer that no double holds
+
+
+@query("fix_big_numbers", f"""
+WITH n AS (
+  SELECT o_orderkey, CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey + {BIG} END AS big,
+         CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(o_totalprice AS DECIMAL(20, 2)) END AS price FROM orders),
+b AS (SELECT big, row_number() OVER (ORDER BY big) AS i, count(*) OVER () AS k FROM n WHERE big IS NOT NULL),
+p AS (SELECT price, row_number() OVER (ORDER BY price) AS i, count(*) OVER () AS k FROM n WHERE price IS NOT NULL),
+m AS (SELECT
+  (SELECT CASE WHEN count(*) = 1 THEN max(big) * 10 ELSE sum(big) * 5 END FROM b WHERE i IN ((k + 1) // 2, (k + 2) // 2)) AS tenths,
+  (SELECT CASE WHEN count(*) = 1 THEN max(price) * 2 ELSE sum(price) END FROM p WHERE i IN ((k + 1) // 2, (k + 2) // 2)) AS twice)
+SELECT o_orderkey, coalesce(CAST(big AS VARCHAR) || '.0', CAST(tenths // 10 AS VARCHAR) || '.' || CAST(tenths % 10 AS VARCHAR)) AS big,
+       CAST(coalesce(CAST(price AS DECIMAL(24, 3)), CAST(twice * 0.5 AS DECIMAL(24, 3))) AS VARCHAR) AS price FROM n, m""")
+def fix_big_numbers(spark, sf):
+    """Medians of integers and decimals beyond the precision of a double, as text."""
+    known = F.col("o_orderpriority") != "5-LOW"
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", F.when(known, F.col("o_custkey") + F.lit(BIG)).alias("big"),
+        F.when(known, F.col("o_totalprice").cast("decimal(20,2)")).alias("price"))
+    out = repair.fix(orders, {"missing": "fill", "duplicates": "none", "outliers": "none"}, "o_orderkey")
+    return out.select("o_orderkey", F.col("big").cast("string").alias("big"), F.col("price").cast("string").alias("price"))
+
+
+@query("clip_big_numbers", f"""
+WITH n AS (SELECT l_orderkey, l_linenumber, l_partkey * l_partkey + {BIG} AS big FROM lineitem),
+r AS (SELECT big, row_number() OVER (ORDER BY big) - 1 AS i, count(*) OVER () AS k FROM n),
+q AS (SELECT
+  (SELECT min(big) FILTER (i = (k - 1) // 4) * (4 - any_value((k - 1) % 4)) + min(big) FILTER (i = (k + 2) // 4) * any_value((k - 1) % 4) FROM r) AS q1,
+  (SELECT min(big) FILTER (i = (3 * (k - 1)) // 4) * (4 - any_value((3 * (k - 1)) % 4))
+     + min(big) FILTER (i = (3 * (k - 1) + 3) // 4) * any_value((3 * (k - 1)) % 4) FROM r) AS q3),
+f AS (SELECT 5 * q1 - 3 * q3 AS low, 5 * q3 - 3 * q1 AS high FROM q),
+c AS (SELECT l_orderkey, l_linenumber, least(greatest(CAST(big AS HUGEINT) * 8, low), high) AS eighths FROM n, f)
+SELECT l_orderkey, l_linenumber, CAST(eighths // 8 AS VARCHAR) || '.' || lpad(CAST(eighths % 8 * 125 AS VARCHAR), 3, '0') AS big FROM c""")
+def clip_big_numbers(spark, sf):
+    """Fences of integers beyond the precision of a double, as text."""
+    lines = table(spark, sf, "lineitem").select(
+        F.struct("l_orderkey", "l_linenumber").alias("line"), (F.col("l_partkey") * F.col("l_partkey") + F.lit(BIG)).alias("big"))
+    out = repair.fix(lines, {"missing": "none", "duplicates": "none", "outliers": "clip_iqr"}, "line")
+    return out.select("line.l_orderkey", "line.l_linenumber", F.col("big").cast("string").alias("big"))
+
+
 @query("fix_report", f"""
 WITH {CORPUS}, {_repair_sql('drop', 'drop')},
 c AS (SELECT (SELECT count(*) FROM corpus) AS n0, (SELECT count(*) FROM m) AS n1,

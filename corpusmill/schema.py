@@ -41,6 +41,20 @@ def is_floating(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.FloatType, T.DoubleType))
 
 
+def with_fraction(dtype: T.DataType, digits: int) -> T.DataType:
+    """The type of a numeric column's values with ``digits`` more decimal places.
+
+    Floating columns become double. Integers and decimals stay exact; where 38 digits would not do,
+    the places are fewer.
+    """
+    if is_floating(dtype):
+        return T.DoubleType()
+    whole, places = {T.ByteType: (3, 0), T.ShortType: (5, 0), T.IntegerType: (10, 0), T.LongType: (19, 0)}.get(
+        type(dtype)) or (dtype.precision - dtype.scale, dtype.scale)
+    places = min(places + digits, 38 - whole)
+    return T.DecimalType(whole + places, places)
+
+
 def is_missing(df: DataFrame, name: str) -> Column:
     """Null, or NaN for floating columns."""
     c = F.col(f"`{name}`")

@@ -25,30 +25,61 @@ CSV_MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-n
 # Names a split specification may use.
 SPLIT_NAMES = ("train", "test", "validation", "unsupervised")
 
+FILE_ORDER = ("file_no", "_file", "_block", "row_no")     # of rows in listed files
+
 ENVELOPE_BATCH = 100
 STRICT = {"mode": "FAILFAST"}
 ALLOW_LOOKAHEAD = 8
 
 
+def lines_are_records(spark: SparkSession, path) -> bool:
+    """Whether no record of these CSV files goes over a line end, so that files can be read in splits.
+
+    Quotes come in pairs within a record. If every line has an even number of them, every line
+    ends outside of quotes. Lines of nothing but blanks are left to the reader of whole files.
+    """
+    line = F.col("value")
+    open_quote = (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
+    blank = (F.length(line) > 0) & ~line.rlike(r"[^\x00-\x20]")
+    return spark.read.text(path).where(open_quote | blank).isEmpty()
+
+
+def _scan_csv(spark: SparkSession, path, options: dict) -> DataFrame:
+    opts = {"header": True, "escape": '"', "inferSchema": False, **options}
+    if "multiLine" not in opts:
+        plain = not {"quote", "escape", "encoding", "charset", "lineSep", "comment"} & set(options)
+        opts["multiLine"] = not (plain and lines_are_records(spark, path))
+    return spark.read.options(**opts).csv(path)
+
+
+def _cells(columns, missing) -> list[Column]:
+    if not missing:
+        return [F.col(f"`{c}`") for c in columns]
+    return [F.when(~F.col(f"`{c}`").isin(*missing), F.col(f"`{c}`")).alias(c) for c in columns]
+
+
 def read_csv(spark: SparkSession, path, missing=CSV_MISSING, **options) -> DataFrame:
     """Header CSV as strings, with quoted newlines; cells in ``missing`` become null.
 
-    Columns stay strings so a label ``1`` never turns into ``1.0``.
+    Columns stay strings so a label ``1`` never turns into ``1.0``. Where a first pass over the lines finds no
+    record of several lines, a large file is read by many tasks; ``multiLine`` decides it without that pass.
     """
-    opts = {"header": True, "multiLine": True, "escape": '"', "inferSchema": False, **options}
-    df = spark.read.options(**opts).csv(path)
-    if not missing:
-        return df
-    return df.select([
-        F.when(~F.col(f"`{c}`").isin(*missing), F.col(f"`{c}`")).alias(c) for c in df.columns])
+    df = _scan_csv(spark, path, options)
+    return df.select(_cells(df.columns, missing))
+
 
+def read_csv_in_order(spark: SparkSession, paths, missing=CSV_MISSING, **options) -> DataFrame:
+    """Listed CSV files or folders, with the columns of ``FILE_ORDER`` for caps that follow file order.
 
-def read_csv_in_order(spark: SparkSession, paths, **options) -> DataFrame:
-    """Listed CSV files with ``file_no`` and ``row_no`` for caps that follow file order."""
-    parts = [
-        read_csv(spark, p, **options).select(
-            F.lit(i).alias("file_no"), F.monotonically_increasing_id().alias("row_no"), "*")
-        for i, p in enumerate(paths)]
+    A folder's files follow their names, their rows the place in the file, however Spark packs files into tasks.
+    """
+    parts = []
+    for i, p in enumerate(paths):
+        df = _scan_csv(spark, p, options)
+        parts.append(df.select(
+            F.lit(i).alias("file_no"), F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("row_no"),
+            *_cells(df.columns, missing)))
     return merge(parts, columns=None)
 
 
@@ -70,13 +101,15 @@ def first_csv_below(spark: SparkSession, folder: str, max_rows: int | None = Non
     first = listed.agg(F.min("path")).head()[0]
     if first is None:
         raise FileNotFoundError(f"no CSV file below {folder}")
-    return capped_concat(read_csv_in_order(spark, [first], **options), max_rows).drop(
-        "file_no", "row_no")
+    return capped_concat(read_csv_in_order(spark, [first], **options), max_rows).drop(*FILE_ORDER)
+
 
+def capped_concat(df: DataFrame, max_rows: int | None, order=FILE_ORDER) -> DataFrame:
+    """One cap over many files taken in order: later files fill what earlier ones leave.
 
-def capped_concat(df: DataFrame, max_rows: int | None, file_no="file_no", row_no="row_no") -> DataFrame:
-    """One cap over many files taken in order: later files fill what earlier ones leave."""
-    return first_rows(df, max_rows, [file_no, row_no])
+    ``order`` names the columns that rows follow; those that ``df`` doesn't have are left out.
+    """
+    return first_rows(df, max_rows, [c for c in order if c in df.columns])
 
 
 def allow_listed(df: DataFrame, label: str, allowed, max_rows: int | None, order) -> DataFrame:

@@ -6,12 +6,19 @@ import re
 
 import numpy as np
 import pytest
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from corpusmill.operators import annotate, learn, tfidf
 from corpusmill.plans import curation
 
+
+
+def dense(cell, width):
+    out = np.zeros(width)
+    out[cell.indices] = cell["values"]
+    return list(out)
+
+
 DOCS = ["the cat sat on the mat", "the dog sat", "a cat and a dog and a cat", "", None, "zzz unique words only", "dog dog dog mat"]
 
 
@@ -42,10 +49,9 @@ def test_tfidf_equals_brute_force(spark, cap):
     assert list(model.terms) == terms
     got = {(r.row_id, r.term): r.weight for r in model.long_form(df, "row_id").collect()}
     assert got == pytest.approx(want)
-    dense = {r.row_id: r.v for r in model.transform(df).select(
-        "row_id", vector_to_array("features").alias("v")).collect()}
-    assert len(dense) == len(DOCS) and dense[3] == [0.0] * len(terms)
-    assert {(i, terms[j]): x for i, v in dense.items() for j, x in enumerate(v) if x} == pytest.approx(want)
+    rows = {r.row_id: dense(r.features, len(terms)) for r in model.transform(df).collect()}
+    assert len(rows) == len(DOCS) and rows[3] == [0.0] * len(terms)
+    assert {(i, terms[j]): x for i, v in rows.items() for j, x in enumerate(v) if x} == pytest.approx(want)
 
 
 def test_model_round_trip(spark, tmp_path):
@@ -79,20 +85,81 @@ def toy(spark, n=120):
 def test_classifier_is_at_the_optimum(spark):
     df = toy(spark)
     model = tfidf.TfidfModel.fit(df, 50)
+    width = len(model.terms)
     feats = model.transform(df).cache()
-    fitted = learn.fit_classifier(feats, "label", tol=1e-10).stages[0]
-    x = np.array([r.v for r in feats.orderBy("row_id").select(vector_to_array("features").alias("v")).collect()])
-    y = np.array([r.label == "pos" for r in feats.orderBy("row_id").collect()], float)
+    fitted = learn.fit_classifier(feats, "label", "row_id", width, tol=1e-10)
+    assert fitted.labels == ("neg", "pos") and fitted.rows == 120 and 0 < fitted.iterations < 1000
+    rows = feats.orderBy("row_id").collect()
+    x = np.array([dense(r.features, width) for r in rows])
+    y = np.array([r.label == "pos" for r in rows], float)
     sw = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
-    w, b = fitted.coefficients.toArray(), fitted.intercept
+    w, b = fitted.coefficients[0], fitted.intercepts[0]
     p = 1 / (1 + np.exp(-(x @ w + b)))
     assert np.abs(w + x.T @ (sw * (p - y))).max() < 1e-3 and abs((sw * (p - y)).sum()) < 1e-3
+    scored = {r.row_id: r for r in fitted.transform(feats).collect()}
+    assert [scored[r.row_id].probability[1] for r in rows] == pytest.approx(list(p))
+    assert all(r.prediction_label == ("pos" if r.probability[1] > .5 else "neg") for r in scored.values())
+    again = learn.fit_classifier(feats, "label", "row_id", width, tol=1e-10, start=fitted)
+    assert again.iterations <= 1 and again.coefficients[0] == pytest.approx(w, abs=1e-6)
+
+
+def test_three_classes_are_at_the_optimum(spark):
+    df = toy(spark).withColumn("label", F.when(F.col("row_id") % 5 == 0, "odd").otherwise(F.col("label")))
+    model = tfidf.TfidfModel.fit(df, 50)
+    width = len(model.terms)
+    feats = model.transform(df).cache()
+    fitted = learn.fit_classifier(feats, "label", "row_id", width, c=0.5, tol=1e-9)
+    rows = feats.orderBy("row_id").collect()
+    x = np.array([dense(r.features, width) for r in rows])
+    y = np.array([[r.label == label for label in fitted.labels] for r in rows], float)
+    sw = (len(rows) / (3 * y.sum(axis=0)))[y.argmax(axis=1)][:, None]
+    margin = x @ fitted.coefficients.T + fitted.intercepts
+    p = np.exp(margin) / np.exp(margin).sum(axis=1, keepdims=True)
+    assert np.abs(fitted.coefficients / 0.5 + (sw * (p - y)).T @ x).max() < 1e-3
+    scored = {r.row_id: r for r in fitted.transform(feats).collect()}
+    assert np.array([scored[r.row_id].probability for r in rows]) == pytest.approx(p)
+    assert [scored[r.row_id].prediction_label for r in rows] == [fitted.labels[k] for k in p.argmax(axis=1)]
+
+
+def test_fit_on_a_bounded_sample(spark):
+    df = toy(spark, 400)
+    model = tfidf.TfidfModel.fit(df, 50)
+    feats = model.transform(df).cache()
+    fitted = learn.fit_classifier(feats, "label", "row_id", len(model.terms), max_fit_rows=100)
+    assert 98 <= fitted.rows <= 102                           # a share of each class, rounded
+    same = learn.fit_classifier(feats.repartition(7), "label", "row_id", len(model.terms), max_fit_rows=100)
+    assert same.coefficients[0] == pytest.approx(fitted.coefficients[0])
+    assert learn.scores(fitted.transform(feats), "label")["accuracy"] > .95
+    rare = feats.withColumn("label", F.when(F.col("row_id") == 3, "rare").otherwise(F.col("label")))
+    assert learn.fit_classifier(rare, "label", "row_id", len(model.terms), max_fit_rows=50).labels == ("neg", "pos", "rare")
+
+
+def test_saved_classifier_scores_the_same(spark, tmp_path):
+    df = toy(spark)
+    model = tfidf.TfidfModel.fit(df, 50)
+    feats = model.transform(df)
+    fitted = learn.fit_classifier(feats, "label", "row_id", len(model.terms))
+    fitted.save(spark, str(tmp_path / "m"))
+    loaded = learn.Classifier.load(spark, str(tmp_path / "m"))
+    a, b = ({r.row_id: r.probability for r in m.transform(feats).collect()} for m in (fitted, loaded))
+    assert a == b and loaded.iterations == fitted.iterations
+
+
+@pytest.mark.parametrize("rows", [
+    [(1, "a", "pos")] * 60, [(1, f"t{i}", "pos") for i in range(60)],
+    [(i % 3, f"t{i % 4}", "pos") for i in range(60)] + [(7, "x", "neg")] * 10])
+def test_split_of_repeated_keys_is_exact(spark, rows):
+    df = spark.createDataFrame(rows, "id long, text string, label string")
+    parts = [sorted(map(tuple, learn.stratified_split(d, "label", "id", .2).collect())) for d in (df, df.repartition(5))]
+    assert parts[0] == parts[1] and len(parts[0]) == len(rows)
+    tests = Counter(label for *_, label, test in parts[0] if test)
+    assert tests == {label: math.floor(n * .2 + .5) for label, n in Counter(r[2] for r in rows).items()}
 
 
 def test_one_class_is_an_error(spark):
     df = toy(spark).where("label = 'pos'").withColumn("features", F.lit(None))
     with pytest.raises(learn.OneClass):
-        learn.fit_classifier(df, "label")
+        learn.fit_classifier(df, "label", "row_id", 1)
 
 
 def test_roles(spark):

@@ -41,8 +41,12 @@ def test_query_matches_sql(spark, duck, name):
     assert canonical(df.collect(), df.columns) == canonical(result.fetchall(), names)
 
 
+# Values of fitted models, which test_learn.py checks against a brute-force fit.
+FITTED = {"train_report", "al_rounds", "al_picks", "uncertainty_values", "curation_report"}
+
+
 def test_every_query_has_sql():
-    assert {n for n in entry.queries() if not re.match(r"op\d+_|pipeline$", n)} == set(OWN)
+    assert {n for n in entry.queries() if not re.match(r"op\d+_|pipeline$", n)} == set(OWN) | FITTED
 
 
 def test_entry_has_rows(spark):
