@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions.keys import small_side
+from corpusmill.llm.tables import Scratch, fresh
 
 SUPPORT = 0.8                  # share of a host's pages that have a template token
 LEAST_PAGES = 5                # of a host, for a template
@@ -69,6 +70,7 @@ class _Open:
     path: str
     outside: bool
     labelled: tuple = ()
+    names: Counter = field(default_factory=Counter)      # of its children in paths
 
 
 @dataclass(slots=True)
@@ -162,6 +164,9 @@ def parsed(source: str) -> Page:
         above = stack[-1]
         path = above.path
         if tag in BLOCK and path.count("/") < DEPTH:
+            above.names[name] += 1
+            if above.names[name] > 1 and tag not in SINGLE:    # columns and cards of one name stand apart
+                name = f"{name}#{above.names[name]}"
             path = f"{path}/{name}"
             page.paths[path] += 1
             if tag in ("article", "main") and not above.outside and not outside:
@@ -231,7 +236,7 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["host", "path", "text", "n", "chars", "held", "page"])
 
 
-def templates(pages: DataFrame) -> DataFrame:
+def templates(pages: DataFrame, scratch: Scratch) -> DataFrame:
     """(host, paths, texts): template elements with the text below them, and texts of template classes.
 
     ``paths`` has elements that stand at most once on a page, and on ``SUPPORT`` of the host's pages;
@@ -243,6 +248,8 @@ def templates(pages: DataFrame) -> DataFrame:
     vector = F.sum(F.xxhash64("page", "n").bitwiseAND(F.lit((1 << 40) - 1)))
     stats = tokens.groupBy("host", "path", "text").agg(
         F.count("*").alias("pages"), F.sum("n").alias("n"), F.sum("chars").alias("chars"), F.sum("held").alias("held"), vector.alias("vector"))
+    # Two branches read the counts: without a table every page would be parsed for each of them.
+    stats = scratch.write(stats.where("pages > 1 or path is not null"), "tokens")
     total = F.max(F.when(F.size(F.split("path", "/")) == 2, F.col("pages")))
     sizes = stats.where("path is not null").groupBy("host").agg(total.alias("total"))
     frequent = stats.where("pages > 1").join(sizes.where(F.col("total") >= LEAST_PAGES), "host").where(
@@ -286,11 +293,11 @@ def _root(whole: dict[str, int]) -> str | None:
 
 
 def _tag(path: str) -> str:
-    return path.rpartition("/")[2].partition(".")[0]
+    return path.rpartition("/")[2].partition("#")[0].partition(".")[0]
 
 
 def _named(path: str) -> bool:
-    tag, *words = path.rsplit("/", 1)[1].split(".")
+    tag, *words = path.rsplit("/", 1)[1].partition("#")[0].split(".")
     return tag in ("article", "main") or (tag in ("div", "section", "td") and not CONTENT.isdisjoint(words))
 
 
@@ -330,15 +337,18 @@ def extracted(pages: DataFrame, url: str = "url", html: str = "html", text: str
     """
     source = F.coalesce(F.col(f"`{html}`").cast("string"), F.lit(""))
     keep = [c for c in pages.columns if c != text]
-    pages = pages.select(*[f"`{c}`" for c in keep], host_of(F.col(f"`{url}`")).alias("_host"))
-    known = pages.where("_host <> ''").select(
-        F.col("_host").alias("host"), source.alias("html"),
+    host, own_paths, own_texts = fresh(pages, "_host", "_paths", "_texts")
+    pages = pages.select(*[f"`{c}`" for c in keep], host_of(F.col(f"`{url}`")).alias(host))
+    known = pages.where(F.col(host) != "").select(
+        F.col(host).alias("host"), source.alias("html"),
         F.xxhash64(F.col(f"`{url}`"), F.col(f"`{html}`")).alias("page"))
-    found = small_side(templates(known), MOST_HOSTS).select(F.col("host").alias("_host"), "paths", "texts")
+    scratch = Scratch(pages.sparkSession, "pages")
+    found = small_side(templates(known, scratch), MOST_HOSTS).select(
+        F.col("host").alias(host), F.col("paths").alias(own_paths), F.col("texts").alias(own_texts))
 
     @F.arrow_udf("string")
     def main_text(html: pa.Array, paths: pa.Array, texts: pa.Array) -> pa.Array:
         return pa.array([article(h.as_py(), p.as_py(), t.as_py()) for h, p, t in zip(html, paths, texts)], pa.string())
 
-    return pages.join(found, "_host", "left").select(
-        *[f"`{c}`" for c in keep], main_text(source, "paths", "texts").alias(text))
+    return pages.join(found, host, "left").select(
+        *[f"`{c}`" for c in keep], main_text(source, own_paths, own_texts).alias(text))

@@ -85,3 +85,20 @@ def test_given_pages_by_brute_force(small):
         blocks = [re.sub("</?b>", "", re.sub("<br>", " ", x)) for x in re.split(r"</?(?:h1|p)>", inner)]
         blocks = [re.sub(r"\s+", " ", entities.unescape(x)).strip() for x in blocks]
         assert r["text"] == "\n".join(x for x in blocks if x)
+
+
+def test_columns_of_one_name_stand_apart(spark):
+    """The sidebar has the article column's class but for a digit, no telling name, and varies from page to page."""
+    rows = [(i, f"https://grid.example/p{i}", f"<html><body><div class='row'><div class='col-md-8'><p>{f'Story {i} ' * 30}</p></div>"
+             f"<div class='col-md-4'><p>Elsewhere {i * 7} today</p></div></div></body></html>") for i in range(12)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert [r["text"] for r in html_text.extracted(df).orderBy("page_id").collect()] == [(f"Story {i} " * 30).strip() for i in range(12)]
+
+
+def test_clashing_columns(spark):
+    page = "<html><body><article><p>Body of it</p></article></body></html>"
+    df = spark.createDataFrame([(i, f"https://a.example/{i}", page) for i in range(6)], "page_id long, url string, html string")
+    df = df.selectExpr("*", "'p' AS paths", "'t' AS texts", "'h' AS _host", "'x' AS _paths", "'y' AS host", "'z' AS page")
+    out = html_text.extracted(df)
+    assert out.columns == [*df.columns, "text"]
+    assert {(r["text"], r["paths"], r["_host"], r["_paths"], r["host"]) for r in out.collect()} == {("Body of it", "p", "h", "x", "y")}
