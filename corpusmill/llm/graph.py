@@ -42,6 +42,8 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
             ends.where("a_up <> b_up").select(F.least("a_up", "b_up").alias("a"),
                                               F.greatest("a_up", "b_up").alias("b")).distinct(),
             f"{name}-links{turn}")
+        for table in ("hook", "jump", "links", "found"):       # what nothing reads any more
+            scratch.drop(f"{name}-{table}{turn - 1 - (table == 'found')}")
     if found is None:
         return left.select(F.col("a").alias("id"), F.col("b").alias("component"))
     return found

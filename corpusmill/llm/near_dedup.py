@@ -1,18 +1,20 @@
 """Near-duplicate groups: chosen-path set similarity join over word shingles.
 
 A document is the set of its distinct word shingles. Minwise hash functions choose tokens of the
-set. A tree starts with all documents in one node; every node picks ``BRANCH`` functions, and a
-document goes on to the child named by (function, chosen token). Two sets of similarity J go
-together along one branch with probability J, so a pair at the threshold is lost by a tree with
-the fixed-point probability of ``lost`` below, however deep it grows, while unrelated sets part.
-Independent trees are repeated until the chance of losing a pair falls below ``1 - recall``.
-
-Small nodes are compared exhaustively. In a node beyond ``SMALL_NODE`` every member is compared
-with four members (the extremes of four orders of the ids), linked members are contracted to one
-class, and only nodes that still hold several classes grow further. A group of thousands of
-near copies thereby costs a few comparisons a member, and all pairs of it are never formed.
-Where a node is still large and holds several classes when the tree ends, all pairs of different
-classes are compared, in tiles of about ``TILE`` by ``TILE`` members.
+set. A tree starts with all documents in one node; every node picks one function, and with chance
+``EXTRA`` a second one, and a document goes on to the child named by (function, chosen token). Two sets of similarity J
+go together along one branch with probability J, so pairs well below the threshold thin out with every
+level, while a pair at the threshold is lost by a tree with the chance of ``lost`` below. Independent
+trees are repeated until the chance of losing a pair falls below ``1 - recall``.
+
+Nodes are looked at after some levels. Small ones are compared exhaustively. In a node beyond
+``SMALL_NODE`` every member is compared with four members (the extremes of four orders of the ids),
+and linked members are contracted to one class. A group of thousands of near copies thereby costs a few
+comparisons a member, and all pairs of it are never formed. Where other members stand beside a class that
+has a good part of a node, they are compared with that whole class, once for all nodes: the full sets of
+both meet in tiles of about ``TILE`` by ``TILE``, and only links come out. What is left of a node without such classes
+is small, or grows further. Where it is still large and holds several classes when the trees end, all pairs of
+different classes are compared, in tiles as well.
 Every link is confirmed on the full sets; copies with equal sets are one vertex from the start.
 """
 
@@ -30,12 +32,15 @@ from corpusmill.llm.graph import components
 from corpusmill.llm.tables import Scratch
 from corpusmill.llm.words import mix, seeded, word_slices
 
-BRANCH = 2                   # functions that a node picks
+EXTRA = 0.4                  # chance that a node picks a second function
 START_DEPTH = 3              # levels before nodes are looked at first
-MORE_DEPTH = 4               # levels to the second look
-MAX_DEPTH = START_DEPTH + MORE_DEPTH
+MORE_DEPTH = 4               # levels to the next look
+LOOKS = 3
+MAX_DEPTH = START_DEPTH + (LOOKS - 1) * MORE_DEPTH
 SMALL_NODE = 32              # members up to which a node is compared exhaustively
 TILE = 512                   # members, about, of a side of a tile
+TILE_TOKENS = 300_000        # tokens, about, of their sets
+MOST_CLASSES = 64            # classes of a node that others are compared with as a whole
 FUNCTIONS = 128              # minwise functions to pick from
 SKETCH_BITS = 64
 ORDERS = (0, -1, 0x5555555555555555, 0x3333333333333333)     # of ids, by exclusive or
@@ -48,7 +53,8 @@ def lost(similarity: float, depth: int) -> float:
     """Chance that one tree parts a pair of this similarity within ``depth`` levels."""
     q = 0.0
     for _ in range(depth):
-        q = (1 - similarity + similarity * q) ** BRANCH
+        u = 1 - similarity + similarity * q
+        q = (1 - EXTRA) * u + EXTRA * u * u
     return q
 
 
@@ -114,37 +120,42 @@ def _signatures(n: int):
     return run
 
 
-def _children(nodes: np.ndarray, minima: np.ndarray) -> np.ndarray:
-    """Child nodes, ``BRANCH`` for each node; functions are picked by the node alone."""
-    out = np.empty((len(nodes), BRANCH), np.uint64)
-    rows = np.arange(len(nodes))
+def _children(nodes: np.ndarray, rows: np.ndarray, minima: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Child nodes and their rows; functions are picked by the node alone."""
+    out_nodes, out_rows = [], []
     with np.errstate(over="ignore"):
-        for j in range(BRANCH):
+        for j in range(2):
             pick = mix(nodes + np.uint64(j + 1))
+            if j:
+                again = (pick >> np.uint64(40)).astype(np.float64) < EXTRA * (1 << 24)
+                pick, rows = pick[again], rows[again]
             f = (pick % np.uint64(FUNCTIONS)).astype(np.int64)
-            out[:, j] = mix(pick ^ mix(minima[rows, f].astype(np.uint64) + (f.astype(np.uint64) << np.uint64(40))))
-    return out
+            out_nodes.append(mix(pick ^ mix(minima[rows, f].astype(np.uint64) + (f.astype(np.uint64) << np.uint64(40)))))
+            out_rows.append(rows)
+    return np.concatenate(out_nodes), np.concatenate(out_rows)
+
+
+_ABOUT = ["id", "sketch", "n_shingles", "class"]
 
 
 def _grow(levels: int, roots: np.ndarray | None = None):
     """Nodes ``levels`` further down, as an array for each row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
+            n = batch.num_rows
+            if not n:
                 continue
-            minima = np.frombuffer(b"".join(batch.column("minima").to_pylist()), np.uint32)
-            minima = minima.reshape(batch.num_rows, FUNCTIONS)
+            minima = np.frombuffer(b"".join(batch.column("minima").to_pylist()), np.uint32).reshape(n, FUNCTIONS)
             if roots is None:
-                nodes = batch.column("node").to_numpy().view(np.uint64)[:, None]
+                nodes, rows = batch.column("node").to_numpy().view(np.uint64), np.arange(n)
             else:
-                nodes = np.repeat(roots[None, :], batch.num_rows, axis=0)
+                nodes, rows = np.tile(roots, n), np.repeat(np.arange(n), len(roots))
             for _ in range(levels):
-                nodes = np.concatenate([_children(nodes[:, k], minima) for k in range(nodes.shape[1])], axis=1)
-            width = nodes.shape[1]
-            flat = pa.array(np.ascontiguousarray(nodes).reshape(-1).view(np.int64))
-            arrays = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * width), flat)
-            about = ["id", "sketch", "n_shingles", "class"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in about), arrays], [*about, "nodes"])
+                nodes, rows = _children(nodes, rows, minima)
+            order = np.argsort(rows, kind="stable")
+            offsets = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=n))]).astype(np.int32)
+            arrays = pa.ListArray.from_arrays(pa.array(offsets), pa.array(nodes[order].view(np.int64)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in _ABOUT), arrays], [*_ABOUT, "nodes"])
     return run
 
 
@@ -172,63 +183,137 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     """
     scratch = Scratch(docs.sparkSession, "near")
     source = docs.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
-    rows = scratch.write(source.mapInArrow(
-        _signatures(shingle), "key long, n_shingles long, low long, high long, sketch long, minima binary"), "rows")
+    signed = scratch.write(source.mapInArrow(
+        _signatures(shingle), "key long, n_shingles long, low long, high long, sketch long, minima binary"), "signed")
+    rows = scratch.write(signed.select("key", "n_shingles", "low", "high"), "rows")
     filled = rows.where("n_shingles > 0")
-    classes = filled.groupBy("low", "high").agg(F.min("key").alias("id"))
+    classes = scratch.write(filled.groupBy("low", "high").agg(F.min("key").alias("id")), "classes")
     # The first row of each class is its vertex; equal rows of a class have equal minima.
     vertices = scratch.write(
-        filled.join(classes.where("id is not null"), ["low", "high"])
+        signed.where("n_shingles > 0").join(classes.where("id is not null"), ["low", "high"])
               .where("key = id").select("id", "low", "high", "n_shingles", "sketch", "minima")
               .dropDuplicates(["id", "low", "high"]), "vertices")
+    scratch.drop("signed")
+    names = scratch.write(vertices.drop("minima"), "names")
 
     similarity = percent / 100
+    join = _Join(scratch, source, names.select("id", "sketch", "n_shingles"), shingle, percent)
+    join.link(_one_key(filled, classes), "key")
     roots = seeded(77, trees_for(similarity, recall))
-    about = ["id", "sketch", "n_shingles", "class"]
     schema = "id long, sketch long, n_shingles long, class long, nodes array<long>"
-    entries = (vertices.withColumn("class", F.col("id")).select(*about, "minima")
-               .mapInArrow(_grow(START_DEPTH, roots), schema)
-               .select(*about, F.explode("nodes").alias("node")))
-
-    nodes = _crowded(entries, scratch, "nodes")
-    stars = scratch.write(_stars(nodes, vertices, similarity), "stars")
-    near = scratch.write(_exhaustive(nodes, similarity).join(stars, ["a", "b"], "left_anti"), "near")
-    sets = scratch.write(_sets_of(source, _ends(stars.union(near)).hint("merge"), shingle), "sets")
-    links = _confirmed(stars, sets, percent).union(_one_key(filled, classes))
-    found = components(links, scratch, "star-links")
-    near = near.join(_apart(near, found), ["a", "b"], "left_semi")
-    found = components(_grown(_confirmed(near, sets, percent), found), scratch, "near-links")
-    tested = stars.union(near)
-    large = scratch.write(_mixed(nodes.where(F.col("members") > SMALL_NODE), found), "large")
-    if not large.isEmpty():
+    entries = vertices.withColumn("class", F.col("id")).select(*_ABOUT, "minima").mapInArrow(_grow(START_DEPTH, roots), schema)
+    for look in range(LOOKS):
+        entries = entries.select(*_ABOUT, F.explode("nodes").alias("node"))
+        large = join.look(scratch.write(_crowded(entries), f"nodes{look}"), str(look))
+        scratch.drop(f"entries{look}")
+        if large is None or look == LOOKS - 1:
+            break
         # Dealt out by document: the members of a large node don't grow their branches in one task.
         entries = scratch.write(
-            large.select(*about, "node").join(vertices.select("id", "minima"), "id").repartition(F.col("id"), F.col("node"))
-                 .mapInArrow(_grow(MORE_DEPTH), schema).select(*about, F.explode("nodes").alias("node")), "entries")
-        nodes = _crowded(entries, scratch, "more-nodes")
-        pairs = _stars(nodes, vertices, similarity).union(_exhaustive(nodes, similarity)).distinct()
-        pairs = scratch.write(_apart(pairs.join(stars.union(near), ["a", "b"], "left_anti"), found), "pairs")
-        new = scratch.write(_ends(pairs).join(sets.select("id"), "id", "left_anti"), "new")
-        if not new.isEmpty():
-            sets = sets.union(scratch.write(_sets_of(source, new, shingle), "more-sets"))
-        found = components(_grown(_confirmed(pairs, sets, percent), found), scratch, "more-links")
-        tested = tested.union(pairs)
-        last = scratch.write(_mixed(nodes.where(F.col("members") > SMALL_NODE), found), "last")
-        if not last.isEmpty():
-            pairs = scratch.write(_tiled(last, similarity).join(tested, ["a", "b"], "left_anti"), "tile-pairs")
-            new = scratch.write(_ends(pairs).join(sets.select("id"), "id", "left_anti"), "tile-new")
-            if not new.isEmpty():
-                sets = sets.union(scratch.write(_sets_of(source, new, shingle), "tile-sets"))
-            found = components(_grown(_confirmed(pairs, sets, percent), found), scratch, "tile-links")
-
-    named = vertices.select("low", "high", "id").join(found, "id", "left").select(
+            large.join(vertices.select("id", "minima"), "id").repartition(F.col("id"), F.col("node"))
+                 .mapInArrow(_grow(MORE_DEPTH), schema), f"entries{look + 1}")
+        scratch.drop(f"large{look}")
+    scratch.drop("vertices")
+    if large is not None:
+        join.check(_tiled(large, similarity), "tiles")
+
+    named = names.select("low", "high", "id").join(join.found, "id", "left").select(
         "low", "high", F.coalesce("component", "id").alias("component"))
     named = named.groupBy("low", "high").agg(F.min("component").alias("component"))
     out = rows.select("key", "n_shingles", "low", "high").join(
         named, (rows["low"] == named["low"]) & (rows["high"] == named["high"]) & (rows["n_shingles"] > 0), "left")
     component = F.coalesce("component", "key")
-    return out.select(F.col("key").alias(key), "n_shingles", component.alias("component_id"),
-                      F.col("key").eqNullSafe(component).alias("kept"))
+    out = scratch.write(out.select(F.col("key").alias(key), "n_shingles", component.alias("component_id"),
+                                   F.col("key").eqNullSafe(component).alias("kept")), "result")
+    scratch.keep_only("result")
+    return out
+
+
+class _Join:
+    """Links found so far: pairs that were compared, full sets that were read, and classes of linked ids."""
+
+    def __init__(self, scratch: Scratch, source: DataFrame, vertices: DataFrame, shingle: int, percent: int):
+        self.scratch, self.source, self.vertices, self.shingle, self.percent = scratch, source, vertices, shingle, percent
+        self.similarity = percent / 100
+        self.found = vertices.sparkSession.createDataFrame([], "id long, component long")
+        self.tested: list[DataFrame] = []
+        self.sets: DataFrame | None = None
+
+    def look(self, nodes: DataFrame, name: str) -> DataFrame | None:
+        """Compare within nodes; entries of large ones that still hold several classes."""
+        self.check(_stars(nodes, self.vertices, self.similarity), f"stars{name}")
+        self.check(_exhaustive(nodes, self.similarity), f"near{name}")
+        mixed = self.scratch.write(_mixed(nodes.where(F.col("members") > SMALL_NODE), self.found).select(*_ABOUT, "node"), f"mixed{name}")
+        self.scratch.drop(f"nodes{name}")
+        if mixed.isEmpty():
+            return None
+        sizes = mixed.groupBy("node").agg(F.count("*").alias("size"))
+        big = self.scratch.write(
+            mixed.groupBy("node", "class").agg(F.count("*").alias("n")).join(sizes, "node")
+                 .where((F.col("n") > SMALL_NODE) & (F.col("n") * MOST_CLASSES > F.col("size"))).select("node", "class"), f"big{name}")
+        x, c = mixed.alias("x"), big.alias("c")
+        self.compare_with_classes(x.join(c, (F.col("x.node") == F.col("c.node")) & (F.col("x.class") != F.col("c.class"))).select(
+            "x.id", "c.class").distinct(), name)
+        rest = mixed.join(big, ["node", "class"], "left_anti")
+        rest = self.scratch.write(_crowded(_mixed(rest, self.found).select(*_ABOUT, "node")), f"rest{name}")
+        self.check(_exhaustive(rest, self.similarity), f"few{name}")
+        large = self.scratch.write(_mixed(rest.where(F.col("members") > SMALL_NODE), self.found).select(*_ABOUT, "node"), f"large{name}")
+        for table in (f"mixed{name}", f"big{name}", f"rest{name}"):
+            self.scratch.drop(table)
+        return None if large.isEmpty() else large
+
+    def compare_with_classes(self, met: DataFrame, name: str) -> None:
+        """Links of documents to the classes in ``met`` (id, class), by the full sets of both.
+
+        A class and its documents are dealt by digest to blocks, and each block of the one meets each of the other.
+        """
+        met = self.scratch.write(met, f"met{name}")
+        if met.isEmpty():
+            return
+        members = _classed(self.vertices.select("id"), self.found, "id", "class").join(met.select("class").distinct(), "class")
+        sides = met.select("class", "id", F.lit(0).alias("side")).union(members.select("class", "id", F.lit(1)))
+        sides = self.scratch.write(sides, f"sides{name}")
+        self.read(sides.select("id").distinct(), f"met{name}")
+        sized = sides.join(self.vertices.select("id", "n_shingles"), "id")
+        blocks = sized.groupBy("class").agg(*[
+            F.greatest(F.ceil(F.count_if(F.col("side") == k) / TILE), F.ceil(
+                F.sum(F.when(F.col("side") == k, F.col("n_shingles"))) / TILE_TOKENS)).cast("int").alias(f"b{k}") for k in (0, 1)])
+        own = F.when(F.col("side") == 0, F.col("b0")).otherwise(F.col("b1"))
+        other = F.when(F.col("side") == 0, F.col("b1")).otherwise(F.col("b0"))
+        k = F.pmod(F.xxhash64("id"), own).cast("int")
+        tiles = sides.join(blocks, "class").select(
+            "class", "side", "id", k.alias("k"), F.explode(F.sequence(F.lit(0), other - 1)).alias("o"))
+        tiles = tiles.select("class", F.when(F.col("side") == 0, F.col("k")).otherwise(F.col("o")).alias("i"),
+                             F.when(F.col("side") == 0, F.col("o")).otherwise(F.col("k")).alias("j"), "side", "id")
+        full = tiles.join(self.sets, "id").select("class", "i", "j", "side", "id", "tokens")
+        tile = ["class", "i", "j"]
+        links = full.repartition(*tile).sortWithinPartitions(*tile, "side").mapInArrow(_tile_links(self.percent), "a long, b long")
+        self.link(links, f"met{name}")
+
+    def read(self, ids: DataFrame, name: str) -> None:
+        """Make sure that the full sets of ``ids`` are there."""
+        if self.sets is not None:
+            ids = ids.join(self.sets.select("id"), "id", "left_anti")
+        ids = self.scratch.write(ids, f"{name}-ends")
+        if not ids.isEmpty():
+            new = self.scratch.write(_sets_of(self.source, ids.hint("merge"), self.shingle), f"{name}-sets")
+            self.sets = new if self.sets is None else self.sets.union(new)
+
+    def check(self, pairs: DataFrame, name: str) -> None:
+        """Confirm the pairs of different classes that weren't compared before, and merge what they link."""
+        for before in self.tested:
+            pairs = pairs.join(before, ["a", "b"], "left_anti")
+        pairs = self.scratch.write(_apart(pairs, self.found), name)
+        self.tested.append(pairs)
+        self.read(_ends(pairs), name)
+        if self.sets is not None:
+            self.link(_confirmed(pairs, self.sets, self.percent), name)
+
+    def link(self, links: DataFrame, name: str) -> None:
+        """Merge the classes that links connect."""
+        links = self.scratch.write(links, f"{name}-confirmed")
+        if not links.isEmpty():
+            self.found = components(_grown(links, self.found), self.scratch, f"{name}-links")
 
 
 def _one_key(rows: DataFrame, classes: DataFrame) -> DataFrame:
@@ -238,13 +323,52 @@ def _one_key(rows: DataFrame, classes: DataFrame) -> DataFrame:
     return owned.join(repeated, "key").select("a", F.col("id").alias("b")).where("a <> b")
 
 
-def _crowded(entries: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+def _crowded(entries: DataFrame) -> DataFrame:
     """Entries of nodes that hold several classes, with the node's number of members.
 
     A document's class is what was known when its branch was grown; classes only merge since.
     """
     stats = entries.groupBy("node").agg(F.count("*").alias("members"), F.min("class").alias("c0"), F.max("class").alias("c1"))
-    return scratch.write(entries.join(stats.where("c0 <> c1").select("node", "members"), "node"), name)
+    return entries.join(stats.where("c0 <> c1").select("node", "members"), "node")
+
+
+def _tile_links(percent: int):
+    """One link at most for each document (side 0) of a tile to a member of its class (side 1)."""
+    def linked(docs: list, members: list) -> Iterator[tuple[int, int]]:
+        if not docs or not members:
+            return
+        sizes = np.array([len(t) for _, t in members])
+        owner = np.repeat(np.arange(len(members)), sizes)
+        tokens = np.concatenate([t for _, t in members])
+        order = np.argsort(tokens, kind="stable")
+        tokens, owner = tokens[order], owner[order]
+        for id, own in docs:
+            low, high = np.searchsorted(tokens, own, "left"), np.searchsorted(tokens, own, "right")
+            counts = high - low
+            at = np.repeat(low - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
+            shared = np.bincount(owner[at], minlength=len(members))
+            hits = np.flatnonzero(100 * shared >= percent * (len(own) + sizes - shared))
+            if len(hits):
+                yield id, members[hits[0]][0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, sides = None, ([], [])
+
+        def links():
+            found = list(linked(*sides))
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+        for batch in batches:
+            lists = batch.column("tokens")
+            values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+            for n, row in enumerate(zip(*(batch.column(c).to_pylist() for c in ("class", "i", "j", "side", "id")))):
+                if row[:3] != last:
+                    if last is not None:
+                        yield links()
+                    last, sides = row[:3], ([], [])
+                sides[row[3]].append((row[4], values[offsets[n]:offsets[n + 1]].copy()))
+        if last is not None:
+            yield links()
+    return run
 
 
 def _classed(df: DataFrame, found: DataFrame, id: str, name: str) -> DataFrame:

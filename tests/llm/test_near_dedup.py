@@ -123,3 +123,56 @@ def test_trees_reach_the_recall():
         assert near_dedup.lost(similarity, near_dedup.MAX_DEPTH) ** trees <= 1e-5
     sets = next(s for _, s in near_dedup.shingle_sets(pa.array(["a b a b"]), 2))
     assert len(sets) == 2 and (np.diff(sets.astype(float)) > 0).all()
+
+
+def family(rng, base, n, own, size=80):
+    """Texts that share ``base`` and replace about ``own`` of its words each."""
+    out = []
+    for _ in range(n):
+        copy = list(base)
+        for at in rng.sample(range(size), own):
+            copy[at] = f"own{rng.randrange(10 ** 6)}"
+        out.append(" ".join(copy))
+    return out
+
+
+def test_outsiders_of_a_large_class(spark, docs, monkeypatch):
+    """A class of near copies, and others that are alike to it just below and above the threshold."""
+    for name, value in (("TILE", 16), ("SMALL_NODE", 8), ("TILE_TOKENS", 2_000)):
+        monkeypatch.setattr(near_dedup, name, value)
+    rng = random.Random(8)
+    base = [f"t{i}" for i in range(80)]
+    texts = family(rng, base, 120, 2) + [t for own in (6, 7, 8, 9, 10, 12) for t in family(rng, base, 12, own)]
+    rows = list(enumerate(texts))
+    rng.shuffle(rows)
+    for n in (1, 2):
+        want = expected(rows, n, 80)
+        assert 1 < len(set(want.values())) < len(rows)
+        assert got(near_dedup.near_duplicates(docs(rows), shingle=n)) == want
+
+
+def test_recall_of_pairs_at_the_threshold(spark, docs):
+    """Pairs between 0.80 and 0.85, measured against all pairs of their own, far from any group."""
+    rng = random.Random(9)
+    rows = []
+    for k in range(400):
+        base = [f"p{k}-{i}" for i in range(100)]
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(base[:80 + k % 5] + [f"q{k}"] * (k % 2)))]
+    alike = [k for k in range(400) if (lambda x, y: 80 * len(x | y) <= 100 * len(x & y) <= 85 * len(x | y))(
+        shingles(rows[2 * k][1], 1), shingles(rows[2 * k + 1][1], 1))]
+    assert len(alike) >= 300
+    found = got(near_dedup.near_duplicates(docs(rows), shingle=1))
+    assert sum(found[2 * k + 1] == 2 * k for k in alike) >= 0.99 * len(alike)
+
+
+def test_tile_links_equal_plain_sets():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 50))) for _ in range(40)]
+    rows = [(7, 0, 0, int(k >= 25), k, s.astype(np.int64)) for k, s in enumerate(sets)] + [(8, 0, 0, 0, 99, sets[0])]
+    batch = pa.RecordBatch.from_arrays(
+        [*(pa.array([r[c] for r in rows], pa.int64()) for c in range(5)), pa.array([r[5] for r in rows], pa.list_(pa.int64()))],
+        ["class", "i", "j", "side", "id", "tokens"])
+    found = [x for b in near_dedup._tile_links(50)([batch.slice(0, 30), batch.slice(30)]) for x in zip(*(c.to_pylist() for c in b.columns))]
+    like = {a: [b for b in range(25, 40) if 100 * len(np.intersect1d(sets[a], sets[b])) >= 50 * len(np.union1d(sets[a], sets[b]))]
+            for a in range(25)}
+    assert {a for a, _ in found} == {a for a in like if like[a]} and all(b in like[a] for a, b in found)
