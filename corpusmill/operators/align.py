@@ -243,3 +243,25 @@ def array_stats(df: DataFrame, array: str, key: str, channels: int = 3,
         key, *per_channel, F.round("s", 3).alias("std"),
         F.round(F.col("m") / value_range, 4).alias("brightness"),
         F.round(F.col("s") / half_range, 4).alias("contrast"))
+
+
+def signal_stats(df: DataFrame, array: str, key: str, leading: int = 13) -> DataFrame:
+    """The audio features of a numeric array: its leading values, and measures of the whole of it.
+
+    ``zcr`` is the share of neighbours with another sign, ``spectral_centroid`` the mean position weighted by size,
+    ``spectral_bandwidth`` the spread around it, ``rms_energy`` the root of the mean square. All null for a null array;
+    measures of an empty one, and the weighted ones of nothing but zeros, are null.
+    """
+    work = df.select(key, F.transform(F.col(array), lambda x: x.cast("double")).alias("a"))
+
+    def total(v: Column) -> Column:
+        return F.aggregate(v, F.lit(0.0), lambda s, x: s + x)
+    size, weight = F.size("a"), total(F.transform("a", F.abs))
+    work = work.select("*", F.try_divide(total(F.transform("a", lambda x, i: i * F.abs(x))), weight).alias("c"))
+    spread = total(F.transform("a", lambda x, i: (i - F.col("c")) * (i - F.col("c")) * F.abs(x)))
+    turns = total(F.transform("a", lambda x, i: F.when((i > 0) & ((x < 0) != (F.get("a", i - 1) < 0)), 1.0).otherwise(0.0)))
+    return work.select(
+        key, *[F.get("a", F.lit(i)).alias(f"mfcc_{i + 1}") for i in range(leading)],
+        F.try_divide(turns, size - 1).alias("zcr"), F.col("c").alias("spectral_centroid"),
+        F.sqrt(F.try_divide(spread, weight)).alias("spectral_bandwidth"),
+        F.sqrt(F.try_divide(total(F.transform("a", lambda x: x * x)), size)).alias("rms_energy"))

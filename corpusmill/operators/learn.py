@@ -16,7 +16,7 @@ from corpusmill.functions.quantiles import exact_quantiles
 from corpusmill.functions.ranks import ranked
 from corpusmill.operators.annotate import contingency, per_label
 from corpusmill.operators.tfidf import TfidfModel
-from corpusmill.schema import nan_to_null
+from corpusmill.schema import is_missing, nan_to_null
 
 # Sizes and shares of the learning steps.
 AL_FEATURES, TRAIN_FEATURES = 5_000, 10_000
@@ -310,7 +310,47 @@ def attach_scores(df: DataFrame, result: ActiveLearningResult, key: str) -> Data
     return df.join(result.scores, key, "left")
 
 
-def fuse_features(df: DataFrame, columns, into: str = "features") -> DataFrame:
-    """Numeric features of several modalities as one vector; incomplete rows drop out."""
-    from pyspark.ml.feature import VectorAssembler
-    return VectorAssembler(inputCols=list(columns), outputCol=into, handleInvalid="skip").transform(df)
+# -- several modalities ------------------------------------------------------------
+
+def fuse_features(df: DataFrame, columns, into: str = "features", scale: dict | None = None) -> DataFrame:
+    """Numeric columns as one sparse row ``{indices, values}``; rows with a missing one drop out.
+
+    ``scale`` gives the mean and deviation of columns to be standardised; a constant column becomes 0.
+    """
+    def value(c: str):
+        x = F.col(f"`{c}`").cast("double")
+        if not scale:
+            return x
+        mean, spread = scale[c]
+        return (x - F.lit(mean)) / F.lit(spread) if spread else x * 0.0
+    whole = reduce(lambda a, b: a & b, [~is_missing(df, c) for c in columns])
+    cells = F.struct(F.array(*[F.lit(i) for i in range(len(columns))]).alias("indices"),
+                     F.array(*map(value, columns)).alias("values"))
+    return df.where(whole).withColumn(into, cells)
+
+
+def _scale(df: DataFrame, columns) -> dict:
+    row = df.agg(*[a for i, c in enumerate(columns) for a in (
+        F.avg(F.col(f"`{c}`").cast("double")).alias(f"m{i}"), F.stddev_pop(F.col(f"`{c}`").cast("double")).alias(f"s{i}"))]).head()
+    return {c: (row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(columns)}
+
+
+def compare_modalities(df: DataFrame, key: str, groups: dict, label: str = "label", test_share: float = TRAIN_HOLDOUT,
+                       seed=42, max_fit_rows: int = MAX_FIT_ROWS) -> DataFrame:
+    """``(features, label, precision, recall, f1, support)``: a model for each group of columns, and one for ``all``.
+
+    ``groups`` names the numeric columns of each modality of an aligned table. All models see the same rows, those with a
+    label and every column present, and the same split; columns are standardised by the training part.
+    """
+    every = [c for columns in groups.values() for c in columns]
+    rows = fuse_features(df.where(has_label(label)), every).select(
+        F.col(f"`{key}`"), F.col(f"`{label}`").cast("string").alias("_label"), *[F.col(f"`{c}`") for c in every])
+    split = written(stratified_split(rows, "_label", key, test_share, seed), "fused")
+    scale = _scale(split.where(~F.col("is_test")), every)
+    reports = []
+    for name, columns in {**groups, "all": every}.items():
+        data = fuse_features(split, columns, scale=scale).select(key, "_label", "is_test", "features")
+        model = fit_classifier(data.where(~F.col("is_test")), "_label", key, len(columns), max_fit_rows=max_fit_rows, seed=seed)
+        report = class_report(model.transform(data.where("is_test")), "_label")
+        reports.append(report.select(F.lit(name).alias("features"), "label", "precision", "recall", "f1", "support"))
+    return reduce(DataFrame.unionByName, reports)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusmill.operators import align
+from corpusmill.operators import align, learn
 from corpusmill.operators.explore import histogram, text_features
 from corpusmill.operators.quality import rows_with_missing
 from corpusmill.plans.queries_quality import WORDS
@@ -26,21 +26,26 @@ def _array_sql(prefix):
 
 
 IMAGE_SQL = f"i AS (SELECT vec_id AS id, {_array_sql('image__')} FROM embeddings)"
-AUDIO_SQL = """a AS (SELECT vec_id AS id, CAST(embedding[1] AS DOUBLE) AS audio__mfcc_1,
-  CAST(embedding[2] AS DOUBLE) AS audio__mfcc_2, CAST(embedding[3] AS DOUBLE) AS audio__mfcc_3,
-  CAST(embedding[4] AS DOUBLE) AS audio__zcr FROM embeddings)"""
+AUDIO = [f"audio__{c}" for c in align.MODALITY_FEATURES["audio"]]
+AUDIO_SQL = f"""v AS (SELECT vec_id AS id, [CAST(x AS DOUBLE) FOR x IN embedding] AS d FROM embeddings),
+c AS (SELECT id, d, list_sum([abs(x) FOR x IN d]) AS w,
+  list_sum([(i - 1) * abs(d[i]) FOR i IN range(1, len(d) + 1)]) / list_sum([abs(x) FOR x IN d]) AS mid FROM v),
+a AS (SELECT id, {", ".join(f"d[{i}] AS audio__mfcc_{i}" for i in range(1, 14))},
+  len([i FOR i IN range(2, len(d) + 1) IF (d[i] < 0) <> (d[i - 1] < 0)]) / (len(d) - 1) AS audio__zcr, mid AS audio__spectral_centroid,
+  sqrt(list_sum([(i - 1 - mid) * (i - 1 - mid) * abs(d[i]) FOR i IN range(1, len(d) + 1)]) / w) AS audio__spectral_bandwidth,
+  sqrt(list_sum([x * x FOR x IN d]) / len(d)) AS audio__rms_energy FROM c)"""
 LABEL_SQL = """l AS (SELECT doc_id AS id, CASE quality WHEN 1 THEN 'pos' ELSE 'neg' END AS label,
   toxic AS judged__toxic FROM labels)"""
 COLUMNS = """id, source, collected_at, text__text_len, text__word_count, text__avg_word_len, text__punct_ratio, label,
   judged__toxic, image__mean_0, image__mean_1, image__mean_2, image__std, image__brightness, image__contrast,
-  audio__mfcc_1, audio__mfcc_2, audio__mfcc_3, audio__zcr"""
+  """ + ", ".join(AUDIO)
 CTES = f"{TEXT_SQL}, {LABEL_SQL}, {IMAGE_SQL}, {AUDIO_SQL}"
 OUTER = f"""aligned AS (SELECT {COLUMNS} FROM t FULL JOIN l USING (id) FULL JOIN i USING (id)
   FULL JOIN a USING (id))"""
 INNER = f"aligned AS (SELECT {COLUMNS} FROM t JOIN l USING (id) JOIN i USING (id) JOIN a USING (id))"
 FEATURES = ["text__text_len", "text__word_count", "text__avg_word_len", "text__punct_ratio", "judged__toxic",
             "image__mean_0", "image__mean_1", "image__mean_2", "image__std", "image__brightness",
-            "image__contrast", "audio__mfcc_1", "audio__mfcc_2", "audio__mfcc_3", "audio__zcr"]
+            "image__contrast", *AUDIO]
 GROUPS = {p: [c for c in FEATURES if c.startswith(p)] for p in ("text", "judged", "image", "audio")}
 
 
@@ -48,9 +53,7 @@ def _modalities(spark, sf):
     docs = documents(spark, sf).select(
         F.col("doc_id").alias("id"), "text", "source", F.lit(COLLECTED_AT).alias("collected_at"))
     vectors = table(spark, sf, "embeddings")
-    audio = vectors.select(F.col("vec_id").alias("id"), *[
-        F.col("embedding")[i].cast("double").alias(n)
-        for i, n in enumerate(("mfcc_1", "mfcc_2", "mfcc_3", "zcr"))])
+    audio = align.signal_stats(vectors.withColumnRenamed("vec_id", "id"), "embedding", "id")
     judged = table(spark, sf, "labels").select(
         F.col("doc_id").alias("id"), F.when(F.col("quality") == 1, "pos").otherwise("neg").alias("label"), "toxic")
     return {"text": text_features(docs, "id", keep=["source", "collected_at"]), "judged": judged,
@@ -87,13 +90,16 @@ def align_left(spark, sf):
 
 
 @query("align_shared_label", f"""
-WITH {LABEL_SQL}, e AS (SELECT vec_id AS id, CAST(label AS VARCHAR) AS label, embedding[1] AS v FROM embeddings)
-SELECT id, l.label, judged__toxic, round(CAST(v AS DOUBLE), 6) AS vector__v FROM l FULL JOIN e USING (id)""")
+WITH {LABEL_SQL}, e AS (SELECT vec_id AS id, CAST(label AS VARCHAR) AS label, embedding[1] AS v,
+  list_sum([CAST(x AS DOUBLE) FOR x IN embedding]) AS total FROM embeddings)
+SELECT id, l.label, judged__toxic, round(CAST(v AS DOUBLE), 6) AS vector__v, round(total, 6) AS vector__total
+FROM l FULL JOIN e USING (id)""")
 def align_shared_label(spark, sf):
     judged = _modalities(spark, sf)["judged"]
     vectors = table(spark, sf, "embeddings").select(
         F.col("vec_id").alias("id"), F.col("label").cast("string").alias("label"),
-        F.round(F.col("embedding")[0].cast("double"), 6).alias("v"))
+        F.round(F.col("embedding")[0].cast("double"), 6).alias("v"),
+        F.round(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double")), 6).alias("total"))
     return align.align({"judged": judged, "vector": vectors}, "id", "outer")
 
 
@@ -183,3 +189,27 @@ SELECT w.label, b.bin, round(lo + b.bin * step, 4) AS lower, round(lo + (b.bin +
 FROM w CROSS JOIN (SELECT unnest(range(40)) AS bin) b LEFT JOIN c ON c.label = w.label AND c.bin = b.bin""")
 def hist_feature_by_label(spark, sf):
     return histogram(aligned(spark, sf), "text__word_count", 40, by="label")
+
+
+COMPLETE = f"whole AS (SELECT * FROM aligned WHERE label IS NOT NULL AND {' AND '.join(f'{c} IS NOT NULL' for c in FEATURES)})"
+
+
+def _modality_models(spark, sf):
+    return learn.compare_modalities(aligned(spark, sf, "outer"), "id", GROUPS)
+
+
+@query("fused_models", f"""WITH {CTES}, {OUTER}, {COMPLETE},
+parts AS (SELECT label, CAST(floor(count(*) * 0.2 + 0.5) AS BIGINT) AS support FROM whole GROUP BY label)
+SELECT f AS features, label, support, true AS scored FROM parts, (VALUES ('text'), ('judged'), ('image'), ('audio'), ('all')) v(f)""")
+def fused_models(spark, sf):
+    """Test rows of every class for a model of each modality and one of all."""
+    scored = F.col("precision").between(0, 1) & F.col("recall").between(0, 1) & F.col("f1").between(0, 1)
+    return _modality_models(spark, sf).where("support > 0").select(
+        "features", "label", F.col("support").cast("long").alias("support"), scored.alias("scored"))
+
+
+@query("fused_report")
+def fused_report(spark, sf):
+    """Precision, recall and F1 of a model of each modality and of one of all."""
+    return _modality_models(spark, sf).select(
+        "features", "label", *[F.round(c, 4).alias(c) for c in ("precision", "recall", "f1")], "support")

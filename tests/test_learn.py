@@ -223,4 +223,121 @@ def test_whole_run_grows_and_trains(spark, tmp_path):
 
 def test_fused_features(spark):
     df = spark.createDataFrame([(1.0, 2.0), (None, 1.0)], "a__x double, b__y double")
-    assert learn.fuse_features(df, ["a__x", "b__y"]).count() == 1
+    (row,) = learn.fuse_features(df, ["a__x", "b__y"]).collect()
+    assert row.features.indices == [0, 1] and row.features["values"] == [1.0, 2.0]
+    (row,) = learn.fuse_features(df, ["a__x", "b__y"], scale={"a__x": (3.0, 4.0), "b__y": (2.0, 0.0)}).collect()
+    assert row.features["values"] == [-0.5, 0.0]
+
+
+def test_models_of_modalities_equal_brute_force(spark):
+    rnd = np.random.default_rng(2)
+    rows = []
+    for i in range(150):
+        y = i % 3 > 0
+        rows.append((i, "pos" if y else "neg", float(rnd.normal(y)), float(rnd.normal(50 * y, 60)), 3.0 if i % 10 else None))
+    df = spark.createDataFrame(rows, "id long, label string, a__x double, b__y double, b__z double").repartition(3)
+    groups = {"a": ["a__x"], "b": ["b__y", "b__z"]}
+    got = {(r.features, r.label): r for r in learn.compare_modalities(df, "id", groups).collect()}
+    whole = [r for r in rows if r[4] is not None]
+    keyed = spark.createDataFrame([r[:2] for r in whole], "id long, label string")
+    split = {r.id: r.is_test for r in learn.stratified_split(keyed, "label", "id", .2).collect()}
+    x = np.array([r[2:] for r in whole])
+    test, y = np.array([split[r[0]] for r in whole]), np.array([r[1] == "pos" for r in whole], float)
+    spread = x[~test].std(axis=0)
+    x = (x - x[~test].mean(axis=0)) / np.where(spread == 0, 1, spread)
+    for name, columns in {"a": [0], "b": [1, 2], "all": [0, 1, 2]}.items():
+        guess = brute_fit(x[~test][:, columns], y[~test])(x[test][:, columns]) > .5
+        for label, truth, made in (("pos", y[test] == 1, guess), ("neg", y[test] == 0, ~guess)):
+            row = got[name, label]
+            assert row.support == truth.sum()
+            assert row.recall == pytest.approx((truth & made).sum() / truth.sum(), abs=1e-4)
+            assert row.precision == pytest.approx((truth & made).sum() / max(1, made.sum()), abs=1e-4)
+
+
+# -- whole reports against a brute-force fit ------------------------------------------
+
+def noisy(spark, n=160, seed=5):
+    rnd = np.random.default_rng(seed)
+    rows = []
+    for i in range(n):
+        label = "pos" if i % 3 else "neg"
+        vocab = ["sun", "joy", "win", "day", "sea", "sky"] if (label == "pos") == (rnd.random() > .2) else ["war", "ill", "sad", "day", "sea", "fog"]
+        rows.append((i, " ".join(rnd.choice(vocab, 7)), label))
+    return spark.createDataFrame(rows, "row_id long, text string, label string"), rows
+
+
+def brute_vectors(fit_on, texts, cap):
+    terms, _ = brute(fit_on, cap)
+
+    def grams(t):
+        w = re.findall(r"\b\w\w+\b", t.lower())
+        return Counter(w + [f"{a} {b}" for a, b in zip(w, w[1:])])
+    seen = [grams(t) for t in fit_on]
+    idf = [math.log((1 + len(fit_on)) / (1 + sum(t in c for c in seen))) + 1 for t in terms]
+    out = np.array([[(1 + math.log(c[t])) * w if t in c else 0.0 for t, w in zip(terms, idf)] for c in map(grams, texts)])
+    norm = np.linalg.norm(out, axis=1, keepdims=True)
+    return out / np.where(norm == 0, 1, norm)
+
+
+def brute_fit(x, y, c=1.0):
+    """Probability function of the class that y marks, by Newton steps on the dense problem."""
+    sw = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
+    z = np.hstack([x, np.ones((len(x), 1))])
+    penalty = np.append(np.full(x.shape[1], 1 / c), 0.0)
+    w = np.zeros(z.shape[1])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-z @ w))
+        w -= np.linalg.solve((z * (sw * p * (1 - p))[:, None]).T @ z + np.diag(penalty), z.T @ (sw * (p - y)) + penalty * w)
+    return lambda v: 1 / (1 + np.exp(-(np.hstack([v, np.ones((len(v), 1))]) @ w)))
+
+
+def test_report_equals_brute_force(spark):
+    df, rows = noisy(spark)
+    trained = learn.train_and_evaluate(df, "row_id", max_features=60)
+    split = {r.row_id: r.is_test for r in learn.stratified_split(df, "label", "row_id", .2).collect()}
+    train, test = ([r for r in rows if split[r[0]] is side] for side in (False, True))
+    x = brute_vectors([r[1] for r in train], [r[1] for r in rows], 60)
+    p = brute_fit(x[[r[0] for r in train]], np.array([r[2] == "pos" for r in train], float))(x)
+    want = {r[0]: p[r[0]] for r in test}
+    got = {r.row_id: r for r in trained.predictions.collect()}
+    assert {k: r.probability[1] for k, r in got.items()} == pytest.approx(want, abs=1e-4)
+    truth, guess = {r[0]: r[2] for r in test}, {k: "pos" if v > .5 else "neg" for k, v in want.items()}
+    hits = sum(truth[k] == guess[k] for k in truth)
+    assert 0.5 < hits / len(test) < 1.0
+    f1 = {}
+    report = {r.label: r for r in learn.report_with_averages(trained.predictions, "label").collect()}
+    for label in ("neg", "pos"):
+        tp = sum(truth[k] == guess[k] == label for k in truth)
+        made, there = (sum(v == label for v in side.values()) for side in (guess, truth))
+        f1[label] = 2 * tp / (made + there)
+        assert report[label].support == there
+        assert [report[label].precision, report[label].recall, report[label].f1] == pytest.approx(
+            [tp / made, tp / there, f1[label]], abs=1e-4)
+    assert report["accuracy"].f1 == trained.metrics["accuracy"] == pytest.approx(hits / len(test), abs=1e-4)
+    assert report["macro avg"].f1 == trained.metrics["f1_macro"] == pytest.approx(np.mean(list(f1.values())), abs=1e-4)
+
+
+def test_rounds_equal_brute_force(spark):
+    df, rows = noisy(spark, 150, 9)
+    known = {r[0] for r in rows if r[0] < 70}
+    df = df.withColumn("label", F.when(F.col("row_id") < 70, F.col("label")))
+    out = learn.run_cycle(df, "row_id", n_iterations=2, batch_size=9, max_features=40)
+    x = brute_vectors([r[1] for r in rows], [r[1] for r in rows], 40)
+    y = np.array([r[2] == "pos" for r in rows], float)
+    p = brute_fit(x[sorted(known)], y[sorted(known)])(x)
+    unsure = np.minimum(p, 1 - p)
+    left = [r[0] for r in rows if r[0] not in known]
+    picked = []
+    for it in (1, 2):                                          # picks have no label, so the model stays
+        best = sorted(left, key=lambda k: (-round(unsure[k], 5), k))[:9]
+        got = {r.row_id: r.al_uncertainty for r in out.selected.where(F.col("al_iteration") == it).collect()}
+        assert sorted(got.values()) == pytest.approx(sorted(unsure[best]), abs=1e-4)
+        picked += got
+        left = [k for k in left if k not in got]
+    assert len(set(picked)) == 18
+    scored = {r.row_id: r.al_uncertainty for r in out.scores.collect()}
+    assert scored == pytest.approx(dict(enumerate(unsure)), abs=1e-4)
+    rounds = out.iterations.orderBy("iteration").collect()
+    assert [r.mean_uncertainty for r in rounds] == pytest.approx(
+        [np.mean(sorted(unsure[70:])[-9 * i:][:9]) for i in (1, 2)], abs=1e-3)
+    assert all(r.fit_rows == 70 and r.fit_steps > 0 for r in rounds)

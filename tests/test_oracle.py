@@ -42,7 +42,7 @@ def test_query_matches_sql(spark, duck, name):
 
 
 # Values of fitted models, which test_learn.py checks against a brute-force fit.
-FITTED = {"train_report", "al_rounds", "al_picks", "uncertainty_values", "curation_report"}
+FITTED = {"train_report", "al_rounds", "al_picks", "uncertainty_values", "curation_report", "fused_report"}
 
 
 def test_every_query_has_sql():
