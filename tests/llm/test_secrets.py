@@ -1,7 +1,10 @@
+import math
+import random
 import re
 import secrets as random_secrets
 import string
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpusmill.llm import secrets
@@ -62,3 +65,95 @@ def test_main_path_is_native(spark):
 
 def test_empty_table(spark):
     assert secrets.find_secrets(spark.createDataFrame([], "text string")).collect() == []
+
+
+# -- the battery and the step-up rule, by brute force ------------------------------------
+
+def plain_tail(z):
+    return 0.5 * math.erfc(z / math.sqrt(2))
+
+
+def plain_battery(token):
+    body = token.rstrip("=")
+    letters = next(a for pattern, a in secrets.ENCODINGS if re.search(pattern, body))
+
+    def cell(c):
+        return 4 if not c.isalpha() else (2 if c.isupper() else 0) + (c.lower() not in "aeinorst")
+    n, size = len(body), len(letters)
+    shares = [sum(cell(c) == k for c in letters) / size for k in range(5)]
+    chi = sum((sum(cell(c) == k for c in body) - n * s) ** 2 / (n * s) for k, s in enumerate(shares) if s)
+    free = sum(s > 0 for s in shares) - 1
+    v = 2 / (9 * free)
+    uniform = plain_tail(((chi / free) ** (1 / 3) - (1 - v)) / math.sqrt(v))
+    kind = [cell(c) // 2 for c in body]
+    turns = sum(a != b for a, b in zip(kind, kind[1:]))
+    k = [shares[0] + shares[1], shares[2] + shares[3], shares[4]]
+    q, twice = 1 - sum(x * x for x in k), sum(x ** 3 for x in k) - sum(x * x for x in k) ** 2
+    z = (turns - (n - 1) * q) / math.sqrt((n - 1) * q * (1 - q) + 2 * (n - 2) * twice)
+    at = [letters.index(c) - (size - 1) / 2 for c in body]
+    serial = sum(a * b for a, b in zip(at, at[1:])) / ((size * size - 1) / 12 * math.sqrt(n - 1))
+    x = sum(math.log(max(p, 1e-30)) for p in (uniform, min(1, 2 * plain_tail(abs(z))), min(1, 2 * plain_tail(abs(serial)))))
+    return math.exp(x) * (1 - x + x * x / 2)
+
+
+def keys(rng, n, length=40, alphabet=string.ascii_letters + string.digits):
+    return ["".join(rng.choice(alphabet) for _ in range(length)) for _ in range(n)]
+
+
+NOUNS = """user account order invoice payment session request response handler controller service manager factory builder
+    config option value index table column record query result cache buffer stream reader writer parser token event listener message
+    queue worker thread process memory address network client server socket channel packet header footer content body text image
+    report summary detail history status error warning message update delete create insert select filter sort group merge split""".split()
+
+
+def natural(rng, n):
+    out = []
+    while len(out) < n:
+        words = [rng.choice(NOUNS) for _ in range(rng.randint(3, 7))]
+        token = rng.choice([
+            lambda: "".join(w.title() for w in words), lambda: words[0] + "".join(w.title() for w in words[1:]),
+            lambda: "".join(w.title() for w in words) + str(rng.randint(1, 99)), lambda: "-".join(words) + f"-{rng.randint(1, 2030)}",
+            lambda: "/".join(words) + f"/v{rng.randint(1, 9)}", lambda: "_".join(words).upper() + f"_{rng.randint(0, 9)}",
+            lambda: f"src/{words[0]}/{words[1].title()}{words[2].title()}Test2"])()
+        if len(token) >= 20:
+            out.append(token)
+    return out
+
+
+def test_battery_equals_plain_python(spark):
+    rng = random.Random(2)
+    tokens = keys(rng, 40, 20) + keys(rng, 40, 33, string.digits + "abcdef") + keys(rng, 20, 64, string.ascii_letters + "+/") + natural(rng, 60) + [
+        "A2" * 12, "a" * 19 + "1", "Zz_-" * 200, "AbCdEfGhIjKlMnOpQrStUv==", "0123456789ABCDEF0123"]
+    df = spark.createDataFrame([(t,) for t in tokens], "t string")
+    for r in df.select("t", secrets.randomness(F.col("t")).alias("p")).collect():
+        want = plain_battery(r["t"])
+        assert r["p"] == pytest.approx(want, rel=1e-2, abs=1e-6), r["t"]
+
+
+def test_step_up_rule_equals_plain_python():
+    rng = random.Random(3)
+    least = int(-math.log10(secrets.LEAST_P) * secrets.STEPS)
+    for _ in range(30):
+        null = [min(1000, int(rng.expovariate(1 / 200))) for _ in range(rng.randint(0, 3000))]
+        runs = [min(1000, int(rng.expovariate(1 / rng.choice([20, 200])))) for _ in range(rng.randint(1, 200))]
+        p = {b: (1 + sum(x <= b for x in null)) / (1 + len(null)) for b in set(runs)}
+        ok = [b for b in p if b < least and p[b] * len(runs) <= 0.05 * sum(x <= b for x in runs)]
+        count = lambda values: {b: values.count(b) for b in set(values)}
+        got_bins = secrets.discovered_bins({2: count(runs)}, {2: count(null)}, 0.05)
+        assert got_bins == ({2: max(ok)} if ok else {})
+
+
+@pytest.mark.parametrize("n_keys", [0, 20, 200])
+def test_identifiers_paths_and_slugs_are_left_alone(spark, n_keys):
+    rng = random.Random(n_keys)
+    hidden, plain = keys(rng, n_keys), natural(rng, 1000)
+    prose = [" ".join(rng.choice(NOUNS + ["the", "of", "and", "with", "from", "this", "that"]) for _ in range(60)) for _ in range(60)]
+    out = got(spark, [f"see {x} there" for x in hidden + plain] + prose)
+    assert sum("random" in s for s in out[n_keys:]) < 10
+    assert sum(s == "random:4:44" for s in out[:n_keys]) >= 0.9 * n_keys
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([("token=abcdefgh",)], "text string").selectExpr("*", "1 AS _base", "2 AS _tested", "3 AS word", "4 AS secrets")
+    (row,) = secrets.find_secrets(df).collect()
+    assert (row["_base"], row["_tested"], row["word"]) == (1, 2, 3) and len(row["secrets"]) == 1
