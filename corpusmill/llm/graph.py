@@ -24,7 +24,6 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         both = left.union(left.select("b", "a"))
         hook = both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("up")).select(
             "id", F.least("id", "up").alias("up"))
-        hook = scratch.write(hook, f"{name}-hook{turn}")
         higher = hook.select(F.col("id").alias("up"), F.col("up").alias("upper"))
         jumped = hook.join(higher, "up", "left").select("id", F.coalesce("upper", "up").alias("up"))
         jumped = scratch.write(jumped, f"{name}-jump{turn}")
@@ -42,7 +41,7 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
             ends.where("a_up <> b_up").select(F.least("a_up", "b_up").alias("a"),
                                               F.greatest("a_up", "b_up").alias("b")).distinct(),
             f"{name}-links{turn}")
-        for table in ("hook", "jump", "links", "found"):       # what nothing reads any more
+        for table in ("jump", "links", "found"):       # what nothing reads any more
             scratch.drop(f"{name}-{table}{turn - 1 - (table == 'found')}")
     if found is None:
         return left.select(F.col("a").alias("id"), F.col("b").alias("component"))

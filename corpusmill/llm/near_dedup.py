@@ -35,7 +35,7 @@ from corpusmill.llm.words import mix, seeded, word_slices
 EXTRA = 0.4                  # chance that a node picks a second function
 START_DEPTH = 3              # levels before nodes are looked at first
 MORE_DEPTH = 4               # levels to the next look
-LOOKS = 3
+LOOKS = 2
 MAX_DEPTH = START_DEPTH + (LOOKS - 1) * MORE_DEPTH
 SMALL_NODE = 32              # members up to which a node is compared exhaustively
 TILE = 512                   # members, about, of a side of a tile
@@ -155,7 +155,7 @@ def _grow(levels: int, roots: np.ndarray | None = None):
             order = np.argsort(rows, kind="stable")
             offsets = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=n))]).astype(np.int32)
             arrays = pa.ListArray.from_arrays(pa.array(offsets), pa.array(nodes[order].view(np.int64)))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in _ABOUT), arrays], [*_ABOUT, "nodes"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), arrays], ["id", "nodes"])
     return run
 
 
@@ -200,22 +200,24 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     join = _Join(scratch, source, names.select("id", "sketch", "n_shingles"), shingle, percent)
     join.link(_one_key(filled, classes), "key")
     roots = seeded(77, trees_for(similarity, recall))
-    schema = "id long, sketch long, n_shingles long, class long, nodes array<long>"
-    entries = vertices.withColumn("class", F.col("id")).select(*_ABOUT, "minima").mapInArrow(_grow(START_DEPTH, roots), schema)
+    schema = "id long, nodes array<long>"
+    entries = vertices.select("id", "minima").mapInArrow(_grow(START_DEPTH, roots), schema)
+    left = None
     for look in range(LOOKS):
-        entries = entries.select(*_ABOUT, F.explode("nodes").alias("node"))
-        large = join.look(scratch.write(_crowded(entries), f"nodes{look}"), str(look))
+        entries = entries.select("id", F.explode("nodes").alias("node"))
+        large, left = join.look(scratch.write(join.shared(entries, look), f"nodes{look}"), left, look)
         scratch.drop(f"entries{look}")
-        if large is None or look == LOOKS - 1:
+        if look == LOOKS - 1 or large is None:
             break
         # Dealt out by document: the members of a large node don't grow their branches in one task.
         entries = scratch.write(
-            large.join(vertices.select("id", "minima"), "id").repartition(F.col("id"), F.col("node"))
+            large.select("id", "node").join(vertices.select("id", "minima"), "id").repartition(F.col("id"), F.col("node"))
                  .mapInArrow(_grow(MORE_DEPTH), schema), f"entries{look + 1}")
-        scratch.drop(f"large{look}")
     scratch.drop("vertices")
     if large is not None:
-        join.check(_tiled(large, similarity), "tiles")
+        left = left.union(_tiled(large, similarity)).distinct()
+    if left is not None:
+        join.check(left, "last")
 
     named = names.select("low", "high", "id").join(join.found, "id", "left").select(
         "low", "high", F.coalesce("component", "id").alias("component"))
@@ -236,31 +238,50 @@ class _Join:
         self.scratch, self.source, self.vertices, self.shingle, self.percent = scratch, source, vertices, shingle, percent
         self.similarity = percent / 100
         self.found = vertices.sparkSession.createDataFrame([], "id long, component long")
-        self.tested: list[DataFrame] = []
+        self.tested: DataFrame | None = None
         self.sets: DataFrame | None = None
 
-    def look(self, nodes: DataFrame, name: str) -> DataFrame | None:
-        """Compare within nodes; entries of large ones that still hold several classes."""
-        self.check(_stars(nodes, self.vertices, self.similarity), f"stars{name}")
-        self.check(_exhaustive(nodes, self.similarity), f"near{name}")
-        mixed = self.scratch.write(_mixed(nodes.where(F.col("members") > SMALL_NODE), self.found).select(*_ABOUT, "node"), f"mixed{name}")
-        self.scratch.drop(f"nodes{name}")
+    def shared(self, entries: DataFrame, number: int) -> DataFrame:
+        """Entries (id, node) of nodes with several classes, with what is known of the members, and their number.
+
+        Ids and nodes alone travel; most nodes have one member.
+        """
+        stats = entries.groupBy("node").agg(F.count("*").alias("members")).where("members > 1")
+        kept = entries.join(stats, "node").join(self.vertices, "id")
+        if number:
+            return _mixed(kept, self.found).select(*_ABOUT, "node", "members")
+        return kept.withColumn("class", F.col("id")).select(*_ABOUT, "node", "members")
+
+    def look(self, nodes: DataFrame, left: DataFrame | None, number: int) -> tuple[DataFrame | None, DataFrame | None]:
+        """Compare within nodes, and the pairs ``left`` by the look before.
+
+        Returns entries of nodes that are still large and mixed, and pairs that are left to compare.
+        """
+        stars, near = _stars(nodes, self.vertices, self.similarity), _exhaustive(nodes, self.similarity)
+        if number:
+            self.check(stars.union(near).union(left).distinct(), f"pairs{number}")
+        else:
+            # One link makes a member part of its class: most others needn't be confirmed then.
+            stars = self.scratch.write(stars, "stars")
+            self.check(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first")
+            self.check(stars, "others")
+            self.scratch.drop("stars")
+            self.check(near, "near")
+        mixed = self.scratch.write(_mixed(nodes.where(F.col("members") > SMALL_NODE), self.found).select(*_ABOUT, "node"), f"mixed{number}")
+        self.scratch.drop(f"nodes{number}")
         if mixed.isEmpty():
-            return None
+            return None, None
         sizes = mixed.groupBy("node").agg(F.count("*").alias("size"))
         big = self.scratch.write(
             mixed.groupBy("node", "class").agg(F.count("*").alias("n")).join(sizes, "node")
-                 .where((F.col("n") > SMALL_NODE) & (F.col("n") * MOST_CLASSES > F.col("size"))).select("node", "class"), f"big{name}")
+                 .where((F.col("n") > SMALL_NODE) & (F.col("n") * MOST_CLASSES > F.col("size"))).select("node", "class"), f"big{number}")
         x, c = mixed.alias("x"), big.alias("c")
         self.compare_with_classes(x.join(c, (F.col("x.node") == F.col("c.node")) & (F.col("x.class") != F.col("c.class"))).select(
-            "x.id", "c.class").distinct(), name)
-        rest = mixed.join(big, ["node", "class"], "left_anti")
-        rest = self.scratch.write(_crowded(_mixed(rest, self.found).select(*_ABOUT, "node")), f"rest{name}")
-        self.check(_exhaustive(rest, self.similarity), f"few{name}")
-        large = self.scratch.write(_mixed(rest.where(F.col("members") > SMALL_NODE), self.found).select(*_ABOUT, "node"), f"large{name}")
-        for table in (f"mixed{name}", f"big{name}", f"rest{name}"):
-            self.scratch.drop(table)
-        return None if large.isEmpty() else large
+            "x.id", "c.class").distinct(), str(number))
+        rest = self.scratch.write(_crowded(mixed.join(big, ["node", "class"], "left_anti")), f"rest{number}")
+        self.scratch.drop(f"mixed{number}")
+        large = rest.where(F.col("members") > SMALL_NODE).select(*_ABOUT, "node")
+        return None if large.isEmpty() else large, _exhaustive(rest, self.similarity)
 
     def compare_with_classes(self, met: DataFrame, name: str) -> None:
         """Links of documents to the classes in ``met`` (id, class), by the full sets of both.
@@ -285,7 +306,8 @@ class _Join:
             "class", "side", "id", k.alias("k"), F.explode(F.sequence(F.lit(0), other - 1)).alias("o"))
         tiles = tiles.select("class", F.when(F.col("side") == 0, F.col("k")).otherwise(F.col("o")).alias("i"),
                              F.when(F.col("side") == 0, F.col("o")).otherwise(F.col("k")).alias("j"), "side", "id")
-        full = tiles.join(self.sets, "id").select("class", "i", "j", "side", "id", "tokens")
+        needed = self.sets.join(sides.select("id").distinct(), "id", "left_semi")
+        full = tiles.join(needed, "id").select("class", "i", "j", "side", "id", "tokens")
         tile = ["class", "i", "j"]
         links = full.repartition(*tile).sortWithinPartitions(*tile, "side").mapInArrow(_tile_links(self.percent), "a long, b long")
         self.link(links, f"met{name}")
@@ -301,10 +323,10 @@ class _Join:
 
     def check(self, pairs: DataFrame, name: str) -> None:
         """Confirm the pairs of different classes that weren't compared before, and merge what they link."""
-        for before in self.tested:
-            pairs = pairs.join(before, ["a", "b"], "left_anti")
+        if self.tested is not None:
+            pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
         pairs = self.scratch.write(_apart(pairs, self.found), name)
-        self.tested.append(pairs)
+        self.tested = pairs if self.tested is None else self.tested.union(pairs)
         self.read(_ends(pairs), name)
         if self.sets is not None:
             self.link(_confirmed(pairs, self.sets, self.percent), name)
@@ -324,10 +346,7 @@ def _one_key(rows: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _crowded(entries: DataFrame) -> DataFrame:
-    """Entries of nodes that hold several classes, with the node's number of members.
-
-    A document's class is what was known when its branch was grown; classes only merge since.
-    """
+    """Entries of nodes that hold several classes, with the node's number of members."""
     stats = entries.groupBy("node").agg(F.count("*").alias("members"), F.min("class").alias("c0"), F.max("class").alias("c1"))
     return entries.join(stats.where("c0 <> c1").select("node", "members"), "node")
 
@@ -378,7 +397,7 @@ def _classed(df: DataFrame, found: DataFrame, id: str, name: str) -> DataFrame:
 
 def _mixed(nodes: DataFrame, found: DataFrame) -> DataFrame:
     """Entries of nodes that hold several of the classes found so far, with those classes."""
-    named = _classed(nodes.drop("class"), found, "id", "class")
+    named = _classed(nodes.drop("class"), found, "id", "class")       # a column that needn't be there
     several = named.groupBy("node").agg(F.min("class").alias("c0"), F.max("class").alias("c1")).where("c0 <> c1")
     return named.join(several.select("node"), "node", "left_semi")
 
@@ -467,9 +486,11 @@ def _sets_of(source: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose full sets are similar enough."""
-    both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("tokens").alias("ta")), "a")
-                 .join(sets.select(F.col("id").alias("b"), F.col("tokens").alias("tb")), "b"))
+    """Pairs whose full sets are similar enough. Only sets that a pair needs travel."""
+    def side(c: str) -> DataFrame:
+        own = sets.select(F.col("id").alias(c), F.col("tokens").alias(f"t{c}"))
+        return own.join(pairs.select(c).distinct(), c, "left_semi")
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
     shared = F.size(F.array_intersect("ta", "tb"))
     return both.where(shared * 100 >= (F.size("ta") + F.size("tb") - shared) * percent).select("a", "b")
 
