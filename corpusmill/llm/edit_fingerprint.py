@@ -6,13 +6,15 @@ into step soon after each edit and show equal characters at most steps, whatever
 between them. A fingerprint keeps the characters at sampled steps. The samples of a long
 text are a subset of those of a short one (by halving levels), so lengths need not be equal.
 
-Likeness is the share of equal samples. Near copies are found by bands of samples, and each
-candidate is verified on all samples.
+Likeness is the share of equal samples. Near copies are found by bands of samples, picked from all of
+them and longer for a larger corpus, and each candidate is verified on all samples. Members of a band are
+compared with its two ends first; where a band still holds several classes, all pairs of different classes are, in tiles.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +31,11 @@ CLASSES = 64                  # that characters fall into for the walk
 FLUSH_CHARS = 6_000_000       # texts that walk together
 BUCKET_CHARS = 12_000_000     # of texts that are in order in one task
 LEAST_BUCKETS, MOST_BUCKETS = 32, 4096
-BANDS, BAND_SAMPLES = 16, 4
+LEAST_BAND = 4                # samples of a band
+CHANCE = 0.08                 # that samples of unrelated texts are equal, about
+LOST = 1e-3                   # chance that no band finds a pair at the threshold
+SIZES = 1.25                  # step between the numbers of samples that bands are picked from
+SMALL_BAND, TILE = 32, 512    # members that meet as pairs; members of a side of a tile, about
 _CHUNK = 4096                 # steps whose random bits are made together
 _HEX = np.array([f"{i:02x}" for i in range(256)])
 
@@ -213,47 +219,125 @@ def fingerprint_of(text: Column) -> Column:
     return walk(text.cast("string"))
 
 
-def _bands(fingerprint: str) -> list[int]:
-    """Digests of bands of samples, at the text's own level and the one above."""
+def bands_for(texts: int, least: float) -> tuple[int, int]:
+    """Samples of a band, so that unrelated texts hardly share one, and how many bands ``LOST`` takes."""
+    length = max(LEAST_BAND, math.ceil(math.log(max(2, texts)) / -math.log(CHANCE)))
+    return length, math.ceil(math.log(LOST) / math.log1p(-least ** length))
+
+
+def _bands(fingerprint: str, length: int, count: int) -> list[int]:
+    """Digests of bands of samples, at the text's own level and the one above.
+
+    Positions are picked below a size of a fixed grid: the largest one that the text has, and the one before, so that
+    texts of nearly as many samples have bands of one size in common.
+    """
     own, out = int(fingerprint.partition(":")[0]), []
     for level in (own, own + 1):
         values = samples_at(fingerprint, level)
-        for b in range(BANDS):
-            picked = mix(np.arange(BAND_SAMPLES, dtype=np.uint64) + np.uint64(1000 * b)) % np.uint64(SAMPLES // 4)
-            picked = picked.astype(np.int64)
-            if len(values) > picked.max():
-                key = f"{level}:{b}:".encode() + values[picked].tobytes()
+        if not len(values):
+            continue
+        top = int(math.log(len(values)) / math.log(SIZES) + 1e-9)
+        for k in {top, max(0, top - 1)}:
+            size = np.uint64(max(1, int(SIZES ** k)))
+            for b in range(count):
+                picked = (mix(np.arange(length, dtype=np.uint64) + np.uint64(1000 * b)) % size).astype(np.int64)
+                key = f"{level}:{k}:{b}:".encode() + values[picked].tobytes()
                 out.append(int.from_bytes(hashlib.blake2b(key, digest_size=8).digest(), "big", signed=True))
     return out
 
 
+def _tile_links(least: float):
+    """Links (a, b) of the tiles of rows (band, low, high, block, class, id, fingerprint) that come one after another.
+
+    A pair that is of one class already, or that links join within the tile, is not looked at again.
+    """
+    def linked(rows: list) -> Iterator[tuple[int, int]]:
+        own = np.array([int(r[6].partition(":")[0]) for r in rows])
+        tables = {}
+        for level in set(own.tolist()):
+            values = [samples_at(r[6], level) if k <= level else np.empty(0, np.uint8) for r, k in zip(rows, own)]
+            table = np.full((len(rows), max(map(len, values))), -1, np.int16)
+            for i, v in enumerate(values):
+                table[i, :len(v)] = v
+            tables[level] = table, np.array([len(v) for v in values])
+        names, block, place = np.array([r[4] for r in rows]), np.array([r[3] for r in rows]), np.arange(len(rows))
+        low, high = rows[0][1], rows[0][2]
+        for i in np.flatnonzero(block == low):
+            others = (names != names[i]) & ((block == high) if low != high else (place > i))
+            for level in tables:
+                some = np.flatnonzero(others & (own == level))
+                table, sizes = tables[max(level, own[i])]
+                equal = ((table[some] == table[i]) & (table[i] >= 0)).sum(axis=1)
+                for j in some[equal >= least * np.maximum(sizes[some], sizes[i])]:
+                    if names[j] != names[i]:
+                        yield rows[i][5], rows[j][5]
+                        names[names == names[j]] = names[i]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list = []
+
+        def links():
+            found = list(linked(held)) if len(held) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if held and row[:3] != held[0][:3]:
+                    yield links()
+                    held = []
+                held.append(row)
+        if held:
+            yield links()
+    return run
+
+
 def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: float = 0.8) -> DataFrame:
     """(key, fingerprint, class_id): documents linked by fingerprints that are alike to ``least``.
 
-    Equal fingerprints are one class from the start. Of a band that several classes share, every
-    class is verified against the two ends of the band by key, so a band with very many documents
-    costs two comparisons each. Null keys keep a class of their own (null).
+    Equal fingerprints are one class from the start. Members of a band are verified against its two ends by key, so a
+    group of very many near copies costs two comparisons each; bands that then still hold several classes are compared
+    whole, as pairs or in tiles of bounded size. A pair at the threshold is found with a chance of about 0.999. Null keys
+    keep a class of their own (null).
     """
     scratch = Scratch(docs.sparkSession, "edit")
     rows = scratch.write(docs.select(F.col(f"`{key}`").cast("long").alias("key"),
                                      fingerprint_of(F.col(f"`{text}`")).alias("fingerprint")), "rows")
     classes = scratch.write(rows.where("key is not null").groupBy("fingerprint").agg(F.min("key").alias("id")), "classes")
+    length, count = bands_for(classes.count(), least)
 
     @F.arrow_udf("array<long>")
     def bands(column: pa.Array) -> pa.Array:
-        return pa.array([_bands(x) for x in column.to_pylist()], pa.list_(pa.int64()))
+        return pa.array([_bands(x, length, count) for x in column.to_pylist()], pa.list_(pa.int64()))
 
     @F.arrow_udf("double")
     def alike(a: pa.Array, b: pa.Array) -> pa.Array:
         return pa.array([likeness(x, y) for x, y in zip(a.to_pylist(), b.to_pylist())], pa.float64())
 
+    def verified(pairs: DataFrame) -> DataFrame:
+        for side in ("a", "b"):
+            pairs = pairs.join(classes.select(F.col("id").alias(side), F.col("fingerprint").alias(f"f{side}")), side)
+        return pairs.where(alike("fa", "fb") >= least).select("a", "b")
+
     entries = scratch.write(classes.select("id", F.explode(bands("fingerprint")).alias("band")), "entries")
     ends = entries.groupBy("band").agg(F.array(F.min("id"), F.max("id")).alias("ends")).where("ends[0] <> ends[1]")
     pairs = (entries.join(ends, "band").select("id", F.explode("ends").alias("end")).where("id <> end")
              .select(F.least("id", "end").alias("a"), F.greatest("id", "end").alias("b")).distinct())
-    for side in ("a", "b"):
-        pairs = pairs.join(classes.select(F.col("id").alias(side), F.col("fingerprint").alias(f"f{side}")), side)
-    found = components(pairs.where(alike("fa", "fb") >= least).select("a", "b"), scratch, "links")
+    found = components(verified(pairs), scratch, "ends")
+
+    named = entries.join(found, "id", "left").select("band", "id", F.coalesce("component", "id").alias("class"))
+    mixed = named.groupBy("band").agg(F.count("*").alias("n"), F.min("class").alias("c0"), F.max("class").alias("c1"))
+    mixed = scratch.write(named.join(mixed.where("c0 <> c1 AND n > 2").select("band", "n"), "band"), "mixed")
+    few, many = mixed.where(F.col("n") <= SMALL_BAND), mixed.where(F.col("n") > SMALL_BAND)
+    x, y = few.alias("x"), few.alias("y")
+    near = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.class") != F.col("y.class")))
+    links = verified(near.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
+    blocks = F.ceil(F.col("n") / TILE).cast("int")
+    dealt = many.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    tiles = dealt.select("band", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "class", "id")
+    tile = ["band", "low", "high"]
+    tiles = tiles.join(classes.select("id", "fingerprint"), "id").select(*tile, "block", "class", "id", "fingerprint")
+    links = links.union(tiles.repartition(*tile).sortWithinPartitions(*tile).mapInArrow(_tile_links(least), "a long, b long"))
+    found = components(links.union(found.select(F.col("id").alias("a"), F.col("component").alias("b"))), scratch, "links")
     named = classes.join(found, "id", "left").select("fingerprint", F.coalesce("component", "id").alias("class_id"))
     out = rows.join(named, "fingerprint", "left")
     return out.select(F.col("key").alias(key), "fingerprint", F.when(F.col("key").isNotNull(), F.col("class_id")).alias("class_id"))

@@ -87,3 +87,57 @@ def test_near_classes(spark, docs):
     found = {r["doc_id"]: r["class_id"] for r in out}
     assert found == {**{10 * j + i: i for j in range(3) for i in range(4)}, None: None, 30: 30, 31: 30}
     assert ef.near_classes(docs([])).collect() == []
+
+
+def chains(prints, least):
+    """{key: class} by comparing all pairs of (key, fingerprint)."""
+    up = {k: k for k, _ in prints}
+
+    def root(k):
+        while up[k] != k:
+            k = up[k]
+        return k
+    for i, (a, x) in enumerate(prints):
+        for b, y in prints[:i]:
+            if x == y or ef.likeness(x, y) >= least:
+                low, high = sorted((root(a), root(b)))
+                up[high] = low
+    return {k: root(k) for k in up}
+
+
+def test_classes_of_crowded_bands(spark, docs, monkeypatch):
+    """Families around one opening: links far from a band's ends, with and without tiles."""
+    rng = random.Random(7)
+    letters = "abcdefghij "
+    base = "".join(rng.choice(letters) for _ in range(700))
+    rows = []
+    for family in range(14):
+        own = base[:460] + "".join(rng.choice(letters) for _ in range(240))
+        for _ in range(9):
+            at = rng.randrange(600)
+            rows.append((rng.randrange(10 ** 9), own[:at] + rng.choice("xyz") + own[at + rng.randint(0, 1):]))
+    prints = list(zip([k for k, _ in rows], ef.fingerprints([t for _, t in rows])))
+    want = chains(prints, 0.8)
+    assert 2 < len(set(want.values())) < len(rows) / 2
+    for small, tile in ((32, 512), (3, 8)):
+        monkeypatch.setattr(ef, "SMALL_BAND", small)
+        monkeypatch.setattr(ef, "TILE", tile)
+        assert {r["doc_id"]: r["class_id"] for r in ef.near_classes(docs(rows)).collect()} == want
+
+
+def test_bands_find_pairs_at_the_threshold():
+    """Measured on pairs alike to 0.80 to 0.85, for a corpus of a million texts."""
+    rng = random.Random(8)
+    length, count = ef.bands_for(10 ** 6, 0.8)
+    assert length >= 5 and (1 - 0.8 ** length) ** count <= ef.LOST
+    hits = pairs = 0
+    while pairs < 150:
+        text = "".join(rng.choice("abcdefghijklmnop ") for _ in range(rng.randint(60, 3000)))
+        copy = list(text)
+        for _ in range(rng.randint(1, max(1, len(text) // 60))):
+            copy[rng.randrange(len(copy))] = rng.choice("XYZ")
+        a, b = ef.fingerprints([text, "".join(copy)])
+        if 0.8 <= ef.likeness(a, b) <= 0.85:
+            pairs += 1
+            hits += not set(ef._bands(a, length, count)).isdisjoint(ef._bands(b, length, count))
+    assert hits >= 0.98 * pairs
