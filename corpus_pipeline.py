@@ -6,21 +6,48 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.functions.ranks import ranked
 from corpusmill.llm import near_dedup, packing, quality_filter, secrets, substring_dedup
 from corpusmill.llm.tables import Scratch
 
 
+def _aside(docs: DataFrame) -> DataFrame:
+    """``docs`` with all columns but the key and the text under names that no operator uses."""
+    return docs.select(*[F.col(f"`{c}`").alias(c if c in ("doc_id", "text") else f"_column{i}")
+                         for i, c in enumerate(docs.columns)])
+
+
+def _restored(found: DataFrame, docs: DataFrame) -> DataFrame:
+    """Rows of ``found``, made from ``_aside(docs)``, with the columns of ``docs``."""
+    return found.select(*[F.col(c if c in ("doc_id", "text") else f"_column{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_key``: the id, or for rows without one a number beyond all ids."""
+    own = docs.withColumn("_key", F.col("doc_id").cast("long"))
+    none = docs.where("doc_id IS NULL")
+    if none.isEmpty():
+        return own
+    largest = F.coalesce(F.max(F.col("doc_id").cast("long")), F.lit(0))
+    beyond = ranked(none, "text", "_key").crossJoin(F.broadcast(docs.agg(largest.alias("_largest"))))
+    return own.where("doc_id IS NOT NULL").unionByName(
+        beyond.withColumn("_key", F.col("_key") + F.col("_largest") + 1).drop("_largest"))
+
+
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality_filter.resample(docs, labels).where("kept").select(*[f"`{c}`" for c in docs.columns])
+    return _restored(quality_filter.resample(_aside(docs), labels).where("kept"), docs)
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest id."""
-    groups = near_dedup.near_duplicates(docs)
-    return docs.join(groups.where("not kept").select("doc_id"), "doc_id", "left_anti").select(
-        *[f"`{c}`" for c in docs.columns])
+    """One document of each group of near copies: the one with the smallest id, a row without an id only if none has one.
+
+    Rows that repeat an id are one document and stay or go together.
+    """
+    rows = _keyed(_aside(docs))
+    groups = near_dedup.near_duplicates(rows, key="_key")
+    return _restored(rows.join(groups.where("not kept").select("_key"), "_key", "left_anti"), docs)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,10 +56,9 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with their secrets masked."""
-    found = secrets.find_secrets(docs)
-    return _measured(found.withColumn("text", secrets.masked(F.col("text"), F.col("secrets"))).select(
-        *[f"`{c}`" for c in docs.columns]))
+    """Texts with their secrets masked; ``n_chars`` follows the text."""
+    found = secrets.find_secrets(_aside(docs))
+    return _measured(_restored(found.withColumn("text", secrets.masked(F.col("text"), F.col("secrets"))), docs))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
