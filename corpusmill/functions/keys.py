@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from corpusmill.schema import is_floating
 
 SORTED_KEYS = 20_000        # keys, without their rows, that one task sorts at the end of a search
+FEW_ROWS = 1_000            # of a group that one task may sort for every task before it
 PIVOTS = 64                 # keys that a counting pass compares with
 _DIGEST, _HASH = "_row_digest", "_row_hash"
 HASH_DIGITS = 15            # hexadecimal digits of the md5 that make the 60-bit key
@@ -184,7 +185,11 @@ def first_per_group(df: DataFrame, n: int, by: str, order) -> DataFrame:
     """First ``n`` rows of each group, with their position in ``rank``.
 
     Spark limits each group before the shuffle (window group limit), so a hot group
-    sends ``n`` rows per task, not all its rows.
+    sends ``n`` rows per task, not all its rows. Beyond ``FEW_ROWS`` that limit saves little:
+    positions are then found by ranges over all groups, ties by a digest of the row.
     """
+    if n > FEW_ROWS:
+        from corpusmill.functions.ranks import positions_in_groups
+        return positions_in_groups(df, by, order).where(F.col("rank") <= n)
     w = Window.partitionBy(by).orderBy(*order)
     return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)

@@ -111,6 +111,22 @@ def _z(df):
     return df.select("column", "count", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"))
 
 
+def _all_fences(sql):
+    """Columns without an outlier as well."""
+    return sql.replace("HAVING count(*) FILTER (v < lower OR v > upper) > 0", "")
+
+
+@query("iqr_fences_lineitem", _all_fences(_iqr_sql("lineitem", {c: c for c in LINEITEM})))
+def iqr_fences_lineitem(spark, sf):
+    return quality.iqr_outliers(table(spark, sf, "lineitem"), LINEITEM, only_found=False)
+
+
+@query("iqr_fences_part", _all_fences(_iqr_sql("part", {"p_size": "p_size", "p_retailprice": "p_retailprice"})))
+def iqr_fences_part(spark, sf):
+    return quality.iqr_outliers(table(spark, sf, "part"), ["p_size", "p_retailprice"], only_found=False)
+
+
+
 @query("zscore_outliers", f"WITH {CORPUS} {_z_sql('corpus', {'_text_len': 'length(text)'})}")
 def zscore_outliers(spark, sf):
     return _z(quality.zscore_outliers(corpus(spark, sf), ["_text_len"]))

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from corpusmill.functions import ranks
+from corpusmill.functions import keys, ranks
 from corpusmill.sources import landed
 
 
@@ -43,3 +43,16 @@ def test_sequential_id_of_string_keys(spark):
     out = landed.sequential_id(df, "k", size=2)
     assert [tuple(r) for r in out.orderBy("id").collect()] == [
         ("item_0000", None), ("item_0001", "a"), ("item_0002", "a"), ("item_0003", "b")]
+
+
+@pytest.mark.parametrize("few", [0, 1_000])
+def test_first_rows_of_groups_of_any_size(spark, monkeypatch, few):
+    monkeypatch.setattr(keys, "FEW_ROWS", few)
+    rows = [(i, "hot" if i % 10 else [None, "a", "b"][i // 10 % 3], (i * 37) % 50) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, g string, v int").repartition(4)
+    got = {(r.g, r["rank"]): (r.v, r.id) for r in keys.first_per_group(df, 60, "g", [F.desc("v"), F.asc("id")]).collect()}
+    want = {}
+    for g in ("hot", None, "a", "b"):
+        for at, (v, i) in enumerate(sorted(((v, i) for i, x, v in rows if x == g), key=lambda p: (-p[0], p[1]))[:60]):
+            want[g, at + 1] = (v, i)
+    assert got == want
