@@ -217,7 +217,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     if large is not None:
         left = left.union(_tiled(large, similarity)).distinct()
     if left is not None:
-        join.check(left, "last")
+        join.check(left, "last", apart=True)
 
     named = names.select("low", "high", "id").join(join.found, "id", "left").select(
         "low", "high", F.coalesce("component", "id").alias("component"))
@@ -263,7 +263,7 @@ class _Join:
         else:
             # One link makes a member part of its class: most others needn't be confirmed then.
             stars = self.scratch.write(stars, "stars")
-            self.check(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first")
+            self.check(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first", apart=True)
             self.check(stars, "others")
             self.scratch.drop("stars")
             self.check(near, "near")
@@ -321,11 +321,14 @@ class _Join:
             new = self.scratch.write(_sets_of(self.source, ids.hint("merge"), self.shingle), f"{name}-sets")
             self.sets = new if self.sets is None else self.sets.union(new)
 
-    def check(self, pairs: DataFrame, name: str) -> None:
-        """Confirm the pairs of different classes that weren't compared before, and merge what they link."""
+    def check(self, pairs: DataFrame, name: str, apart: bool = False) -> None:
+        """Confirm the pairs of different classes that weren't compared before, and merge what they link.
+
+        With ``apart`` the pairs were picked by class already.
+        """
         if self.tested is not None:
             pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
-        pairs = self.scratch.write(_apart(pairs, self.found), name)
+        pairs = self.scratch.write(pairs if apart else _apart(pairs, self.found), name)
         self.tested = pairs if self.tested is None else self.tested.union(pairs)
         self.read(_ends(pairs), name)
         if self.sets is not None:
@@ -438,11 +441,11 @@ def _stars(nodes: DataFrame, vertices: DataFrame, similarity: float) -> DataFram
 
 
 def _exhaustive(nodes: DataFrame, similarity: float) -> DataFrame:
-    """All pairs within the small nodes that sketches allow."""
+    """All pairs of different classes within the small nodes that sketches allow."""
     small = nodes.where(F.col("members") <= SMALL_NODE)
     x, y = small.alias("x"), small.alias("y")
     joined = x.join(y, (F.col("x.node") == F.col("y.node")) & (F.col("x.id") < F.col("y.id"))
-                    & _may_link(similarity, "x", "y"))
+                    & (F.col("x.class") != F.col("y.class")) & _may_link(similarity, "x", "y"))
     return joined.select(*_pairs("x.id", "y.id")).distinct()
 
 
@@ -450,7 +453,8 @@ def _tiled(nodes: DataFrame, similarity: float) -> DataFrame:
     """All pairs of different classes within nodes of any size that sketches allow.
 
     Members are dealt by digest to buckets of about ``TILE``, and two buckets of a node meet in a tile.
-    A class beyond ``TILE`` members has buckets of its own, which don't meet each other.
+    A class beyond ``TILE`` members has buckets of its own, which don't meet each other. A pair that shares several
+    nodes comes from the smallest of them.
     """
     counts = nodes.groupBy("node", "class").agg(F.count("*").alias("n"))
     own = F.col("n") > TILE
@@ -458,8 +462,9 @@ def _tiled(nodes: DataFrame, similarity: float) -> DataFrame:
         F.ceil(F.sum("n") / TILE).cast("int").alias("buckets"))
     others = owners.select("node", F.explode(F.transform(F.sequence(F.lit(0), F.col("buckets") - 1), lambda k: F.struct(
         "big", "owner", k.alias("k")))).alias("other"))
-    about = ["node", "id", "class", "sketch", "n_shingles"]
-    sized = nodes.join(counts.withColumnRenamed("n", "size"), ["node", "class"]).select(
+    about = ["node", "id", "class", "sketch", "n_shingles", "nodes"]
+    lists = nodes.groupBy("id").agg(F.collect_list("node").alias("nodes"))
+    sized = nodes.join(lists, "id").join(counts.withColumnRenamed("n", "size"), ["node", "class"]).select(
         *about, (F.col("size") > TILE).alias("big"),
         F.when(F.col("size") > TILE, F.col("class")).otherwise(F.lit(0)).alias("owner"))
     mine = sized.join(owners, ["node", "big", "owner"]).select(*about, F.struct(
@@ -471,7 +476,8 @@ def _tiled(nodes: DataFrame, similarity: float) -> DataFrame:
     joined = x.join(y, (F.col("x.node") == F.col("y.node")) & (F.col("x.low") == F.col("y.low"))
                     & (F.col("x.high") == F.col("y.high")) & (F.col("x.class") != F.col("y.class"))
                     & ((F.col("x.low") < F.col("x.high")) | (F.col("x.id") < F.col("y.id")))
-                    & _may_link(similarity, "x", "y"))
+                    & _may_link(similarity, "x", "y")
+                    & (F.array_min(F.array_intersect("x.nodes", "y.nodes")) == F.col("x.node")))
     return joined.select(*_pairs("x.id", "y.id")).distinct()
 
 
