@@ -200,7 +200,75 @@ def op11(spark, sf):
     return spelling.spelling_groups(table(spark, sf, "documents"), drop_every=199)
 
 
-@query("op12_simhash_dedup")
+# XXH64 in SQL: 64-bit arithmetic on 128-bit unsigned numbers. ``rotated`` binds its argument once.
+_M = "18446744073709551615::UHUGEINT"
+_P = [f"{p}::UHUGEINT" for p in (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579,
+                                 2870177450012600261)]
+
+
+def _rotated(x: str, by: int) -> str:
+    return f"list_transform([{x}], lambda r: ((r << {by}) | (r >> {64 - by})) & {_M})[1]"
+
+
+def _round(acc: str, word: str) -> str:
+    return f"(({_rotated(f'({acc} + (({word} * {_P[1]}) & {_M})) & {_M}', 31)} * {_P[0]}) & {_M})"
+
+
+def _little(hexed: str, at: str, size: int) -> str:
+    """The number that ``size`` bytes from place ``at`` (in hexadecimal digits, from 1) make, lowest byte first."""
+    parts = " || ".join(f"substr({hexed}, CAST({at} + {2 * k} AS INTEGER), 2)" for k in reversed(range(size)))
+    return f"CAST(('0x' || {parts}) AS UBIGINT)::UHUGEINT"
+
+
+def _xxh64(source: str, seed: int) -> str:
+    """CTEs that end in ``xxh`` (g, h): the hash of every different string ``g`` of ``source``."""
+    start = [(seed + x) % 2 ** 64 for x in (11400714785074694791 + 14029467366897019727, 14029467366897019727, 0, -11400714785074694791)]
+    lanes = ", ".join(
+        f"list_reduce(list_prepend({v}::UHUGEINT, [words[4 * i + {k}] FOR i IN range(1, n // 32 + 1)]), lambda a, w: {_round('a', 'w')}) AS v{k}"
+        for k, v in enumerate(start))
+    mixed = " + ".join(_rotated(f"v{k}", by) for k, by in enumerate((1, 7, 12, 18)))
+    merged = (f"list_reduce([({mixed}) & {_M}, v0, v1, v2, v3], lambda a, v: "
+              f"((xor(a, {_round('0::UHUGEINT', 'v')}) * {_P[0]}) + {_P[3]}) & {_M})")
+    return rf"""hexed AS (SELECT DISTINCT g, hex(g) AS x, CAST(len(hex(g)) // 2 AS BIGINT) AS n FROM {source}),
+worded AS (SELECT g, x, n, list_concat([0::UHUGEINT, 0::UHUGEINT, 0::UHUGEINT, 0::UHUGEINT],
+  [{_little("x", "16 * i + 1", 8)} FOR i IN range(0, n // 8)]) AS words FROM hexed),
+laned AS (SELECT g, x, n, words, {lanes.replace("words[4 * i + ", "words[4 * i + 1 + ")} FROM worded),
+begun AS (SELECT g, x, n, words, ((CASE WHEN n >= 32 THEN {merged} ELSE {(seed + 2870177450012600261) % 2 ** 64}::UHUGEINT END) + n::UHUGEINT) & {_M} AS h
+  FROM laned),
+eights AS (SELECT g, x, n, list_reduce(list_prepend(h, words[5 + n // 32 * 4:]), lambda a, w:
+  (({_rotated(f"xor(a, {_round('0::UHUGEINT', 'w')})", 27)} * {_P[0]}) + {_P[3]}) & {_M}) AS h FROM begun),
+fours AS (SELECT g, x, n, CASE WHEN n % 8 >= 4 THEN
+  (({_rotated(f"xor(h, ({_little('x', '16 * (n // 8) + 1', 4)} * {_P[0]}) & {_M})", 23)} * {_P[1]}) + {_P[2]}) & {_M} ELSE h END AS h FROM eights),
+ones AS (SELECT g, list_reduce(list_prepend(h, [{_little("x", "2 * i + 1", 1)} FOR i IN range(n // 4 * 4, n)]), lambda a, b:
+  ({_rotated(f"xor(a, (b * {_P[4]}) & {_M})", 11)} * {_P[0]}) & {_M}) AS h FROM fours),
+spread1 AS (SELECT g, (xor(h, h >> 33) * {_P[1]}) & {_M} AS h FROM ones),
+spread2 AS (SELECT g, (xor(h, h >> 29) * {_P[2]}) & {_M} AS h FROM spread1),
+xxh AS (SELECT g, CAST(xor(h, h >> 32) AS UBIGINT) AS h FROM spread2)"""
+
+
+SQL_SIMHASH = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w FROM documents),
+s AS (
+  SELECT doc_id, unnest(CASE WHEN len(w) > 2 THEN [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]
+                             WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM w),
+{_xxh64("s", 42)},
+bits AS (SELECT doc_id, count(*) AS n, {", ".join(f"sum(CAST((h >> {k}) & 1 AS INTEGER)) AS b{k}" for k in range(64))}
+  FROM s JOIN xxh USING (g) GROUP BY doc_id),
+made AS (SELECT doc_id, {" + ".join(f"CASE WHEN 2 * b{k} > n THEN {1 << k}::UHUGEINT ELSE 0::UHUGEINT END" for k in range(64))} AS fp FROM bits),
+prints AS (SELECT d.doc_id, CAST(coalesce(fp, 0::UHUGEINT) AS UBIGINT) AS fp FROM documents d LEFT JOIN made USING (doc_id)),
+classes AS (SELECT fp, min(doc_id) AS id FROM prints GROUP BY fp),
+links AS (SELECT x.id AS a, y.id AS b FROM classes x JOIN classes y ON x.id <> y.id AND bit_count(xor(x.fp, y.fp)) <= 2),
+reach AS (
+  SELECT a, b FROM links
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT p.doc_id, lower(lpad(to_hex(p.fp), 16, '0')) AS fingerprint, least(c.id, coalesce(r.component, c.id)) AS component_id
+FROM prints p JOIN classes c ON c.fp = p.fp LEFT JOIN (SELECT a, min(b) AS component FROM reach GROUP BY 1) r ON r.a = c.id"""
+
+
+@query("op12_simhash_dedup", SQL_SIMHASH)
 def op12(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
