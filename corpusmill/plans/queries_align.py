@@ -27,13 +27,13 @@ def _array_sql(prefix):
 
 IMAGE_SQL = f"i AS (SELECT vec_id AS id, {_array_sql('image__')} FROM embeddings)"
 AUDIO = [f"audio__{c}" for c in align.MODALITY_FEATURES["audio"]]
-AUDIO_SQL = f"""v AS (SELECT vec_id AS id, [CAST(x AS DOUBLE) FOR x IN embedding] AS d FROM embeddings),
-c AS (SELECT id, d, list_sum([abs(x) FOR x IN d]) AS w,
-  list_sum([(i - 1) * abs(d[i]) FOR i IN range(1, len(d) + 1)]) / list_sum([abs(x) FOR x IN d]) AS mid FROM v),
+AUDIO_SQL = f"""audio_values AS (SELECT vec_id AS id, [CAST(x AS DOUBLE) FOR x IN embedding] AS d FROM embeddings),
+audio_middles AS (SELECT id, d, list_sum([abs(x) FOR x IN d]) AS w,
+  list_sum([(i - 1) * abs(d[i]) FOR i IN range(1, len(d) + 1)]) / list_sum([abs(x) FOR x IN d]) AS mid FROM audio_values),
 a AS (SELECT id, {", ".join(f"d[{i}] AS audio__mfcc_{i}" for i in range(1, 14))},
   len([i FOR i IN range(2, len(d) + 1) IF (d[i] < 0) <> (d[i - 1] < 0)]) / (len(d) - 1) AS audio__zcr, mid AS audio__spectral_centroid,
   sqrt(list_sum([(i - 1 - mid) * (i - 1 - mid) * abs(d[i]) FOR i IN range(1, len(d) + 1)]) / w) AS audio__spectral_bandwidth,
-  sqrt(list_sum([x * x FOR x IN d]) / len(d)) AS audio__rms_energy FROM c)"""
+  sqrt(list_sum([x * x FOR x IN d]) / len(d)) AS audio__rms_energy FROM audio_middles)"""
 LABEL_SQL = """l AS (SELECT doc_id AS id, CASE quality WHEN 1 THEN 'pos' ELSE 'neg' END AS label,
   toxic AS judged__toxic FROM labels)"""
 COLUMNS = """id, source, collected_at, text__text_len, text__word_count, text__avg_word_len, text__punct_ratio, label,
