@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from corpusmill.durable import shared_folder
+from corpusmill.functions.ranks import positions_in_groups
 from corpusmill.operators import align, learn, quality
 from corpusmill.operators.explore import text_features
 from corpusmill.operators.learn import Classifier
@@ -23,10 +24,17 @@ def _folder(spark, name: str) -> str:
     return f"{shared_folder(spark)}/corpusmill/{name}-{uuid.uuid4().hex}"
 
 
-def _by_folder(df, column: str, order: str, folder: str) -> str:
-    """One CSV file for each value of ``column``, in a folder of its own, in the given order."""
-    df.repartition(column).sortWithinPartitions(column, order).write.partitionBy(column).option(
-        "header", True).option("escape", '"').csv(folder)
+FILE_KEYS = 20_000          # of a landed file
+
+
+def _by_folder(df, column: str, order: str, folder: str, size: int = FILE_KEYS) -> str:
+    """CSV files of ``size`` keys for each value of ``column``, in a folder of its own; their paths follow the given order."""
+    keys = positions_in_groups(df.select(column, order).distinct(), column, [order], "_place")
+    keys = keys.select(F.col(column).alias("_column"), F.col(order).alias("_order"),
+                       F.lpad(F.floor((F.col("_place") - 1) / size).cast("string"), 9, "0").alias("_file"))
+    rows = df.join(keys, F.col(column).eqNullSafe(F.col("_column")) & F.col(order).eqNullSafe(F.col("_order")))
+    rows.select(*df.columns, "_file").repartition(column, "_file").sortWithinPartitions(column, "_file", order).write.partitionBy(
+        column, "_file").option("header", True).option("escape", '"').csv(folder)
     return folder
 
 

@@ -197,3 +197,25 @@ def test_left_out_end_tags():
     assert html.select_text(page, html.parse_selector("li")) == ["a", "b\nc", "c", "d"]
     assert html.select_text(page, html.parse_selector("td")) == ["1", "2", "3"]
     assert html.select_text(page, html.parse_selector("p")) == ["3", "x", "y"]
+
+
+def test_pages_are_parsed_a_hundred_at_a_time(spark):
+    df = spark.createDataFrame([(1, "http://x.example/", PAGE)], "page_id int, url string, html string")
+    for found in (html.scrape(df, "p", "at"), html.extract_elements(df, "p")):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BatchEvalPython" in plan and "MapInPandas" not in plan
+
+
+def test_landed_files_are_bounded(spark, tmp_path):
+    """A value with most rows is many files, whose paths follow the order, repeated keys and nulls included."""
+    from corpusmill.plans.queries_roundtrip import _by_folder
+    rows = [(i, "a" if i < 95 else "b", "x\ny") for i in range(100)] + [(7, "a", "again"), (3, None, "none")]
+    df = spark.createDataFrame(rows, "k long, lang string, text string").repartition(3)
+    folder = _by_folder(df, "lang", "k", str(tmp_path / "out"), 10)
+    files = sorted(p for p in (tmp_path / "out").rglob("*.csv"))
+    assert len([p for p in files if "lang=a" in str(p)]) == 10 and len(files) == 12
+    found = landed.read_csv_in_order(spark, [folder], recursiveFileLookup=True)
+    found = [(r.k, r.text) for r in found.orderBy(*landed.FILE_ORDER).collect()]
+    assert [int(k) for k, _ in found] == [3, *sorted([*range(95), 7]), *range(95, 100)]
+    first = landed.first_csv_below(spark, str(tmp_path / "out" / "lang=a"), 8, recursiveFileLookup=True).collect()
+    assert [int(r.k) for r in first] == [0, 1, 2, 3, 4, 5, 6, 7]
