@@ -36,7 +36,11 @@ def word_count(c: Column) -> Column:
 
 def average_word_length(c: Column) -> Column:
     """Characters per whitespace-separated word; null when there is no word."""
-    return F.round(F.try_divide(F.length(c), word_count(c)), 2)
+    return average_length(F.length(c), word_count(c))
+
+
+def average_length(length, words) -> Column:
+    return F.round(F.try_divide(length, words), 2)
 
 
 def punctuation_ratio(c: Column) -> Column:

@@ -11,7 +11,7 @@ from corpusmill.durable import written
 from corpusmill.functions.keys import first_per_group, seeded_sample, small_side
 from corpusmill.functions.quantiles import group_quantiles
 from corpusmill.functions.text import (
-    CYRILLIC_WORD, average_word_length, letter_words, punctuation_ratio, word_count)
+    CYRILLIC_WORD, average_length, letter_words, punctuation_ratio, word_count)
 from corpusmill.operators.quality import FENCE, _stack, missing_matrix
 
 # Russian stop words left out of word counts.
@@ -26,9 +26,10 @@ STOP_WORDS = frozenset((
 def text_features(df: DataFrame, key: str, text: str = "text", keep=()) -> DataFrame:
     """``text_len``, ``word_count``, ``avg_word_len`` and ``punct_ratio`` per row."""
     t = F.col(text)
-    return df.select(key, *keep, F.length(t).alias("text_len"), word_count(t).alias("word_count"),
-                     average_word_length(t).alias("avg_word_len"),
-                     F.round(punctuation_ratio(t), 6).alias("punct_ratio"))
+    counted = df.select(key, *keep, F.length(t).alias("text_len"), word_count(t).alias("word_count"),
+                        F.round(punctuation_ratio(t), 6).alias("punct_ratio"))
+    return counted.select(key, *keep, "text_len", "word_count", average_length("text_len", "word_count").alias("avg_word_len"),
+                          "punct_ratio")
 
 
 def histogram(df: DataFrame, value: str, bins: int, by: str | None = None) -> DataFrame:
