@@ -165,7 +165,7 @@ def train_and_evaluate(df: DataFrame, key: str, text: str = "text", label: str =
                        max_features: int = TRAIN_FEATURES, test_share: float = TRAIN_HOLDOUT,
                        seed=42, max_fit_rows: int = MAX_FIT_ROWS) -> Trained:
     """80/20 stratified split, vectoriser and model fitted on the training part only."""
-    rows = trainable(df, text, label).select(key, text, F.col(label).cast("string").alias(label))
+    rows = written(trainable(df, text, label).select(key, text, F.col(label).cast("string").alias(label)), "train-rows")
     split = stratified_split(rows, label, key, test_share, seed)
     vectoriser = TfidfModel.fit(split.where(~F.col("is_test")), max_features, text)
     data = written(vectoriser.transform(split, text).select(key, label, "is_test", "features"),
@@ -343,8 +343,10 @@ def compare_modalities(df: DataFrame, key: str, groups: dict, label: str = "labe
     label and every column present, and the same split; columns are standardised by the training part.
     """
     every = [c for columns in groups.values() for c in columns]
-    rows = fuse_features(df.where(has_label(label)), every).select(
-        F.col(f"`{key}`"), F.col(f"`{label}`").cast("string").alias("_label"), *[F.col(f"`{c}`") for c in every])
+    # Written before rows are looked at: a filter would go below the joins and work out every feature once more.
+    rows = written(df.where(has_label(label)).select(
+        F.col(f"`{key}`"), F.col(f"`{label}`").cast("string").alias("_label"), *[F.col(f"`{c}`") for c in every]), "fused-rows")
+    rows = fuse_features(rows, every).drop("features")
     split = written(stratified_split(rows, "_label", key, test_share, seed), "fused")
     scale = _scale(split.where(~F.col("is_test")), every)
     reports = []

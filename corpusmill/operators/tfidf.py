@@ -3,46 +3,51 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cached_property
 
-from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusmill.functions.text import let, one_and_two_grams
+from corpusmill.durable import written
+from corpusmill.functions.grams import COUNTS, count_pairs, count_words, tfidf_cells
 
 MIN_DF = 2
+MAX_PAIRED = 50_000         # words, beyond those kept, that travel to tasks to choose pairs
 
 
-def _grams(text: str) -> Column:
-    return one_and_two_grams(F.coalesce(F.col(text).cast("string"), F.lit("")))
+def _lowered(text: str) -> Column:
+    return F.lower(F.coalesce(F.col(text).cast("string"), F.lit("")))
 
 
-def term_counts(df: DataFrame, text: str = "text") -> DataFrame:
+def _added_up(df: DataFrame, text: str, count) -> DataFrame:
     """``(term, ctf, df)``: occurrences, and rows a term occurs in, from one shuffle.
 
-    Terms are sorted inside their row, so "first of its row" is a comparison with the
-    neighbour; no exchange by row is needed to count rows.
+    Every task adds up the terms of some megabytes of text before they travel. A row is in one task,
+    so no exchange by row is needed to count rows.
     """
-    def flagged(g: Column) -> Column:
-        before = F.concat(F.array(F.lit(None).cast("string")),
-                          F.slice(g, F.lit(1), F.greatest(F.size(g) - 1, F.lit(0))))
-        return F.zip_with(g, before, lambda a, b: F.struct(
-            a.alias("term"), (~a.eqNullSafe(b)).cast("int").alias("first")))
+    counts = df.select(_lowered(text).alias("text")).mapInArrow(count, COUNTS)
+    return counts.groupBy("term").agg(F.sum("ctf").alias("ctf"), F.sum("df").alias("df"))
 
-    marked = let(F.array_sort(_grams(text)), flagged)
-    return (df.select(F.explode_outer(marked).alias("t")).where(F.col("t.term").isNotNull())
-              .groupBy("t.term").agg(F.count("*").alias("ctf"), F.sum("t.first").alias("df")))
+
+def _most_frequent(counts: DataFrame, max_features: int) -> DataFrame:
+    return counts.orderBy(F.desc("ctf"), F.asc("term")).limit(max_features)
 
 
 def vocabulary(df: DataFrame, max_features: int, text: str = "text",
                min_df: int = MIN_DF) -> DataFrame:
     """``(term, idx, ctf, df, idf)`` of the most frequent terms, indexed in term order.
 
-    Ties in frequency go to the term that sorts first.
+    Ties in frequency go to the term that sorts first. Words are counted first. A pair occurs no more often than each of
+    its words, so once there are ``max_features`` words, only pairs of words as frequent as the last of them can be
+    among the most frequent terms, and other pairs don't travel.
     """
-    kept = (term_counts(df, text).where(F.col("df") >= min_df)
-            .orderBy(F.desc("ctf"), F.asc("term")).limit(max_features))
+    words = written(_added_up(df, text, count_words).where(F.col("df") >= min_df), "words")
+    best = _most_frequent(words, max_features)
+    last = best.agg(F.count("*").alias("n"), F.min("ctf").alias("ctf")).head()
+    often = None
+    if last["n"] == max_features:
+        often = [r.term for r in words.where(F.col("ctf") >= last["ctf"]).select("term").limit(MAX_PAIRED + max_features + 1).collect()]
+    pairs = count_pairs(often if often is not None and len(often) <= MAX_PAIRED + max_features else None)
+    kept = _most_frequent(best.unionByName(_added_up(df, text, pairs).where(F.col("df") >= min_df)), max_features)
     n = df.agg(F.count("*").alias("_n"))
     idf = F.log((1.0 + F.col("_n")) / (1.0 + F.col("df"))) + 1.0
     # The window sees at most max_features rows.
@@ -63,29 +68,9 @@ class TfidfModel:
         rows = vocabulary(df, max_features, text, min_df).orderBy("idx").collect()   # bounded
         return TfidfModel(tuple(r.term for r in rows), tuple(r.idf for r in rows))
 
-    @cached_property
-    def _counter(self) -> CountVectorizerModel:
-        return CountVectorizerModel.from_vocabulary(list(self.terms), "_g", "_c")
-
     def _weights(self, df: DataFrame, text: str) -> DataFrame:
-        """Add ``_w``: ``{indices, values}`` with unit norm. Row-local: no shuffle.
-
-        Spark ML counts terms against the vocabulary with a hash map per row.
-        """
-        counted = self._counter.transform(df.withColumn("_g", _grams(text)))
-        # One broadcast row, at most max_features numbers.
-        weights = df.sparkSession.createDataFrame([(list(self.idf),)], "_idf array<double>")
-
-        def scaled(c: Column) -> Column:
-            tf_idf = F.zip_with(c["indices"], c["values"], lambda i, v: (1.0 + F.log(v)) * F.get("_idf", i))
-            return F.struct(c["indices"].alias("indices"), let(tf_idf, unit).alias("values"))
-
-        def unit(w: Column) -> Column:
-            norm = F.sqrt(F.aggregate(w, F.lit(0.0), lambda s, x: s + x * x))
-            return let(norm, lambda n: F.transform(w, lambda x: x / n))
-
-        return counted.crossJoin(F.broadcast(weights)).select(
-            *[f"`{c}`" for c in df.columns], let(F.unwrap_udt("_c"), scaled).alias("_w"))
+        """Add ``_w``: ``{indices, values}`` with unit norm. Row-local: no shuffle."""
+        return df.select(*[f"`{c}`" for c in df.columns], tfidf_cells(_lowered(text), self.terms, self.idf).alias("_w"))
 
     def transform(self, df: DataFrame, text: str = "text", into: str = "features") -> DataFrame:
         """Add sparse rows ``{indices, values}``; a row without any vocabulary term has none."""

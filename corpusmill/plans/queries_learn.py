@@ -65,8 +65,8 @@ def topk_uncertain(spark, sf):
 
 
 def reviewed(spark, sf):
-    """Every row labelled, after a simulated review; written, as learning reads it many times."""
-    rows = labelled(spark, sf)
+    """Every row labelled, after a simulated review; written, as review and learning read it many times."""
+    rows = written(labelled(spark, sf), "labelled")
     return written(review.merge_review(rows, review.simulate_review(review.review_queue(rows, "row_id")), "row_id"), "reviewed")
 
 

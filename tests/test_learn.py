@@ -5,6 +5,7 @@ from collections import Counter
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -341,3 +342,57 @@ def test_rounds_equal_brute_force(spark):
     assert [r.mean_uncertainty for r in rounds] == pytest.approx(
         [np.mean(sorted(unsure[70:])[-9 * i:][:9]) for i in (1, 2)], abs=1e-3)
     assert all(r.fit_rows == 70 and r.fit_steps > 0 for r in rounds)
+
+
+def test_words_that_tie_make_pairs(spark):
+    """The last word kept ties with others, whose pairs are as frequent and come first."""
+    texts = ["aa bb", "aa bb", "zz", "zz", "yy", "yy", None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "row_id int, text string").repartition(2)
+    for cap in range(1, 6):
+        assert list(tfidf.TfidfModel.fit(df, cap).terms) == brute(texts, cap)[0]
+
+
+def test_terms_are_added_up_in_tasks(spark, monkeypatch):
+    """Counts of slices of any size add up, and a term travels once for each slice, not once for each occurrence."""
+    from corpusmill.functions import grams
+    batch = pa.RecordBatch.from_arrays([pa.array(["the cat sat", "the cat the cat", None, "", "cat's été_1 x"] * 50)], ["text"])
+    want = None
+    for size in (1, 40, 10**6):
+        monkeypatch.setattr(grams, "SLICE_BYTES", size)
+        total, sent = Counter(), 0
+        for count in (grams.count_words, grams.count_pairs(), grams.count_pairs(["cat", "the"])):
+            for part in count(iter([batch])):
+                sent += part.num_rows
+                for r in part.to_pylist():
+                    total[r["term"], "ctf"] += r["ctf"]
+                    total[r["term"], "df"] += r["df"]
+        want = want or total
+        assert total == want
+    assert want["cat the", "ctf"] == 100 and want["the cat", "ctf"] == 300 and want["the cat", "df"] == 200 and sent < 20
+    cells = grams.Vectoriser(["cat", "the cat"], [1.0, 2.0]).cells(batch.column(0).slice(0, 5)).to_pylist()
+    assert [c["indices"] for c in cells] == [[0, 1], [0, 1], [], [], [0]]
+
+
+def test_features_of_modalities_are_worked_out_once(spark):
+    """Learning reads an aligned table once, whatever its columns cost."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def slow(x):
+        seen.add(1)
+        return float(x)
+    rows = spark.createDataFrame([(i, "pos" if i % 2 else "neg") for i in range(100)], "id int, label string")
+    value = F.udf(slow, "double", useArrow=False)(F.col("id"))
+    learn.compare_modalities(rows.select("*", value.alias("a__x")), "id", {"a": ["a__x"]}).collect()
+    assert seen.value == 100
+
+
+def test_training_reads_its_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def slow(x):
+        seen.add(1)
+        return x
+    rows = spark.createDataFrame([(i, "good one" if i % 2 else "bad one", "pos" if i % 2 else "neg") for i in range(50)],
+                                 "id int, text string, label string")
+    learn.train_and_evaluate(rows.select("id", F.udf(slow, "string", useArrow=False)("text").alias("text"), "label"), "id")
+    assert seen.value <= 100                                  # one scan, and the same for the null check below it
