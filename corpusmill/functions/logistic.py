@@ -112,6 +112,23 @@ def _fit(classes: int, width: int, c: float, max_iter: int, tol: float, start: n
     return run
 
 
+def _margins(coefficients: np.ndarray, intercepts: np.ndarray):
+    """For each vector of coefficients its product with a sparse row, added up in the row's order from the intercept on."""
+    @F.arrow_udf("array<double>")
+    def weighed(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for indices, values in batches:
+            n, vectors = len(indices), len(coefficients)
+            lengths = indices.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            at, x = indices.flatten().to_numpy(zero_copy_only=False), values.flatten().to_numpy(zero_copy_only=False)
+            row = np.concatenate([np.arange(n), np.repeat(np.arange(n), lengths)])
+            found = np.stack([np.bincount(row, np.concatenate([np.full(n, b), x * w[at]]), n)
+                              for w, b in zip(coefficients, intercepts)], axis=1)
+            missing = indices.is_null().to_numpy(zero_copy_only=False)
+            yield pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * vectors), pa.array(
+                found.ravel(), mask=np.repeat(missing, vectors)))
+    return weighed
+
+
 @dataclass(frozen=True, eq=False)
 class Classifier:
     """Labels in order and a coefficient vector for each (for two labels one, of the second)."""
@@ -141,14 +158,7 @@ class Classifier:
 
     def transform(self, df: DataFrame, features: str = "features") -> DataFrame:
         """Add ``probability``, an array in the order of ``labels``, and ``prediction_label``."""
-        spark = df.sparkSession
-        model = spark.createDataFrame(                        # one row: labels times features
-            [(self.coefficients.tolist(), [float(b) for b in self.intercepts])], "_w array<array<double>>, _b array<double>")
-        pairs = F.arrays_zip(F.col(f"{features}.indices").alias("i"), F.col(f"{features}.values").alias("x"))
-
-        def margins(cells: Column) -> Column:
-            return F.transform("_w", lambda w, k: F.aggregate(
-                cells, F.get("_b", k), lambda s, p: s + p["x"] * F.get(w, p["i"])))
+        margins = _margins(self.coefficients, self.intercepts)(F.col(f"{features}.indices"), F.col(f"{features}.values"))
 
         def shares(m: Column) -> Column:
             if len(self.labels) == 2:
@@ -157,9 +167,9 @@ class Classifier:
             powers = let(F.array_max(m), lambda top: F.transform(m, lambda x: F.exp(x - top)))
             return let(powers, lambda e: let(F.aggregate(e, F.lit(0.0), lambda s, x: s + x),
                                              lambda total: F.transform(e, lambda x: x / total)))
-        scored = df.crossJoin(F.broadcast(model)).withColumn("probability", let(let(pairs, margins), shares))
+        scored = df.withColumn("probability", let(margins, shares))
         best = F.array_position("probability", F.array_max("probability")).cast("int")
-        return scored.drop("_w", "_b").withColumn("prediction_label", F.element_at(F.array(*map(F.lit, self.labels)), best))
+        return scored.withColumn("prediction_label", F.element_at(F.array(*map(F.lit, self.labels)), best))
 
     def save(self, spark: SparkSession, path: str) -> None:
         spark.createDataFrame(

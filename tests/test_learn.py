@@ -396,3 +396,54 @@ def test_training_reads_its_input_once(spark):
                                  "id int, text string, label string")
     learn.train_and_evaluate(rows.select("id", F.udf(slow, "string", useArrow=False)("text").alias("text"), "label"), "id")
     assert seen.value <= 100                                  # one scan, and the same for the null check below it
+
+
+def test_a_task_sends_a_term_once(spark, monkeypatch):
+    """Slices and batches of a task are added up, within a bound, before terms travel."""
+    from corpusmill.functions import grams
+    monkeypatch.setattr(grams, "SLICE_BYTES", 20)
+    batches = [pa.RecordBatch.from_arrays([pa.array(["the cat sat", "the cat the cat"] * 5)], ["text"])] * 3
+    for bound, most in ((1000, 1), (4, 30)):
+        monkeypatch.setattr(grams, "MERGED_TERMS", bound)
+        for count, term, n in ((grams.count_words, "cat", 45), (grams.count_pairs(["cat", "the"]), "the cat", 45)):
+            rows = [r for part in count(iter(batches)) for r in part.to_pylist() if r["term"] == term]
+            assert sum(r["ctf"] for r in rows) == n and sum(r["df"] for r in rows) == 30 and len(rows) <= most
+
+
+def test_words_of_all_letters_and_digits():
+    """Words by bytes are the runs that a regular expression over code points finds."""
+    from corpusmill.functions import grams
+    texts = ["été_1 x", None, "", "中文 ٣٤ 𝔘𝟙 😀ab", "a", "́a b́c", "x\U0010ffffyz", "ab", "cd-É ñ"] * 3
+    row, flat = grams._words(pa.array(texts).slice(1, 20))
+    pattern = re.compile(r"[^\W]{2,}")
+    assert list(zip(row, flat.to_pylist())) == [(i, w) for i, t in enumerate(texts[1:21]) for w in pattern.findall(t or "")]
+
+
+def test_scores_come_from_batches_and_equal_sums_in_order(spark):
+    rng = np.random.default_rng(1)
+    for k in (1, 3):
+        model = learn.Classifier(("a", "b", "c")[:max(2, k)], rng.normal(size=(k, 50)), rng.normal(size=k))
+        cells = [(i, ([int(x) for x in rng.permutation(50)[:i]], [float(x) for x in rng.normal(size=i)])) for i in range(20)]
+        rows = spark.createDataFrame([*cells, (99, None)], "id int, features struct<indices: array<int>, values: array<double>>")
+        scored = model.transform(rows)
+        assert "ArrowEval" in scored._jdf.queryExecution().toString()
+        got = {r.id: r for r in scored.collect()}
+        assert got[99].probability == [None] * len(model.labels)
+        for i, (indices, values) in cells:
+            margins = []
+            for w, total in zip(model.coefficients, model.intercepts):
+                for at, x in zip(indices, values):
+                    total = total + x * w[at]
+                margins.append(total)
+            e = np.exp(np.array(margins) - max(margins))
+            want = e / e.sum() if k > 1 else [1 - 1 / (1 + math.exp(-margins[0])), 1 / (1 + math.exp(-margins[0]))]
+            assert np.allclose(got[i].probability, want, rtol=1e-14, atol=0)
+
+
+def test_curation_cleans_and_reviews_once(spark):
+    """What several steps read is a written table, not the work that made it."""
+    settings = curation.Settings(lexicon={"pos": ["sun", "joy"], "neg": ["war", "ill"]}, n_iterations=1, batch_size=5)
+    out = curation.run(toy(spark).drop("confidence"), settings)
+    for table in (out.cleaned, out.labelled, out.reviewed):
+        plan = table._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Aggregate" not in plan and table.inputFiles()
