@@ -48,7 +48,7 @@ class Outcome:
 def clean(raw: DataFrame, s: Settings):
     content = [c for c in raw.columns if c != s.key]
     issues = quality.detect_issues(raw, s.key)
-    cleaned = repair.fix(raw, s.strategy, s.key)
+    cleaned = written(repair.fix(raw, s.strategy, s.key), "cleaned")
     return cleaned, issues, quality.compare(raw, cleaned, s.key, content)
 
 
@@ -76,15 +76,16 @@ def run(raw: DataFrame, settings: Settings | None = None,
         corrections: DataFrame | None = None) -> Outcome:
     """All steps. Without ``corrections`` the reviewer is simulated.
 
-    The labelled table is written once: it is what review, selection and training read.
+    The cleaned, labelled and reviewed tables are written once each: comparison and labelling read the first, review
+    and reports the second, selection and training the third, each several times.
     """
     s = settings or Settings()
     cleaned, issues, comparison = clean(raw, s)
     labelled = written(annotate.auto_label(cleaned, s.lexicon, labelled_at=s.labelled_at), "labelled")
     fixes = corrections if corrections is not None else review.simulate_review(
         review.review_queue(labelled, s.key, s.threshold))
-    reviewed = review.merge_review(labelled, fixes, s.key, s.threshold, s.promote,
-                                   check=corrections is not None)
+    reviewed = written(review.merge_review(labelled, fixes, s.key, s.threshold, s.promote,
+                                           check=corrections is not None), "reviewed")
     active = learn.run_cycle(reviewed, s.key, n_iterations=s.n_iterations,
                              batch_size=s.batch_size, seed=s.seed)
     dataset = learn.attach_scores(reviewed, active, s.key)
