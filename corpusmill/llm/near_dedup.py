@@ -16,6 +16,9 @@ both meet in tiles of about ``TILE`` by ``TILE``, and only links come out. What
 is small, or grows further. Where it is still large and holds several classes when the trees end, all pairs of
 different classes are compared, in tiles as well.
 Every link is confirmed on the full sets; copies with equal sets are one vertex from the start.
+
+Texts are dealt out by id once; the sets that a check needs are made where the texts are. A set then goes to the tiles
+where it has partners, once to each: partners that are alike share a minwise token, and with it a tile.
 """
 
 from __future__ import annotations
@@ -40,6 +43,8 @@ MAX_DEPTH = START_DEPTH + (LOOKS - 1) * MORE_DEPTH
 SMALL_NODE = 32              # members up to which a node is compared exhaustively
 TILE = 512                   # members, about, of a side of a tile
 TILE_TOKENS = 300_000        # tokens, about, of their sets
+TILE_PAIRS = 16_384          # pairs, about, that a tile confirms
+BUCKET_SHINGLES = 4_000_000  # of the texts that are dealt out together
 MOST_CLASSES = 64            # classes of a node that others are compared with as a whole
 FUNCTIONS = 128              # minwise functions to pick from
 SKETCH_BITS = 64
@@ -194,10 +199,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
               .where("key = id").select("id", "low", "high", "n_shingles", "sketch", "minima")
               .dropDuplicates(["id", "low", "high"]), "vertices")
     scratch.drop("signed")
-    names = scratch.write(vertices.drop("minima"), "names")
+    names = scratch.write(vertices.withColumn("alike", F.xxhash64(F.substring("minima", 1, 4))).drop("minima"), "names")
 
     similarity = percent / 100
-    join = _Join(scratch, source, names.select("id", "sketch", "n_shingles"), shingle, percent)
+    size = names.agg(F.sum("n_shingles")).first()[0] or 0
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_SHINGLES))
+    texts = source.select(F.col("key").alias("id"), "text").repartition(buckets, "id")
+    texts = scratch.write_by(texts.join(names.select("id").hint("shuffle_hash"), "id", "left_semi"), "id", buckets, "texts")
+    join = _Join(scratch, texts, buckets, names.select("id", "sketch", "n_shingles", "alike"), shingle, percent)
     join.link(_one_key(filled, classes), "key")
     roots = seeded(77, trees_for(similarity, recall))
     schema = "id long, nodes array<long>"
@@ -232,14 +241,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
 
 
 class _Join:
-    """Links found so far: pairs that were compared, full sets that were read, and classes of linked ids."""
+    """Links found so far: pairs that were compared, and classes of linked ids."""
 
-    def __init__(self, scratch: Scratch, source: DataFrame, vertices: DataFrame, shingle: int, percent: int):
-        self.scratch, self.source, self.vertices, self.shingle, self.percent = scratch, source, vertices, shingle, percent
+    def __init__(self, scratch: Scratch, texts: DataFrame, buckets: int, vertices: DataFrame, shingle: int, percent: int):
+        self.scratch, self.texts, self.buckets, self.vertices = scratch, texts, buckets, vertices
+        self.shingle, self.percent = shingle, percent
         self.similarity = percent / 100
         self.found = vertices.sparkSession.createDataFrame([], "id long, component long")
         self.tested: DataFrame | None = None
-        self.sets: DataFrame | None = None
 
     def shared(self, entries: DataFrame, number: int) -> DataFrame:
         """Entries (id, node) of nodes with several classes, with what is known of the members, and their number.
@@ -294,7 +303,7 @@ class _Join:
         members = _classed(self.vertices.select("id"), self.found, "id", "class").join(met.select("class").distinct(), "class")
         sides = met.select("class", "id", F.lit(0).alias("side")).union(members.select("class", "id", F.lit(1)))
         sides = self.scratch.write(sides, f"sides{name}")
-        self.read(sides.select("id").distinct(), f"met{name}")
+        sets = self.read(sides.select("id").distinct(), f"met{name}")
         sized = sides.join(self.vertices.select("id", "n_shingles"), "id")
         blocks = sized.groupBy("class").agg(*[
             F.greatest(F.ceil(F.count_if(F.col("side") == k) / TILE), F.ceil(
@@ -306,20 +315,42 @@ class _Join:
             "class", "side", "id", k.alias("k"), F.explode(F.sequence(F.lit(0), other - 1)).alias("o"))
         tiles = tiles.select("class", F.when(F.col("side") == 0, F.col("k")).otherwise(F.col("o")).alias("i"),
                              F.when(F.col("side") == 0, F.col("o")).otherwise(F.col("k")).alias("j"), "side", "id")
-        needed = self.sets.join(sides.select("id").distinct(), "id", "left_semi")
-        full = tiles.join(needed, "id").select("class", "i", "j", "side", "id", "tokens")
+        full = tiles.join(sets, "id").select("class", "i", "j", "side", "id", "tokens")
         tile = ["class", "i", "j"]
         links = full.repartition(*tile).sortWithinPartitions(*tile, "side").mapInArrow(_tile_links(self.percent), "a long, b long")
         self.link(links, f"met{name}")
+        self.scratch.drop(f"met{name}-sets")
 
-    def read(self, ids: DataFrame, name: str) -> None:
-        """Make sure that the full sets of ``ids`` are there."""
-        if self.sets is not None:
-            ids = ids.join(self.sets.select("id"), "id", "left_anti")
+    def read(self, ids: DataFrame, name: str) -> DataFrame | None:
+        """The full sets of the documents in ``ids``, dealt out by id; None if there are no ids."""
         ids = self.scratch.write(ids, f"{name}-ends")
-        if not ids.isEmpty():
-            new = self.scratch.write(_sets_of(self.source, ids.hint("merge"), self.shingle), f"{name}-sets")
-            self.sets = new if self.sets is None else self.sets.union(new)
+        if ids.isEmpty():
+            return None
+        found = self.texts.join(ids.hint("shuffle_hash"), "id", "left_semi").mapInArrow(
+            _sets(self.shingle), "id long, tokens array<long>")
+        return self.scratch.write_by(found, "id", self.buckets, f"{name}-sets")
+
+    def confirmed(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """Pairs whose full sets are similar enough.
+
+        Pairs meet in tiles: first ids that share a minwise token are in the same tiles, up to a number of them and of their
+        pairs, and a second id goes once to each tile where it has partners.
+        """
+        about = self.vertices.groupBy("id").agg(F.min("alike").alias("alike"), F.sum("n_shingles").alias("size"))
+        firsts = pairs.groupBy(F.col("a").alias("id")).agg(F.collect_list("b").alias("others")).join(about, "id")
+        blocks = firsts.groupBy("alike").agg(
+            F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("size") / TILE_TOKENS)).cast("int").alias("na"),
+            F.ceil(F.sum(F.size("others")) / TILE_PAIRS).cast("int").alias("nb"))
+        dealt = firsts.join(blocks, "alike").select("alike", F.pmod(F.xxhash64("id"), "na").cast("int").alias("i"), "nb", "id", "others")
+        tile = ["alike", "i", "j"]
+        held = dealt.select("alike", "i", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("j"), F.lit(0).alias("side"), "id",
+                            F.lit(None).cast("array<long>").alias("partners"))
+        seconds = dealt.select("alike", "i", "nb", F.col("id").alias("a"), F.explode("others").alias("id"))
+        seconds = seconds.withColumn("j", F.pmod(F.xxhash64("id"), "nb").cast("int")).groupBy(*tile, "id").agg(
+            F.collect_list("a").alias("partners"))
+        sides = held.unionByName(seconds.withColumn("side", F.lit(1)))
+        full = sides.join(sets, "id").select(*tile, "side", "id", "partners", "tokens")
+        return full.repartition(*tile).sortWithinPartitions(*tile, "side").mapInArrow(_pair_links(self.percent), "a long, b long")
 
     def check(self, pairs: DataFrame, name: str, apart: bool = False) -> None:
         """Confirm the pairs of different classes that weren't compared before, and merge what they link.
@@ -330,9 +361,10 @@ class _Join:
             pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
         pairs = self.scratch.write(pairs if apart else _apart(pairs, self.found), name)
         self.tested = pairs if self.tested is None else self.tested.union(pairs)
-        self.read(_ends(pairs), name)
-        if self.sets is not None:
-            self.link(_confirmed(pairs, self.sets, self.percent), name)
+        sets = self.read(_ends(pairs), name)
+        if sets is not None:
+            self.link(self.confirmed(pairs, sets), name)
+            self.scratch.drop(f"{name}-sets")
 
     def link(self, links: DataFrame, name: str) -> None:
         """Merge the classes that links connect."""
@@ -393,6 +425,34 @@ def _tile_links(percent: int):
     return run
 
 
+def _pair_links(percent: int):
+    """The pairs of a tile that are linked: ids of side 0, and ids of side 1 with their partners on side 0."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, firsts = None, {}
+        for batch in batches:
+            lists, out = batch.column("tokens"), []
+            values, offsets = lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy()
+            for n, (*tile, side, id, partners) in enumerate(zip(*(
+                    batch.column(c).to_pylist() for c in ("alike", "i", "j", "side", "id", "partners")))):
+                own = values[offsets[n]:offsets[n + 1]]
+                if tile != last:
+                    last, firsts = tile, {}
+                if side == 0:
+                    firsts.setdefault(id, []).append(own.copy())
+                    continue
+                for a in partners:
+                    for tokens in firsts.get(a, ()):
+                        if 100 * min(len(own), len(tokens)) < percent * max(len(own), len(tokens), 1):
+                            continue
+                        at = np.searchsorted(own, tokens)
+                        shared = int((own[np.minimum(at, len(own) - 1)] == tokens).sum())
+                        if 100 * shared >= percent * (len(own) + len(tokens) - shared):
+                            out.append((a, id))
+                            break
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+    return run
+
+
 def _classed(df: DataFrame, found: DataFrame, id: str, name: str) -> DataFrame:
     named = df.join(found.select(F.col("id").alias(id), F.col("component").alias("_class")), id, "left")
     return named.withColumn(name, F.coalesce("_class", id)).drop("_class")
@@ -485,22 +545,6 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
 
 
-def _sets_of(source: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
-    """The full sets of the documents in ``ids``."""
-    texts = source.select(F.col("key").alias("id"), "text").join(ids, "id", "left_semi")
-    return texts.mapInArrow(_sets(shingle), "id long, tokens array<long>")
-
-
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose full sets are similar enough. Only sets that a pair needs travel."""
-    def side(c: str) -> DataFrame:
-        own = sets.select(F.col("id").alias(c), F.col("tokens").alias(f"t{c}"))
-        return own.join(pairs.select(c).distinct(), c, "left_semi")
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    shared = F.size(F.array_intersect("ta", "tb"))
-    return both.where(shared * 100 >= (F.size("ta") + F.size("tb") - shared) * percent).select("a", "b")
-
-
 def _grown(links: DataFrame, found: DataFrame) -> DataFrame:
     """New links between the classes found so far, together with what made the classes."""
     named = _classed(_classed(links, found, "a", "ca"), found, "b", "cb")

@@ -29,6 +29,7 @@ class Scratch:
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/corpusmill/{name}-{uuid.uuid4().hex}"
         self.names: list[str] = []
+        self.tables: dict[str, str] = {}
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
@@ -36,6 +37,17 @@ class Scratch:
         self.names.append(name)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def write_by(self, df: DataFrame, column: str, buckets: int, name: str) -> DataFrame:
+        """A table that is dealt out by ``column``: joins on it leave its rows where they are.
+
+        ``df`` should be dealt out in the same way, else every task writes a file for every bucket.
+        """
+        table = f"corpusmill_{uuid.uuid4().hex}"
+        df.write.bucketBy(buckets, column).option("path", f"{self.folder}/{name}").saveAsTable(table, format="parquet")
+        self.names.append(name)
+        self.tables[name] = table
+        return self.spark.table(table)
+
     def keep_only(self, *names: str) -> None:
         """Remove all other tables of the run."""
         for name in [n for n in self.names if n not in names]:
@@ -45,6 +57,8 @@ class Scratch:
         if name not in self.names:
             return
         self.names.remove(name)
+        if name in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.tables.pop(name)}")
         jvm = self.spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

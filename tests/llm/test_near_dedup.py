@@ -176,3 +176,43 @@ def test_tile_links_equal_plain_sets():
     like = {a: [b for b in range(25, 40) if 100 * len(np.intersect1d(sets[a], sets[b])) >= 50 * len(np.union1d(sets[a], sets[b]))]
             for a in range(25)}
     assert {a for a, _ in found} == {a for a in like if like[a]} and all(b in like[a] for a, b in found)
+
+
+def test_pairs_meet_in_tiles(spark, monkeypatch):
+    """All listed pairs that are alike are confirmed, however small tiles are, and a partner goes to a tile once."""
+    from corpusmill.llm.tables import Scratch
+    rng = random.Random(2)
+    texts = {k: " ".join(f"w{rng.randrange(3) if rng.random() < .15 else j}" for j in range(40)) for k in range(60)}
+    pairs = [p for p in itertools.combinations(texts, 2) if rng.random() < .5]
+    want = {(a, b) for a, b in pairs if 100 * len(shingles(texts[a], 2) & shingles(texts[b], 2))
+            >= 60 * len(shingles(texts[a], 2) | shingles(texts[b], 2))}
+    assert 0 < len(want) < len(pairs)
+    scratch = Scratch(spark, "tiles")
+    source = spark.createDataFrame(list(texts.items()), "id long, text string")
+    about = spark.createDataFrame([(k, 0, 39, k % 2) for k in texts], "id long, sketch long, n_shingles long, alike long")
+    join = near_dedup._Join(scratch, scratch.write_by(source.repartition(3, "id"), "id", 3, "texts"), 3, about, 2, 60)
+    frame = spark.createDataFrame(pairs, "a long, b long")
+    sets = join.read(frame.selectExpr("a AS id").union(frame.select("b")).distinct(), "t")
+    assert len({r["id"] for r in sets.collect()}) == sets.count()
+    for tile in (512, 4):
+        monkeypatch.setattr(near_dedup, "TILE", tile)
+        monkeypatch.setattr(near_dedup, "TILE_PAIRS", 16_384 if tile > 4 else 50)
+        found = join.confirmed(frame, sets)
+        assert sorted((r.a, r.b) for r in found.collect()) == sorted(want)
+    scratch.keep_only()
+    assert not scratch.tables
+
+
+def test_tables_dealt_out_by_a_column_stay_where_they_are(spark):
+    """A join on the column moves the other side only."""
+    from corpusmill.llm.tables import Scratch
+    scratch = Scratch(spark, "dealt")
+    rows = scratch.write_by(spark.range(100).selectExpr("id", "'x' AS text").repartition(4, "id"), "id", 4, "rows")
+    joined = rows.join(spark.range(0, 100, 3).hint("shuffle_hash"), "id", "left_semi")
+    assert joined.count() == 34
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    name = scratch.tables["rows"]
+    assert spark.catalog.tableExists(name)
+    scratch.drop("rows")
+    assert not spark.catalog.tableExists(name)
