@@ -1,4 +1,4 @@
-"""L2 logistic regression over sparse rows: fitted in one task on bounded rows, scored by expressions."""
+"""L2 logistic regression over sparse rows: fitted in one task on bounded rows, scored in Arrow batches."""
 
 from __future__ import annotations
 
