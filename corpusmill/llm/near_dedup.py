@@ -15,7 +15,9 @@ has a good part of a node, they are compared with that whole class, once for all
 both meet in tiles of about ``TILE`` by ``TILE``, and only links come out. What is left of a node without such classes
 is small, or grows further. Where it is still large and holds several classes when the trees end, all pairs of
 different classes are compared, in tiles as well.
-Every link is confirmed on the full sets; copies with equal sets are one vertex from the start.
+Every link is confirmed on the full sets; copies with equal sets are one vertex from the start. Before, pairs of
+a family that is alike well below the threshold are left out by their prints: four bits of each chosen token. As many
+differ by chance in a pair at the threshold only with what the trees leave of ``1 - recall``.
 
 Texts are dealt out by id once; the sets that a check needs are made where the texts are. A set then goes to the tiles
 where it has partners, once to each: partners that are alike share a minwise token, and with it a tile.
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.graph import components
@@ -48,6 +50,7 @@ BUCKET_SHINGLES = 4_000_000  # of the texts that are dealt out together
 MOST_CLASSES = 64            # classes of a node that others are compared with as a whole
 FUNCTIONS = 128              # minwise functions to pick from
 SKETCH_BITS = 64
+PRINT_BITS = 4               # of every function's minimum
 ORDERS = (0, -1, 0x5555555555555555, 0x3333333333333333)     # of ids, by exclusive or
 
 _MULTIPLY = (seeded(11, FUNCTIONS) >> np.uint64(31)).astype(np.uint32) | np.uint32(1)
@@ -67,6 +70,15 @@ def trees_for(similarity: float, recall: float) -> int:
     return max(1, math.ceil(math.log(1 - recall) / math.log(lost(similarity, MAX_DEPTH))))
 
 
+def most_differing(similarity: float, recall: float) -> int:
+    """Prints that may differ in a pair: more do so at this similarity with what ``recall`` allows beyond the trees' loss."""
+    allowed = max(1 - recall - lost(similarity, MAX_DEPTH) ** trees_for(similarity, recall), 1e-11)
+    p, most, beyond = (1 - similarity) * (1 - 2 ** -PRINT_BITS), FUNCTIONS, 0.0
+    while most and (beyond := beyond + math.comb(FUNCTIONS, most) * p ** most * (1 - p) ** (FUNCTIONS - most)) <= allowed:
+        most -= 1
+    return most
+
+
 def shingle_sets(column: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray]]:
     """(row, sorted distinct digests of its shingles); a row of fewer words has one shingle."""
     for words in word_slices(column, lower=True):
@@ -88,7 +100,7 @@ def _signatures(n: int):
         for batch in batches:
             sizes = np.zeros(batch.num_rows, np.int64)
             low, high = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
-            marks, minima = np.zeros(batch.num_rows, np.int64), [None] * batch.num_rows
+            marks, minima, prints = np.zeros(batch.num_rows, np.int64), [None] * batch.num_rows, [None] * batch.num_rows
             held, rows, total = [], [], 0
             with np.errstate(over="ignore"):
                 def flush():
@@ -100,8 +112,11 @@ def _signatures(n: int):
                     bits = (table[:, :SKETCH_BITS] >> np.uint32(3)) & np.uint32(1)
                     sketch = (bits.astype(np.uint64) << np.arange(SKETCH_BITS, dtype=np.uint64)).sum(
                         axis=1, dtype=np.uint64)
+                    own = ((table >> np.uint32(8)) & np.uint32((1 << PRINT_BITS) - 1)).astype(np.uint64)
+                    own = own.reshape(len(held), -1, 64 // PRINT_BITS) << np.arange(0, 64, PRINT_BITS, dtype=np.uint64)
+                    own = own.sum(axis=2, dtype=np.uint64).view(np.int64)
                     for k, row in enumerate(rows):
-                        minima[row] = table[k].tobytes()
+                        minima[row], prints[row] = table[k].tobytes(), own[k]
                         marks[row] = sketch[k].view(np.int64)
                     held.clear()
                     rows.clear()
@@ -121,7 +136,8 @@ def _signatures(n: int):
                     flush()
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key"), pa.array(sizes), pa.array(low), pa.array(high), pa.array(marks),
-                 pa.array(minima, pa.binary())], ["key", "n_shingles", "low", "high", "sketch", "minima"])
+                 pa.array(minima, pa.binary()), pa.array(prints, pa.list_(pa.int64()))],
+                ["key", "n_shingles", "low", "high", "sketch", "minima", "prints"])
     return run
 
 
@@ -189,14 +205,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     scratch = Scratch(docs.sparkSession, "near")
     source = docs.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
     signed = scratch.write(source.mapInArrow(
-        _signatures(shingle), "key long, n_shingles long, low long, high long, sketch long, minima binary"), "signed")
+        _signatures(shingle), "key long, n_shingles long, low long, high long, sketch long, minima binary, prints array<long>"),
+        "signed")
     rows = scratch.write(signed.select("key", "n_shingles", "low", "high"), "rows")
     filled = rows.where("n_shingles > 0")
     classes = scratch.write(filled.groupBy("low", "high").agg(F.min("key").alias("id")), "classes")
     # The first row of each class is its vertex; equal rows of a class have equal minima.
     vertices = scratch.write(
         signed.where("n_shingles > 0").join(classes.where("id is not null"), ["low", "high"])
-              .where("key = id").select("id", "low", "high", "n_shingles", "sketch", "minima")
+              .where("key = id").select("id", "low", "high", "n_shingles", "sketch", "minima", "prints")
               .dropDuplicates(["id", "low", "high"]), "vertices")
     scratch.drop("signed")
     names = scratch.write(vertices.withColumn("alike", F.xxhash64(F.substring("minima", 1, 4))).drop("minima"), "names")
@@ -206,7 +223,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_SHINGLES))
     texts = source.select(F.col("key").alias("id"), "text").repartition(buckets, "id")
     texts = scratch.write_by(texts.join(names.select("id").hint("shuffle_hash"), "id", "left_semi"), "id", buckets, "texts")
-    join = _Join(scratch, texts, buckets, names.select("id", "sketch", "n_shingles", "alike"), shingle, percent)
+    join = _Join(scratch, texts, buckets, names.select("id", "sketch", "n_shingles", "alike", "prints"), shingle, percent, recall)
     join.link(_one_key(filled, classes), "key")
     roots = seeded(77, trees_for(similarity, recall))
     schema = "id long, nodes array<long>"
@@ -243,10 +260,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
 class _Join:
     """Links found so far: pairs that were compared, and classes of linked ids."""
 
-    def __init__(self, scratch: Scratch, texts: DataFrame, buckets: int, vertices: DataFrame, shingle: int, percent: int):
+    def __init__(self, scratch: Scratch, texts: DataFrame, buckets: int, vertices: DataFrame, shingle: int, percent: int,
+                 recall: float = 0.99999):
         self.scratch, self.texts, self.buckets, self.vertices = scratch, texts, buckets, vertices
         self.shingle, self.percent = shingle, percent
         self.similarity = percent / 100
+        self.most = most_differing(self.similarity, recall)
         self.found = vertices.sparkSession.createDataFrame([], "id long, component long")
         self.tested: DataFrame | None = None
 
@@ -256,7 +275,7 @@ class _Join:
         Ids and nodes alone travel; most nodes have one member.
         """
         stats = entries.groupBy("node").agg(F.count("*").alias("members")).where("members > 1")
-        kept = entries.join(stats, "node").join(self.vertices, "id")
+        kept = entries.join(stats, "node").join(self.vertices.drop("prints"), "id")
         if number:
             return _mixed(kept, self.found).select(*_ABOUT, "node", "members")
         return kept.withColumn("class", F.col("id")).select(*_ABOUT, "node", "members")
@@ -352,6 +371,13 @@ class _Join:
         full = sides.join(sets, "id").select(*tile, "side", "id", "partners", "tokens")
         return full.repartition(*tile).sortWithinPartitions(*tile, "side").mapInArrow(_pair_links(self.percent), "a long, b long")
 
+    def promising(self, pairs: DataFrame) -> DataFrame:
+        """Pairs with no more differing prints than linked ones have; of an id with several sets, any may be like the other."""
+        ends = [self.vertices.select(F.col("id").alias(side), F.col("prints").alias(f"prints_{side}")) for side in "ab"]
+        differing = sum(F.bit_count(_nibbles(F.col("prints_a")[k].bitwiseXOR(F.col("prints_b")[k])))
+                        for k in range(FUNCTIONS * PRINT_BITS // 64))
+        return pairs.join(ends[0], "a").join(ends[1], "b").where(differing <= self.most).select("a", "b").distinct()
+
     def check(self, pairs: DataFrame, name: str, apart: bool = False) -> None:
         """Confirm the pairs of different classes that weren't compared before, and merge what they link.
 
@@ -359,7 +385,7 @@ class _Join:
         """
         if self.tested is not None:
             pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
-        pairs = self.scratch.write(pairs if apart else _apart(pairs, self.found), name)
+        pairs = self.scratch.write(self.promising(pairs if apart else _apart(pairs, self.found)), name)
         self.tested = pairs if self.tested is None else self.tested.union(pairs)
         sets = self.read(_ends(pairs), name)
         if sets is not None:
@@ -373,6 +399,12 @@ class _Join:
             self.found = components(_grown(links, self.found), self.scratch, f"{name}-links")
 
 
+def _nibbles(x: Column) -> Column:
+    """The lowest bit of each four is set if any of them is."""
+    x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+    return x.bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseAND(F.lit(0x1111111111111111))
+
+
 def _one_key(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """Links between the sets of rows that repeat a key."""
     owned = rows.join(classes, ["low", "high"]).select("key", "id").where("key is not null")

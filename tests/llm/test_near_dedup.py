@@ -1,4 +1,5 @@
 import itertools
+import math
 import random
 import re
 
@@ -216,3 +217,33 @@ def test_tables_dealt_out_by_a_column_stay_where_they_are(spark):
     assert spark.catalog.tableExists(name)
     scratch.drop("rows")
     assert not spark.catalog.tableExists(name)
+
+
+def test_pairs_well_below_the_threshold_are_left_out_by_prints(spark, docs):
+    """Of a family that is alike at about 0.6, few pairs travel with their sets; no pair that is linked is left out."""
+    from corpusmill.llm.tables import Scratch
+    rng = random.Random(12)
+    base = [f"t{i}" for i in range(200)]
+    texts = dict(enumerate(family(rng, base, 50, 50, 200) + family(rng, base, 50, 6, 200)))
+    scratch = Scratch(spark, "prints")
+    source = docs(list(texts.items())).selectExpr("doc_id AS id", "text")
+    schema = "id long, n_shingles long, low long, high long, sketch long, minima binary, prints array<long>"
+    about = source.selectExpr("id AS key", "text").mapInArrow(near_dedup._signatures(1), schema.replace("id", "key", 1))
+    about = about.selectExpr("key AS id", "sketch", "n_shingles", "1L AS alike", "prints")
+    join = near_dedup._Join(scratch, scratch.write_by(source.repartition(3, "id"), "id", 3, "texts"), 3, about, 1, 80)
+    pairs = list(itertools.combinations(texts, 2))
+    alike = {(a, b) for a, b in pairs if (lambda x, y: 100 * len(x & y) >= 80 * len(x | y))(
+        shingles(texts[a], 1), shingles(texts[b], 1))}
+    join.check(spark.createDataFrame(pairs, "a long, b long"), "all")
+    compared = {(r.a, r.b) for r in spark.read.parquet(f"{scratch.folder}/all").collect()}
+    assert alike <= compared and len(compared) < len(alike) + 0.2 * (len(pairs) - len(alike))
+    scratch.keep_only()
+
+
+def test_prints_of_linked_pairs_differ_as_rarely_as_recall_allows():
+    for similarity, recall in ((0.7, 0.999), (0.8, 0.99999), (0.9, 0.99999)):
+        p, n = (1 - similarity) * 15 / 16, near_dedup.FUNCTIONS
+        most = near_dedup.most_differing(similarity, recall)
+        beyond = sum(math.comb(n, k) * p ** k * (1 - p) ** (n - k) for k in range(most + 1, n + 1))
+        trees = near_dedup.lost(similarity, near_dedup.MAX_DEPTH) ** near_dedup.trees_for(similarity, recall)
+        assert beyond + trees <= 1 - recall and n * p < most < n
