@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.tables import Scratch
-from corpusmill.llm.words import Words, _Powers, mix, word_slices
+from corpusmill.llm.words import Words, _Powers, mix, parts, word_slices
 
 BUCKETS = 1 << 14            # of hashed n-grams
 MAX_LABELS = 100_000
@@ -36,16 +36,18 @@ _CLASS[128:] = 97            # letters beyond ASCII
 
 
 def _shapes(words: Words) -> np.ndarray:
-    kind = _CLASS[words.data]
-    fresh = np.ones(len(kind), bool)
-    fresh[1:] = kind[1:] != kind[:-1]
-    fresh[words.starts] = True
-    place = np.cumsum(fresh)
-    up, down = _Powers.get(len(kind) + 2)
+    shapes = np.empty(len(words.starts), np.uint64)
     with np.errstate(over="ignore"):
-        prefix = np.zeros(len(kind) + 1, np.uint64)
-        np.cumsum((kind.astype(np.uint64) + np.uint64(7)) * up[place] * fresh, out=prefix[1:])
-        shapes = mix((prefix[words.ends] - prefix[words.starts]) * down[place[words.starts]])
+        for runs, at in parts(words.starts, words.ends):
+            kind, begin, end = _CLASS[words.data[at]], words.starts[runs] - at.start, words.ends[runs] - at.start
+            fresh = np.ones(len(kind), bool)
+            fresh[1:] = kind[1:] != kind[:-1]
+            fresh[begin] = True
+            place = np.cumsum(fresh)
+            up, down = _Powers.get(len(kind) + 2)
+            prefix = np.zeros(len(kind) + 1, np.uint64)
+            np.cumsum((kind.astype(np.uint64) + np.uint64(7)) * up[place] * fresh, out=prefix[1:])
+            shapes[runs] = mix((prefix[end] - prefix[begin]) * down[place[begin]])
         again = np.zeros(len(shapes), bool)
         again[1:] = words.digests[1:] == words.digests[:-1]
         again[words.first[:-1][words.first[:-1] < len(again)]] = False

@@ -276,7 +276,7 @@ def _kept(window: int):
                 bytes_kept[words.starts[stay]] = 1
                 edge = np.zeros(len(words.data) + 1, np.int8)
                 edge[words.ends[stay]] = 1
-                inside = np.cumsum(bytes_kept.astype(np.int64) - edge)[:-1] > 0
+                inside = np.cumsum(bytes_kept - edge, dtype=np.int8)[:-1] > 0      # never but 0 or 1
                 stay_row = _row_of(words, stay)
                 joined = words.ends[stay[:-1][stay_row[:-1] == stay_row[1:]]] if len(stay) else np.zeros(0, int)
                 inside[joined] = True

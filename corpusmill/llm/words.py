@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 2 << 20            # bytes of text that are looked at together
+DIGEST_BYTES = 256 << 10         # of it that digests are made of together
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -47,7 +48,7 @@ class _Powers:
     @classmethod
     def get(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(cls.up) < n:
-            size = max(n, SLICE_BYTES + 1)
+            size = max(n, 2 * DIGEST_BYTES)
             with np.errstate(over="ignore"):
                 for name, base in (("up", _BASE), ("down", _BASE_INVERSE)):
                     powers = np.full(size, base, np.uint64)
@@ -114,13 +115,26 @@ def word_slices(column: pa.Array, lower: bool = False) -> Iterator[Words]:
         row = end
 
 
+def parts(starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[slice, slice]]:
+    """Ascending runs that begin within ``DIGEST_BYTES``, and the bytes that they lie in; a run is never cut."""
+    i = 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(starts, starts[i] + DIGEST_BYTES)))
+        yield slice(i, j), slice(int(starts[i]), int(ends[j - 1]))
+        i = j
+
+
 def digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A digest of each of the runs ``data[starts:ends]`` of bytes."""
-    up, down = _Powers.get(len(data) + 1)
-    with np.errstate(over="ignore"):
-        prefix = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=prefix[1:])
-        return mix((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _STEP)
+    """A digest of each of the runs ``data[starts:ends]`` of bytes; both ascend. It doesn't depend on a run's place."""
+    out = np.empty(len(starts), np.uint64)
+    for runs, at in parts(starts, ends):
+        part, begin, end = data[at], starts[runs] - at.start, ends[runs] - at.start
+        up, down = _Powers.get(len(part) + 1)
+        with np.errstate(over="ignore"):
+            prefix = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up[:len(part)], out=prefix[1:])
+            out[runs] = mix((prefix[end] - prefix[begin]) * down[begin] + (end - begin).astype(np.uint64) * _STEP)
+    return out
 
 
 def _words(rows: slice, data: np.ndarray, bounds: np.ndarray) -> Words:
