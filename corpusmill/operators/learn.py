@@ -61,10 +61,10 @@ class OneClass(ValueError):
     """Training needs at least two classes."""
 
 
-def fit_sample(train: DataFrame, label: str, key: str, max_rows: int, seed=42) -> tuple[DataFrame, list]:
-    """Rows to fit on and their labels in order: all rows, or the same share of every class in hash order.
+def fit_sample(train: DataFrame, label: str, key: str, max_rows: int | None = None, seed=42) -> tuple[DataFrame, list]:
+    """Rows to fit on and their labels in order: all rows, or if a caller sets ``max_rows`` the same share of every class.
 
-    A class keeps one row at least, and shares are rounded: at most ``max_rows`` rows and one per class.
+    Rows are then taken in hash order. A class keeps one row at least, and shares are rounded.
     """
     counts = train.groupBy(label).agg(F.count("*").alias("n")).limit(MAX_CLASSES + 1).collect()
     if len(counts) < 2:
@@ -72,18 +72,18 @@ def fit_sample(train: DataFrame, label: str, key: str, max_rows: int, seed=42) -
     if len(counts) > MAX_CLASSES:
         raise ValueError(f"more than {MAX_CLASSES} classes in {label!r}")
     n = sum(r.n for r in counts)
-    if n > max_rows:
+    if max_rows is not None and n > max_rows:
         train = stratified_split(train, label, key, max_rows / n, seed, least=1).where("is_test").drop("is_test")
     return train, sorted(r[0] for r in counts)
 
 
 def fit_classifier(train: DataFrame, label: str, key: str, width: int, c: float = 1.0, max_iter: int = 1000,
-                   tol: float = 1e-6, features: str = "features", max_fit_rows: int = MAX_FIT_ROWS, seed=42,
+                   tol: float = 1e-6, features: str = "features", max_fit_rows: int | None = None, seed=42,
                    start: Classifier | None = None) -> Classifier:
     """L2 logistic regression with balanced class weights over sparse ``features`` of ``width`` columns.
 
-    At most ``max_fit_rows`` rows (and one per class) are used, the same share of each class in hash order of the
-    key. ``start`` is an earlier model whose coefficients the solver begins with.
+    All rows are used, unless a caller sets ``max_fit_rows``. ``start`` is an earlier model whose coefficients the solver
+    begins with.
     """
     rows, labels = fit_sample(train.select(key, label, features), label, key, max_fit_rows, seed)
     return Classifier.fit(rows.select(F.col(label).alias("label"), F.col(features).alias("features")), labels, width, c,
@@ -236,13 +236,13 @@ def assign_roles(df: DataFrame, key: str, label: str, confidence: str | None, ba
 def run_cycle(df: DataFrame, key: str, label: str = "label", text: str = "text",
               confidence: str | None = "confidence", n_iterations: int = 3, batch_size: int = 50,
               min_labeled: int = 20, seed=42, max_features: int = AL_FEATURES,
-              max_fit_rows: int = MAX_FIT_ROWS) -> ActiveLearningResult:
+              max_fit_rows: int | None = None) -> ActiveLearningResult:
     """Uncertainty sampling: fit, pick the least certain pool rows, add them, repeat.
 
     Features are computed once and written; a round reads them, fits one model (and one on a hold-out
     split) if the labelled rows have grown, and moves ``batch_size`` rows, known by key, from the pool
-    to the labelled side. A fit starts from the coefficients of the round before and uses at most
-    ``max_fit_rows`` labelled rows.
+    to the labelled side. A fit uses all labelled rows, unless a caller sets ``max_fit_rows``, and starts from the
+    coefficients of the round before (the first one on a hold-out split from those of the round's model).
     """
     spark = df.sparkSession
     roles = assign_roles(df, key, label, confidence, batch_size, n_iterations, seed)
@@ -280,7 +280,7 @@ def run_cycle(df: DataFrame, key: str, label: str = "label", text: str = "text",
         if grown and n_labelled >= MIN_FOR_HOLDOUT:
             split = stratified_split(labelled, "_label", key, AL_HOLDOUT, seed)
             try:
-                judge = fit_classifier(split.where(~F.col("is_test")), "_label", key, start=judge, **options)
+                judge = fit_classifier(split.where(~F.col("is_test")), "_label", key, start=judge or model, **options)
                 held = scores(judge.transform(split.where("is_test")), "_label")
             except OneClass:
                 pass                                          # a one-row class fell to one side

@@ -2,6 +2,7 @@
 
 import math
 from collections import Counter
+import hashlib
 import re
 
 import numpy as np
@@ -447,3 +448,74 @@ def test_curation_cleans_and_reviews_once(spark):
     for table in (out.cleaned, out.labelled, out.reviewed):
         plan = table._jdf.queryExecution().optimizedPlan().toString()
         assert "Join" not in plan and "Aggregate" not in plan and table.inputFiles()
+
+
+def many_rows(spark, n=20_400):
+    """Labelled rows; the last 400, in the order that a sample of 20,000 would be taken by, contradict the others."""
+    last = set(sorted(range(n), key=lambda i: hashlib.md5(f"42:{i}".encode()).hexdigest())[-400:])
+    rows = [(i, ("sun day" if i % 2 else "war day") + (" rare" if i in last else ""), "pos" if i % 2 != (i in last) else "neg")
+            for i in range(n)]
+    return spark.createDataFrame(rows, "row_id long, text string, label string")
+
+
+@pytest.mark.parametrize("classes", [2, 3])
+@pytest.mark.parametrize("sent", [1 << 26, 0])
+def test_passes_over_blocks_equal_one_task(spark, monkeypatch, classes, sent):
+    from corpusmill.functions import logistic
+    df = toy(spark, 300).repartition(5)
+    if classes == 3:
+        df = df.withColumn("label", F.when(F.col("row_id") % 5 == 0, "odd").otherwise(F.col("label")))
+    model = tfidf.TfidfModel.fit(df, 50)
+    feats = model.transform(df).cache()
+    whole = learn.fit_classifier(feats, "label", "row_id", len(model.terms), tol=1e-9)
+    for name, value in (("ONE_TASK_CELLS", 0), ("PIECE", 7), ("SENT_BYTES", sent)):
+        monkeypatch.setattr(logistic, name, value)
+    passed = learn.fit_classifier(feats, "label", "row_id", len(model.terms), tol=1e-9)
+    assert passed.rows == whole.rows == 300 and passed.labels == whole.labels
+    assert passed.coefficients == pytest.approx(whole.coefficients, abs=1e-6)
+    assert passed.intercepts == pytest.approx(whole.intercepts, abs=1e-6)
+    again = learn.fit_classifier(feats, "label", "row_id", len(model.terms), tol=1e-8, start=passed)
+    assert again.iterations <= 1
+
+
+def test_blocks_hold_all_rows(monkeypatch):
+    from corpusmill.functions import logistic
+    cells = [[3], [], [1, 2, 0], [4, 5], [], [0, 1, 2, 3, 4, 5, 6], [2]]
+    batch = pa.RecordBatch.from_arrays([
+        pa.array([0, 1, 1, 0, 2, 1, 0]), pa.array(cells, pa.list_(pa.int32())),
+        pa.array([[float(10 * i + x) for x in c] for i, c in enumerate(cells)], pa.list_(pa.float64()))], ["label", "indices", "values"])
+    for size in (1, 4, 100):
+        monkeypatch.setattr(logistic, "BLOCK_CELLS", size)
+        blocks = list(logistic._packed(3)(iter([batch.slice(0, 0), batch.slice(0, 3), batch.slice(3)])))
+        label, counts, indices, values = (np.concatenate(x).tolist() for x in zip(*logistic._unpacked(iter(blocks))))
+        assert label == batch.column("label").to_pylist() and counts == [len(c) for c in cells]
+        assert indices == sum(cells, []) and values == [float(10 * i + x) for i, c in enumerate(cells) for x in c]
+        assert [sum(t) for t in zip(*[b.column("tally")[0].as_py() for b in blocks])] == [3, 3, 1, 14]
+
+
+def test_fit_uses_every_row(spark):
+    """No row is left out, whatever their number: here 400 of 20,400 decide what one term means."""
+    df = many_rows(spark)
+    model = tfidf.TfidfModel.fit(df, 50)
+    feats = model.transform(df)
+    fitted = learn.fit_classifier(feats, "label", "row_id", len(model.terms))
+    assert fitted.rows == 20_400
+    rows = df.selectExpr("text", "label = 'pos' as y").groupBy("text", "y").count().collect()
+    texts = sorted({r.text for r in rows})
+    vectors = {r.text: dense(r.features, len(model.terms)) for r in model.transform(spark.createDataFrame([(t,) for t in texts], "text string")).collect()}
+    n, pos = sum(r["count"] for r in rows), sum(r["count"] for r in rows if r.y)
+    slope = np.append(fitted.coefficients[0], 0.0)
+    for r in rows:
+        x = np.append(vectors[r.text], 1.0)
+        p = 1 / (1 + math.exp(-(x[:-1] @ fitted.coefficients[0] + fitted.intercepts[0])))
+        slope += r["count"] * (n / (2 * pos) if r.y else n / (2 * (n - pos))) * (p - r.y) * x
+    assert np.abs(slope / n).max() < 2e-6
+
+
+def test_cycle_fits_every_labelled_row(spark):
+    df = many_rows(spark)
+    more = spark.createDataFrame([(100_000 + i, "sun rare" if i % 2 else "war rare", None) for i in range(40)], df.schema)
+    out = learn.run_cycle(df.unionByName(more), "row_id", n_iterations=1, batch_size=5)
+    (row,) = out.iterations.collect()
+    assert row.labeled_size == row.fit_rows == 20_400
+    assert out.scores.where("al_uncertainty between 0 and 0.5").count() == 20_440
