@@ -37,6 +37,11 @@ class SparseRows:
         return np.bincount(self.indices, self.values * r[self.row], self.width)
 
 
+def _dot(a: np.ndarray, b: np.ndarray) -> float:
+    """Product of two vectors on this thread: BLAS would start one on every core of the driver, for microseconds of work."""
+    return np.einsum("i,i->", a, b)
+
+
 def minimise(f: Callable, x: np.ndarray, max_iter: int, tol: float) -> tuple[np.ndarray, int]:
     """Limited-memory quasi-Newton steps on a convex ``f``, which returns value and gradient.
 
@@ -49,16 +54,16 @@ def minimise(f: Callable, x: np.ndarray, max_iter: int, tol: float) -> tuple[np.
             return x, step
         direction, weights = -gradient, []
         for s, y, rho in reversed(past):
-            a = rho * (s @ direction)
+            a = rho * _dot(s, direction)
             weights.append(a)
             direction = direction - a * y
         if past:
             s, y, _ = past[-1]
-            direction = direction * (s @ y) / (y @ y)
+            direction = direction * (_dot(s, y) / _dot(y, y))
         for (s, y, rho), a in zip(past, reversed(weights)):
-            direction = direction + (a - rho * (y @ direction)) * s
-        slope = gradient @ direction
-        length = 1.0 if past else 1.0 / max(1.0, np.linalg.norm(gradient))
+            direction = direction + (a - rho * _dot(y, direction)) * s
+        slope = _dot(gradient, direction)
+        length = 1.0 if past else 1.0 / max(1.0, _dot(gradient, gradient) ** 0.5)
         while True:
             moved, new = f(x + length * direction)
             if moved <= value + 1e-4 * length * slope:
@@ -67,8 +72,8 @@ def minimise(f: Callable, x: np.ndarray, max_iter: int, tol: float) -> tuple[np.
             if length < 1e-12:
                 return x, step                               # no progress left in double precision
         s, y = length * direction, new - gradient
-        if s @ y > 1e-300:
-            past = [*past, (s, y, 1.0 / (s @ y))][-MEMORY:]
+        if _dot(s, y) > 1e-300:
+            past = [*past, (s, y, 1.0 / _dot(s, y))][-MEMORY:]
         x, value, gradient = x + s, moved, new
     return x, max_iter
 
@@ -98,7 +103,7 @@ def _objective(loss: Callable, width: int, vectors: int, c: float, total: float)
     def f(theta: np.ndarray):
         value, gradient = loss(theta)
         w = theta[:vectors * width]
-        return (value + w @ w / (2 * c)) / total, (gradient + np.append(w / c, np.zeros(vectors))) / total
+        return (value + _dot(w, w) / (2 * c)) / total, (gradient + np.append(w / c, np.zeros(vectors))) / total
     return f
 
 

@@ -163,8 +163,8 @@ def trainable(df: DataFrame, text: str = "text", label: str = "label") -> DataFr
 
 def train_and_evaluate(df: DataFrame, key: str, text: str = "text", label: str = "label",
                        max_features: int = TRAIN_FEATURES, test_share: float = TRAIN_HOLDOUT,
-                       seed=42, max_fit_rows: int = MAX_FIT_ROWS) -> Trained:
-    """80/20 stratified split, vectoriser and model fitted on the training part only."""
+                       seed=42, max_fit_rows: int | None = None) -> Trained:
+    """80/20 stratified split, vectoriser and model fitted on the training part only, on all of it unless ``max_fit_rows`` is set."""
     rows = written(trainable(df, text, label).select(key, text, F.col(label).cast("string").alias(label)), "train-rows")
     split = stratified_split(rows, label, key, test_share, seed)
     vectoriser = TfidfModel.fit(split.where(~F.col("is_test")), max_features, text)

@@ -519,3 +519,8 @@ def test_cycle_fits_every_labelled_row(spark):
     (row,) = out.iterations.collect()
     assert row.labeled_size == row.fit_rows == 20_400
     assert out.scores.where("al_uncertainty between 0 and 0.5").count() == 20_440
+
+
+def test_training_fits_every_row(spark):
+    trained = learn.train_and_evaluate(many_rows(spark, 25_600), "row_id")
+    assert trained.model.rows == trained.metrics["train_size"] == 20_480 and trained.metrics["test_size"] == 5_120
