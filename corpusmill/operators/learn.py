@@ -24,7 +24,6 @@ AL_HOLDOUT, TRAIN_HOLDOUT = 0.25, 0.2
 POOL_QUANTILE = 0.3
 MIN_FOR_HOLDOUT = 40
 MAX_CLASSES = 1_000
-MAX_FIT_ROWS = 20_000        # labelled rows that a model is fitted on
 
 
 # -- splitting ---------------------------------------------------------------------
@@ -336,11 +335,12 @@ def _scale(df: DataFrame, columns) -> dict:
 
 
 def compare_modalities(df: DataFrame, key: str, groups: dict, label: str = "label", test_share: float = TRAIN_HOLDOUT,
-                       seed=42, max_fit_rows: int = MAX_FIT_ROWS) -> DataFrame:
+                       seed=42, max_fit_rows: int | None = None) -> DataFrame:
     """``(features, label, precision, recall, f1, support)``: a model for each group of columns, and one for ``all``.
 
     ``groups`` names the numeric columns of each modality of an aligned table. All models see the same rows, those with a
-    label and every column present, and the same split; columns are standardised by the training part.
+    label and every column present, and the same split; columns are standardised by the training part. Each is fitted on
+    all of that part, unless a caller sets ``max_fit_rows``.
     """
     every = [c for columns in groups.values() for c in columns]
     # Written before rows are looked at: a filter would go below the joins and work out every feature once more.
